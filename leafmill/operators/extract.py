@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,15 +22,10 @@ def _pack(site: str | SitePack) -> SitePack:
     return pack
 
 
-def spread(pages: DataFrame) -> DataFrame:
-    """Give every core pages to split when the scan has fewer partitions than there are cores.
-
-    A scan of a large table has many more, and is left as it is: bodies are never shuffled there.
-    """
-    if pages.isStreaming:
-        return pages
-    cores = pages.sparkSession.sparkContext.defaultParallelism
-    return pages.repartition(cores) if pages.rdd.getNumPartitions() < cores else pages
+@lru_cache(maxsize=64)
+def _extraction(pack: SitePack, app: str) -> Column:
+    """The pack's record expression; building it takes many calls to the JVM, so once per application."""
+    return pack.extract(F.col("_nodes"), F.col("url"))
 
 
 def page_records(pages: DataFrame, site: str | SitePack) -> DataFrame:
@@ -38,8 +35,9 @@ def page_records(pages: DataFrame, site: str | SitePack) -> DataFrame:
     pass through the Python step on their own.
     """
     pack = _pack(site)
-    split = spread(pages).withColumn("_nodes", page_nodes(body_text(F.col("body")), F.col("url"), pack.attributes))
-    return split.withColumn("records", pack.extract(F.col("_nodes"), F.col("url"))).drop("_nodes", "body")
+    split = pages.withColumn("_nodes", page_nodes(body_text(F.col("body")), F.col("url"), pack.attributes))
+    found = _extraction(pack, pages.sparkSession.sparkContext.applicationId)
+    return split.withColumn("records", found).drop("_nodes", "body")
 
 
 def parse_pages(raw: DataFrame, site: str | SitePack, parsed_at: Column | None = None) -> DataFrame:

@@ -22,6 +22,7 @@ URLS = EntityUrls(
     entry_page=rf"/auction/{_ID}/[0-9]+[a-z]?/",
     group_page=rf"/auction/{_ID}/([?]|$)",
     entry_exact=rf"{_SITE}/auction/([^/]+)/[0-9]+[a-z]?/$",
+    any_entry=rf"{_SITE}/auction/{_ID}/[0-9]+[a-z]?/$",
     scoped_link=r"/auction/([^/]+)/(?:$|[0-9]+[a-z]?/$|[?]page=[0-9]+)",
     seed="https://www.litfund.ru/auction/%s/",
     marker=MICRODATA,

@@ -12,7 +12,7 @@ from pyspark.sql import Column
 class LinkRules:
     """Regexes a link must (allow) or must not (deny) contain, and the page regions searched for links.
 
-    A region is a `(tag, class)` pair.
+    A region is a `(tag, class)` pair; an empty class stands for any.
     """
 
     allow: tuple[str, ...] = ()
@@ -30,6 +30,7 @@ class EntityUrls:
     entry_page: str  # regex: the URL is an entry page
     group_page: str  # regex: the URL is a group page
     entry_exact: str  # anchored regex with one group: any entry URL of the site, whatever the group id
+    any_entry: str  # anchored regex: an entry URL whose group id has the usual form
     scoped_link: str  # regex with one group: links followed when a crawl is limited to some groups
     seed: str  # format string: group id to seed URL
     marker: str  # text every usable entry page carries
