@@ -15,12 +15,13 @@ RETENTION = "INTERVAL 6 MONTH"
 
 def with_content_key(parsed: DataFrame) -> DataFrame:
     """Envelope rows (spider, url, source_fetched_at, parsed_at, fields) as full parsed-table rows."""
-    schema = "type string"
-    canonical = parsed.withColumn("fields", canonical_json(F.col("fields")))
+    canonical = parsed.select(
+        "spider", "url", "source_fetched_at", "parsed_at", canonical_json(F.col("fields")).alias("fields")
+    )
     return canonical.select(
         "*",
         F.xxhash64("fields").alias("dedup_key"),
-        F.coalesce(F.from_json("fields", schema)["type"], F.lit("")).alias("record_type"),
+        F.coalesce(F.from_json("fields", "type string")["type"], F.lit("")).alias("record_type"),
         month_of("source_fetched_at").alias("source_month"),
     ).select(*PARSED_TABLE.names)
 
