@@ -51,6 +51,8 @@ _TOKEN = re.compile(
     re.DOTALL,
 )
 _ATTRS = re.compile(_ATTR)
+# Elements whose content is text up to their own end tag.
+_RAW = {tag: re.compile(rf"</{tag}\s*>", re.IGNORECASE) for tag in ("script", "style")}
 _PATH_SAFE = "!#$%&'()*+,/:;=?@[]~"
 
 
@@ -68,28 +70,11 @@ class _Nodes:
 
     def __init__(self, keep: frozenset[str], links: bool) -> None:
         self.keep, self.links = keep, links
+        self.read = keep | {"class"} | ({"href"} if links else set())
         self.idx, self.parent, self.size, self.tag, self.cls, self.text, self.link = ([] for _ in range(7))
         self.pages, self.attr_ends, self.keys, self.values = [0], [0], [], []
 
-    def add(self, idx: int, parent: int, tag: str, text: str | None, attrs: str, base: str) -> None:
-        cls = link = None
-        if attrs:
-            seen = set()
-            for name, double, single, bare in _ATTRS.findall(attrs):
-                name = name.lower()
-                if name in seen or not (name in self.keep or name in ("class", "href")):
-                    continue
-                seen.add(name)
-                value = double or single or bare
-                if "&" in value:
-                    value = unescape(value)
-                if name == "class":
-                    cls = f" {' '.join(value.split())} "
-                elif name == "href" and self.links and tag in ("a", "area"):
-                    link = absolute_link(base, value)
-                if name in self.keep:
-                    self.keys.append(name)
-                    self.values.append(value)
+    def add(self, idx: int, parent: int, tag: str, text: str | None, cls: str | None = None, link: str | None = None) -> None:
         self.idx.append(idx)
         self.parent.append(parent)
         self.size.append(0)
@@ -99,68 +84,88 @@ class _Nodes:
         self.link.append(link)
         self.attr_ends.append(len(self.keys))
 
+    def attributes(self, attrs: str) -> dict[str, str]:
+        """The attributes somebody reads; of a repeated one the first counts."""
+        found: dict[str, str] = {}
+        for name, double, single, bare in _ATTRS.findall(attrs):
+            name = name.lower()
+            if name in self.read and name not in found:
+                value = double or single or bare
+                found[name] = unescape(value) if "&" in value else value
+        return found
+
     def page(self, body: str, base: str) -> None:
         """Split one page; elements close as browsers close them, whatever end tags are missing."""
-        first = len(self.idx)
-        open_at: list[tuple[int, str]] = []  # (node index, tag) from the root down
-        at, pending, n = 0, "", 0
+        first, sizes, add = len(self.idx), self.size, self.add
+        open_at: list[int] = []  # node index of the open elements, from the root down
+        open_tag: list[str] = []
+        at, n, text_from, length = 0, 0, 0, len(body)
+        search = _TOKEN.search
 
         def close(depth: int) -> None:
             while len(open_at) > depth:
-                start, _ = open_at.pop()
-                self.size[first + start] = n - start - 1
-
-        def flush() -> None:
-            nonlocal pending, n
-            if pending:
-                text = unescape(pending) if "&" in pending else pending
-                self.add(n, open_at[-1][0] if open_at else -1, TEXT, text, "", base)
-                n, pending = n + 1, ""
-
-        def close_up_to(tags: set[str], walls: set[str] | frozenset[str]) -> bool:
-            for depth in range(len(open_at) - 1, -1, -1):
-                tag = open_at[depth][1]
-                if tag in tags:
-                    close(depth)
-                    return True
-                if tag in walls:
-                    break
-            return False
+                start = open_at.pop()
+                open_tag.pop()
+                sizes[first + start] = n - start - 1
 
-        while at < len(body):
-            found = _TOKEN.search(body, at)
+        def close_up_to(tags: set[str], walls: set[str] | frozenset[str]) -> None:
+            for depth in range(len(open_tag) - 1, -1, -1):
+                if open_tag[depth] in tags:
+                    close(depth)
+                    return
+                if open_tag[depth] in walls:
+                    return
+
+        while at <= length:
+            found = search(body, at)
+            until = found.start() if found else length
+            if until > text_from:
+                text = body[text_from:until]
+                add(n, open_at[-1] if open_at else -1, TEXT, unescape(text) if "&" in text else text)
+                n += 1
             if not found:
                 break
-            pending += body[at : found.start()]
-            at = found.end()
+            at = text_from = found.end()
             slash, tag, attrs = found.groups()
-            flush()
             if tag is None:  # comment or declaration
                 continue
             tag = tag.lower()
             if slash:
-                close_up_to({tag}, frozenset() if tag in _WALLS or tag == "html" else _WALLS - {tag})
+                if open_tag and open_tag[-1] == tag:
+                    close(len(open_tag) - 1)
+                else:
+                    close_up_to({tag}, frozenset() if tag in _WALLS or tag == "html" else _WALLS)
                 continue
-            if tag in _ENDS:
+            if tag in _ENDS and open_tag:
                 close_up_to(*_ENDS[tag])
-            self.add(n, open_at[-1][0] if open_at else -1, tag, None, attrs, base)
-            if tag == "base" and self.links and "href" in attrs.lower():
-                href = next((a or b or c for k, a, b, c in _ATTRS.findall(attrs) if k.lower() == "href"), "")
-                base = urljoin(base, unescape(href))
+            cls = link = None
+            if "=" in attrs:
+                values = self.attributes(attrs)
+                if "class" in values:
+                    cls = f" {' '.join(values['class'].split())} "
+                if self.links and "href" in values:
+                    if tag in ("a", "area"):
+                        link = absolute_link(base, values["href"])
+                    elif tag == "base":
+                        base = urljoin(base, values["href"])
+                for name in values:
+                    if name in self.keep:
+                        self.keys.append(name)
+                        self.values.append(values[name])
+            add(n, open_at[-1] if open_at else -1, tag, None, cls, link)
             n += 1
             if tag in _VOID:
                 continue
-            open_at.append((n - 1, tag))
-            if tag in ("script", "style"):
-                end = re.compile(rf"</{tag}\s*>", re.IGNORECASE).search(body, at)
-                raw = body[at : end.start()] if end else body[at:]
-                if raw:
-                    self.add(n, open_at[-1][0], TEXT, raw, "", base)
+            open_at.append(n - 1)
+            open_tag.append(tag)
+            if tag in _RAW:
+                end = _RAW[tag].search(body, at)
+                until = end.start() if end else length
+                if until > at:
+                    add(n, open_at[-1], TEXT, body[at:until])
                     n += 1
-                at = end.end() if end else len(body)
+                at = text_from = end.end() if end else length
                 close(len(open_at) - 1)
-        pending += body[at:]
-        flush()
         close(0)
         self.pages.append(len(self.idx))
 

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leafmill.functions.markup import page_nodes
-from leafmill.functions.records import canonical_json
 from leafmill.functions.text import body_text
 from leafmill.schemas import PARSED_TABLE
 from leafmill.sites.base import SitePack
@@ -28,35 +27,51 @@ def _extraction(pack: SitePack, app: str) -> Column:
     return pack.extract(F.col("_nodes"), F.col("url"))
 
 
+def _with_nodes(pages: DataFrame, pack: SitePack) -> DataFrame:
+    return pages.withColumn("_nodes", page_nodes(body_text(F.col("body")), F.col("url"), pack.attributes))
+
+
 def page_records(pages: DataFrame, site: str | SitePack) -> DataFrame:
-    """`pages` (url, body and whatever else) with the records of each page as one array column.
+    """`pages` (url, body and whatever else) with each page's records as array `records`, null for none.
 
     Narrow the input to the columns wanted before calling: filters and pruning do not
     pass through the Python step on their own.
     """
     pack = _pack(site)
-    split = pages.withColumn("_nodes", page_nodes(body_text(F.col("body")), F.col("url"), pack.attributes))
     found = _extraction(pack, pages.sparkSession.sparkContext.applicationId)
-    return split.withColumn("records", found).drop("_nodes", "body")
+    return _with_nodes(pages, pack).withColumn("records", found).drop("_nodes", "body")
+
+
+def explode_records(pages: DataFrame, site: str | SitePack) -> DataFrame:
+    """`pages` without the body, one row per record in `record`.
+
+    The expression is exploded as it stands. Over a named column Spark would infer a
+    filter on the array, push it down and work the extraction out a second time.
+    """
+    pack = _pack(site)
+    found = _extraction(pack, pages.sparkSession.sparkContext.applicationId)
+    kept = [c for c in pages.columns if c != "body"]
+    return _with_nodes(pages, pack).select(*kept, F.explode(found).alias("record"))
 
 
 def parse_pages(raw: DataFrame, site: str | SitePack, parsed_at: Column | None = None) -> DataFrame:
     """Rows for the parsed table from a site's raw pages."""
     pack = _pack(site)
     pages = raw.filter(F.col("spider") == pack.name).select("url", "body", "fetched_at")
-    found = page_records(pages, pack).select("url", "fetched_at", F.explode("records").alias("record"))
-    typed = "type" in found.schema["record"].dataType.names
+    found = explode_records(pages, pack)
+    names = sorted(found.schema["record"].dataType.names)
+    # Fields in key order make the text canonical as it is written.
+    fields = F.to_json(F.struct(*(F.col("record")[n].alias(n) for n in names)))
     rows = found.select(
         F.lit(pack.name).alias("spider"),
         "url",
         F.col("fetched_at").alias("source_fetched_at"),
         (parsed_at if parsed_at is not None else F.current_timestamp()).alias("parsed_at"),
-        canonical_json(F.to_json("record")).alias("fields"),
-        (F.col("record")["type"] if typed else F.lit("")).alias("record_type"),
+        fields.alias("fields"),
+        (F.col("record")["type"] if "type" in names else F.lit("")).alias("record_type"),
+        F.to_date(F.date_trunc("month", "fetched_at")).alias("source_month"),
     )
-    return rows.select(
-        "*", F.xxhash64("fields").alias("dedup_key"), F.to_date(F.date_trunc("month", "source_fetched_at")).alias("source_month")
-    ).select(*PARSED_TABLE.names)
+    return rows.withColumn("dedup_key", F.xxhash64("fields")).select(*PARSED_TABLE.names)
 
 
 def page_yield(raw: DataFrame, site: str | SitePack) -> DataFrame:

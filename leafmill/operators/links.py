@@ -42,9 +42,9 @@ def page_links(pages: DataFrame, rules: LinkRules, domains: Sequence[str] = ())
     nodes = narrow.select(
         F.col("url").alias("src_url"), m.page_nodes(body_text(F.col("body")), F.col("url"), links=True).alias("nodes")
     )
-    links = nodes.select("src_url", _page_links(F.col("nodes"), rules).alias("links"))
-    kept = links.select("src_url", F.filter("links", lambda u: followed(u, rules, domains)).alias("links"))
-    return kept.select("src_url", F.posexplode("links").alias("pos", "dst_url"))
+    kept = F.filter(_page_links(F.col("nodes"), rules), lambda u: followed(u, rules, domains))
+    # Exploded as an expression, not as a column: no filter is inferred that would split pages twice.
+    return nodes.select("src_url", F.posexplode(kept).alias("pos", "dst_url"))
 
 
 def next_links(pages: DataFrame) -> DataFrame:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leafmill.functions.records import canonical_json
 from leafmill.operators.landing import month_of
 from leafmill.schemas import PARSED_TABLE
 
@@ -15,13 +14,14 @@ RETENTION = "INTERVAL 6 MONTH"
 
 def with_content_key(parsed: DataFrame) -> DataFrame:
     """Envelope rows (spider, url, source_fetched_at, parsed_at, fields) as full parsed-table rows."""
-    canonical = parsed.select(
-        "spider", "url", "source_fetched_at", "parsed_at", canonical_json(F.col("fields")).alias("fields")
+    read = parsed.select(
+        "spider", "url", "source_fetched_at", "parsed_at", F.parse_json("fields").alias("record")
     )
-    return canonical.select(
+    text = read.select("*", F.to_json("record").alias("fields"))
+    return text.select(
         "*",
         F.xxhash64("fields").alias("dedup_key"),
-        F.coalesce(F.from_json("fields", "type string")["type"], F.lit("")).alias("record_type"),
+        F.coalesce(F.try_variant_get("record", "$.type", "string"), F.lit("")).alias("record_type"),
         month_of("source_fetched_at").alias("source_month"),
     ).select(*PARSED_TABLE.names)
 

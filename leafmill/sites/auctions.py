@@ -65,7 +65,9 @@ def _url_ids(url: Column) -> Column:
 def _page_ids(nodes: Column, url: Column) -> Column:
     """Ids named by the page itself where it names an auction, else those of its URL."""
     named = F.coalesce(blank_to_null(m.first(_meta(nodes, "og:url"))), url)
-    return m.let(_url_ids(named), lambda ids: F.when(ids["auction"].isNotNull(), ids).otherwise(_url_ids(url)))
+    return m.let(
+        m.let(named, _url_ids), lambda ids: F.when(ids["auction"].isNotNull(), ids).otherwise(_url_ids(url))
+    )
 
 
 def _views(nodes: Column) -> Column:
@@ -131,8 +133,9 @@ def _auction(nodes: Column, ids: Column, url: Column) -> Column:
 def _card_prices(card: Column) -> Column:
     """Label and value rows of a card, folded in order: a label row takes the row after it as its value."""
     block, ndr = m.element(classes=["tm-product-card-prices"]), m.element(classes=["tm-product-card-ndr"])
-    divs = F.filter(
-        card, lambda n: (n["tag"] == "div") & F.exists(m.pick(card, block), lambda b: b["idx"] == n["parent"])
+    divs = m.let(
+        F.transform(m.pick(card, block), lambda b: b["idx"]),
+        lambda blocks: F.filter(card, lambda n: (n["tag"] == "div") & F.array_contains(blocks, n["parent"])),
     )
     rows = F.transform(
         divs,
@@ -175,30 +178,34 @@ def _card_prices(card: Column) -> Column:
 
 
 def _card(card: Column, auction_id: Column, url: Column) -> Column:
-    title_link = (m.element("h3", ["tm-product-card-title"]), m.element("a"))
-    media = m.first(m.attr_values(m.pick(card, m.element("a", ["tm-media-box"])), "href"))
-    heading = m.first(m.attr_values(m.pick(card, *title_link), "href"))
+    media = m.pick(card, m.element("a", ["tm-media-box"]))
+    heading = m.pick(card, m.element("h3", ["tm-product-card-title"]), m.element("a"))
     index = m.pick(card, m.element(classes=["uk-text-meta", "uk-margin-xsmall-bottom"]))
     pictures = m.pick(card, m.element("figure", ["tm-media-box-wrap"]), m.element("img"))
-    link = F.coalesce(blank_to_null(media), blank_to_null(heading))
 
     def build(found: Column) -> Column:
+        link = F.coalesce(
+            blank_to_null(found["media"]), blank_to_null(m.first(m.attr_values(found["heading"], "href")))
+        )
+        prices = found["prices"]
         return _record(
             type=F.lit("item"),
             auction_id=auction_id,
-            lot_number=_url_ids(found["link"])["lot"],
+            lot_number=_url_ids(link)["lot"],
             lot_index=clean_text(m.first(m.own_texts(card, index))),
-            title=clean_text(m.first(m.own_texts(card, m.pick(card, *title_link)))),
-            start_price=F.coalesce(found["prices"]["start"], F.lit("")),
-            leading_bid=found["prices"]["leading"],
-            final_price=found["prices"]["final"],
-            reserve_not_met=found["prices"]["reserve"],
+            title=clean_text(m.first(m.own_texts(card, found["heading"]))),
+            start_price=F.coalesce(prices["start"], F.lit("")),
+            leading_bid=prices["leading"],
+            final_price=prices["final"],
+            reserve_not_met=prices["reserve"],
             views=_views(card),
             images=m.attr_values(pictures, "src"),
-            source_url=F.coalesce(found["link"], url),
+            source_url=F.coalesce(link, url),
         )
 
-    return m.let(F.struct(link.alias("link"), _card_prices(card).alias("prices")), build)
+    media_link = m.first(m.attr_values(media, "href"))
+    found = F.struct(media_link.alias("media"), heading.alias("heading"), _card_prices(card).alias("prices"))
+    return m.let(found, build)
 
 
 def _catalogue_page(nodes: Column, ids: Column, url: Column) -> Column:

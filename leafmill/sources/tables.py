@@ -25,9 +25,14 @@ def append_raw(pages: DataFrame, path: str) -> None:
 
 
 def append_parsed(rows: DataFrame, path: str) -> None:
-    """Append parsed rows, or plain envelopes (spider, url, source_fetched_at, parsed_at, fields)."""
+    """Append parsed rows, or plain envelopes (spider, url, source_fetched_at, parsed_at, fields).
+
+    Records are small and a batch may touch many months, so they are rebalanced by month:
+    files come out well sized, and a month that holds most rows is split, not piled up.
+    """
     full = rows if "dedup_key" in rows.columns else with_content_key(rows)
-    full.select(*PARSED_TABLE.names).write.mode("append").partitionBy("source_month").parquet(path)
+    even = full.select(*PARSED_TABLE.names).hint("rebalance", "source_month")
+    even.write.mode("append").partitionBy("source_month").parquet(path)
 
 
 def read_raw(spark: SparkSession, path: str, since: datetime | Column | None = None) -> DataFrame:

@@ -91,7 +91,7 @@ def _auction_records(orders: DataFrame, later: bool) -> DataFrame:
 
 def auction_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One record per order and, for every third, a later one that knows neither status nor date."""
-    orders = table(spark, sf_dir, "orders")
+    orders = spread(table(spark, sf_dir, "orders"))
     return _auction_records(orders, False).unionAll(_auction_records(orders, True))
 
 
@@ -121,7 +121,7 @@ def item_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("images"),
         url.alias("source_url"),
     )
-    rows = table(spark, sf_dir, "lineitem")
+    rows = spread(table(spark, sf_dir, "lineitem"))
     return rows.select(*_envelope(url, "l_shipdate", F.col("l_shipdate"), record, "item"))
 
 

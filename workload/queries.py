@@ -30,7 +30,7 @@ QUERIES: dict[str, Query] = {}
 NOW = "2024-08-01 00:00:00"
 RETENTION_NOW = "2024-07-04 00:00:00"
 REPLAY_SINCE = "2024-01-02 06:00:00"
-BATCH = 100
+BATCH = 152
 
 
 def query(make: Query) -> Query:
@@ -289,8 +289,7 @@ def inflate_bodies(spark, sf_dir):
 
 
 def _records(pages: DataFrame, site: str) -> DataFrame:
-    found = extract.page_records(pages.select("url", "body", "fetched_at"), site)
-    return found.select("url", F.explode("records").alias("r")).select("url", "r.*")
+    return extract.explode_records(pages.select("url", "body"), site).select("url", "record.*")
 
 
 @query
