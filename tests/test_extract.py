@@ -1,0 +1,196 @@
+import pytest
+from pyspark.sql import functions as F
+
+from helpers import pages_of, raw_rows, records_of
+from leafmill.functions.records import canonical_json
+from leafmill.operators import extract
+from leafmill.sites.base import SitePack
+from leafmill.sites.registry import get_site, list_sites, register_site
+
+PACK = get_site("litfund")
+HOME = PACK.urls.home
+
+
+def filled(record):
+    return {k: v for k, v in record.items() if v is not None}
+
+
+def head(url):
+    return f'<html><head><meta property="og:url" content="{url}"></head><body>'
+
+
+def test_registry():
+    assert list_sites() == sorted(list_sites()) and {"quotes", "books", PACK.name} <= set(list_sites())
+    with pytest.raises(KeyError, match="nowhere"):
+        get_site("nowhere")
+    with pytest.raises(ValueError, match="must match"):
+        register_site("other", PACK)
+
+
+def test_site_without_extraction_is_refused(spark):
+    bare = SitePack("bare", ("x.org",), ("https://x.org/",))
+    with pytest.raises(ValueError, match="no extraction"):
+        extract.explode_records(pages_of(spark, [("u", "b")]), bare)
+
+
+def test_quotes(spark):
+    body = """<div class="quote"><span class="text"> “Один  два” </span><small class="author">A. B.</small>
+      <div class="tags">Tags: <a class="tag" href="/x">one</a><a class="tag">two</a></div><a class="tag">outside</a></div>
+      <div class="quote wide"><span class="text"><b>bold first</b> rest</span></div><div class="quotes">no</div>"""
+    assert records_of(spark, "quotes", body, "http://q/1") == [
+        {"text": "“Один  два”", "author": "A. B.", "tags": ["one", "two"], "source_url": "http://q/1"},
+        {"text": "rest", "author": "", "tags": [], "source_url": "http://q/1"},
+    ]
+
+
+def test_books(spark):
+    body = """<article class="product_pod"><p class="star-rating Three"></p><h3><a title=" T &amp; U " href="x">T...</a></h3>
+      <p class="price_color">£51.77</p><p class="instock availability"><i></i>\n  In stock </p></article>
+      <article class="product_pod"><p class="instock">x</p></article>"""
+    assert records_of(spark, "books", body, "http://b/1") == [
+        {"title": "T & U", "price": "£51.77", "availability": "In", "rating": "Three", "source_url": "http://b/1"},
+        {"title": "", "price": "", "availability": None, "rating": None, "source_url": "http://b/1"},
+    ]
+
+
+def card(i, prices="", link=True, lot=None):
+    href = f'href="{HOME}/auction/752/{lot or i}/"' if link else ""
+    return (
+        f'<article class="tm-product-card"><a class="tm-media-box" {href}><figure class="tm-media-box-wrap">'
+        f'<img src="/i/{i}.jpg"></figure></a><div class="uk-text-meta uk-margin-xsmall-bottom">Лот {i}</div>'
+        f'<h3 class="tm-product-card-title"><a {href}>Книга&nbsp;{i}</a></h3>'
+        f'<div class="tm-product-card-prices">{prices}</div><span data-type="lot-views-cnt">{i}</span></article>'
+    )
+
+
+HEADER = (
+    '<div class="uk-display-inline-block"><small>Аукцион № 752. Аукцион сезона</small>'
+    "<small>11 июня 2026&nbsp;года</small></div><section><h4>Книги</h4></section>"
+)
+
+
+def test_catalogue_page_has_header_and_every_card(spark):
+    url = f"{HOME}/auction/752/"
+    prices = '<div class="uk-text-meta">Стартовая цена</div><div>500 <i>000</i></div>'
+    body = head(url) + HEADER + "".join(card(i, prices) for i in range(1, 37))
+    found = records_of(spark, PACK, body, url)
+    assert filled(found[0]) == {
+        "type": "auction", "auction_id": "752", "number": "752", "date": "11 июня 2026 года", "date_iso": "2026-06-11",
+        "status": "unknown", "title": "Книги", "description": "", "source_url": url,
+    }
+    assert len(found) == 37
+    assert filled(found[1]) == {
+        "type": "item", "auction_id": "752", "lot_number": "1", "lot_index": "Лот 1", "title": "Книга 1",
+        "start_price": "500 000", "views": "1", "images": ["/i/1.jpg"], "source_url": f"{HOME}/auction/752/1/",
+    }
+    assert [r["lot_number"] for r in found[1:]] == [str(i) for i in range(1, 37)]
+
+
+def test_price_rows_pair_labels_with_values(spark):
+    url = f"{HOME}/auction/752/"
+    meta = 'class="uk-text-meta"'
+    leading = f"<div>gap</div><div {meta}>Стартовая</div><div>1</div><div>gap</div><div {meta}>Лидирующая ставка</div><div>2</div>"
+    final = f'<div {meta}>Стартовая</div><div>1</div><div {meta}>Финальная <b class="tm-product-card-ndr">НДР</b></div><div {meta}>3</div>'
+    plain = f"<div {meta}>Финальная ставка</div>"
+    body = head(url) + HEADER + card(1, leading) + card(2, final) + card(3, plain) + card("84a")
+    rows = records_of(spark, PACK, body, url)[1:]
+    got = [(r["start_price"], r["leading_bid"], r["final_price"], r["reserve_not_met"]) for r in rows]
+    assert got == [("1", "2", None, None), ("1", None, "3", True), ("", None, "", False), ("", None, None, None)]
+    assert rows[3]["lot_number"] == "84a"
+
+
+def test_card_without_link_keeps_page_url_and_no_lot_number(spark):
+    url = f"{HOME}/auction/752/?page=2"
+    item = records_of(spark, PACK, head(f"{HOME}/auction/752/") + card(1, link=False), url)[1]
+    assert item["lot_number"] is None and item["source_url"] == url
+
+
+def test_status_comes_from_the_auctions_own_label(spark):
+    url = f"{HOME}/auction/757/"
+    other = '<span data-online="lf-753-t-to-start">Завтра</span>'
+    own = '<span data-online="lf-757-t-to-start"> Через 17 дней </span>'
+    assert records_of(spark, PACK, head(url) + HEADER + other + own, url)[0]["status"] == "Через 17 дней"
+    assert records_of(spark, PACK, head(url) + HEADER + other, url)[0]["status"] == "unknown"
+    done = "<script>var s = 'Аукцион завершён'</script>"
+    assert records_of(spark, PACK, head(url) + HEADER + own + done, url)[0]["status"] == "completed"
+
+
+def test_completed_session_keeps_its_suffix(spark):
+    url = f"{HOME}/auction/731s2/"
+    body = head(url) + (
+        '<div class="uk-display-inline-block"><div><small>Аукцион № 731</small></div><div><small>17 марта 2026 года'
+        '</small></div></div><span class="uk-label">Аукцион завершён</span>'
+    )
+    record = records_of(spark, PACK, body, url)[0]
+    assert (record["auction_id"], record["status"], record["date_iso"]) == ("731s2", "completed", "2026-03-17")
+
+
+@pytest.mark.parametrize(
+    "url, body",
+    [
+        ("/auction/731s2/", "<p>Access denied</p>"),
+        ("/auction/716/90/", '<meta property="og:image" content="/logo.png"><p>not found</p>'),
+        ("/auction/archives/", HEADER),
+        ("/auction/rules/", ""),
+    ],
+)
+def test_blocked_and_foreign_pages_give_nothing(spark, url, body):
+    assert records_of(spark, PACK, head(HOME + url) + body, HOME + url) == []
+
+
+def test_lot_page(spark):
+    url = f"{HOME}/auction/752/2/"
+    body = head(url) + (
+        '<h5 data-lf-microdata="lot-name"> Книга </h5><h2 data-lf-microdata="lot-index">Лот 2</h2>'
+        '<div data-lf-microdata="lot-desc">Раз<p>два <b>три</b></div><b data-lf-microdata="lot-start-price">500 000</b>'
+        '<b class="x tm-product-price-final">700</b><b class="tm-product-price-final">000</b><i data-type="lot-views-cnt">9</i>'
+        '<a data-lf-microdata="lot-image" href="/1.jpg"></a><a data-lf-microdata="lot-image" href="/2.jpg"></a>'
+    )
+    assert [filled(r) for r in records_of(spark, PACK, body, "http://elsewhere/")] == [
+        {
+            "type": "item", "auction_id": "752", "lot_number": "2", "lot_index": "Лот 2", "title": "Книга",
+            "description": "Раз два три", "start_price": "500 000", "final_price": "700 000", "views": "9",
+            "images": ["/1.jpg", "/2.jpg"], "source_url": "http://elsewhere/",
+        }
+    ]
+
+
+def test_lot_page_falls_back_to_page_metadata(spark):
+    url = f"{HOME}/auction/752/2/"
+    meta = "".join(f'<meta property="og:{k}" content=" {k} ">' for k in ("title", "description", "image"))
+    lot = records_of(spark, PACK, meta + '<b data-lf-microdata="lot-index">2</b>', url)[0]
+    assert (lot["title"], lot["description"], lot["images"]) == ("title", "description", [" image "])
+    assert lot["final_price"] is None and lot["auction_id"] == "752"
+
+
+def test_parse_rows_are_canonical_and_keyed(spark):
+    url = f"{HOME}/auction/752/2/"
+    odd = 'q"uo\\te / tab\t ü   \x01 end'
+    body = f'<b data-lf-microdata="lot-name">{odd}</b>'
+    raw = raw_rows(spark, [("2024-02-03 04:05:06", PACK.name, url, 200, body), ("2024-02-03", "quotes", url, 200, body)])
+    rows = extract.parse_pages(raw, PACK).withColumn("again", canonical_json(F.col("fields")))
+    row = rows.withColumn("key", F.xxhash64("again")).collect()
+    assert len(row) == 1
+    assert row[0]["fields"] == row[0]["again"] and row[0]["dedup_key"] == row[0]["key"]
+    assert (row[0]["record_type"], str(row[0]["source_month"])) == ("item", "2024-02-01")
+
+
+def test_invalid_bytes_are_replaced(spark):
+    body = b'<div class="quote"><span class="text">caf\xe9 ok</span></div>'
+    pages = spark.createDataFrame([("u", body)], "url string, body binary")
+    record = extract.explode_records(pages, "quotes").first()["record"]
+    assert record["text"] == "caf� ok"
+
+
+def test_page_yield_keeps_empty_pages(spark):
+    raw = raw_rows(spark, [
+        ("2024-01-01", "quotes", "a", 200, '<div class="quote"></div>' * 3),
+        ("2024-01-02", "quotes", "b", 200, "<p>"),
+    ])
+    assert {(r.url, r.records) for r in extract.page_yield(raw, "quotes").collect()} == {("a", 3), ("b", 0)}
+
+
+def test_extraction_runs_once_and_without_shuffle(spark):
+    raw = raw_rows(spark, [("2024-01-01", PACK.name, "u", 200, "b")])
+    plan = extract.parse_pages(raw, PACK)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "Exchange" not in plan
