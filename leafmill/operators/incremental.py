@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leafmill.operators.extract import parse_pages
 from leafmill.operators.landing import month_of
 from leafmill.sites.base import SitePack
-from leafmill.sources.tables import append_parsed, append_progress, read_progress, read_raw, spread
+from leafmill.sources.tables import append_parsed, append_progress, read_parsed, read_progress, read_raw, spread
 
 EPOCH = "1970-01-01 00:00:00"
 
@@ -84,19 +84,21 @@ def drain(
         after = _as_time(at)
         raw = read_raw(spark, raw_path)
         times = _times_after(raw, pack.name, after)
-        if batch_rows is not None:
-            times = times.orderBy("fetched_at").limit(batch_rows)
+        oldest = times if batch_rows is None else times.orderBy("fetched_at").limit(batch_rows)
         # A fixed upper bound: pages landing while the job runs wait for the next one.
-        last = times.agg(F.max("fetched_at").cast("string")).first()[0]
+        last = oldest.agg(F.max("fetched_at").cast("string")).first()[0]
         if last is None:
             return totals
-        pages = spread(raw_after(raw, pack.name, after).filter(F.col("fetched_at") <= _as_time(last)))
-        seen, made = Observation(), Observation()
-        records = parse_pages(pages.observe(seen, F.count("*").alias("n")), pack)
-        append_parsed(records.observe(made, F.count("*").alias("n")), parsed_path)
+        until, stamp = _as_time(last), _as_time(datetime.now(timezone.utc).replace(tzinfo=None).isoformat(sep=" "))
+        pages = spread(raw_after(raw, pack.name, after).filter(F.col("fetched_at") <= until))
+        append_parsed(parse_pages(pages, pack, stamp), parsed_path)
         append_progress(spark, progress_path, pack.name, last)
-        totals["pages"] += seen.get["n"]
-        totals["records"] += made.get["n"]
+        # Counted on narrow columns of what was read and written, so that a repeated task counts once.
+        written = read_parsed(spark, parsed_path).filter(
+            (F.col("spider") == pack.name) & (F.col("parsed_at") == stamp) & (F.col("source_month") <= month_of(until))
+        )
+        totals["pages"] += times.filter(F.col("fetched_at") <= until).count()
+        totals["records"] += written.count()
         at = last
         if batch_rows is None:
             return totals

@@ -38,7 +38,7 @@ def coerce_pages(pages: DataFrame, default_spider: str, now: Column | None = Non
             F.create_map().cast("map<string,string>"),
         ).alias("headers"),
         body_text(F.col("body")).alias("body"),
-        F.coalesce(F.nullif("payload", F.lit("")), F.lit("{}")).alias("payload"),
+        F.coalesce(F.to_json(F.try_parse_json("payload")), F.nullif("payload", F.lit("")), F.lit("{}")).alias("payload"),
     )
 
 

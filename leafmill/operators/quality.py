@@ -33,7 +33,8 @@ def inflate_bodies(pages: DataFrame) -> DataFrame:
     """
     encoding = F.lower(F.coalesce(_header("content-encoding"), F.lit("")))
     compressed = (F.substring("body", 1, 2) == F.lit(GZIP_MAGIC)) | encoding.isin("gzip", "deflate", "br")
-    plain = inflated(F.when(is_page() & compressed, F.col("body")), encoding)
+    asked = is_page() & compressed & (F.octet_length("body") > 0)
+    plain = inflated(F.when(asked, F.col("body")), encoding)
     kept = F.map_filter("headers", lambda k, _: F.lower(k) != "content-encoding")
     return (
         pages.withColumn("_plain", plain)
