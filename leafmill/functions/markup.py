@@ -45,14 +45,14 @@ _ENDS = {
 _WALLS = _BLOCK - {"p"} | {"td", "th", "tr", "li", "body"}
 
 _ATTR = r"""([^\s=>"'/][^\s=>/]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>][^\s>]*)))?"""
+_REST = r"((?:[\s/\"'=]++|%s)*+)" % re.sub(r"(?<!\\)\((?!\?)", "(?:", _ATTR)
+# A comment or declaration, a script or style with its text, or any other tag.
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[\s/\"'=]++|%s)*+)>"
-    % re.sub(r"(?<!\\)\((?!\?)", "(?:", _ATTR),
+    rf"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<((?i:script|style))(?=[\s/>]){_REST}>(.*?)(?:</(?i:\1)\s*>|\Z)"
+    rf"|<(/?)([a-zA-Z][^\s/>]*){_REST}>",
     re.DOTALL,
 )
 _ATTRS = re.compile(_ATTR)
-# Elements whose content is text up to their own end tag.
-_RAW = {tag: re.compile(rf"</{tag}\s*>", re.IGNORECASE) for tag in ("script", "style")}
 _PATH_SAFE = "!#$%&'()*+,/:;=?@[]~"
 
 
@@ -66,41 +66,36 @@ def absolute_link(base: str, href: str) -> str | None:
 
 
 class _Nodes:
-    """Flat columns the nodes of a batch of pages are gathered in."""
+    """The nodes of a batch of pages, gathered in order."""
 
     def __init__(self, keep: frozenset[str], links: bool) -> None:
         self.keep, self.links = keep, links
         self.read = keep | {"class"} | ({"href"} if links else set())
-        self.idx, self.parent, self.size, self.tag, self.cls, self.text, self.link = ([] for _ in range(7))
-        self.pages, self.attr_ends, self.keys, self.values = [0], [0], [], []
-
-    def add(self, idx: int, parent: int, tag: str, text: str | None, cls: str | None = None, link: str | None = None) -> None:
-        self.idx.append(idx)
-        self.parent.append(parent)
-        self.size.append(0)
-        self.tag.append(tag)
-        self.cls.append(cls)
-        self.text.append(text)
-        self.link.append(link)
-        self.attr_ends.append(len(self.keys))
-
-    def attributes(self, attrs: str) -> dict[str, str]:
-        """The attributes somebody reads; of a repeated one the first counts."""
+        # (idx, parent, tag, text, class, link, attributes so far), and each node's size once it closes
+        self.nodes: list[tuple] = []
+        self.sizes: list[int] = []
+        self.pages, self.keys, self.values = [0], [], []
+        self.seen: dict[str, tuple] = {}
+
+    def attributes(self, attrs: str) -> tuple[str | None, str | None, list[str], list[str]]:
+        """Class list, href, and names and values of the attributes kept; of a repeated one the first counts."""
         found: dict[str, str] = {}
         for name, double, single, bare in _ATTRS.findall(attrs):
             name = name.lower()
             if name in self.read and name not in found:
                 value = double or single or bare
                 found[name] = unescape(value) if "&" in value else value
-        return found
+        cls = f" {' '.join(found['class'].split())} " if "class" in found else None
+        kept = [name for name in found if name in self.keep]
+        return cls, found.get("href"), kept, [found[name] for name in kept]
 
     def page(self, body: str, base: str) -> None:
         """Split one page; elements close as browsers close them, whatever end tags are missing."""
-        first, sizes, add = len(self.idx), self.size, self.add
+        nodes, sizes, keys, seen, links = self.nodes, self.sizes, self.keys, self.seen, self.links
+        first = len(nodes)
         open_at: list[int] = []  # node index of the open elements, from the root down
         open_tag: list[str] = []
-        at, n, text_from, length = 0, 0, 0, len(body)
-        search = _TOKEN.search
+        n = text_from = 0
 
         def close(depth: int) -> None:
             while len(open_at) > depth:
@@ -116,18 +111,21 @@ class _Nodes:
                 if open_tag[depth] in walls:
                     return
 
-        while at <= length:
-            found = search(body, at)
-            until = found.start() if found else length
-            if until > text_from:
-                text = body[text_from:until]
-                add(n, open_at[-1] if open_at else -1, TEXT, unescape(text) if "&" in text else text)
-                n += 1
-            if not found:
-                break
-            at = text_from = found.end()
-            slash, tag, attrs = found.groups()
-            if tag is None:  # comment or declaration
+        def add_text(text: str) -> None:
+            nonlocal n
+            nodes.append((n, open_at[-1] if open_at else -1, TEXT, text, None, None, len(keys)))
+            sizes.append(0)
+            n += 1
+
+        for found in _TOKEN.finditer(body):
+            if found.start() > text_from:
+                text = body[text_from : found.start()]
+                add_text(unescape(text) if "&" in text else text)
+            text_from = found.end()
+            raw, raw_attrs, raw_text, slash, tag, attrs = found.groups()
+            if raw is not None:
+                tag, attrs = raw, raw_attrs
+            elif tag is None:  # comment or declaration
                 continue
             tag = tag.lower()
             if slash:
@@ -140,44 +138,54 @@ class _Nodes:
                 close_up_to(*_ENDS[tag])
             cls = link = None
             if "=" in attrs:
-                values = self.attributes(attrs)
-                if "class" in values:
-                    cls = f" {' '.join(values['class'].split())} "
-                if self.links and "href" in values:
+                # Pages of a site repeat most of their tags.
+                known = seen.get(attrs)
+                if known is None:
+                    known = seen[attrs] = self.attributes(attrs)
+                cls, href, names, values = known
+                if names:
+                    keys += names
+                    self.values += values
+                if links and href is not None:
                     if tag in ("a", "area"):
-                        link = absolute_link(base, values["href"])
+                        link = absolute_link(base, href)
                     elif tag == "base":
-                        base = urljoin(base, values["href"])
-                for name in values:
-                    if name in self.keep:
-                        self.keys.append(name)
-                        self.values.append(values[name])
-            add(n, open_at[-1] if open_at else -1, tag, None, cls, link)
+                        base = urljoin(base, href)
+            nodes.append((n, open_at[-1] if open_at else -1, tag, None, cls, link, len(keys)))
+            sizes.append(0)
             n += 1
             if tag in _VOID:
                 continue
             open_at.append(n - 1)
             open_tag.append(tag)
-            if tag in _RAW:
-                end = _RAW[tag].search(body, at)
-                until = end.start() if end else length
-                if until > at:
-                    add(n, open_at[-1], TEXT, body[at:until])
-                    n += 1
-                at = text_from = end.end() if end else length
+            if raw is not None:
+                if raw_text:
+                    add_text(raw_text)
                 close(len(open_at) - 1)
+        if text_from < len(body):
+            text = body[text_from:]
+            add_text(unescape(text) if "&" in text else text)
         close(0)
-        self.pages.append(len(self.idx))
+        self.pages.append(len(nodes))
 
     def array(self) -> pa.Array:
+        idx, parent, tag, text, cls, link, attr_ends = zip(*self.nodes) if self.nodes else [()] * 7
+        ints, strings = pa.int32(), pa.string()
         attrs = pa.MapArray.from_arrays(
-            pa.array(self.attr_ends, pa.int32()), pa.array(self.keys, pa.string()), pa.array(self.values, pa.string())
+            pa.array((0, *attr_ends), ints), pa.array(self.keys, strings), pa.array(self.values, strings)
         )
-        ints = (pa.array(c, pa.int32()) for c in (self.idx, self.parent, self.size))
-        strings = (pa.array(c, pa.string()) for c in (self.tag, self.cls, self.text))
-        fields = [*ints, *strings, attrs, pa.array(self.link, pa.string())]
-        names = ["idx", "parent", "size", "tag", "class", "text", "attrs", "link"]
-        return pa.ListArray.from_arrays(pa.array(self.pages, pa.int32()), pa.StructArray.from_arrays(fields, names))
+        fields = {
+            "idx": pa.array(idx, ints),
+            "parent": pa.array(parent, ints),
+            "size": pa.array(self.sizes, ints),
+            "tag": pa.array(tag, strings),
+            "class": pa.array(cls, strings),
+            "text": pa.array(text, strings),
+            "attrs": attrs,
+            "link": pa.array(link, strings),
+        }
+        structs = pa.StructArray.from_arrays(list(fields.values()), list(fields))
+        return pa.ListArray.from_arrays(pa.array(self.pages, ints), structs)
 
 
 def page_nodes(body: Column, url: Column, attributes: Sequence[str] = (), links: bool = False) -> Column:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
+from collections.abc import Sequence
+from functools import lru_cache, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -74,6 +75,12 @@ def parse_pages(raw: DataFrame, site: str | SitePack, parsed_at: Column | None =
     return rows.withColumn("dedup_key", F.xxhash64("fields")).select(*PARSED_TABLE.names)
 
 
+def parse_sites(raw: DataFrame, sites: Sequence[str], parsed_at: Column | None = None) -> DataFrame:
+    """Parsed rows of several sites, each by its own pack; unknown sites fail before anything runs."""
+    packs = [_pack(site) for site in sites]
+    return reduce(DataFrame.unionAll, [parse_pages(raw, pack, parsed_at) for pack in packs])
+
+
 def page_yield(raw: DataFrame, site: str | SitePack) -> DataFrame:
     """Records per fetched page; pages that gave none are kept with 0."""
     pack = _pack(site)

@@ -52,22 +52,25 @@ def next_links(pages: DataFrame) -> DataFrame:
     return page_links(pages, LinkRules(regions=(("li", "next"),)))
 
 
-def id_rows(like: DataFrame, ids: Sequence[str] | DataFrame) -> DataFrame:
-    """Group ids given as a list, or as the first column of a table, as a one-column table."""
-    if isinstance(ids, DataFrame):
-        return ids.select(F.col(ids.columns[0]).cast("string").alias("scope_id"))
-    return like.sparkSession.createDataFrame([(str(i),) for i in ids], "scope_id string")
+def in_scope(rows: DataFrame, ids: Sequence[str] | DataFrame) -> DataFrame:
+    """Rows whose `scope_id` is among the group ids: a list, or the first column of a table of any size.
 
+    The ids are made distinct together with their length, although the id alone decides
+    it: the semi join then has an exchange of its own on both sides, which lets adaptive
+    execution broadcast a short list and split the rows of a hot group.
+    """
+    if not isinstance(ids, DataFrame):
+        ids = rows.sparkSession.createDataFrame([(str(i),) for i in ids], "id string")
+    scope = ids.select(F.col(ids.columns[0]).cast("string").alias("scope_id"))
+    distinct = scope.select("scope_id", F.length("scope_id").alias("n")).distinct().select("scope_id")
+    return rows.join(distinct, "scope_id", "left_semi").drop("scope_id")
 
-def scoped_links(links: DataFrame, pack: SitePack, ids: Sequence[str] | DataFrame) -> DataFrame:
-    """Links a crawl limited to some groups follows: their pages, paging and entries, on the site's domains.
 
-    A semi join on the id in the link, so the scope may be a table of any size.
-    """
+def scoped_links(links: DataFrame, pack: SitePack, ids: Sequence[str] | DataFrame) -> DataFrame:
+    """Links a crawl limited to some groups follows: their pages, paging and entries, on the site's domains."""
     scope = F.regexp_extract("dst_url", pack.urls.scoped_link, 1)
     mine = links.filter(in_domains(F.col("dst_url"), pack.domains)).withColumn("scope_id", blank_to_null(scope))
-    kept = mine.filter(F.col("scope_id").isNotNull())
-    return kept.join(id_rows(links, ids).distinct(), "scope_id", "left_semi").drop("scope_id")
+    return in_scope(mine.filter(F.col("scope_id").isNotNull()), ids)
 
 
 def unique_requests(requests: DataFrame, url: str = "url") -> DataFrame:

@@ -30,9 +30,10 @@ def latest_versions(parsed: DataFrame) -> DataFrame:
     """One row per month, spider, URL and record content: the one parsed last.
 
     Grouping by the content itself beside its hash keeps records apart whose hashes
-    meet. A mergeable max, so repeats are folded before the shuffle.
+    meet; the hash comes first, so that sorting compares numbers and seldom text. A
+    mergeable max, so repeats are folded before the shuffle.
     """
-    keys = ["source_month", "spider", "url", "dedup_key", "record_type", "fields"]
+    keys = ["dedup_key", "source_month", "spider", "url", "record_type", "fields"]
     newest = parsed.groupBy(*keys).agg(F.max(F.struct("parsed_at", "source_fetched_at")).alias("v"))
     return newest.select("*", "v.parsed_at", "v.source_fetched_at").select(*PARSED_TABLE.names)
 

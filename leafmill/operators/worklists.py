@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from leafmill.functions.records import read_records
 from leafmill.functions.urls import distinct_ids, entry_group
 from leafmill.operators.landing import has_marker
-from leafmill.operators.links import id_rows, page_links
+from leafmill.operators.links import in_scope, page_links
 from leafmill.sites.base import SitePack
 
 # Fixed value: archive pages walked at most.
@@ -28,7 +28,7 @@ def _entry_pages(raw: DataFrame, pack: SitePack, ids: Sequence[str] | DataFrame
     )
     if ids is None:
         return pages.filter(F.col("url").rlike(pack.urls.any_entry))
-    return pages.join(id_rows(raw, ids).distinct(), "scope_id", "left_semi")
+    return in_scope(pages.filter(F.col("scope_id").isNotNull()), ids)
 
 
 def good_entries(raw: DataFrame, pack: SitePack, ids: Sequence[str] | DataFrame | None = None) -> DataFrame:

@@ -194,3 +194,15 @@ def test_extraction_runs_once_and_without_shuffle(spark):
     raw = raw_rows(spark, [("2024-01-01", PACK.name, "u", 200, "b")])
     plan = extract.parse_pages(raw, PACK)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1 and "Exchange" not in plan
+
+
+def test_sites_are_read_by_their_own_rules(spark):
+    raw = raw_rows(spark, [
+        ("2024-01-01", "quotes", "a", 200, '<div class="quote"></div>'),
+        ("2024-01-01", "books", "b", 200, '<article class="product_pod"></article>' * 2),
+        ("2024-01-01", PACK.name, f"{HOME}/auction/5/", 200, "Аукцион завершён"),
+    ])
+    rows = extract.parse_sites(raw, ["books", "quotes", PACK.name])
+    assert {r.spider: r["count"] for r in rows.groupBy("spider").count().collect()} == {"quotes": 1, "books": 2, PACK.name: 1}
+    with pytest.raises(KeyError, match="nowhere"):
+        extract.parse_sites(raw, ["quotes", "nowhere"])

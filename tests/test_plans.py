@@ -1,7 +1,9 @@
+from contextlib import contextmanager
+
 from pyspark.sql import functions as F
 
 from helpers import raw_rows, times
-from leafmill.operators import extract
+from leafmill.operators import extract, links
 from leafmill.plans import coverage, health, items, views
 from leafmill.schemas import PARSED_TABLE
 from leafmill.sites.registry import get_site
@@ -174,6 +176,26 @@ def plan(rows):
     return rows._jdf.queryExecution().executedPlan().toString()
 
 
+@contextmanager
+def skew_settings(spark):
+    """Thresholds small enough for a test's hot key, and no broadcast to hide it."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "500KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "500KB",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def test_filters_and_columns_reach_the_scan(spark, tmp_path):
     raw, out = written(spark, tmp_path)
     facts = plan(items.item_facts(out, PACK))
@@ -208,25 +230,23 @@ def test_a_hot_auction_is_split_at_run_time(spark, tmp_path):
         F.lit("item").alias("record_type"),
     )
     dates = lots.limit(0).unionByName(parsed(spark, [("2024-01-01", auction("hot", date_iso="2024-01-01"))]).withColumn("record_type", F.lit("auction")))
-    settings = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "500KB",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "500KB",
-        "spark.sql.shuffle.partitions": "16",
-    }
-    before = {k: spark.conf.get(k, None) for k in settings}
-    try:
-        for key, value in settings.items():
-            spark.conf.set(key, value)
+    with skew_settings(spark):
         facts = items.item_facts(lots.unionByName(dates), PACK)
         assert facts.filter(F.col("auction_date").isNotNull()).count() == 57000
         facts.collect()
-        final = facts._jdf.queryExecution().executedPlan().toString()
-        assert "skew=true" in final
-    finally:
-        for key, value in before.items():
-            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+        assert "skew=true" in plan(facts)
+
+
+def test_links_of_a_hot_group_are_split_at_run_time(spark):
+    crawl = spark.range(60000).select(
+        F.sha2(F.col("id").cast("string"), 512).alias("src_url"),
+        F.when(F.col("id") % 20 > 0, F.lit(f"{HOME}/auction/1/")).otherwise(F.concat(F.lit(f"{HOME}/auction/"), "id", F.lit("/"))).alias("dst_url"),
+    )
+    ids = spark.range(5000).select(F.col("id").cast("string"))
+    with skew_settings(spark):
+        kept = links.scoped_links(crawl, PACK, ids)
+        assert len(kept.collect()) == 57000 + 250
+        assert "skew=true" in plan(kept)
 
 
 def test_envelope_columns_cover_the_parsed_table(spark, tmp_path):

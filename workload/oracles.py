@@ -242,6 +242,9 @@ ORACLES: dict[str, str] = {
       (page_id % 2 + 1)::VARCHAR AS lot_number, 'Lot ' || page_id AS title, '' AS start_price, '' AS views, '' AS images
       FROM raw WHERE {GOOD_LOT}""",
     "parsed_rows": f"""WITH {RAW} SELECT *, TIMESTAMP '{NOW}' AS parsed_at FROM ({PARSED_LOTS})""",
+    "site_routing": """SELECT 'quotes' AS spider, DATE '2024-01-01' AS source_month,
+        sum(len(string_split(text, chr(10))) + 1)::BIGINT AS records, count(DISTINCT (conv_id, turn)) AS pages FROM conversations
+      UNION ALL SELECT 'books', DATE '2024-01-01', sum(p_size % 3 + 1)::BIGINT, count(*) FROM part""",
     "zero_yield": f"WITH {RAW} SELECT url, fetched_at, CASE WHEN {GOOD_LOT} THEN 1 ELSE 0 END::INT AS records FROM raw",
     "quote_records": """SELECT 'https://quotes.toscrape.com/page/' || conv_id || '/?turn=' || turn AS url, trim(line) AS text,
       role AS author, role || ',turn&' || turn AS tags FROM (SELECT *, unnest(string_split(text, chr(10))) AS line FROM conversations)

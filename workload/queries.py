@@ -306,6 +306,14 @@ def parsed_rows(spark, sf_dir):
     return rows.select("spider", "url", "source_fetched_at", "parsed_at", "record_type", "source_month", "fields")
 
 
+@query
+def site_routing(spark, sf_dir):
+    """Pages of two sites in one table, each read by its own rules."""
+    pages = fx.quote_pages(spark, sf_dir).unionByName(fx.book_pages(spark, sf_dir))
+    rows = extract.parse_sites(pages, ["quotes", "books"], at(NOW))
+    return rows.groupBy("spider", "source_month").agg(F.count("*").alias("records"), F.count_distinct("url").alias("pages"))
+
+
 @query
 def zero_yield(spark, sf_dir):
     return extract.page_yield(fx.raw_pages(spark, sf_dir), PACK)
