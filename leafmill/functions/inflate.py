@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from leafmill.session import ship_code
+
 try:
     import brotli
 except ImportError:
@@ -36,6 +38,7 @@ def _inflate(body: bytes, encoding: str) -> bytes | None:
 
 def inflated(body: Column, encoding: Column) -> Column:
     """Plain bodies; null in, or a body that cannot be inflated, gives null."""
+    ship_code()
 
     @F.arrow_udf("binary")
     def inflate(bodies: pa.Array, encodings: pa.Array) -> pa.Array:

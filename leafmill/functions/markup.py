@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from leafmill.session import ship_code
+
 NODES = (
     "array<struct<idx:int,parent:int,size:int,tag:string,class:string,"
     "text:string,attrs:map<string,string>,link:string>>"
@@ -191,6 +193,7 @@ class _Nodes:
 def page_nodes(body: Column, url: Column, attributes: Sequence[str] = (), links: bool = False) -> Column:
     """The nodes of a page, with only the named attributes; `links` adds absolute hrefs of a and area."""
     keep = frozenset(attributes)
+    ship_code()
 
     @F.arrow_udf(NODES)
     def split(bodies: pa.Array, urls: pa.Array) -> pa.Array:

@@ -42,8 +42,8 @@ def coerce_pages(pages: DataFrame, default_spider: str, now: Column | None = Non
     )
 
 
-def landed(pages: DataFrame) -> DataFrame:
-    """Raw rows with the derived columns of the raw table."""
+def landed(pages: DataFrame, *extra: str) -> DataFrame:
+    """Raw rows with the derived columns of the raw table, and the named columns of their own."""
     marker = F.lit(None).cast("boolean")
     for pack in map(get_site, list_sites()):
         if pack.urls is not None:
@@ -53,7 +53,7 @@ def landed(pages: DataFrame) -> DataFrame:
         marker.alias("has_marker"),
         F.octet_length("body").alias("body_bytes"),
         month_of("fetched_at").alias("fetch_month"),
-    ).select(*RAW_TABLE.names)
+    ).select(*RAW_TABLE.names, *extra)
 
 
 def has_marker(raw: DataFrame, pack: SitePack) -> Column:

@@ -83,7 +83,11 @@ def with_disposition(gated: DataFrame, max_retries: int) -> DataFrame:
 
 
 def route(pages: DataFrame, pack: SitePack) -> dict[str, DataFrame]:
-    """Gate a site's pages and split them by disposition."""
+    """Gate a site's pages and split them by disposition.
+
+    Each part is its own plan over the pages; to store all of them use
+    `sources.tables.append_routed`, which reads the bodies once.
+    """
     judged = with_disposition(with_verdict(pages, pack), pack.retry_times)
     return {name: judged.filter(F.col("disposition") == name) for name in ("pass", "accept", "retry", "drop")}
 

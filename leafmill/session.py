@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from functools import lru_cache
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -30,6 +33,21 @@ def build_session(app: str = "leafmill", master: str | None = None, **extra: str
     return builder.getOrCreate()
 
 
+@lru_cache(maxsize=8)
+def _shipped(application: str) -> None:
+    here = Path(__file__).parent
+    archive = Path(tempfile.mkdtemp(prefix="leafmill-code-")) / "leafmill.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in here.rglob("*.py"):
+            out.write(source, Path(here.name) / source.relative_to(here))
+    SparkSession.getActiveSession().sparkContext.addPyFile(str(archive))
+
+
+def ship_code() -> None:
+    """Let Spark hand this package to its Python workers, once per application, wherever they run."""
+    _shipped(SparkSession.getActiveSession().sparkContext.applicationId)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the folder the cluster shares; a local one only where none is named."""
     base = spark.conf.get("spark.checkpoint.dir", None)

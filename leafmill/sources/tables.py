@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from leafmill.operators.landing import landed, month_of
+from leafmill.operators.quality import with_disposition, with_verdict
 from leafmill.operators.versions import RETENTION, latest_versions, unexpired, with_content_key
 from leafmill.schemas import PARSED_TABLE, PROGRESS_TABLE, RAW_TABLE
 from leafmill.session import scratch_path
+from leafmill.sites.base import SitePack
 
 
 def append_raw(pages: DataFrame, path: str) -> None:
@@ -24,6 +26,25 @@ def append_raw(pages: DataFrame, path: str) -> None:
     ordered.write.mode("append").partitionBy("fetch_month").parquet(path)
 
 
+def append_routed(pages: DataFrame, pack: SitePack, path: str) -> None:
+    """Judge captured pages and store each under its disposition, in one pass over the bodies.
+
+    `path/disposition=accept` is then a raw table for `read_raw`; the other folders hold
+    what to request again, what to give up on, and answers that are no pages. A folder
+    is there once a page went into it; `read_routed` reads them all.
+    """
+    judged = with_disposition(with_verdict(pages, pack), pack.retry_times)
+    rows = landed(judged, "reason", "disposition")
+    ordered = rows.sortWithinPartitions("disposition", "fetch_month", "spider", "fetched_at")
+    ordered.write.mode("append").partitionBy("disposition", "fetch_month").parquet(path)
+
+
+def read_routed(spark: SparkSession, path: str) -> DataFrame:
+    """Everything `append_routed` stored, with `reason` and `disposition`."""
+    extra = [T.StructField("reason", T.StringType()), T.StructField("disposition", T.StringType())]
+    return spark.read.schema(T.StructType(RAW_TABLE.fields + extra)).parquet(path)
+
+
 def append_parsed(rows: DataFrame, path: str) -> None:
     """Append parsed rows, or plain envelopes (spider, url, source_fetched_at, parsed_at, fields).
 

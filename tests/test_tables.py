@@ -65,6 +65,19 @@ def test_raw_table_notes_what_later_jobs_need(spark, tmp_path):
     ]
 
 
+def test_routed_pages_are_stored_in_one_pass(spark, tmp_path):
+    path = str(tmp_path / "routed")
+    good = "<b data-lf-microdata>" + "x" * 600
+    pages = [(f"2024-01-0{i + 1} 00:00:00", PACK.name, f"{PACK.urls.home}/auction/1/{i}/", s, b)
+             for i, (s, b) in enumerate([(200, good), (200, "x" * 600), (200, ""), (503, "down"), (200, good)])]
+    tables.append_routed(raw_rows(spark, pages), PACK, path)
+    got = tables.read_routed(spark, path)
+    assert sorted((r.disposition, r.reason is None, r.has_marker) for r in got.collect()) == [
+        ("accept", True, True), ("accept", True, True), ("drop", False, False), ("pass", True, False), ("retry", False, False),
+    ]
+    assert tables.read_raw(spark, f"{path}/disposition=accept").count() == 2
+
+
 def test_lower_bound_prunes_months(spark, tmp_path):
     path = str(tmp_path / "raw")
     rows = [(f"2024-0{m}-15 00:00:00", PACK.name, f"u{m}", 200, "") for m in range(1, 7)]

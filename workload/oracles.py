@@ -229,6 +229,10 @@ ORACLES: dict[str, str] = {
     "page_gate": f"WITH {RAW}, {GATE} SELECT page_id, url, reason, retryable FROM gate",
     "disposition": f"""WITH {RAW}, {GATE} SELECT page_id, CASE WHEN http_status NOT BETWEEN 200 AND 299 THEN 'pass'
       WHEN reason IS NULL THEN 'accept' WHEN retryable AND page_id % 7 < 5 THEN 'retry' ELSE 'drop' END AS disposition FROM gate""",
+    "routed_landing": f"""WITH {RAW}, {GATE}, r AS (SELECT *, CASE WHEN http_status NOT BETWEEN 200 AND 299 THEN 'pass'
+        WHEN reason IS NULL THEN 'accept' WHEN retryable AND page_id % 7 < 5 THEN 'retry' ELSE 'drop' END AS disposition FROM gate)
+      SELECT disposition, date_trunc('month', fetched_at)::DATE AS fetch_month, contains(body, 'data-lf-microdata') AS has_marker,
+        count(*) AS pages, sum(strlen(body))::BIGINT AS bytes FROM r GROUP BY ALL""",
     "bad_sample": f"""WITH {RAW}, {GATE} SELECT fetched_at, url, reason, 'text/html' AS content_type, strlen(body)::INT AS body_bytes,
       left(hex(encode(body)), 600) AS head_hex,
       left(trim(regexp_replace(url, '[^A-Za-z0-9]+', '_', 'g'), '_'), 120) || '__' ||

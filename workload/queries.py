@@ -77,7 +77,7 @@ def auction_coverage(spark, sf_dir):
 @query
 def truncation_flag(spark, sf_dir):
     """Lots copied up to 36 per auction, so that the flag is met by some auctions and just missed by others."""
-    orders = fx.table(spark, sf_dir, "orders").select("o_orderkey")
+    orders = tables.spread(fx.table(spark, sf_dir, "orders").select("o_orderkey"))
     count = (F.col("o_orderkey") % 3 + 35).cast("int")
     lots = orders.select(F.col("o_orderkey"), F.explode(F.sequence(F.lit(1), count)).alias("lot"))
     record = F.struct(
@@ -253,6 +253,16 @@ def disposition(spark, sf_dir):
     return routed.select("page_id", "disposition")
 
 
+@query
+def routed_landing(spark, sf_dir):
+    """Captured pages stored under their disposition; the accepted ones are a raw table."""
+    path = scratch_path(spark, "routed")
+    pages = fx.raw_pages(spark, sf_dir).withColumn("retry_times", (F.col("page_id") % 7).cast("int"))
+    tables.append_routed(pages.drop("page_id"), PACK, path)
+    groups = tables.read_routed(spark, path).groupBy("disposition", "fetch_month", "has_marker")
+    return groups.agg(F.count("*").alias("pages"), F.sum("body_bytes").alias("bytes"))
+
+
 @query
 def bad_sample(spark, sf_dir):
     return quality.bad_sample(quality.with_verdict(fx.raw_pages(spark, sf_dir), PACK))
