@@ -46,12 +46,12 @@ _ENDS = {
 # An inline end tag does not reach past one of these.
 _WALLS = _BLOCK - {"p"} | {"td", "th", "tr", "li", "body"}
 
-_ATTR = r"""([^\s=>"'/][^\s=>/]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>][^\s>]*)))?"""
+_ATTR = r"""([^\s=<>"'/][^\s=<>/]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'<>][^\s<>]*)))?"""
 _REST = r"((?:[\s/\"'=]++|%s)*+)" % re.sub(r"(?<!\\)\((?!\?)", "(?:", _ATTR)
 # A comment or declaration, a script or style with its text, or any other tag.
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<((?i:script|style))(?=[\s/>]){_REST}>(.*?)(?:</(?i:\1)\s*>|\Z)"
-    rf"|<(/?)([a-zA-Z][^\s/>]*){_REST}>",
+    rf"|<(/?)([a-zA-Z][^\s/<>]*){_REST}>",
     re.DOTALL,
 )
 _ATTRS = re.compile(_ATTR)
@@ -119,7 +119,9 @@ class _Nodes:
             sizes.append(0)
             n += 1
 
-        for found in _TOKEN.finditer(body):
+        # Nothing after the last ">" is a tag; looking there would cost a scan for every "<".
+        end = body.rfind(">") + 1
+        for found in _TOKEN.finditer(body, 0, end):
             if found.start() > text_from:
                 text = body[text_from : found.start()]
                 add_text(unescape(text) if "&" in text else text)
@@ -127,6 +129,8 @@ class _Nodes:
             raw, raw_attrs, raw_text, slash, tag, attrs = found.groups()
             if raw is not None:
                 tag, attrs = raw, raw_attrs
+                if found.end(3) == found.end():  # never closed: the rest of the page is its text
+                    raw_text, text_from = body[found.start(3) :], len(body)
             elif tag is None:  # comment or declaration
                 continue
             tag = tag.lower()
@@ -164,8 +168,8 @@ class _Nodes:
                 if raw_text:
                     add_text(raw_text)
                 close(len(open_at) - 1)
-        if text_from < len(body):
-            text = body[text_from:]
+        text = body[text_from:].split("<!--", 1)[0]
+        if text:
             add_text(unescape(text) if "&" in text else text)
         close(0)
         self.pages.append(len(nodes))
@@ -228,10 +232,6 @@ def element(tag: str | None = None, classes: Sequence[str] = (), attrs: dict[str
     return test
 
 
-def inside(n: Column, root: Column) -> Column:
-    return (n["idx"] >= root["idx"]) & (n["idx"] <= root["idx"] + root["size"])
-
-
 def pick(nodes: Column, *path) -> Column:
     """Nodes meeting the last predicate that lie below nodes meeting the ones before it, in order."""
     *above, last = path
@@ -244,28 +244,27 @@ def pick(nodes: Column, *path) -> Column:
     )
 
 
-def subtree(page: Column, root: Column) -> Column:
-    """A node of a whole page with everything below it."""
-    return F.slice(page, root["idx"] + 1, root["size"] + 1)
+def subtree(nodes: Column, root: Column) -> Column:
+    """A node with everything below it, out of a whole page or a subtree it lies in."""
+    return F.slice(nodes, root["idx"] - F.get(nodes, F.lit(0))["idx"] + 1, root["size"] + 1)
 
 
-def texts(nodes: Column, root: Column | None = None) -> Column:
-    """Every text run, of all nodes or of those below `root`."""
-    runs = F.filter(nodes, lambda t: (t["tag"] == TEXT) & (inside(t, root) if root is not None else F.lit(True)))
-    return F.transform(runs, lambda t: t["text"])
+def texts(nodes: Column) -> Column:
+    """Every text run."""
+    return F.transform(F.filter(nodes, lambda t: t["tag"] == TEXT), lambda t: t["text"])
 
 
 def own_texts(nodes: Column, picked: Column) -> Column:
     """Text runs directly in the picked nodes."""
     runs = F.transform(
-        picked, lambda p: F.filter(nodes, lambda t: (t["parent"] == p["idx"]) & (t["tag"] == TEXT))
+        picked, lambda p: F.filter(subtree(nodes, p), lambda t: (t["parent"] == p["idx"]) & (t["tag"] == TEXT))
     )
     return F.transform(F.flatten(runs), lambda t: t["text"])
 
 
 def deep_texts(nodes: Column, picked: Column) -> Column:
     """Text runs anywhere below the picked nodes."""
-    return F.flatten(F.transform(picked, lambda p: texts(nodes, p)))
+    return F.flatten(F.transform(picked, lambda p: texts(subtree(nodes, p))))
 
 
 def attr_values(picked: Column, name: str) -> Column:

@@ -75,36 +75,45 @@ def _views(nodes: Column) -> Column:
 
 
 def _lot_page(nodes: Column, ids: Column, url: Column) -> Column:
-    def own(name: str) -> Column:
-        return clean_text(m.first(m.own_texts(nodes, _microdata(nodes, name))))
+    final = clean_text(m.joined(m.own_texts(nodes, m.pick(nodes, m.element(classes=["tm-product-price-final"])))))
 
-    def og(name: str) -> Column:
-        return clean_text(m.first(_meta(nodes, name)))
+    def build(page: Column) -> Column:
+        micro, meta = page["micro"], page["meta"]
 
-    described = clean_text(m.joined(m.deep_texts(nodes, _microdata(nodes, "lot-desc"))))
-    final = clean_text(m.joined(m.own_texts(nodes, m.pick(nodes, m.element(classes=["tm-product-price-final"])))))
-    pictures = m.attr_values(_microdata(nodes, "lot-image", "a"), "href")
-    lot = _record(
-        type=F.lit("item"),
-        auction_id=ids["auction"],
-        lot_number=ids["lot"],
-        lot_index=own("lot-index"),
-        title=_or(own("lot-name"), og("og:title")),
-        description=_or(described, og("og:description")),
-        start_price=own("lot-start-price"),
-        final_price=blank_to_null(final),
-        views=_views(nodes),
-        images=m.let(pictures, lambda p: F.when(F.size(p) > 0, p).otherwise(_meta(nodes, "og:image"))),
-        source_url=url,
-    )
-    # Blocked and not-found pages carry none of these and yield nothing.
-    telling = F.exists(nodes, lambda n: n["attrs"][MICRODATA].isin("lot-name", "lot-start-price", "lot-index"))
-    return F.when(telling, F.array(lot))
+        def own(name: str) -> Column:
+            return clean_text(m.first(m.own_texts(nodes, _microdata(micro, name))))
+
+        def og(name: str) -> Column:
+            return clean_text(m.first(_meta(meta, name)))
+
+        pictures = m.attr_values(_microdata(micro, "lot-image", "a"), "href")
+        lot = _record(
+            type=F.lit("item"),
+            auction_id=ids["auction"],
+            lot_number=ids["lot"],
+            lot_index=own("lot-index"),
+            title=_or(own("lot-name"), og("og:title")),
+            description=_or(
+                clean_text(m.joined(m.deep_texts(nodes, _microdata(micro, "lot-desc")))), og("og:description")
+            ),
+            start_price=own("lot-start-price"),
+            final_price=blank_to_null(final),
+            views=_views(nodes),
+            images=m.let(pictures, lambda p: F.when(F.size(p) > 0, p).otherwise(_meta(meta, "og:image"))),
+            source_url=url,
+        )
+        # Blocked and not-found pages carry none of these and yield nothing.
+        telling = F.exists(micro, lambda n: n["attrs"][MICRODATA].isin("lot-name", "lot-start-price", "lot-index"))
+        return F.when(telling, F.array(lot))
+
+    # The few nodes most fields come from are picked out of the page once.
+    marked = F.filter(nodes, lambda n: n["attrs"][MICRODATA].isNotNull())
+    return m.let(F.struct(marked.alias("micro"), m.pick(nodes, m.element("meta")).alias("meta")), build)
 
 
 def _auction(nodes: Column, ids: Column, url: Column) -> Column:
     heads = m.pick(nodes, m.element("div", ["uk-display-inline-block"]), m.element("small"))
-    labels = F.transform(heads, lambda h: clean_text(m.joined(m.texts(nodes, h))))
+    labels = F.transform(heads, lambda h: clean_text(m.joined(m.texts(m.subtree(nodes, h)))))
     own_label = m.element(attrs={"data-online": F.concat(F.lit("lf-"), ids["auction"], F.lit("-t-to-start"))})
     countdown = clean_text(m.first(m.own_texts(nodes, m.pick(nodes, own_label))))
     status = F.when(m.joined(m.texts(nodes)).contains(COMPLETED_LABEL), F.lit("completed")).otherwise(
@@ -141,8 +150,8 @@ def _card_prices(card: Column) -> Column:
         divs,
         lambda d: F.struct(
             F.coalesce(d["class"].contains("uk-text-meta"), F.lit(False)).alias("is_label"),
-            clean_text(m.joined(m.texts(card, d))).alias("text"),
-            (F.size(F.filter(card, lambda n: m.inside(n, d) & ndr(n))) > 0).alias("badge"),
+            clean_text(m.joined(m.texts(m.subtree(card, d)))).alias("text"),
+            (F.size(F.filter(m.subtree(card, d), ndr)) > 0).alias("badge"),
         ),
     )
     none = F.lit(None).cast("string")

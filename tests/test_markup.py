@@ -1,3 +1,8 @@
+import time
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from leafmill.functions import markup as m
@@ -107,6 +112,41 @@ def test_deep_pages_do_not_recurse():
     assert nodes[0]["size"] == 5000 and nodes[-1]["text"] == "x"
 
 
+@pytest.mark.parametrize(
+    "body", ["<!" * 60000, "<a " * 60000, '<a x="' * 30000, "<a x='", "<" * 60000, "<!--" * 30000, "</a" * 50000, "<script " * 20000]
+)
+def test_broken_markup_is_split_in_linear_time(body):
+    start = time.perf_counter()
+    split(body)
+    split("<p>" + body)
+    assert time.perf_counter() - start < 5
+
+
+PIECES = st.sampled_from(
+    ["<p>", "</p>", "<div class='a b'>", "</div>", "<li>", "<ul>", "</ul>", "<b>", "</b>", "<br>", "<!-- x -->", "<td>", "<tr>",
+     "<table>", "</table>", "<script>", "</script>", "<a href=x>", "</a>", "&amp;", "text ", "<", ">", '"', "<!", "\xa0"]
+)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(PIECES, max_size=30))
+def test_any_soup_gives_a_tree_in_document_order(pieces):
+    nodes = split("".join(pieces))
+    for i, n in enumerate(nodes):
+        assert n["idx"] == i and n["parent"] < i and i + n["size"] < len(nodes) + (n["size"] == 0)
+        up = n["parent"]
+        if up >= 0:
+            assert i + n["size"] <= up + nodes[up]["size"]
+        inner = [j for j in range(len(nodes)) if nodes[j]["parent"] == i]
+        assert n["size"] == sum(nodes[j]["size"] + 1 for j in inner)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.text(st.characters(blacklist_characters="<>&"), min_size=1))
+def test_plain_text_is_one_run(text):
+    assert [n["text"] for n in split(text)] == [text]
+
+
 def test_column_helpers(spark):
     body = '<div class="k"><p>a<b>b</b></p></div><p>c</p><div class="k">d<!-- -->e</div>'
     page = spark.createDataFrame([("u", body)], "url string, body string")
