@@ -5,9 +5,9 @@ from helpers import pages_of, raw_rows, records_of
 from leafmill.functions.records import canonical_json
 from leafmill.operators import extract
 from leafmill.sites.base import SitePack
+from leafmill.sites.auctions import PACK
 from leafmill.sites.registry import get_site, list_sites, register_site
 
-PACK = get_site("litfund")
 HOME = PACK.urls.home
 
 

@@ -3,10 +3,9 @@ from pyspark.sql import functions as F
 
 from helpers import scalar
 from leafmill.functions import records, text, urls
-from leafmill.sites.registry import get_site
+from leafmill.sites.auctions import PACK
 
-PACK = get_site("litfund")
-URLS = PACK.urls
+URLS, DOMAIN = PACK.urls, PACK.domains[0]
 V = F.col("v")
 
 
@@ -80,11 +79,11 @@ def test_page_types(spark, url, kind, group):
 @pytest.mark.parametrize(
     "url, hit",
     [
-        ("https://www.litfund.ru/auction/709s1/55/", True),
-        ("http://litfund.ru/auction/709s1/84a/", True),
-        ("https://www.litfund.ru/auction/709s1/", False),
-        ("https://www.litfund.ru/auction/709s1/55/?x", False),
-        ("https://evil.org/?u=https://www.litfund.ru/auction/709s1/55/", False),
+        (f"{URLS.home}/auction/709s1/55/", True),
+        (f"http://{DOMAIN}/auction/709s1/84a/", True),
+        (f"{URLS.home}/auction/709s1/", False),
+        (f"{URLS.home}/auction/709s1/55/?x", False),
+        (f"https://evil.org/?u={URLS.home}/auction/709s1/55/", False),
     ],
 )
 def test_entry_urls(spark, url, hit):
@@ -111,8 +110,8 @@ def test_domains_and_files(spark):
     def inside(url):
         return scalar(spark, urls.in_domains(V, PACK.domains), v=url)
 
-    assert inside("https://litfund.ru/x") and inside("http://a.litfund.ru:80/") and inside("https://u:p@LITFUND.RU")
-    assert not inside("https://notlitfund.ru/") and not inside("https://x.org/?litfund.ru")
+    assert inside(f"https://{DOMAIN}/x") and inside(f"http://a.{DOMAIN}:80/") and inside(f"https://u:p@{DOMAIN.upper()}")
+    assert not inside(f"https://not{DOMAIN}/") and not inside(f"https://x.org/?{DOMAIN}")
     for url, is_file in (("http://h/a.PDF", True), ("http://h/a.tar.gz?x", True), ("http://h.py", False), ("http://h/a?x.pdf", False)):
         assert scalar(spark, urls.is_file(V), v=url) is is_file
 

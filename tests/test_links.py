@@ -5,9 +5,10 @@ from pyspark.sql import functions as F
 from helpers import pages_of, raw_rows
 from leafmill.operators import landing, links, worklists
 from leafmill.sites.base import LinkRules
+from leafmill.sites.auctions import PACK
 from leafmill.sites.registry import get_site
 
-PACK, QUOTES = get_site("litfund"), get_site("quotes")
+QUOTES = get_site("quotes")
 HOME = PACK.urls.home
 MARKED = '<b data-lf-microdata="lot-name">x</b>'
 

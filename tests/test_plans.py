@@ -6,10 +6,9 @@ from helpers import raw_rows, times
 from leafmill.operators import extract, links
 from leafmill.plans import coverage, health, items, views
 from leafmill.schemas import PARSED_TABLE
-from leafmill.sites.registry import get_site
+from leafmill.sites.auctions import PACK
 from leafmill.sources import tables
 
-PACK = get_site("litfund")
 HOME = PACK.urls.home
 
 

@@ -5,9 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from leafmill.operators import quality
+from leafmill.sites.auctions import PACK
 from leafmill.sites.registry import get_site
 
-PACK = get_site("litfund")
 LOT, CATALOG = f"{PACK.urls.home}/auction/716/90/", f"{PACK.urls.home}/auction/716/"
 GOOD = b"<b data-lf-microdata='lot-name'>A book</b>" + b"<!-- pad -->" * 60
 STRIPPED = b"<div>other</div>" * 60

@@ -6,10 +6,9 @@ from pyspark.sql import functions as F
 from helpers import raw_rows, times, ts
 from leafmill.operators import landing, versions
 from leafmill.schemas import PARSED_TABLE, RAW_TABLE
-from leafmill.sites.registry import get_site
+from leafmill.sites.auctions import PACK
 from leafmill.sources import jsonl, saved_pages, tables
 
-PACK = get_site("litfund")
 NOW = F.lit("2030-01-01").cast("timestamp")
 
 

@@ -9,10 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafmill.sites.registry import get_site
+from leafmill.sites.auctions import PACK
 from leafmill.sources.tables import spread
 
-PACK = get_site("litfund")
 HOME = PACK.urls.home
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from leafmill.sites.auctions import _ID as ID
-from leafmill.sites.registry import get_site
+from leafmill.sites.auctions import PACK
 from workload.queries import (
     ARCHIVE_PAGES,
     BATCH,
@@ -14,11 +14,10 @@ from workload.queries import (
     RETENTION_NOW,
 )
 
-NAME = get_site("litfund").name
-HOME = get_site("litfund").urls.home
+NAME, HOME = PACK.name, PACK.urls.home
 GROUP, LOT = f"/auction/({ID})/", f"/auction/{ID}/[0-9]+[a-z]?/"
 CATALOG = f"/auction/{ID}/([?]|$)"
-ENTRY = get_site("litfund").urls.any_entry
+ENTRY = PACK.urls.any_entry
 MONTHS = "['января','февраля','марта','апреля','мая','июня','июля','августа','сентября','октября','ноября','декабря']"
 
 RAW = f"""
