@@ -49,9 +49,15 @@ def ship_code() -> None:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path under the folder the cluster shares; a local one only where none is named."""
+    """A fresh path under the folder the cluster shares, `spark.checkpoint.dir`.
+
+    Without that setting a local session gets a temporary folder; a cluster is refused,
+    since its executors would each write to a disk of their own.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="leafmill-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
