@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leafmill.llm import lines, quality
+from leafmill.llm import lines, pseudonyms, quality, winnowing
+
+# A real run passes a secret of its own.
+PSEUDONYM_KEY = "corpus"
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -26,6 +29,16 @@ def op1_quality_rules(spark, sf_dir):
     return quality.judged(documents(spark, sf_dir))
 
 
+@query
+def op4_winnowing(spark, sf_dir):
+    return winnowing.fingerprints(documents(spark, sf_dir))
+
+
 @query
 def op7_line_dedup(spark, sf_dir):
     return lines.line_report(documents(spark, sf_dir))
+
+
+@query
+def op8_pseudonyms(spark, sf_dir):
+    return pseudonyms.pseudonyms(documents(spark, sf_dir), PSEUDONYM_KEY)
