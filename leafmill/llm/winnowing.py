@@ -19,7 +19,7 @@ from leafmill.llm.common import words
 
 K = 5
 # A power of two: window minima are found by doubling.
-W = 8
+W = 4
 # Documents that are put in order together. More of them make buckets fewer, not wrong.
 BUCKET_ROWS = 1024
 MAX_BUCKETS = 1 << 14
