@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leafmill.llm import lines, pseudonyms, quality, winnowing
+from leafmill.llm import lines, pseudonyms, quality, toxicity, winnowing
 
 # A real run passes a secret of its own.
 PSEUDONYM_KEY = "corpus"
@@ -42,3 +42,8 @@ def op7_line_dedup(spark, sf_dir):
 @query
 def op8_pseudonyms(spark, sf_dir):
     return pseudonyms.pseudonyms(documents(spark, sf_dir), PSEUDONYM_KEY)
+
+
+@query
+def op9_toxicity(spark, sf_dir):
+    return toxicity.scored(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
