@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leafmill.llm import lines, pseudonyms, quality, toxicity, winnowing
+from leafmill.llm import jaccard, lines, pseudonyms, quality, toxicity, winnowing
 
 # A real run passes a secret of its own.
 PSEUDONYM_KEY = "corpus"
@@ -29,6 +29,11 @@ def op1_quality_rules(spark, sf_dir):
     return quality.judged(documents(spark, sf_dir))
 
 
+@query
+def op3_ngram_jaccard_join(spark, sf_dir):
+    return jaccard.near_duplicates(documents(spark, sf_dir))
+
+
 @query
 def op4_winnowing(spark, sf_dir):
     return winnowing.fingerprints(documents(spark, sf_dir))
