@@ -60,3 +60,28 @@ SELECT any_value(l.doc_id) AS doc_id, count(*)::BIGINT AS n_lines, count(c.line)
 FROM lines l LEFT JOIN common c ON l.source IS NOT DISTINCT FROM c.source AND l.line = c.line
 GROUP BY r
 """
+
+ORACLES["op5_substring_dedup"] = rf"""
+WITH texts AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS ws FROM documents),
+windows AS (
+  SELECT doc_id, p, md5(array_to_string(ws[p:p + 19], ' ')) AS gram
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 18)) AS p FROM texts WHERE len(ws) >= 20)),
+again AS (SELECT doc_id, p FROM windows QUALIFY row_number() OVER (PARTITION BY gram ORDER BY doc_id, p) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(p, p + 20)) AS q FROM again),
+placed AS (SELECT doc_id, unnest(ws) AS w, unnest(range(1, len(ws) + 1)) AS q FROM texts),
+kept AS (
+  SELECT p.doc_id, count(*) AS n, string_agg(w, ' ' ORDER BY q) AS t
+  FROM placed p ANTI JOIN gone g USING (doc_id, q) GROUP BY p.doc_id)
+SELECT x.doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM texts x LEFT JOIN kept USING (doc_id)
+"""
+
+ORACLES["op6_warc"] = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+d AS (SELECT page_id, octet_length(b) AS n, sha1(b) AS h FROM p),
+t AS (SELECT *, max(page_id) OVER (PARTITION BY h, n) AS top FROM d)
+SELECT page_id, n::BIGINT AS payload_bytes, h AS payload_digest,
+       CASE WHEN n >= 1000 AND page_id <> top THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 1000 AND page_id <> top THEN top END AS refers_to
+FROM t
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leafmill.llm import jaccard, lines, pseudonyms, quality, toxicity, winnowing
+from leafmill.llm import debruijn, jaccard, lines, mixing, packing, pseudonyms, quality, toxicity, warc, winnowing
 
 # A real run passes a secret of its own.
 PSEUDONYM_KEY = "corpus"
@@ -29,6 +29,11 @@ def op1_quality_rules(spark, sf_dir):
     return quality.judged(documents(spark, sf_dir))
 
 
+@query
+def op2_mixing(spark, sf_dir):
+    return mixing.mixture(documents(spark, sf_dir))
+
+
 @query
 def op3_ngram_jaccard_join(spark, sf_dir):
     return jaccard.near_duplicates(documents(spark, sf_dir))
@@ -39,6 +44,16 @@ def op4_winnowing(spark, sf_dir):
     return winnowing.fingerprints(documents(spark, sf_dir))
 
 
+@query
+def op5_substring_dedup(spark, sf_dir):
+    return debruijn.without_repeats(documents(spark, sf_dir))
+
+
+@query
+def op6_warc(spark, sf_dir):
+    return warc.archived(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 @query
 def op7_line_dedup(spark, sf_dir):
     return lines.line_report(documents(spark, sf_dir))
@@ -52,3 +67,8 @@ def op8_pseudonyms(spark, sf_dir):
 @query
 def op9_toxicity(spark, sf_dir):
     return toxicity.scored(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+@query
+def op10_best_fit_packing(spark, sf_dir):
+    return packing.packed(documents(spark, sf_dir))
