@@ -11,6 +11,7 @@ import os
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -24,8 +25,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines on more than a tenth of a host's pages go; the documents stay."""
-    return lines.without_boilerplate(docs)
+    """Lines on more than a tenth of a host's pages go; the documents stay, and `n_chars` follows their texts."""
+    return lines.without_boilerplate(docs).withColumn("n_chars", F.char_length("text").cast("long"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -18,12 +18,12 @@ from pyspark.sql import functions as F
 from leafmill.llm.common import stored
 from leafmill.llm.tokens import mixed, python_ready, word_hashes
 
-BITS = 20
+BITS = 19
 # Distance of the two words of a pair: neighbours, and pairs that skip one or two words.
 GAPS = (1, 2, 3)
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 3.0, 1.0
 # What a toxic document weighs beside a clean one.
-TOXIC_WEIGHT = 2.0
+TOXIC_WEIGHT = 1.5
 # The most labelled documents that are trained on, taken in the order of a hash of their ids.
 SAMPLE = 20_000
 SHARDS, ROUNDS = 4, 4
@@ -88,7 +88,7 @@ def _shard_pass(state, turn: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
         order = mixed(rows["doc_id"].to_numpy(np.int64).astype(np.uint64) + np.uint64(turn))
         rows = rows.assign(order=order).sort_values(["order", "doc_id", "text"], na_position="first")
         _pass(z, n, rows["text"].tolist(), rows["toxic"].to_numpy())
-        return pd.DataFrame({"z": [z.astype(np.float32).tobytes()], "n": [n.astype(np.float32).tobytes()]})
+        return pd.DataFrame({"shard": [rows["shard"].iloc[0]], "z": [z.astype(np.float32).tobytes()], "n": [n.astype(np.float32).tobytes()]})
 
     return run
 
@@ -120,11 +120,13 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE, rounds: int =
         state = spark.sparkContext.broadcast((z, n))
 
         # A row per shard, its size fixed by BITS.
-        made = data.groupBy("shard").applyInPandas(_shard_pass(state, turn), "z binary, n binary").orderBy("z").collect()
+        made = data.groupBy("shard").applyInPandas(_shard_pass(state, turn), "shard long, z binary, n binary").collect()
         state.unpersist()
         if not made:
             return np.array([BIAS]), np.array([-np.inf])
+        made.sort(key=lambda r: r["shard"])
         z, n = (np.mean([np.frombuffer(r[k], np.float32) for r in made], axis=0) for k in ("z", "n"))
+        del made
     found = weights(z.astype(np.float64), n.astype(np.float64))
     return np.flatnonzero(found), found[found != 0]
 
