@@ -37,16 +37,25 @@ COORDINATES = 64
 LOOSE = 0.6
 RECALL = 0.9999
 LIMIT = 1024
-LEVELS = 4
+LEVELS = 3
 # Nodes per block of a component that is too large for one task.
 BLOCK = 2048
 FEATURES = 4096
 _A = mixed(np.arange(1, COORDINATES + 1, dtype=np.uint64)) | np.uint64(1)
 _B = mixed(np.arange(1, COORDINATES + 1, dtype=np.uint64) + np.uint64(1 << 20))
-# A token is chosen with this chance, so that a pair at the threshold shares one chosen token per level on average.
-CHANCE = 1 / (THRESHOLD * COORDINATES)
-_CHOSEN = np.uint64(int(CHANCE * 2**64))
-RUNS = math.ceil(-math.log(1 - RECALL))
+# Tokens that a pair at the threshold chooses in common, on average: at first, and below.
+SHARED_FIRST, SHARED_BELOW = 1.0, 2.0
+
+
+def runs_for(recall: float, levels: int = LEVELS) -> int:
+    """Runs after which a pair at the threshold shares a searched bucket with that probability, even if all buckets are split to the last level."""
+    meet = 1.0
+    for level in reversed(range(levels)):
+        meet = 1 - math.exp(-(SHARED_BELOW if level else SHARED_FIRST) * meet)
+    return math.ceil(math.log(1 - recall) / math.log(1 - meet))
+
+
+RUNS = runs_for(RECALL)
 
 
 def shingles(texts: list[bytes], k: int = K) -> list[np.ndarray]:
@@ -91,11 +100,11 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _tokens(vectors: np.ndarray, paths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _tokens(vectors: np.ndarray, paths: np.ndarray, shared: float) -> tuple[np.ndarray, np.ndarray]:
     """Row and new path of every token that rows choose at their paths."""
     place = mixed(np.arange(COORDINATES, dtype=np.uint64) + np.uint64(1 << 40))
     hashes = mixed(mixed(vectors.astype(np.uint64) ^ place[None, :]) + mixed(paths)[:, None])
-    rows, columns = np.nonzero(hashes < _CHOSEN)
+    rows, columns = np.nonzero(hashes < np.uint64(shared / (THRESHOLD * COORDINATES) * 2**64))
     return rows, mixed(hashes[rows, columns] + place[columns])
 
 
@@ -107,13 +116,13 @@ def _first_paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         vectors, nodes = _vectors(batch.column("vector")), batch.column("node").to_numpy()
         for run in range(RUNS):
-            rows, paths = _tokens(vectors, np.full(len(nodes), run, np.uint64))
+            rows, paths = _tokens(vectors, np.full(len(nodes), run, np.uint64), SHARED_FIRST)
             yield pa.RecordBatch.from_arrays([pa.array(paths.view(np.int64)), pa.array(nodes[rows])], ["path", "node"])
 
 
 def _next_paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows, paths = _tokens(_vectors(batch.column("vector")), batch.column("path").to_numpy().view(np.uint64))
+        rows, paths = _tokens(_vectors(batch.column("vector")), batch.column("path").to_numpy().view(np.uint64), SHARED_BELOW)
         nodes = batch.column("node").to_numpy()
         yield pa.RecordBatch.from_arrays([pa.array(paths.view(np.int64)), pa.array(nodes[rows])], ["path", "node"])
 

@@ -238,11 +238,12 @@ KINDS = tuple(_MAKERS)
 
 def pseudonym(value: Column, key: str, back: bool = False) -> Column:
     """`struct<kind, value>`: the first format that the value matches whole and is valid in; kind null, and the value itself, if none."""
-    made = []
-    for kind, make in _MAKERS.items():
-        fresh = F.when(value.rlike(f"^(?:{PATTERNS[kind]})$"), make(value, key, back))
-        made.append(let(fresh, lambda x, kind=kind: F.when(x.isNotNull(), F.struct(F.lit(kind).alias("kind"), x.alias("value")))))
-    return F.coalesce(*made, F.struct(F.lit(None).cast("string").alias("kind"), value.alias("value")))
+
+    def named(kind: str) -> Column:
+        fresh = F.when(value.rlike(f"^(?:{PATTERNS[kind]})$"), _MAKERS[kind](value, key, back))
+        return let(fresh, lambda x: F.when(x.isNotNull(), F.struct(F.lit(kind).alias("kind"), x.alias("value"))))
+
+    return F.coalesce(*map(named, KINDS), F.struct(F.lit(None).cast("string").alias("kind"), value.alias("value")))
 
 
 def pseudonymised(text: Column, key: str, back: bool = False) -> Column:
@@ -265,5 +266,8 @@ def pseudonyms(docs: DataFrame, key: str, back: bool = False) -> DataFrame:
     `back` and the same key the original texts come back.
     """
     made = docs.select("doc_id", pseudonymised(F.col("text"), key, back).alias("made"))
-    counts = [F.size(F.filter("made.kinds", lambda k, want=kind: k == want)).cast("long").alias(f"n_{kind}") for kind in KINDS]
-    return made.select("doc_id", F.col("made.text").alias("text"), F.coalesce(F.size("made.kinds"), F.lit(0)).cast("long").alias("n_replaced"), *counts)
+
+    def count(kind: str) -> Column:
+        return F.coalesce(F.size(F.filter("made.kinds", lambda k: k == kind)), F.lit(0)).cast("long").alias(f"n_{kind}")
+
+    return made.select("doc_id", F.col("made.text").alias("text"), F.coalesce(F.size("made.kinds"), F.lit(0)).cast("long").alias("n_replaced"), *map(count, KINDS))

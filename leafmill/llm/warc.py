@@ -100,7 +100,8 @@ def _dictionary(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def train_dictionary(rows: DataFrame) -> bytes:
     """A dictionary from a bounded sample, taken in the order of a hash of the pages' digests."""
     sample = rows.select("page_id", "url", F.substring("payload", 1, SAMPLE_BYTES).alias("payload"), "digest").orderBy(F.xxhash64("digest", "page_id")).limit(SAMPLE_RECORDS)
-    return bytes(sample.coalesce(1).mapInPandas(_dictionary, "dictionary binary").first()[0])
+    made = sample.coalesce(1).mapInPandas(_dictionary, "dictionary binary").first()
+    return bytes(made[0]) if made else b""
 
 
 def _usable(dictionary: bytes) -> zstandard.ZstdCompressionDict | None:

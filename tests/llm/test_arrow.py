@@ -66,7 +66,7 @@ def copies(seed, groups=12, size=9):
             changed = list(base)
             for _ in range(rng.randrange(4)):
                 changed[rng.randrange(len(changed))] = f"new{rng.randrange(10**6)}"
-            out.append((1000 * g + c, " ".join(changed), "x"))
+            out.append((1000 * (g + 1) + c, " ".join(changed), "x"))
     return out
 
 
@@ -246,7 +246,7 @@ def test_without_labels_nothing_is_toxic(spark):
 @pytest.mark.parametrize("shard_rows", [8192, 50])
 def test_bins_keep_their_rules(spark, monkeypatch, shard_rows):
     monkeypatch.setattr(packing, "SHARD_ROWS", shard_rows)
-    data = rows() + copies(5) + [(9000, rows()[3][1], "x"), (3, rows()[3][1], rows()[3][2])]
+    data = rows() + copies(5) + [(99_000, rows()[3][1], "x"), (3, rows()[3][1], rows()[3][2])]
     texts = defaultdict(list)
     for i, t, s in data:
         texts[i].append((t, s))

