@@ -64,7 +64,7 @@ def main() -> None:
 
     raw, parsed = tables.read_raw(spark, raw_path), tables.read_parsed(spark, parsed_path)
     catalog, lots = spark.read.parquet(catalog_path), spark.read.parquet(lot_path)
-    pages = tables.spread(spark.read.parquet(f"{SF_DIR}/pages.parquet").select("url", F.col("html").alias("body")))
+    pages = fx.dealt(spark.read.parquet(f"{SF_DIR}/pages.parquet").select("url", F.col("html").alias("body")))
     crawl = fx.crawl_links(spark, SF_DIR)
     queries: dict[str, Callable[[], DataFrame]] = {
         "item_facts": lambda: items.item_facts(parsed, PACK),

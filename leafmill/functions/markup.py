@@ -9,7 +9,8 @@ and reading values from them stays in the JVM and never shuffles.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
+from contextlib import suppress
 from html import unescape
 from urllib.parse import quote, urljoin
 
@@ -97,21 +98,24 @@ class _Nodes:
         first = len(nodes)
         open_at: list[int] = []  # node index of the open elements, from the root down
         open_tag: list[str] = []
+        depths: dict[str, list[int]] = {}  # depths of the open elements of each tag, ascending
         n = text_from = 0
+        based = False
 
         def close(depth: int) -> None:
             while len(open_at) > depth:
                 start = open_at.pop()
-                open_tag.pop()
+                depths[open_tag.pop()].pop()
                 sizes[first + start] = n - start - 1
 
+        def deepest(tags: Iterable[str]) -> int:
+            return max((found[-1] for tag in tags if (found := depths.get(tag))), default=-1)
+
         def close_up_to(tags: set[str], walls: set[str] | frozenset[str]) -> None:
-            for depth in range(len(open_tag) - 1, -1, -1):
-                if open_tag[depth] in tags:
-                    close(depth)
-                    return
-                if open_tag[depth] in walls:
-                    return
+            """Close the innermost open element of the tags, unless a wall is open inside it."""
+            depth = deepest(tags)
+            if depth >= 0 and depth >= deepest(walls):
+                close(depth)
 
         def add_text(text: str) -> None:
             nonlocal n
@@ -155,13 +159,17 @@ class _Nodes:
                 if links and href is not None:
                     if tag in ("a", "area"):
                         link = absolute_link(base, href)
-                    elif tag == "base":
-                        base = urljoin(base, href)
+                    elif tag == "base" and not based:
+                        # The first one counts; one that is no address changes nothing.
+                        based = True
+                        with suppress(ValueError):
+                            base = urljoin(base, href)
             nodes.append((n, open_at[-1] if open_at else -1, tag, None, cls, link, len(keys)))
             sizes.append(0)
             n += 1
             if tag in _VOID:
                 continue
+            depths.setdefault(tag, []).append(len(open_at))
             open_at.append(n - 1)
             open_tag.append(tag)
             if raw is not None:
@@ -232,16 +240,38 @@ def element(tag: str | None = None, classes: Sequence[str] = (), attrs: dict[str
     return test
 
 
+def _outermost(picked: Column) -> Column:
+    """The picked nodes that lie in no other of them, as (idx, size): disjoint ranges in order."""
+    none = F.array().cast("array<struct<idx:int,size:int>>")
+
+    def step(done: Column, n: Column) -> Column:
+        wider = F.struct(
+            F.concat(done["out"], F.array(F.struct(n["idx"].alias("idx"), n["size"].alias("size")))).alias("out"),
+            (n["idx"] + n["size"]).alias("end"),
+        )
+        return F.when(n["idx"] <= done["end"], done).otherwise(wider)
+
+    return F.aggregate(picked, F.struct(none.alias("out"), F.lit(-1).alias("end")), step, lambda done: done["out"])
+
+
 def pick(nodes: Column, *path) -> Column:
-    """Nodes meeting the last predicate that lie below nodes meeting the ones before it, in order."""
+    """Nodes meeting the last predicate that lie below nodes meeting the ones before it, in order.
+
+    The ancestors' ranges are worked out once and merged, so each node is looked at once
+    per step of the path.
+    """
     *above, last = path
     if not above:
         return F.filter(nodes, last)
-    return F.filter(
-        nodes,
-        lambda n: last(n)
-        & F.exists(pick(nodes, *above), lambda a: (n["idx"] > a["idx"]) & (n["idx"] <= a["idx"] + a["size"])),
-    )
+
+    def below(whole: Column) -> Column:
+        start = F.get(whole, F.lit(0))["idx"]
+        inner = F.transform(
+            _outermost(pick(whole, *above)), lambda a: F.filter(F.slice(whole, a["idx"] - start + 2, a["size"]), last)
+        )
+        return F.flatten(inner)
+
+    return let(nodes, below)
 
 
 def subtree(nodes: Column, root: Column) -> Column:

@@ -56,12 +56,14 @@ def read_records(
     )
 
 
-def latest(value: str, when: Column | None = None, at: str = "parsed_at") -> Column:
-    """Aggregate: the value at the newest `at` among rows meeting `when`; equal times take the larger value.
+def latest(value: str, when: Column | None = None) -> Column:
+    """Aggregate: the newest value among rows meeting `when`.
 
-    A plain max over (time, value), so map-side aggregation cuts every key to one row per task.
+    Newest is parsed last; of one parse run, whose rows share its time, fetched last; of
+    one fetch the larger value. A plain max over the three, so map-side aggregation cuts
+    every key to one row per task.
     """
-    stamped = F.struct(F.col(at), F.col(value))
+    stamped = F.struct("parsed_at", "source_fetched_at", value)
     return F.max(F.when(when, stamped) if when is not None else stamped)[value]
 
 

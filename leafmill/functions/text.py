@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,9 +23,13 @@ RU_MONTHS = (
     "декабря",
 )
 
+# Fixed value: the largest number a price or a counter can hold.
+MAX_UINT64 = "18446744073709551615"
+
 # Unicode whitespace plus the four information separators.
 _SPACE = r"[\s\x1c-\x1f]"
-_ISO_TIME = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([T ][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]+)?)?\s*(Z|[+-][0-9:]+)?)?$"
+_ISO_TIME = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([T ][0-9]{2}(:[0-9]{2}(:[0-9]{2}([.][0-9]+)?)?)?\s*(Z|[+-][0-9:]+)?)?$"
+_HOUR_ONLY = r"^([0-9-]{10}[T ][0-9]{2})(?![0-9:])"
 
 
 def blank_to_null(value: Column) -> Column:
@@ -49,14 +55,23 @@ def ru_date_iso(text: Column) -> Column:
     return F.concat(F.regexp_extract(text, pattern, 3), F.lit("-"), month, F.lit("-"), day)
 
 
-def digits_to_long(text: Column) -> Column:
-    """Keep only digits and read them as a number; nothing left, or too large, is null."""
-    return F.regexp_replace(text, "[^0-9]", "").try_cast("bigint")
+def digits_to_number(text: Column) -> Column:
+    """Keep only digits and read them as a number; nothing left, or 2^64 and more, is null."""
+    number = F.regexp_replace(text, "[^0-9]", "").try_cast("decimal(20,0)")
+    return F.when(number <= F.lit(MAX_UINT64).cast("decimal(20,0)"), number)
+
+
+def utc_literal(moment: datetime) -> Column:
+    """A moment as a timestamp: an offset is converted, a time without one is UTC, whatever zone the machine is in."""
+    if moment.tzinfo is not None:
+        moment = moment.astimezone(timezone.utc)
+    return F.lit(f"{moment.replace(tzinfo=None).isoformat(sep=' ')}Z").cast("timestamp")
 
 
 def utc_time(value: Column, now: Column | None = None) -> Column:
     """ISO text to a UTC timestamp; zone-less text is UTC, anything unreadable becomes `now`."""
-    readable = F.when(value.rlike(_ISO_TIME), F.try_to_timestamp(value))
+    minutes = F.regexp_replace(value, _HOUR_ONLY, "$1:00:00")
+    readable = F.when(value.rlike(_ISO_TIME), F.try_to_timestamp(minutes))
     return F.coalesce(readable, now if now is not None else F.current_timestamp())
 
 

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from leafmill.functions.text import utc_literal
 from leafmill.operators.extract import parse_pages
 from leafmill.operators.landing import month_of
 from leafmill.sites.base import SitePack
-from leafmill.sources.tables import append_parsed, append_progress, read_parsed, read_progress, read_raw, spread
+from leafmill.sources.tables import append_batch, append_parsed, append_progress, read_parsed, read_progress, read_raw
 
 EPOCH = "1970-01-01 00:00:00"
 
@@ -26,36 +28,82 @@ def _as_time(text: str) -> Column:
     return F.lit(text).cast("timestamp")
 
 
-def _times_after(raw: DataFrame, spider: str, after: Column) -> DataFrame:
-    return raw_after(raw.withColumn("body", F.lit(None)), spider, after).select("fetched_at")
-
-
-def raw_after(raw: DataFrame, spider: str, after: Column) -> DataFrame:
-    """A spider's pages fetched after a time, months before it pruned, columns cut to what extraction reads."""
+def raw_after(raw: DataFrame, spider: str, after: Column, until: Column | None = None) -> DataFrame:
+    """A spider's pages fetched after a time, up to another, other months pruned, columns cut to what extraction reads."""
     rows = raw.filter((F.col("spider") == spider) & (F.col("fetched_at") > after))
+    if until is not None:
+        rows = rows.filter(F.col("fetched_at") <= until)
     if "fetch_month" in raw.columns:
         rows = rows.filter(F.col("fetch_month") >= month_of(after))
+        if until is not None:
+            rows = rows.filter(F.col("fetch_month") <= month_of(until))
     return rows.select("spider", "url", "body", "fetched_at")
 
 
-def next_batch(raw: DataFrame, spider: str, after: Column, rows: int, with_ties: bool = True) -> DataFrame:
-    """The oldest `rows` pages after a time.
+def _places(raw: DataFrame, spider: str, after: Column) -> DataFrame:
+    """Time and URL of the pages after a time, without their bodies."""
+    return raw_after(raw.withColumn("body", F.lit(None)), spider, after).select("fetched_at", "url")
+
+
+def batch_end(raw: DataFrame, spider: str, after: Column, rows: int | None) -> DataFrame:
+    """One row with the time `until` of the last of the oldest `rows` pages after a time (of all of them for None)."""
+    times = _places(raw, spider, after).select("fetched_at")
+    oldest = times if rows is None else times.orderBy("fetched_at").limit(rows)
+    return oldest.agg(F.max("fetched_at").alias("until"))
 
-    Pages as old as the last one come along, since the next batch starts strictly
-    after it; `with_ties=False` cuts at exactly `rows` and can lose them. The cut is
-    found on the time column alone, so bodies are read once and never sorted whole.
+
+def next_batch(raw: DataFrame, spider: str, after: Column, rows: int) -> DataFrame:
+    """The oldest `rows` pages after a time, and with them all pages as old as the last one.
+
+    The next batch starts strictly after that time, so none is lost. The cut is found on
+    the time column alone: bodies are read once and never sorted whole.
     """
-    pages = raw_after(raw, spider, after)
-    if not with_ties:
-        return pages.orderBy("fetched_at", "url").limit(rows)
-    cut = _times_after(raw, spider, after).orderBy("fetched_at").limit(rows).agg(F.max("fetched_at").alias("cut"))
-    return pages.filter(F.col("fetched_at") <= cut.scalar())
+    return raw_after(raw, spider, after, batch_end(raw, spider, after, rows).scalar())
+
+
+def next_exact(raw: DataFrame, spider: str, after: Column, after_url: Column | None, rows: int) -> DataFrame:
+    """The oldest `rows` pages after a place, in order of (time, URL).
+
+    The next call goes on from the last row's time and URL, so pages that tie in time are
+    not lost; only rows alike in both come together. Without `after_url` the place is
+    after all pages of that time.
+    """
+    if after_url is None:
+        later = raw_after(raw, spider, after)
+        narrow = _places(raw, spider, after)
+    else:
+        # A moment earlier, so that the pages of the time itself are seen; times have microseconds.
+        before = after - F.expr("INTERVAL '0.000001' SECOND")
+        beyond = (F.col("fetched_at") > after) | (F.col("url") > after_url)
+        later = raw_after(raw, spider, before).filter(beyond)
+        narrow = _places(raw, spider, before).filter(beyond)
+    place = F.struct("fetched_at", "url")
+    last = narrow.orderBy("fetched_at", "url").limit(rows).agg(F.max(place).alias("last"))
+    return later.filter(place <= last.scalar())
 
 
 def replay(raw: DataFrame, spider: str, since: datetime | None = None) -> DataFrame:
-    """Every page after `since` (UTC), or all of them, whatever the progress table says."""
-    start = since.replace(tzinfo=None).isoformat(sep=" ") if since else EPOCH
-    return raw_after(raw, spider, _as_time(start))
+    """Every page after `since` (UTC if it has no offset), or all of them, whatever the progress table says."""
+    return raw_after(raw, spider, utc_literal(since) if since else _as_time(EPOCH))
+
+
+def extract_batch(pages: DataFrame, parsed_path: str, pack: SitePack) -> tuple[int, int, str | None]:
+    """Append the records of the pages; returns pages read, records written and the newest fetch time.
+
+    Counted on narrow columns of what was read and written, the latter in the pages'
+    months only, so that a task that is run again counts once.
+    """
+    spark, stamp = pages.sparkSession, utc_literal(datetime.now(timezone.utc))
+    ends = pages.agg(
+        F.count(F.lit(1)), *(F.date_format(month_of(f("fetched_at")), "yyyy-MM-dd") for f in (F.min, F.max)), F.max("fetched_at").cast("string")
+    )
+    read, first, last, newest = ends.first()
+    if not read:
+        return 0, 0, None
+    append_parsed(parse_pages(pages, pack, stamp), parsed_path)
+    mine = (F.col("spider") == pack.name) & (F.col("parsed_at") == stamp)
+    written = read_parsed(spark, parsed_path).filter(mine & F.col("source_month").between(F.lit(first).cast("date"), F.lit(last).cast("date")))
+    return read, written.count(), newest
 
 
 def drain(
@@ -68,37 +116,34 @@ def drain(
     batch_rows: int | None = None,
     reset: bool = False,
     since: datetime | None = None,
+    batches_path: str | None = None,
 ) -> dict[str, int]:
     """Extract everything new, then move the watermark; returns pages and records handled.
 
-    One distributed job by default; `batch_rows` works through it in steps instead. The
-    records are written before the watermark, so a run that dies is repeated, and
-    `latest_versions` folds the repeats. `since` wins over `reset`; zone-less is UTC.
+    One distributed job by default; `batch_rows` works through it in steps instead, each
+    reading its own months only. The records are written before the watermark, so a run
+    that dies is repeated, and `latest_versions` folds the repeats. `since` wins over
+    `reset`. `batches_path` names a table that gets a row per batch.
     """
     if since is not None or reset:
-        at = since.replace(tzinfo=None).isoformat(sep=" ") if since is not None else EPOCH
+        after = utc_literal(since) if since is not None else _as_time(EPOCH)
     else:
-        at = watermark(read_progress(spark, progress_path), pack.name).select(F.col("watermark").cast("string")).first()[0]
-    totals = {"pages": 0, "records": 0}
+        marked = watermark(read_progress(spark, progress_path), pack.name)
+        after = _as_time(marked.select(F.col("watermark").cast("string")).first()[0])
+    totals, run, batch = {"pages": 0, "records": 0}, uuid.uuid4().hex, 0
     while True:
-        after = _as_time(at)
         raw = read_raw(spark, raw_path)
-        times = _times_after(raw, pack.name, after)
-        oldest = times if batch_rows is None else times.orderBy("fetched_at").limit(batch_rows)
         # A fixed upper bound: pages landing while the job runs wait for the next one.
-        last = oldest.agg(F.max("fetched_at").cast("string")).first()[0]
+        last = batch_end(raw, pack.name, after, batch_rows).select(F.col("until").cast("string")).first()[0]
         if last is None:
             return totals
-        until, stamp = _as_time(last), _as_time(datetime.now(timezone.utc).replace(tzinfo=None).isoformat(sep=" "))
-        pages = spread(raw_after(raw, pack.name, after).filter(F.col("fetched_at") <= until))
-        append_parsed(parse_pages(pages, pack, stamp), parsed_path)
+        until = _as_time(last)
+        pages, records, _ = extract_batch(raw_after(raw, pack.name, after, until), parsed_path, pack)
         append_progress(spark, progress_path, pack.name, last)
-        # Counted on narrow columns of what was read and written, so that a repeated task counts once.
-        written = read_parsed(spark, parsed_path).filter(
-            (F.col("spider") == pack.name) & (F.col("parsed_at") == stamp) & (F.col("source_month") <= month_of(until))
-        )
-        totals["pages"] += times.filter(F.col("fetched_at") <= until).count()
-        totals["records"] += written.count()
-        at = last
+        if batches_path is not None:
+            append_batch(spark, batches_path, pack.name, run, batch, pages, records, last)
+        totals["pages"] += pages
+        totals["records"] += records
+        after, batch = until, batch + 1
         if batch_rows is None:
             return totals

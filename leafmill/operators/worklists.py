@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from leafmill.functions.records import read_records
-from leafmill.functions.urls import distinct_ids, entry_group
+from leafmill.functions.urls import canonical_url, distinct_ids, entry_group
 from leafmill.operators.landing import has_marker
-from leafmill.operators.links import in_scope, page_links
+from leafmill.operators.links import in_scope, page_links, unique_requests
 from leafmill.sites.base import SitePack
 
 # Fixed value: archive pages walked at most.
@@ -113,7 +113,11 @@ def start_pages(like: DataFrame, pack: SitePack) -> DataFrame:
 
 
 def frontier_step(pages: DataFrame, pack: SitePack, known: DataFrame) -> DataFrame:
-    """Distinct new targets linked from `pages` by the site's rules, minus the `known` URLs."""
-    links = page_links(pages, pack.rules, pack.domains)
-    wanted = links.select(F.col("dst_url").alias("url")).distinct()
-    return wanted.join(known.select("url").distinct(), "url", "left_anti")
+    """New targets linked from `pages` by the site's rules, minus the `known` URLs.
+
+    Spellings of one request (order of the query, fragment, percent-encoding) are one
+    target, of which one is kept, and a known one hides them all.
+    """
+    wanted = unique_requests(page_links(pages, pack.rules, pack.domains), "dst_url")
+    seen = known.select(canonical_url(F.col("url")).alias("canonical_url")).distinct()
+    return wanted.join(seen, "canonical_url", "left_anti").select("url")

@@ -56,3 +56,8 @@ PARSED_TABLE = _struct(
 )
 
 PROGRESS_TABLE = _struct(spider=STR, watermark=TS, updated_at=TS)
+
+# One row per batch of an extraction: what it read and wrote, and how far it came.
+BATCH_TABLE = _struct(
+    spider=STR, run=STR, batch=T.LongType(), pages=T.LongType(), records=T.LongType(), watermark=TS, finished_at=TS
+)

@@ -16,10 +16,10 @@ def read_jsonl(spark: SparkSession, path: str, default_spider: str, now: Column
     return coerce_pages(lines, default_spider, now)
 
 
-def stream_jsonl(spark: SparkSession, path: str, default_spider: str, files_per_batch: int = 100) -> DataFrame:
-    """The same as a stream of newly arriving files."""
+def stream_jsonl(spark: SparkSession, path: str, default_spider: str, bytes_per_batch: int = 64 << 30) -> DataFrame:
+    """The same as a stream of newly arriving files, so many bytes of them at a time."""
     reader = spark.readStream.schema(JSONL_PAGE).option("mode", "FAILFAST")
-    return coerce_pages(reader.option("maxFilesPerTrigger", files_per_batch).json(path), default_spider)
+    return coerce_pages(reader.option("maxBytesPerTrigger", bytes_per_batch).json(path), default_spider)
 
 
 def append_jsonl(pages: DataFrame, path: str) -> None:
@@ -27,7 +27,7 @@ def append_jsonl(pages: DataFrame, path: str) -> None:
     names = [c for c in JSONL_PAGE.names if c in pages.columns]
     rows = pages.select(*names).withColumn("body", body_text(F.col("body")))
     if dict(rows.dtypes).get("payload") == "string":
-        # The payload is an object in the line, not a quoted string.
-        rows = rows.withColumn("payload", F.parse_json("payload"))
+        # The payload is an object in the line, not a quoted string, unless it is no JSON.
+        rows = rows.withColumn("payload", F.coalesce(F.try_parse_json("payload"), F.col("payload").cast("variant")))
     folder = F.coalesce(F.nullif("spider", F.lit("")), F.lit("unknown")).alias("site")
     rows.select("*", folder).write.mode("append").partitionBy("site").json(path)

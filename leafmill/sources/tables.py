@@ -8,33 +8,35 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from leafmill.operators.landing import landed, month_of
+from leafmill.functions.text import utc_literal
+from leafmill.operators.landing import decoded, landed, month_of
 from leafmill.operators.quality import with_disposition, with_verdict
 from leafmill.operators.versions import RETENTION, latest_versions, unexpired, with_content_key
-from leafmill.schemas import PARSED_TABLE, PROGRESS_TABLE, RAW_TABLE
-from leafmill.session import scratch_path
+from leafmill.schemas import BATCH_TABLE, PARSED_TABLE, PROGRESS_TABLE, RAW_TABLE
 from leafmill.sites.base import SitePack
 
 
-def append_raw(pages: DataFrame, path: str) -> None:
+def append_raw(pages: DataFrame, path: str, pack: SitePack | None = None) -> None:
     """Append raw rows by fetch month, sorted so that a site's time range skips row groups.
 
-    No shuffle: bodies stay in the partition they were read in.
+    No shuffle: bodies stay in the partition they were read in. `pack` is a site of one's
+    own, whose marker is noted as those of the registered sites are.
     """
-    rows = landed(pages) if "fetch_month" not in pages.columns else pages.select(*RAW_TABLE.names)
+    rows = landed(pages, pack=pack) if "fetch_month" not in pages.columns else pages.select(*RAW_TABLE.names)
     ordered = rows.sortWithinPartitions("fetch_month", "spider", "fetched_at")
     ordered.write.mode("append").partitionBy("fetch_month").parquet(path)
 
 
 def append_routed(pages: DataFrame, pack: SitePack, path: str) -> None:
-    """Judge captured pages and store each under its disposition, in one pass over the bodies.
+    """Inflate, decode and judge captured pages and store each under its disposition, in one pass over the bodies.
 
-    `path/disposition=accept` is then a raw table for `read_raw`; the other folders hold
-    what to request again, what to give up on, and answers that are no pages. A folder
-    is there once a page went into it; `read_routed` reads them all.
+    Bodies may be bytes, compressed or not, or text. `path/disposition=accept` is then a
+    raw table for `read_raw`; the other folders hold what to request again, what to give
+    up on, and answers that are no pages. A folder is there once a page went into it;
+    `read_routed` reads them all.
     """
-    judged = with_disposition(with_verdict(pages, pack), pack.retry_times)
-    rows = landed(judged, "reason", "disposition")
+    judged = with_disposition(with_verdict(decoded(pages), pack), pack.retry_times)
+    rows = landed(judged, "reason", "disposition", pack=pack)
     ordered = rows.sortWithinPartitions("disposition", "fetch_month", "spider", "fetched_at")
     ordered.write.mode("append").partitionBy("disposition", "fetch_month").parquet(path)
 
@@ -57,23 +59,14 @@ def append_parsed(rows: DataFrame, path: str) -> None:
 
 
 def read_raw(spark: SparkSession, path: str, since: datetime | Column | None = None) -> DataFrame:
-    """The raw table; `since` is a strict lower bound that prunes months as well as rows."""
+    """The raw table; `since` is a strict lower bound that prunes months as well as rows. Without an offset it is UTC."""
     raw = spark.read.schema(RAW_TABLE).parquet(path)
     if since is None:
         return raw
-    bound = F.lit(since) if isinstance(since, datetime) else since
+    bound = utc_literal(since) if isinstance(since, datetime) else since
     return raw.filter((F.col("fetched_at") > bound) & (F.col("fetch_month") >= month_of(bound)))
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Give every core rows of a plain scan (filters and projections at most) that has fewer splits than cores.
-
-    A large table has many more splits and is left alone: bodies are never shuffled there.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
-
-
 def read_parsed(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(PARSED_TABLE).parquet(path)
 
@@ -98,48 +91,86 @@ def append_progress(spark: SparkSession, path: str, spider: str, watermark: str)
     row.coalesce(1).write.mode("append").parquet(path)
 
 
-# Maintenance of catalogued tables. A month is rewritten through a staging copy: a plan
-# must not overwrite the files it reads, and an executor lost half-way leaves the month as it was.
+def append_batch(
+    spark: SparkSession, path: str, spider: str, run: str, batch: int, pages: int, records: int, watermark: str | None
+) -> None:
+    """Note what a batch of an extraction read and wrote."""
+    row = spark.range(1).select(
+        F.lit(spider).alias("spider"),
+        F.lit(run).alias("run"),
+        F.lit(batch).cast("long").alias("batch"),
+        F.lit(pages).cast("long").alias("pages"),
+        F.lit(records).cast("long").alias("records"),
+        F.lit(watermark).cast("timestamp").alias("watermark"),
+        F.current_timestamp().alias("finished_at"),
+    )
+    row.coalesce(1).write.mode("append").parquet(path)
+
+
+def read_batches(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(BATCH_TABLE).parquet(path)
+
+
+# Maintenance of tables by their path. A month is rewritten by appending its new files and then deleting
+# exactly the files that were read: rows landed meanwhile stay, a run that dies leaves repeats and no gaps,
+# and `latest_versions` folds the repeats.
 
 
 def create_table(spark: SparkSession, name: str, schema: T.StructType, month: str, location: str | None = None) -> None:
+    """Register a table; months that were landed at its location before are found."""
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     place = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet PARTITIONED BY ({month}){place}")
+    if location:
+        spark.catalog.recoverPartitions(name)
 
 
-def _months(spark: SparkSession, name: str) -> list[str]:
-    """Months a table holds, from the catalogue alone."""
-    return sorted(r.partition.split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {name}").collect())
+def _folder(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
 
 
-def _replace_month(spark: SparkSession, name: str, column: str, month: str, rows: DataFrame) -> None:
-    staged = scratch_path(spark, "staged-month")
-    rows.drop(column).write.parquet(staged)
-    names = ", ".join(f"`{c}`" for c in rows.columns if c != column)
-    copy = spark.read.parquet(staged)
-    copy.createOrReplaceTempView("_staged_month")
-    spark.sql(
-        f"INSERT OVERWRITE TABLE {name} PARTITION ({column} = DATE'{month}') SELECT {names} FROM _staged_month"
-    )
-    spark.catalog.dropTempView("_staged_month")
+def _months(spark: SparkSession, path: str, column: str) -> dict[str, str]:
+    """The months a table holds and their folders, from one listing; rows without a month are left out."""
+    store, place = _folder(spark, path)
+    if not store.exists(place):
+        return {}
+    named = [f.getPath() for f in store.listStatus(place) if f.getPath().getName().startswith(f"{column}=")]
+    months = {p.getName().split("=", 1)[1]: p.toString() for p in named}
+    return {m: months[m] for m in sorted(months) if m != "__HIVE_DEFAULT_PARTITION__"}
+
+
+def _files(spark: SparkSession, folder: str) -> list[str]:
+    """A month's data files as they are now."""
+    store, place = _folder(spark, folder)
+    return sorted(f.getPath().toString() for f in store.listStatus(place) if not f.getPath().getName().startswith(("_", ".")))
+
+
+def _delete(spark: SparkSession, files: list[str]) -> None:
+    for name in files:
+        store, place = _folder(spark, name)
+        store.delete(place, False)
 
 
-def expire_raw(spark: SparkSession, name: str, now: datetime) -> None:
-    """Delete raw rows past the retention time: whole months are dropped, the boundary month is rewritten."""
-    moment = F.lit(now.isoformat(sep=" ")).cast("timestamp")
+def expire_raw(spark: SparkSession, path: str, now: datetime) -> None:
+    """Delete raw rows past the retention time: older months go file by file, the boundary month is rewritten."""
+    moment = utc_literal(now)
     edge = str(spark.range(1).select(month_of(moment - F.expr(RETENTION))).first()[0])
-    for month in _months(spark, name):
-        if month < edge:
-            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (fetch_month = DATE'{month}')")
-        elif month == edge:
-            rows = spark.table(name).filter(F.col("fetch_month") == F.lit(month).cast("date"))
-            kept = unexpired(rows, moment).sortWithinPartitions("spider", "fetched_at")
-            _replace_month(spark, name, "fetch_month", month, kept)
-
-
-def compact_parsed(spark: SparkSession, name: str, months: list[str] | None = None) -> None:
-    """Keep only the newest version of each record, month by month."""
-    for month in months if months is not None else _months(spark, name):
-        rows = spark.table(name).filter(F.col("source_month") == F.lit(month).cast("date"))
-        _replace_month(spark, name, "source_month", month, latest_versions(rows))
+    for month, folder in _months(spark, path, "fetch_month").items():
+        files = _files(spark, folder) if month <= edge else []
+        if files and month == edge:
+            rows = spark.read.schema(RAW_TABLE).option("basePath", path).parquet(*files)
+            kept = unexpired(rows, moment).sortWithinPartitions("fetch_month", "spider", "fetched_at")
+            kept.write.mode("append").partitionBy("fetch_month").parquet(path)
+        _delete(spark, files)
+
+
+def compact_parsed(spark: SparkSession, path: str, months: list[str] | None = None) -> None:
+    """Keep only the newest version of each record in the given months, or in all, as one job."""
+    held = _months(spark, path, "source_month")
+    files = [name for month, folder in held.items() if months is None or month in months for name in _files(spark, folder)]
+    if files:
+        rows = spark.read.schema(PARSED_TABLE).option("basePath", path).parquet(*files)
+        newest = latest_versions(rows).select(*PARSED_TABLE.names).hint("rebalance", "source_month")
+        newest.write.mode("append").partitionBy("source_month").parquet(path)
+        _delete(spark, files)

@@ -1,46 +1,66 @@
-"""The same work as streams: files are tracked by the checkpoint, so nothing is read twice or missed."""
+"""The same work as streams: files are tracked by the checkpoint, so nothing is read twice or missed.
+
+Batches are written by the batch writers, so streams and batch jobs share their tables
+and their file layout. A batch that was cut off between writing and committing is written
+again; `latest_versions` folds what repeats.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from leafmill.operators.extract import parse_pages
-from leafmill.operators.landing import landed
+from leafmill.operators.incremental import extract_batch
 from leafmill.schemas import RAW_TABLE
 from leafmill.sites.base import SitePack
 from leafmill.sources.jsonl import stream_jsonl
+from leafmill.sources.tables import append_batch, append_raw
 
-FILES_PER_BATCH = 100
-
+# Input of one batch; a batch is one distributed job, so it should keep a whole cluster busy.
+BYTES_PER_BATCH = 64 << 30
 
-def _append(rows: DataFrame, path: str, checkpoint: str, month: str) -> StreamingQuery:
-    writer = rows.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
-    return writer.partitionBy(month).trigger(availableNow=True).start()
 
-
-def stream_raw(spark: SparkSession, raw_path: str, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
+def stream_raw(spark: SparkSession, raw_path: str, bytes_per_batch: int = BYTES_PER_BATCH) -> DataFrame:
     """The raw table as a stream of landed files."""
-    return spark.readStream.schema(RAW_TABLE).option("maxFilesPerTrigger", files_per_batch).parquet(raw_path)
+    return spark.readStream.schema(RAW_TABLE).option("maxBytesPerTrigger", bytes_per_batch).parquet(raw_path)
 
 
 def start_parse(
-    spark: SparkSession, raw_path: str, parsed_path: str, checkpoint: str, pack: SitePack, files_per_batch: int = FILES_PER_BATCH
+    spark: SparkSession,
+    raw_path: str,
+    parsed_path: str,
+    checkpoint: str,
+    pack: SitePack,
+    bytes_per_batch: int = BYTES_PER_BATCH,
+    batches_path: str | None = None,
 ) -> StreamingQuery:
-    """Extract every raw file landed since the last run and stop. A fresh checkpoint replays all."""
-    return _append(parse_pages(stream_raw(spark, raw_path, files_per_batch), pack), parsed_path, checkpoint, "source_month")
+    """Extract every raw file landed since the last run and stop. A fresh checkpoint replays all.
 
+    `batches_path` names a table that gets a row per batch: pages, records and the newest
+    fetch time among them.
+    """
 
-def start_landing(
-    spark: SparkSession, jsonl_path: str, raw_path: str, checkpoint: str, default_spider: str, files_per_batch: int = FILES_PER_BATCH
-) -> StreamingQuery:
-    """Land every export file that arrived since the last run and stop."""
-    pages = landed(stream_jsonl(spark, jsonl_path, default_spider, files_per_batch))
-    return _append(pages, raw_path, checkpoint, "fetch_month")
+    def write(pages: DataFrame, batch: int) -> None:
+        mine = pages.filter(F.col("spider") == pack.name).select("spider", "url", "body", "fetched_at")
+        read, records, newest = extract_batch(mine, parsed_path, pack)
+        if batches_path is not None:
+            append_batch(pages.sparkSession, batches_path, pack.name, checkpoint, batch, read, records, newest)
+
+    stream = stream_raw(spark, raw_path, bytes_per_batch)
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def batch_metrics(query: StreamingQuery) -> list[dict]:
-    """Rows read and time taken by each batch of a query."""
-    return [
-        {"batch": p["batchId"], "rows": p["numInputRows"], "ms": p["batchDuration"]} for p in query.recentProgress
-    ]
+def start_landing(
+    spark: SparkSession,
+    jsonl_path: str,
+    raw_path: str,
+    checkpoint: str,
+    default_spider: str,
+    bytes_per_batch: int = BYTES_PER_BATCH,
+    pack: SitePack | None = None,
+) -> StreamingQuery:
+    """Land every export file that arrived since the last run and stop; `pack` as in `append_raw`."""
+    pages = stream_jsonl(spark, jsonl_path, default_spider, bytes_per_batch)
+    write = pages.writeStream.foreachBatch(lambda rows, _: append_raw(rows, raw_path, pack))
+    return write.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

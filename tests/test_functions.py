@@ -39,6 +39,8 @@ def test_clean_and_strip(spark):
         ("2026-05-31T12:00:00+03:00", "2026-05-31 09:00:00"),
         ("2026-05-31 12:00:00.25", "2026-05-31 12:00:00.25"),
         ("2026-05-31", "2026-05-31 00:00:00"),
+        ("2026-05-31T10", "2026-05-31 10:00:00"),
+        ("2026-05-31 10+03:00", "2026-05-31 07:00:00"),
         ("12:00", "2030-01-01 00:00:00"),
         ("soon", "2030-01-01 00:00:00"),
         (None, "2030-01-01 00:00:00"),
@@ -54,9 +56,9 @@ def test_body_text(spark):
     assert scalar(spark, text.body_text(V.cast("binary")), v=None) == ""
 
 
-@pytest.mark.parametrize("given, number", [("1 234 ₽", 1234), ("", None), ("нет", None), ("9" * 25, None)])
+@pytest.mark.parametrize("given, number", [("1 234 ₽", 1234), ("18446744073709551615", 2**64 - 1), ("18446744073709551616", None), ("", None), ("нет", None), ("9" * 25, None)])
 def test_digits(spark, given, number):
-    assert scalar(spark, text.digits_to_long(V), v=given) == number
+    assert scalar(spark, text.digits_to_number(V), v=given) == number
 
 
 @pytest.mark.parametrize(

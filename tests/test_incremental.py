@@ -1,10 +1,14 @@
+import time
 from dataclasses import replace
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
 
 from helpers import raw_rows, times, ts
 from leafmill.operators import incremental, versions
+from leafmill.plans import items
+from leafmill.sites.auctions import PACK as AUCTIONS
 from leafmill.sites.registry import get_site
 from leafmill.sources import jsonl, tables
 from leafmill.streaming import drain as streams
@@ -48,15 +52,58 @@ def test_batches_take_their_ties_along(spark):
     raw = raw_rows(spark, [(t, "s", b, 200, b) for t, b in TIED])
     epoch = F.lit(incremental.EPOCH).cast("timestamp")
 
-    def urls(**kw):
-        return sorted(r.url for r in incremental.next_batch(raw, "s", epoch, 2, **kw).collect())
-
-    assert urls() == ["a", "b", "c"]
-    assert urls(with_ties=False) == ["a", "b"]
+    assert sorted(r.url for r in incremental.next_batch(raw, "s", epoch, 2).collect()) == ["a", "b", "c"]
     later = incremental.next_batch(raw, "s", F.lit("2024-01-02").cast("timestamp"), 2)
     assert [r.url for r in later.collect()] == ["d"]
 
 
+def test_exact_batches_go_on_from_the_last_place(spark):
+    pages = [(f"2024-01-0{1 + i // 5} 00:00:00", f"u{i:02d}") for i in range(20)]
+    raw = raw_rows(spark, [(t, "s", u, 200, u) for t, u in pages])
+    after, url, got = F.lit(incremental.EPOCH).cast("timestamp"), None, []
+    while batch := times(incremental.next_exact(raw, "s", after, url, 3), "fetched_at").orderBy("fetched_at", "url").collect():
+        assert len(batch) <= 3
+        got += [(r.fetched_at, r.url) for r in batch]
+        after, url = F.lit(got[-1][0]).cast("timestamp"), F.lit(got[-1][1])
+    assert got == pages
+
+
+def test_offsets_are_converted_in_any_machine_zone(spark, paths, monkeypatch):
+    monkeypatch.setenv("TZ", "America/New_York")
+    time.tzset()
+    try:
+        plus_five = datetime(2024, 1, 2, 5, tzinfo=timezone(timedelta(hours=5)))
+        raw = raw_rows(spark, [(t, "quotes", b, 200, b) for t, b in TIED])
+        tables.append_raw(raw, paths[0])
+        for since in (plus_five, ts("2024-01-02"), datetime(2024, 1, 2, tzinfo=timezone.utc)):
+            assert {r.url for r in incremental.replay(raw, "quotes", since).collect()} == {"d"}
+            assert {r.url for r in tables.read_raw(spark, paths[0], since).collect()} == {"d"}
+        assert incremental.drain(spark, *paths, QUOTES, since=plus_five)["pages"] == 1
+    finally:
+        monkeypatch.undo()
+        time.tzset()
+
+
+def test_a_step_reads_its_own_months_only(spark, paths):
+    land(spark, paths[0], [(f"2024-0{m}-05 00:00:00", "x") for m in range(1, 7)])
+    raw = tables.read_raw(spark, paths[0])
+    stamp = lambda t: F.lit(t).cast("timestamp")
+    plan = incremental.raw_after(raw, "quotes", stamp("2024-02-01"), stamp("2024-03-05"))._jdf.queryExecution().executedPlan().toString()
+    months = plan.split("PartitionFilters:")[1].split("PushedFilters")[0]
+    assert "fetch_month" in months and ">= 2024-02-01" in months and "<= 2024-03-01" in months
+
+
+def test_newest_fetch_wins_inside_one_drain(spark, paths):
+    pack = AUCTIONS
+    page = '<h5 data-lf-microdata="lot-name">{}</h5><span data-lf-microdata="lot-start-price">{}</span>'
+    rows = [("2024-03-01 00:00:00", "A new", 1000), ("2024-01-01 00:00:00", "Z old", 900), ("2024-02-01 00:00:00", "M mid", 950)]
+    own = [(t, pack.name, f"{pack.urls.home}/auction/7/1/", 200, page.format(*v)) for t, *v in rows]
+    tables.append_raw(raw_rows(spark, own), paths[0])
+    assert incremental.drain(spark, *paths, pack) == {"pages": 3, "records": 3}
+    fact = items.item_facts(tables.read_parsed(spark, paths[1]), pack).first()
+    assert (fact.title, fact.start_price) == ("A new", 1000)
+
+
 def test_replay_is_strictly_after_the_given_time(spark):
     raw = raw_rows(spark, [(t, "s", b, 200, b) for t, b in TIED])
     assert {r.url for r in incremental.replay(raw, "s", ts("2024-01-02")).collect()} == {"d"}
@@ -102,12 +149,31 @@ def test_stream_gives_what_the_batch_gives(spark, paths, tmp_path):
     assert held(spark, streamed) == ["a", "b", "c", "d"]
     once = versions.latest_versions(tables.read_parsed(spark, paths[1])).drop("parsed_at")
     assert once.exceptAll(tables.read_parsed(spark, streamed).drop("parsed_at")).count() == 0
-    assert sum(b["rows"] for b in streams.batch_metrics(query)) > 0
     again = streams.start_parse(spark, paths[0], streamed, checkpoint, QUOTES)
     again.awaitTermination()
     assert len(held(spark, streamed)) == 4
 
 
+def test_batch_and_stream_share_their_tables(spark, paths, tmp_path):
+    """Batch, stream and batch again into the same raw and parsed paths, and everything can be read."""
+    raw, parsed, progress = paths
+    source, batches = str(tmp_path / "in"), str(tmp_path / "batches")
+    land(spark, raw, [(t, listing(b)) for t, b in TIED[:1]])
+    assert incremental.drain(spark, *paths, QUOTES, batches_path=batches) == {"pages": 1, "records": 1}
+    jsonl.append_jsonl(raw_rows(spark, [(t, "quotes", f"v-{b}", 200, listing(b)) for t, b in TIED[1:3]]), source)
+    streams.start_landing(spark, f"{source}/site=quotes", raw, str(tmp_path / "land"), "none").awaitTermination()
+    streams.start_parse(spark, raw, parsed, str(tmp_path / "ck"), QUOTES, batches_path=batches).awaitTermination()
+    land(spark, raw, [(t, listing(b)) for t, b in TIED[3:]])
+    assert incremental.drain(spark, *paths, QUOTES, batches_path=batches) == {"pages": 3, "records": 3}
+    assert tables.read_raw(spark, raw).filter("spider = 'quotes'").count() == 4
+    assert sorted(set(held(spark, parsed))) == ["a", "b", "c", "d"]
+    assert versions.latest_versions(tables.read_parsed(spark, parsed)).count() == 4
+    noted = times(tables.read_batches(spark, batches), "watermark").orderBy("finished_at").collect()
+    assert [(r.pages, r.records, r.watermark) for r in noted] == [
+        (1, 1, "2024-01-01 00:00:00"), (3, 3, "2024-01-02 00:00:00"), (3, 3, "2024-02-03 00:00:00"),
+    ]
+
+
 def test_landing_stream_takes_new_files_once(spark, tmp_path):
     source, raw, checkpoint = (str(tmp_path / n) for n in ("in", "raw", "ck"))
     for t, b in TIED:

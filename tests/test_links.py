@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from helpers import pages_of, raw_rows
 from leafmill.operators import landing, links, worklists
+from leafmill.sources import tables
 from leafmill.sites.base import LinkRules
 from leafmill.sites.auctions import PACK
 from leafmill.sites.registry import get_site
@@ -110,6 +111,19 @@ def test_landed_marker_saves_reading_bodies(spark, tmp_path):
     assert paths(worklists.heal_set(raw, PACK)) == ["/auction/716/2/", "/auction/717/5/"]
 
 
+def test_work_lists_of_a_site_of_ones_own(spark, tmp_path):
+    """Markers noted at landing, or looked up in the bodies where they were not."""
+    own = replace(PACK, name="own")
+    raw = stored(spark).withColumn("spider", F.when(F.col("spider") == PACK.name, "own").otherwise(F.col("spider")))
+    for noted in (None, own):
+        path = str(tmp_path / f"raw-{noted is None}")
+        tables.append_raw(raw, path, noted)
+        landed = tables.read_raw(spark, path)
+        assert landed.filter("spider = 'own' and has_marker is null").count() == (0 if noted else landed.filter("spider = 'own'").count())
+        assert paths(worklists.heal_set(landed, own)) == ["/auction/716/2/", "/auction/717/5/"]
+        assert paths(worklists.good_entries(landed, own)) == ["/auction/716/1/", "/auction/717/4a/"]
+
+
 def test_skip_held_lets_catalogue_pages_through(spark):
     crawl = edges(spark, [HOME + u for u in ("/auction/716/1/", "/auction/716/1/", "/auction/716/2/", "/auction/716/", "/auction/716/?page=2")])
     want = ["/auction/716/", "/auction/716/2/", "/auction/716/?page=2"]
@@ -159,5 +173,9 @@ def test_frontier_step(spark):
     pages = pages_of(spark, [("https://quotes.toscrape.com/", LISTING), ("https://quotes.toscrape.com/page/1/", LISTING)])
     known = spark.createDataFrame([("https://quotes.toscrape.com/page/2/",)], "url string")
     assert [r.url for r in worklists.frontier_step(pages, QUOTES, known).collect()] == ["https://quotes.toscrape.com/tag/books/page/1/"]
+    body = '<a href="/x?b=2&a=1#one">1</a><a href="/x?a=1&b=2#two">2</a><a href="/y?q=%7Ea">3</a><a href="/y?q=~a">4</a>'
+    page = pages_of(spark, [("https://quotes.toscrape.com/", body)])
+    seen = spark.createDataFrame([("https://QUOTES.toscrape.com/x?a=1&b=2",)], "url string")
+    assert [r.url for r in worklists.frontier_step(page, replace(QUOTES, rules=LinkRules()), seen).collect()] == ["https://quotes.toscrape.com/y?q=%7Ea"]
     open_rules = replace(QUOTES, rules=LinkRules())
     assert worklists.frontier_step(pages, open_rules, known).filter(F.col("url").endswith(".pdf")).count() == 0

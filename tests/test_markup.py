@@ -122,6 +122,35 @@ def test_broken_markup_is_split_in_linear_time(body):
     assert time.perf_counter() - start < 5
 
 
+@pytest.mark.parametrize("wall", ["", "<b><table>"])
+def test_stray_end_tags_cost_no_search(wall):
+    spent = []
+    for n in (4000, 32000):
+        start = time.perf_counter()
+        nodes = split(wall + "<i>" * n + "</b>" * n)
+        spent.append(time.perf_counter() - start)
+        assert len(nodes) == n + 2 * bool(wall)
+    assert spent[1] < 40 * max(spent[0], 0.01)
+
+
+def test_many_ancestors_cost_one_pass(spark):
+    spent = []
+    for n in (200, 3200):
+        body = "".join(f"<div class='x'><div class='x'><small>{i}</small></div></div>" for i in range(n))
+        page = spark.createDataFrame([("u", body)], "url string, body string").select(m.page_nodes(F.col("body"), F.col("url")).alias("n"))
+        found = page.select(F.size(m.pick(F.col("n"), m.element("div", ["x"]), m.element("small"))).alias("k"))
+        found.first()
+        start = time.perf_counter()
+        assert found.first()["k"] == n
+        spent.append(time.perf_counter() - start)
+    assert spent[1] < 10 * max(spent[0], 0.2)
+
+
+def test_the_first_readable_base_counts():
+    links = [n["link"] for n in split('<base href="http://[bad"><a href="x"></a><base href="http://o.org/"><a href="y"></a>', base="http://h/d/", links=True) if n["tag"] == "a"]
+    assert links == ["http://h/d/x", "http://h/d/y"]
+
+
 PIECES = st.sampled_from(
     ["<p>", "</p>", "<div class='a b'>", "</div>", "<li>", "<ul>", "</ul>", "<b>", "</b>", "<br>", "<!-- x -->", "<td>", "<tr>",
      "<table>", "</table>", "<script>", "</script>", "<a href=x>", "</a>", "&amp;", "text ", "<", ">", '"', "<!", "\xa0"]
@@ -142,7 +171,7 @@ def test_any_soup_gives_a_tree_in_document_order(pieces):
 
 
 @settings(max_examples=100, deadline=None)
-@given(st.text(st.characters(blacklist_characters="<>&"), min_size=1))
+@given(st.text(st.characters(blacklist_characters="<>&", blacklist_categories=["Cs"]), min_size=1))
 def test_plain_text_is_one_run(text):
     assert [n["text"] for n in split(text)] == [text]
 

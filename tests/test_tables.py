@@ -1,4 +1,6 @@
+import gzip
 import json
+import zlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -77,6 +79,30 @@ def test_routed_pages_are_stored_in_one_pass(spark, tmp_path):
     assert tables.read_raw(spark, f"{path}/disposition=accept").count() == 2
 
 
+def test_compressed_pages_are_inflated_before_they_are_judged(spark, tmp_path):
+    good = b"<b data-lf-microdata>" + "тело".encode() * 200
+    sent = [gzip.compress(good), zlib.compress(good), good, b""]
+    rows = [(f"{PACK.urls.home}/auction/1/{i}/", bytearray(b)) for i, b in enumerate(sent)] + [(f"{PACK.urls.home}/robots.txt", bytearray(b"x"))]
+    pages = spark.createDataFrame(rows, "url string, body binary").select(
+        F.lit("2024-01-01").cast("timestamp").alias("fetched_at"), F.lit(PACK.name).alias("spider"), "url", F.lit(200).alias("http_status"),
+        F.when(F.col("url").endswith("/1/"), F.create_map(F.lit("Content-Encoding"), F.lit("deflate"))).otherwise(F.create_map().cast("map<string,string>")).alias("headers"),
+        "body", F.lit("{}").alias("payload"),
+    )
+    path = str(tmp_path / "routed")
+    tables.append_routed(pages, PACK, path)
+    got = {r.url.rsplit("/", 2)[-2 if r.url.endswith("/") else -1]: r for r in tables.read_routed(spark, path).collect()}
+    assert [got[k].disposition for k in ("0", "1", "2", "3", "robots.txt")] == ["accept", "accept", "accept", "retry", "accept"]
+    assert {got[k].body for k in "012"} == {good.decode()} and got["0"].has_marker
+    landed = landing.coerce_pages(pages, "none", NOW)
+    assert {r.body for r in landed.filter("url like '%/0/' or url like '%/1/'").collect()} == {good.decode()}
+
+
+def test_export_keeps_payloads_that_are_no_json(spark, tmp_path):
+    raw = raw_rows(spark, [("2026-05-31 12:00:00", "quotes", "u", 200, "x")]).withColumn("payload", F.lit("not {json"))
+    jsonl.append_jsonl(raw, str(tmp_path / "out"))
+    assert jsonl.read_jsonl(spark, str(tmp_path / "out" / "site=quotes"), "x", NOW).first().payload == "not {json"
+
+
 def test_lower_bound_prunes_months(spark, tmp_path):
     path = str(tmp_path / "raw")
     rows = [(f"2024-0{m}-15 00:00:00", PACK.name, f"u{m}", 200, "") for m in range(1, 7)]
@@ -95,14 +121,23 @@ def test_retention_is_exclusive_at_the_edge(spark):
     assert {r.url for r in kept.collect()} == {"2024-01-01 00:00:01", "2024-03-01 00:00:00"}
 
 
-def test_expire_drops_months_and_rewrites_the_edge(spark):
-    tables.create_table(spark, "raw_expiry", RAW_TABLE, "fetch_month")
+def test_expire_drops_months_and_rewrites_the_edge(spark, tmp_path):
+    path = str(tmp_path / "raw")
     rows = [(t, "s", t, 200, "") for t in ("2023-12-31 00:00:00", "2024-01-01 00:00:00", "2024-01-20 00:00:00", "2024-03-01 00:00:00")]
-    landing.landed(raw_rows(spark, rows)).write.insertInto("raw_expiry")
-    tables.expire_raw(spark, "raw_expiry", ts("2024-07-10 00:00:00"))
-    assert {r.url for r in spark.table("raw_expiry").collect()} == {"2024-01-20 00:00:00", "2024-03-01 00:00:00"}
-    assert spark.sql("SHOW PARTITIONS raw_expiry").count() == 2
-    spark.sql("DROP TABLE raw_expiry")
+    tables.append_raw(raw_rows(spark, rows), path)
+    tables.expire_raw(spark, path, ts("2024-07-10 00:00:00"))
+    assert {r.url for r in tables.read_raw(spark, path).collect()} == {"2024-01-20 00:00:00", "2024-03-01 00:00:00"}
+    tables.expire_raw(spark, path, ts("2030-01-01 00:00:00"))
+    assert tables.read_raw(spark, path).count() == 0
+    tables.expire_raw(spark, str(tmp_path / "none"), ts("2030-01-01 00:00:00"))
+
+
+def test_registered_tables_know_what_was_landed(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    tables.append_raw(raw_rows(spark, [("2024-01-01 00:00:00", "s", "u", 200, "")]), path)
+    tables.create_table(spark, "raw_landed", RAW_TABLE, "fetch_month", path)
+    assert spark.table("raw_landed").count() == 1
+    spark.sql("DROP TABLE raw_landed")
 
 
 def envelope(spark, rows):
@@ -145,14 +180,23 @@ def test_hot_record_is_folded_before_the_shuffle(spark):
     assert "partial_max" in plan and "Window" not in plan
 
 
-def test_compaction_rewrites_months_in_place(spark):
-    tables.create_table(spark, "parsed_compact", PARSED_TABLE, "source_month")
+def test_compaction_keeps_what_is_landed_meanwhile(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "parsed")
     for _ in range(2):
-        versions.with_content_key(envelope(spark, VERSIONED)).write.insertInto("parsed_compact")
-    tables.compact_parsed(spark, "parsed_compact")
-    got = summary(spark.table("parsed_compact"))
-    assert len(got) == 4 and set(got) == NEWEST
-    spark.sql("DROP TABLE parsed_compact")
+        tables.append_parsed(envelope(spark, VERSIONED), path)
+    folded = tables.latest_versions
+
+    def slow(rows):
+        # Another job appends between the listing and the rewrite.
+        tables.append_parsed(envelope(spark, [("late", "2024-01-05", "2024-01-06", '{"type":"item"}')]), path)
+        return folded(rows)
+
+    monkeypatch.setattr(tables, "latest_versions", slow)
+    tables.compact_parsed(spark, path, ["2024-01-01"])
+    monkeypatch.undo()
+    tables.compact_parsed(spark, path)
+    got = summary(tables.read_parsed(spark, path))
+    assert len(got) == 5 and NEWEST < set(got) and [g[0] for g in set(got) - NEWEST] == ["late"]
 
 
 def test_plain_envelopes_can_be_appended(spark, tmp_path):

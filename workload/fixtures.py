@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leafmill.sites.auctions import PACK
-from leafmill.sources.tables import spread
 
 HOME = PACK.urls.home
 
@@ -19,6 +18,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def dealt(rows: DataFrame) -> DataFrame:
+    """The driver's tables are single files of one row group; their narrow rows are dealt out before pages are made of them."""
+    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism)
+
+
 def text(column: str | Column) -> Column:
     return (F.col(column) if isinstance(column, str) else column).cast("string")
 
@@ -45,7 +49,7 @@ def raw_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     marker = F.when(i % 3 != 0, cat('<b data-lf-microdata="lot-name">Lot ', text(i), "</b>")).otherwise(F.lit(""))
     whole = cat(F.col("html"), marker)
-    pages = spread(table(spark, sf_dir, "pages").select("page_id", "html"))
+    pages = dealt(table(spark, sf_dir, "pages").select("page_id", "html"))
     return pages.select(
         "page_id",
         after_start((i * 37).cast("int")).alias("fetched_at"),
@@ -90,7 +94,7 @@ def _auction_records(orders: DataFrame, later: bool) -> DataFrame:
 
 def auction_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One record per order and, for every third, a later one that knows neither status nor date."""
-    orders = spread(table(spark, sf_dir, "orders"))
+    orders = dealt(table(spark, sf_dir, "orders"))
     return _auction_records(orders, False).unionAll(_auction_records(orders, True))
 
 
@@ -120,7 +124,7 @@ def item_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("images"),
         url.alias("source_url"),
     )
-    rows = spread(table(spark, sf_dir, "lineitem"))
+    rows = dealt(table(spark, sf_dir, "lineitem"))
     return rows.select(*_envelope(url, "l_shipdate", F.col("l_shipdate"), record, "item"))
 
 
@@ -149,14 +153,14 @@ def event_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# Archive pages from `orders`: 36 ids a page, each linked twice; every 97th page repeats the one before.
+# Archive pages from `orders`: 36 ids a page, each linked twice; every 997th page repeats the one before.
 
 
 def archive_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(page, html), the rows of a page put together in groups of 36 keys."""
     key = F.col("o_orderkey")
     page = F.floor(key / 36).cast("bigint") + 1
-    shown = text(F.when(page % 97 == 0, key - 36).otherwise(key))
+    shown = text(F.when(page % 997 == 0, key - 36).otherwise(key))
     link = cat(
         '<a class="tm-media-box" href="/auction/', shown, '/"></a><a href="', HOME, "/auction/", shown, '/">',
         shown, '</a><a href="/auction/rules/">rules</a>',
@@ -187,7 +191,7 @@ def quote_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         _HEAD, '</head><body><p>unclosed<div class="row"><a class="tag" href="/x">not a quote</a>',
         F.array_join(lines, "\n"), '</div><div class="quote"></div><ul><li class="next"><a href="/page/2/">Next</a></ul>',
     )
-    rows = spread(table(spark, sf_dir, "conversations"))
+    rows = dealt(table(spark, sf_dir, "conversations"))
     url = cat("https://quotes.toscrape.com/page/", text("conv_id"), "/?turn=", text("turn"))
     return rows.select(
         F.lit("quotes").alias("spider"), url.alias("url"), body.alias("body"), after_start(F.col("turn").cast("int")).alias("fetched_at")
@@ -208,7 +212,7 @@ def book_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     pods = F.transform(F.sequence(F.lit(1), F.col("p_size") % 3 + 1), pod)
     body = cat(_HEAD, '</head><body><ol class="row">', F.array_join(pods, ""), "</ol></body></html>")
     url = cat("https://books.toscrape.com/catalogue/page-", text("p_partkey"), ".html")
-    rows = spread(table(spark, sf_dir, "part"))
+    rows = dealt(table(spark, sf_dir, "part"))
     return rows.select(
         F.lit("books").alias("spider"), url.alias("url"), body.alias("body"), after_start(F.col("p_size")).alias("fetched_at")
     )
@@ -256,7 +260,7 @@ def catalog_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         k, '"></head><body><p>x', F.when(key % 7 == 0, F.lit("<p>Access denied")).otherwise(good), "</body></html>",
     )
     url = cat(HOME, "/auction/", k, "/?page=1")
-    rows = spread(table(spark, sf_dir, "orders"))
+    rows = dealt(table(spark, sf_dir, "orders"))
     return rows.select(
         F.lit(PACK.name).alias("spider"), url.alias("url"), body.alias("body"), F.col("o_orderdate").alias("fetched_at")
     )
@@ -281,13 +285,46 @@ def lot_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         '.png"></head><body>', F.when(F.col("l_partkey") % 10 == 0, F.lit("<p>лот не найден")).otherwise(lot),
         '<span data-type="lot-views-cnt">', text(F.col("l_quantity").cast("int")), "</span></body></html>",
     )
-    rows = spread(table(spark, sf_dir, "lineitem"))
+    rows = dealt(table(spark, sf_dir, "lineitem"))
     url = cat(HOME, "/auction/", k, "/", n, "/")
     return rows.select(
         F.lit(PACK.name).alias("spider"), url.alias("url"), body.alias("body"), F.col("l_shipdate").alias("fetched_at")
     )
 
 
+# Three fetches of a lot and its catalogue page per customer, months apart; the newest text is the smallest.
+
+
+def refetched_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k, v = text("c_custkey"), F.col("v")
+    title = cat(F.get(F.array(*map(F.lit, ("Z old", "M mid", "A new"))), v), " ", k)
+    lot = cat(
+        _HEAD, '</head><body><h5 data-lf-microdata="lot-name">', title, '</h5><span data-lf-microdata="lot-start-price">',
+        F.get(F.array(*map(F.lit, ("900", "1200", "1000"))), v), "</span></body></html>",
+    )
+    # Completed at first and blocked later; the date is shown in the middle only.
+    label = F.when((v == 0) & (F.col("c_custkey") % 3 == 0), F.lit('<span class="uk-label">Аукцион завершён</span>')).otherwise(
+        cat('<span data-online="lf-', k, '-t-to-start">Через ', text(3 - v), " дней</span>")
+    )
+    date = F.when(v == 1, F.lit("<div><small>6 мая 2024 года</small></div>")).otherwise(F.lit(""))
+    catalog = cat(
+        _HEAD, '</head><body><div class="uk-display-inline-block"><div><small>Аукцион № ', k, "</small></div>", date, "</div>", label, "</body></html>"
+    )
+    pages = F.array(
+        F.struct(cat(HOME, "/auction/", k, "/1/").alias("url"), lot.alias("body")), F.struct(cat(HOME, "/auction/", k, "/").alias("url"), catalog.alias("body"))
+    )
+    rows = dealt(table(spark, sf_dir, "customer").select("c_custkey")).withColumn("v", F.explode(F.lit([0, 1, 2])))
+    return rows.select("v", F.inline(pages)).select(
+        (F.lit("2024-01-10").cast("timestamp") + F.make_dt_interval(days=F.col("v") * 25)).alias("fetched_at"),
+        F.lit(PACK.name).alias("spider"),
+        "url",
+        F.lit(200).alias("http_status"),
+        F.create_map(F.lit("Content-Type"), F.lit("text/html")).alias("headers"),
+        "body",
+        F.lit("{}").alias("payload"),
+    )
+
+
 # Link edges and JSONL lines from `pages`.
 
 

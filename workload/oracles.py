@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from leafmill.sites.auctions import _ID as ID
-from leafmill.sites.auctions import PACK
 from workload.queries import (
     ARCHIVE_PAGES,
     BATCH,
@@ -12,12 +10,15 @@ from workload.queries import (
     NOW,
     REPLAY_SINCE,
     RETENTION_NOW,
+    STEP,
 )
 
-NAME, HOME = PACK.name, PACK.urls.home
+# The auction site's name, address and URL patterns, written out apart from the engine's.
+NAME, HOME = "litfund", "https://www.litfund.ru"
+ID = "[0-9]+([.s][0-9]+)?"
 GROUP, LOT = f"/auction/({ID})/", f"/auction/{ID}/[0-9]+[a-z]?/"
 CATALOG = f"/auction/{ID}/([?]|$)"
-ENTRY = PACK.urls.any_entry
+ENTRY = f"^https?://(www[.])?litfund[.]ru/auction/{ID}/[0-9]+[a-z]?/$"
 MONTHS = "['января','февраля','марта','апреля','мая','июня','июля','августа','сентября','октября','ноября','декабря']"
 
 RAW = f"""
@@ -46,15 +47,15 @@ auction_rec AS (
 auction_roll AS (
   SELECT auction_id,
     CASE WHEN bool_or(status = 'completed') THEN 'completed'
-      ELSE arg_max(status, {{'t': parsed_at, 'v': status}}) END AS status,
-    coalesce(arg_max(date_iso, {{'t': parsed_at, 'v': date_iso}}) FILTER (WHERE date_iso <> ''), '') AS date_iso,
-    arg_max(date_iso, {{'t': parsed_at, 'v': date_iso}}) AS newest_date,
+      ELSE arg_max(status, {{'t': parsed_at, 'f': source_fetched_at, 'v': status}}) END AS status,
+    coalesce(arg_max(date_iso, {{'t': parsed_at, 'f': source_fetched_at, 'v': date_iso}}) FILTER (WHERE date_iso <> ''), '') AS date_iso,
+    arg_max(date_iso, {{'t': parsed_at, 'f': source_fetched_at, 'v': date_iso}}) AS newest_date,
     max(parsed_at) AS last_parsed_at
   FROM auction_rec GROUP BY auction_id)"""
 
 ITEMS = f"""
 item_rec AS (
-  SELECT l_orderkey::VARCHAR AS auction_id, l_linenumber::VARCHAR AS lot_number, l_shipdate AS parsed_at,
+  SELECT l_orderkey::VARCHAR AS auction_id, l_linenumber::VARCHAR AS lot_number, l_shipdate AS parsed_at, l_shipdate AS source_fetched_at,
     'Лот ' || l_linenumber AS lot_index, 'Part ' || l_partkey AS title,
     CASE WHEN l_suppkey % 2 = 0 THEN '' ELSE 'From ' || l_suppkey END AS description,
     l_extendedprice::DECIMAL(18,2)::VARCHAR || ' ₽' AS start_price,
@@ -68,7 +69,7 @@ item_rec AS (
 
 def _latest(name: str, when: str | None = None) -> str:
     when = when or f"{name} <> ''"
-    return f"coalesce(arg_max({name}, {{'t': parsed_at, 'v': {name}}}) FILTER (WHERE {when}), '') AS {name}"
+    return f"coalesce(arg_max({name}, {{'t': parsed_at, 'f': source_fetched_at, 'v': {name}}}) FILTER (WHERE {when}), '') AS {name}"
 
 
 def _digits(name: str) -> str:
@@ -79,7 +80,7 @@ _FILLED = ("lot_index", "title", "description", "start_price", "leading_bid", "f
 FACTS = f"""
 item_agg AS (
   SELECT auction_id, lot_number, {', '.join(_latest(n) for n in _FILLED)},
-    coalesce(arg_max(reserve_not_met, {{'t': parsed_at, 'v': reserve_not_met}}) FILTER (WHERE final_price <> ''), false) AS reserve_not_met,
+    coalesce(arg_max(reserve_not_met, {{'t': parsed_at, 'f': source_fetched_at, 'v': reserve_not_met}}) FILTER (WHERE final_price <> ''), false) AS reserve_not_met,
     max(parsed_at) AS last_parsed_at
   FROM item_rec GROUP BY auction_id, lot_number),
 facts AS (
@@ -143,7 +144,7 @@ ev AS (SELECT event_type AS spider, 'https://example.org/e/' || event_id AS url,
 ARCHIVE = """
 arch AS (
   SELECT o_orderkey // 36 + 1 AS page, o_orderkey AS key,
-    (CASE WHEN (o_orderkey // 36 + 1) % 97 = 0 THEN o_orderkey - 36 ELSE o_orderkey END)::VARCHAR AS shown FROM orders),
+    (CASE WHEN (o_orderkey // 36 + 1) % 997 = 0 THEN o_orderkey - 36 ELSE o_orderkey END)::VARCHAR AS shown FROM orders),
 placed AS (SELECT *, row_number() OVER (PARTITION BY page ORDER BY key) - 1 AS pos FROM arch)"""
 CANDIDATES = f"""{ARCHIVE},
 first_seen AS (SELECT shown AS auction_id, min(page * 4294967296 + pos) AS place FROM placed GROUP BY 1),
@@ -170,6 +171,12 @@ PARSED_LOTS = f"""SELECT '{NAME}' AS spider, url, fetched_at AS source_fetched_a
 LANDED = f"""WITH {RAW} SELECT fetched_at, spider, url, http_status, contains(body, 'data-lf-microdata') AS has_marker,
   strlen(body)::INT AS body_bytes, date_trunc('month', fetched_at)::DATE AS fetch_month FROM raw"""
 
+REFETCHED = f"""
+fetched AS (
+  SELECT c_custkey, v, TIMESTAMP '2024-01-10' + to_days((v * 25)::INT) AS fetched_at,
+    ['Z old', 'M mid', 'A new'][v + 1] || ' ' || c_custkey AS title, ['900', '1200', '1000'][v + 1] AS start_price
+  FROM customer, range(3) r(v))"""
+
 # RE2 spells Unicode whitespace out; the four separators are whitespace to the engine as well.
 SPACE = r"[\s\p{Z}\x0b\x1c-\x1f\x{85}]"
 
@@ -228,8 +235,12 @@ ORACLES: dict[str, str] = {
     "page_gate": f"WITH {RAW}, {GATE} SELECT page_id, url, reason, retryable FROM gate",
     "disposition": f"""WITH {RAW}, {GATE} SELECT page_id, CASE WHEN http_status NOT BETWEEN 200 AND 299 THEN 'pass'
       WHEN reason IS NULL THEN 'accept' WHEN retryable AND page_id % 7 < 5 THEN 'retry' ELSE 'drop' END AS disposition FROM gate""",
-    "routed_landing": f"""WITH {RAW}, {GATE}, r AS (SELECT *, CASE WHEN http_status NOT BETWEEN 200 AND 299 THEN 'pass'
-        WHEN reason IS NULL THEN 'accept' WHEN retryable AND page_id % 7 < 5 THEN 'retry' ELSE 'drop' END AS disposition FROM gate)
+    "routed_landing": f"""WITH {RAW},
+      sent AS (SELECT * REPLACE (CASE WHEN page_id % 19 = 7 THEN '{HOME}/robots.txt' ELSE url END AS url,
+        CASE WHEN page_id % 19 = 7 THEN left(body, 100) ELSE body END AS body) FROM raw),
+      r AS (SELECT *, CASE WHEN http_status NOT BETWEEN 200 AND 299 THEN 'pass' WHEN url LIKE '%/robots.txt' THEN 'accept'
+        WHEN strlen(body) < 500 AND page_id % 7 < 5 THEN 'retry' WHEN strlen(body) < 500 THEN 'drop'
+        WHEN regexp_matches(url, '{LOT}') AND NOT contains(body, 'data-lf-microdata') THEN 'drop' ELSE 'accept' END AS disposition FROM sent)
       SELECT disposition, date_trunc('month', fetched_at)::DATE AS fetch_month, contains(body, 'data-lf-microdata') AS has_marker,
         count(*) AS pages, sum(strlen(body))::BIGINT AS bytes FROM r GROUP BY ALL""",
     "bad_sample": f"""WITH {RAW}, {GATE} SELECT fetched_at, url, reason, 'text/html' AS content_type, strlen(body)::INT AS body_bytes,
@@ -330,12 +341,31 @@ ORACLES: dict[str, str] = {
       WHERE auction_id IN (SELECT auction_id FROM auction_rec WHERE status = 'completed')""",
     "seeds": f"SELECT o_orderkey::VARCHAR AS auction_id, '{HOME}/auction/' || o_orderkey || '/' AS url FROM orders",
     "frontier_step": f"""WITH {_EDGE_GROUP} SELECT DISTINCT dst_url AS url FROM edges
-      WHERE regexp_matches(dst_url, '/[a-z]+$') AND dst_url NOT IN (SELECT url FROM pages)
-      AND NOT regexp_matches(dst_url, '^https?://[^/]+/(the|la)$')""",
+      WHERE regexp_matches(dst_url, '/[a-z]+$') AND dst_url NOT IN (SELECT split_part(url, '#', 1) FROM pages)
+      AND NOT regexp_matches(dst_url, '^https?://[^/]+/(the|la|of)$')""",
     "request_dedup": """WITH u AS (SELECT split_part(url, '#', 1) AS bare FROM pages),
       c AS (SELECT regexp_replace(split_part(bare, '?', 1), '^https?://[^/]*', '') AS path,
           lower(regexp_extract(bare, '^https?://[^/]*')) AS head, list_sort(string_split(split_part(bare, '?', 2), '&')) AS args,
           contains(bare, '?') AS asked FROM u)
       SELECT head || CASE WHEN path = '' THEN '/' ELSE path END || CASE WHEN asked THEN '?' || array_to_string(args, '&') ELSE '' END
         AS canonical_url, 2 * count(*) AS requests FROM c GROUP BY 1""",
+    "mixed_drain": f"WITH {RAW} {PARSED_LOTS}",
+    "drain_metrics": f"""WITH {RAW} SELECT page_id // {STEP} AS batch, count(*) AS pages, count_if({GOOD_LOT})::BIGINT AS records,
+      max(fetched_at) AS watermark FROM raw GROUP BY 1""",
+    "drained_facts": f"""WITH {REFETCHED} SELECT c_custkey::VARCHAR AS auction_id, '1' AS lot_number, title, start_price::BIGINT AS start_price,
+      fetched_at AS last_source_fetched_at FROM fetched WHERE v = 2""",
+    "drained_status": f"""WITH {REFETCHED}, n AS (SELECT c_custkey, max(CASE WHEN c_custkey % 3 = 0 THEN 1 ELSE 0 END) AS done FROM fetched GROUP BY 1)
+      SELECT c_custkey::VARCHAR AS auction_id, CASE WHEN done = 1 THEN 'completed' ELSE 'Через 1 дней' END AS status,
+      '2024-05-06' AS date_iso, 1::BIGINT AS lots_parsed FROM n""",
+    "compacted": f"""WITH {AUCTIONS} SELECT date_trunc('month', source_fetched_at)::DATE AS source_month, url,
+      parsed_at + INTERVAL 1 HOUR AS parsed_at, {AUCTION_FIELDS} AS fields FROM auction_rec""",
+    "expired": f"WITH {RAW} SELECT url, fetched_at FROM raw WHERE fetched_at + INTERVAL 6 MONTH > TIMESTAMP '{RETENTION_NOW}'",
+    "site_rules": f"""SELECT 'https://quotes.toscrape.com/page/' || conv_id || '/?turn=' || turn AS src_url, u.i::INT AS pos,
+        'https://quotes.toscrape.com' || u.d AS dst_url
+        FROM conversations, LATERAL (VALUES (0, '/tag/a/page/1/'), (1, '/tag/b/page/1/'), (2, '/page/2/')) u(i, d)
+      UNION ALL SELECT 'https://books.toscrape.com/catalogue/page-' || p_partkey || '.html', 0,
+        'https://books.toscrape.com/catalogue/catalogue/b_' || p_partkey || '/index.html' FROM part
+      UNION ALL SELECT '{HOME}/auction/' || o_orderkey || '/?page=1', (i - 1)::INT,
+        '{HOME}/auction/' || o_orderkey || '/' || i || '/'
+        FROM (SELECT o_orderkey, unnest(range(1, least(o_orderkey % 6, 4) + 1)) AS i FROM orders WHERE o_orderkey % 7 <> 0)""",
 }

@@ -7,6 +7,7 @@ import zlib
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import datetime
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,7 @@ from leafmill.operators import extract, incremental, landing, links, quality, ve
 from leafmill.plans import coverage, health, items, views
 from leafmill.session import scratch_path
 from leafmill.sites.base import LinkRules
+from leafmill.sites.registry import get_site
 from leafmill.sources import jsonl, tables
 from leafmill.streaming import drain as streams
 from workload import fixtures as fx
@@ -51,7 +53,8 @@ def joined_images(rows: DataFrame) -> DataFrame:
 
 @query
 def item_facts(spark, sf_dir):
-    return joined_images(items.item_facts(fx.parsed_records(spark, sf_dir), PACK))
+    numbers = {n: F.col(n).cast("bigint") for n in ("start_price", "leading_bid", "final_price", "views")}
+    return joined_images(items.item_facts(fx.parsed_records(spark, sf_dir), PACK)).withColumns(numbers)
 
 
 @query
@@ -77,7 +80,7 @@ def auction_coverage(spark, sf_dir):
 @query
 def truncation_flag(spark, sf_dir):
     """Lots copied up to 36 per auction, so that the flag is met by some auctions and just missed by others."""
-    orders = tables.spread(fx.table(spark, sf_dir, "orders").select("o_orderkey"))
+    orders = fx.dealt(fx.table(spark, sf_dir, "orders").select("o_orderkey"))
     count = (F.col("o_orderkey") % 3 + 35).cast("int")
     lots = orders.select(F.col("o_orderkey"), F.explode(F.sequence(F.lit(1), count)).alias("lot"))
     record = F.struct(
@@ -121,7 +124,7 @@ def view_sql(spark, sf_dir):
     """SQL over the registered views."""
     views.register_views(fx.raw_pages(spark, sf_dir), fx.parsed_records(spark, sf_dir), PACK)
     return spark.sql(
-        f"""SELECT c.status, count(*) AS lots, count_if(i.has_final) AS sold, sum(i.final_price) AS final_total,
+        f"""SELECT c.status, count(*) AS lots, count_if(i.has_final) AS sold, CAST(sum(i.final_price) AS BIGINT) AS final_total,
                    count(DISTINCT i.auction_id) AS auctions
             FROM {PACK.name}_items i JOIN {PACK.name}_auction_coverage c USING (auction_id)
             GROUP BY c.status"""
@@ -253,12 +256,28 @@ def disposition(spark, sf_dir):
     return routed.select("page_id", "disposition")
 
 
+@F.arrow_udf("binary")
+def squeezed(bodies: pa.Array, kinds: pa.Array) -> pa.Array:
+    pack = {1: gzip.compress, 2: zlib.compress, 3: lambda b: zlib.compress(b)[2:-4], 4: gzip.compress}
+    return pa.array([pack.get(k, bytes)(b) for b, k in zip(bodies.to_pylist(), kinds.to_pylist())], pa.binary())
+
+
 @query
 def routed_landing(spark, sf_dir):
-    """Captured pages stored under their disposition; the accepted ones are a raw table."""
+    """Pages as captured, plain or compressed, and robots files, stored under their disposition; the accepted ones are a raw table."""
     path = scratch_path(spark, "routed")
-    pages = fx.raw_pages(spark, sf_dir).withColumn("retry_times", (F.col("page_id") % 7).cast("int"))
-    tables.append_routed(pages.drop("page_id"), PACK, path)
+    robots, kind = F.col("page_id") % 19 == 7, F.when(quality.is_page(), F.col("page_id") % 5).otherwise(0).cast("int")
+    pages = fx.raw_pages(spark, sf_dir).select(
+        "fetched_at",
+        "spider",
+        F.when(robots, fx.cat(fx.HOME, "/robots.txt")).otherwise(F.col("url")).alias("url"),
+        "http_status",
+        F.create_map(F.lit("content-encoding"), F.when(kind.isin(2, 3), "deflate").otherwise("identity")).alias("headers"),
+        squeezed(F.when(robots, F.substring("body", 1, 100)).otherwise(F.col("body")).cast("binary"), kind).alias("body"),
+        "payload",
+        (F.col("page_id") % 7).cast("int").alias("retry_times"),
+    )
+    tables.append_routed(pages, PACK, path)
     groups = tables.read_routed(spark, path).groupBy("disposition", "fetch_month", "has_marker")
     return groups.agg(F.count("*").alias("pages"), F.sum("body_bytes").alias("bytes"))
 
@@ -277,18 +296,13 @@ def quarantine_report(spark, sf_dir):
 def inflate_bodies(spark, sf_dir):
     """Bodies compressed three ways, some without saying so, come back as they were."""
 
-    @F.arrow_udf("binary")
-    def squeeze(bodies: pa.Array, kinds: pa.Array) -> pa.Array:
-        pack = {1: gzip.compress, 2: zlib.compress, 3: lambda b: zlib.compress(b)[2:-4], 4: gzip.compress}
-        return pa.array([pack.get(k, bytes)(b) for b, k in zip(bodies.to_pylist(), kinds.to_pylist())], pa.binary())
-
     kind = (F.col("page_id") % 5).cast("int")
     encoding = F.when(kind == 1, "gzip").when(kind.isin(2, 3), "deflate").otherwise("identity")
     pages = fx.raw_pages(spark, sf_dir)
     sent = pages.select(
         "page_id",
         "http_status",
-        squeeze(F.col("body").cast("binary"), kind).alias("body"),
+        squeezed(F.col("body").cast("binary"), kind).alias("body"),
         F.create_map(F.lit("Content-Type"), F.lit("text/html"), F.lit("content-encoding"), encoding).alias("headers"),
     )
     plain = quality.inflate_bodies(sent.filter(quality.is_page()))
@@ -406,7 +420,7 @@ def incremental_batch(spark, sf_dir):
 
 @query
 def incremental_exact(spark, sf_dir):
-    return incremental.next_batch(fx.event_pages(spark, sf_dir), "view", at(REPLAY_SINCE), BATCH, with_ties=False)
+    return incremental.next_exact(fx.event_pages(spark, sf_dir), "view", at(REPLAY_SINCE), None, BATCH)
 
 
 @query
@@ -438,14 +452,91 @@ def stream_drain(spark, sf_dir):
     return _parsed(tables.read_parsed(spark, parsed))
 
 
+STEP = 60
+
+
+@query
+def mixed_drain(spark, sf_dir):
+    """Batch, streams and batch again into the same raw and parsed paths; everything is read back."""
+    raw, parsed, progress, source, land, parse = (scratch_path(spark, n) for n in ("raw", "parsed", "progress", "export", "ck-land", "ck-parse"))
+    pages = fx.raw_pages(spark, sf_dir)
+    tables.append_raw(pages.filter(F.col("page_id") % 2 == 0).drop("page_id"), raw)
+    incremental.drain(spark, raw, parsed, progress, PACK)
+    jsonl.append_jsonl(pages.filter(F.col("page_id") % 2 == 1), source)
+    streams.start_landing(spark, f"{source}/site={PACK.name}", raw, land, "none").awaitTermination()
+    streams.start_parse(spark, raw, parsed, parse, PACK).awaitTermination()
+    incremental.drain(spark, raw, parsed, progress, PACK)
+    return _parsed(versions.latest_versions(tables.read_parsed(spark, parsed)))
+
+
+@query
+def drain_metrics(spark, sf_dir):
+    """What each step of a drain read and wrote, and how far it came."""
+    raw, parsed, progress, batches = (scratch_path(spark, n) for n in ("raw", "parsed", "progress", "batches"))
+    tables.append_raw(fx.raw_pages(spark, sf_dir).drop("page_id"), raw)
+    incremental.drain(spark, raw, parsed, progress, PACK, batch_rows=STEP, batches_path=batches)
+    return tables.read_batches(spark, batches).select("batch", "pages", "records", "watermark")
+
+
+def _refetched(spark, sf_dir) -> DataFrame:
+    raw, parsed, progress = (scratch_path(spark, n) for n in ("raw", "parsed", "progress"))
+    tables.append_raw(fx.refetched_pages(spark, sf_dir), raw)
+    incremental.drain(spark, raw, parsed, progress, PACK)
+    return tables.read_parsed(spark, parsed)
+
+
+@query
+def drained_facts(spark, sf_dir):
+    """Several fetches of each lot, extracted in one run: the newest fetch says what holds."""
+    facts = items.item_facts(_refetched(spark, sf_dir), PACK)
+    return facts.select("auction_id", "lot_number", "title", F.col("start_price").cast("bigint"), "last_source_fetched_at")
+
+
+@query
+def drained_status(spark, sf_dir):
+    """The same for auctions: once completed, always; else the newest label; the newest date shown."""
+    return coverage.auction_rollup(_refetched(spark, sf_dir), PACK).drop("last_parsed_at")
+
+
+@query
+def compacted(spark, sf_dir):
+    """Landed twice and once more, later; compaction leaves the newest."""
+    path = scratch_path(spark, "parsed")
+    first = fx.auction_records(spark, sf_dir).drop("record_type")
+    for rows in (first, first.withColumn("parsed_at", F.col("parsed_at") + F.expr("INTERVAL 1 HOUR")), first):
+        tables.append_parsed(rows, path)
+    tables.compact_parsed(spark, path)
+    return tables.read_parsed(spark, path).select("source_month", "url", "parsed_at", "fields")
+
+
+@query
+def expired(spark, sf_dir):
+    """Landed pages after retention was run over them."""
+    path = scratch_path(spark, "raw")
+    tables.append_raw(fx.raw_pages(spark, sf_dir).drop("page_id"), path)
+    tables.expire_raw(spark, path, datetime.fromisoformat(RETENTION_NOW))
+    return tables.read_raw(spark, path).select("url", "fetched_at")
+
+
 # Links and work tables.
 
+
+@query
+def site_rules(spark, sf_dir):
+    """The links that each site's own rules follow on its pages."""
+    found = [
+        links.page_links(make(spark, sf_dir), pack.rules, pack.domains)
+        for make, pack in ((fx.quote_pages, get_site("quotes")), (fx.book_pages, get_site("books")), (fx.catalog_pages, PACK))
+    ]
+    return found[0].unionAll(found[1]).unionAll(found[2])
+
+
 LINK_RULES = LinkRules(allow=("/[A-Za-z.,]+$",), deny=("/th", "/d[a-z]$"), regions=(("nav", ""),))
 LINK_DOMAINS = ("example.com", "example.net")
 
 
 def _page_table(spark, sf_dir) -> DataFrame:
-    return tables.spread(fx.table(spark, sf_dir, "pages").select("url", F.col("html").alias("body")))
+    return fx.dealt(fx.table(spark, sf_dir, "pages").select("url", F.col("html").alias("body")))
 
 
 @query
@@ -555,7 +646,8 @@ def seeds(spark, sf_dir):
 def _known(spark, sf_dir) -> DataFrame:
     site = F.regexp_extract("url", "^(https?://[^/]+)", 1)
     pages = fx.table(spark, sf_dir, "pages")
-    return pages.select("url").unionAll(pages.select(fx.cat(site, "/the"))).unionAll(pages.select(fx.cat(site, "/la")))
+    spelled = (fx.cat(site, "/the"), fx.cat(F.upper(site), "/la"), fx.cat(site, "/of#part"))
+    return reduce(DataFrame.unionAll, [pages.select("url"), *(pages.select(u) for u in spelled)])
 
 
 FRONTIER_RULES = LinkRules(allow=("/[a-z]+$",))
