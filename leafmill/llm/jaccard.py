@@ -301,7 +301,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     member = stored(member.select(F.col("a").alias("node"), F.col("b").alias("component")).union(member.select("b", "b").distinct()), "jaccard-members")
     sizes = member.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
     wanted = stored(member.join(sizes, "component").join(nodes.select("node", "rep", "copies"), "node"), "jaccard-wanted")
-    texts = docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("rep")))
+    # Merged at every size: a broadcast that ends somewhere would only make small runs look unlike large ones.
+    texts = docs.select("doc_id", "text").join(wanted.hint("merge"), F.col("doc_id").eqNullSafe(F.col("rep")))
     exact = texts.select("component", "size", "node", "copies", "text").mapInArrow(
         _exact_sets, "component long, size long, node long, copies long, shingles binary"
     )
