@@ -75,18 +75,16 @@ def _views(nodes: Column) -> Column:
 
 
 def _lot_page(nodes: Column, ids: Column, url: Column) -> Column:
-    final = clean_text(m.joined(m.own_texts(nodes, m.pick(nodes, m.element(classes=["tm-product-price-final"])))))
-
-    def build(page: Column) -> Column:
-        micro, meta = page["micro"], page["meta"]
+    sold, viewed = m.element(classes=["tm-product-price-final"]), m.element(attrs={"data-type": "lot-views-cnt"})
 
+    def build(telling: Column) -> Column:
         def own(name: str) -> Column:
-            return clean_text(m.first(m.own_texts(nodes, _microdata(micro, name))))
+            return clean_text(m.first(m.own_texts(nodes, _microdata(telling, name))))
 
         def og(name: str) -> Column:
-            return clean_text(m.first(_meta(meta, name)))
+            return clean_text(m.first(_meta(telling, name)))
 
-        pictures = m.attr_values(_microdata(micro, "lot-image", "a"), "href")
+        pictures = m.attr_values(_microdata(telling, "lot-image", "a"), "href")
         lot = _record(
             type=F.lit("item"),
             auction_id=ids["auction"],
@@ -94,21 +92,24 @@ def _lot_page(nodes: Column, ids: Column, url: Column) -> Column:
             lot_index=own("lot-index"),
             title=_or(own("lot-name"), og("og:title")),
             description=_or(
-                clean_text(m.joined(m.deep_texts(nodes, _microdata(micro, "lot-desc")))), og("og:description")
+                clean_text(m.joined(m.deep_texts(nodes, _microdata(telling, "lot-desc")))), og("og:description")
             ),
             start_price=own("lot-start-price"),
-            final_price=blank_to_null(final),
-            views=_views(nodes),
-            images=m.let(pictures, lambda p: F.when(F.size(p) > 0, p).otherwise(_meta(meta, "og:image"))),
+            final_price=blank_to_null(clean_text(m.joined(m.own_texts(nodes, m.pick(telling, sold))))),
+            views=clean_text(m.first(m.own_texts(nodes, m.pick(telling, viewed)))),
+            images=m.let(pictures, lambda p: F.when(F.size(p) > 0, p).otherwise(_meta(telling, "og:image"))),
             source_url=url,
         )
         # Blocked and not-found pages carry none of these and yield nothing.
-        telling = F.exists(micro, lambda n: n["attrs"][MICRODATA].isin("lot-name", "lot-start-price", "lot-index"))
-        return F.when(telling, F.array(lot))
+        shown = F.exists(telling, lambda n: n["attrs"][MICRODATA].isin("lot-name", "lot-start-price", "lot-index"))
+        return F.when(shown, F.array(lot))
+
+    def wanted(n: Column) -> Column:
+        marked = n["attrs"][MICRODATA].isNotNull()
+        return (n["tag"] != m.TEXT) & ((n["tag"] == "meta") | marked | F.coalesce(sold(n), F.lit(False)) | F.coalesce(viewed(n), F.lit(False)))
 
-    # The few nodes most fields come from are picked out of the page once.
-    marked = F.filter(nodes, lambda n: n["attrs"][MICRODATA].isNotNull())
-    return m.let(F.struct(marked.alias("micro"), m.pick(nodes, m.element("meta")).alias("meta")), build)
+    # The few nodes that fields come from are picked out of the page in one pass.
+    return m.let(F.filter(nodes, wanted), build)
 
 
 def _auction(nodes: Column, ids: Column, url: Column) -> Column:
