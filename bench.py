@@ -2,7 +2,8 @@
 
 Raw and parsed tables are landed once from the fixtures (timed as `land_*`), then the
 views and work lists run over those tables as a user's would, and extraction over
-landed markup pages. Each time is the median of BENCH_RUNS runs into a sink that
+landed markup pages. `land_drain` and `land_stream_drain` extract the landed lot pages, and
+the `_lots` rows run over them as a raw table. Each time is the median of BENCH_RUNS runs into a sink that
 takes every row and keeps none.
 """
 
@@ -19,13 +20,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leafmill.operators import extract, links, versions, worklists
+from leafmill.operators import extract, incremental, links, versions, worklists
 from leafmill.plans import coverage, health, items
 from leafmill.session import build_session
 from leafmill.sites.base import LinkRules
 from leafmill.sources import tables
+from leafmill.streaming import drain as streams
 from workload import fixtures as fx
 from workload.fixtures import PACK
+from workload.queries import ARCHIVE_PAGES, LATEST
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -61,8 +64,22 @@ def main() -> None:
     parsed_path = land("parsed", lambda p: tables.append_parsed(fx.parsed_records(spark, SF_DIR).drop("record_type"), p))
     catalog_path = land("catalog", lambda p: fx.catalog_pages(spark, SF_DIR).write.parquet(p))
     lot_path = land("lots", lambda p: fx.lot_pages(spark, SF_DIR).write.parquet(p))
+    captured = spark.read.parquet(lot_path).select(
+        "fetched_at",
+        "spider",
+        "url",
+        F.when(F.crc32(F.col("url").cast("binary")) % 11 == 0, 404).otherwise(200).alias("http_status"),
+        F.create_map(F.lit("Content-Type"), F.lit("text/html")).alias("headers"),
+        "body",
+        F.lit("{}").alias("payload"),
+    )
+    many_path = land("raw_lots", lambda p: tables.append_raw(captured, p))
+    land("routed", lambda p: tables.append_routed(captured.withColumn("body", F.col("body").cast("binary")), PACK, p))
+    land("drain", lambda p: incremental.drain(spark, many_path, p, f"{p}-progress", PACK))
+    land("stream_drain", lambda p: streams.start_parse(spark, many_path, p, f"{p}-checkpoint", PACK).awaitTermination())
 
     raw, parsed = tables.read_raw(spark, raw_path), tables.read_parsed(spark, parsed_path)
+    many = tables.read_raw(spark, many_path)
     catalog, lots = spark.read.parquet(catalog_path), spark.read.parquet(lot_path)
     pages = fx.dealt(spark.read.parquet(f"{SF_DIR}/pages.parquet").select("url", F.col("html").alias("body")))
     crawl = fx.crawl_links(spark, SF_DIR)
@@ -77,6 +94,11 @@ def main() -> None:
         "skip_existing": lambda: worklists.skip_held(crawl, raw, PACK),
         "heal_set": lambda: worklists.heal_set(raw, PACK),
         "heal_set_reading_bodies": lambda: worklists.heal_set(raw.drop("has_marker"), PACK),
+        "health_daily_lots": lambda: health.health_daily(many, PACK),
+        "auction_coverage_lots": lambda: coverage.auction_coverage(many, parsed, PACK),
+        "heal_set_lots": lambda: worklists.heal_set(many, PACK),
+        "skip_existing_lots": lambda: worklists.skip_held(many.select(F.col("url").alias("dst_url")), many, PACK),
+        "latest_n": lambda: worklists.latest_ids(fx.archive_pages(spark, SF_DIR), PACK, LATEST, ARCHIVE_PAGES),
         "page_links": lambda: links.page_links(pages, LinkRules()),
         "parse_catalog_pages": lambda: extract.parse_pages(catalog, PACK),
         "parse_lot_pages": lambda: extract.parse_pages(lots, PACK),
