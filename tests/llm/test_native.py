@@ -248,6 +248,12 @@ def test_valid_values_change_keep_their_shape_and_come_back(spark):
             assert luhn(fresh)
 
 
+def test_a_number_beside_a_phone_is_not_part_of_it(spark):
+    data = [(0, "+1 (743) 555-3824", "s"), (1, "+1 (743) 555-3824 19", "s"), (2, "+1 (743) 555-3824 4785380592391139", "s")]
+    got = {r["doc_id"]: r["text"] for r in pseudonyms.pseudonyms(frame(spark, data), "key").collect()}
+    assert got[1] == got[0] + " 19" and got[2].startswith(got[0] + " ") and luhn(got[2].split()[-1])
+
+
 def test_lookalikes_nulls_and_plain_texts_stay(spark):
     data = [(i, f"x {v} y", "s") for i, v in enumerate(LOOKALIKES)] + [(50, None, "s"), (51, "", "s"), (52, "9" * 50_000 + "@", "s")]
     for r in pseudonyms.pseudonyms(frame(spark, data), "key").collect():
