@@ -29,23 +29,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leafmill.llm.common import stored
-from leafmill.llm.tokens import python_ready, ranges, run_hashes, text_batches, word_hashes
+from leafmill.llm.tokens import python_ready, ranges, run_hashes, text_batches, text_pieces, word_hashes
 
 WINDOW = 20
 ANCHOR = 5
-# Texts cut into paths at once: some MB of words, whatever the batch holds.
-PIECE_BYTES = 1 << 21
-
-
-def _pieces(texts: list[bytes]) -> Iterator[tuple[int, int]]:
-    start = size = 0
-    for i, t in enumerate(texts):
-        if size and size + len(t) > PIECE_BYTES:
-            yield start, i
-            start, size = i, 0
-        size += len(t)
-    if start < len(texts):
-        yield start, len(texts)
 
 
 def _anchors(hashes: np.ndarray, bounds: np.ndarray, window: int, anchor: int) -> tuple[np.ndarray, ...]:
@@ -75,7 +62,7 @@ def _paths(with_marks: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_batches(batches):
             ids = batch.column("doc_id")
-            for lo, hi in _pieces(texts):
+            for lo, hi in text_pieces(texts):
                 text, start, size, anchor, edges = _anchors(*word_hashes(texts[lo:hi]), WINDOW, ANCHOR)
                 anchors = pa.array(anchor.view(np.int64))
                 if not with_marks:

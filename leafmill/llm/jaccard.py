@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from leafmill.llm.common import stored
 from leafmill.llm.components import components
-from leafmill.llm.tokens import mixed, python_ready, run_hashes, text_batches, word_hashes
+from leafmill.llm.tokens import mixed, python_ready, run_hashes, text_batches, text_pieces, word_hashes
 
 K = 5
 THRESHOLD = 0.8
@@ -60,16 +60,17 @@ RUNS = runs_for(RECALL)
 
 def shingles(texts: list[bytes], k: int = K) -> list[np.ndarray]:
     """Sorted distinct hashes of each text's runs of k words; fewer words are one shingle, none the empty set."""
-    hashes, bounds = word_hashes(texts)
-    runs, at = run_hashes(hashes, bounds, k)
     out = []
-    for i in range(len(texts)):
-        if at[i + 1] > at[i]:
-            out.append(np.unique(runs[at[i] : at[i + 1]]))
-        else:
-            own = hashes[bounds[i] : bounds[i + 1]]
-            short = mixed(np.concatenate([own, [np.uint64(len(own))]]) + np.arange(len(own) + 1, dtype=np.uint64))
-            out.append(np.array([short.sum()], np.uint64) if len(own) else own)
+    for lo, hi in text_pieces(texts):
+        hashes, bounds = word_hashes(texts[lo:hi])
+        runs, at = run_hashes(hashes, bounds, k)
+        for i in range(hi - lo):
+            if at[i + 1] > at[i]:
+                out.append(np.unique(runs[at[i] : at[i + 1]]))
+            else:
+                own = hashes[bounds[i] : bounds[i + 1]]
+                short = mixed(np.concatenate([own, [np.uint64(len(own))]]) + np.arange(len(own) + 1, dtype=np.uint64))
+                out.append(np.array([short.sum()], np.uint64) if len(own) else own)
     return out
 
 

@@ -94,3 +94,15 @@ def text_batches(batches: Iterator[pa.RecordBatch], column: str = "text") -> Ite
     """Each batch with its texts as UTF-8 bytes, null as empty."""
     for batch in batches:
         yield batch, [b"" if t is None else t for t in batch.column(column).cast(pa.binary()).to_pylist()]
+
+
+def text_pieces(texts: list[bytes]) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about PIECE bytes each: memory is bounded by the longest text, whatever the batch holds."""
+    start = size = 0
+    for i, text in enumerate(texts):
+        if size and size + len(text) > PIECE:
+            yield start, i
+            start, size = i, 0
+        size += len(text)
+    if start < len(texts):
+        yield start, len(texts)
