@@ -98,8 +98,16 @@ def _dictionary(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def train_dictionary(rows: DataFrame) -> bytes:
-    """A dictionary from a bounded sample, taken in the order of a hash of the pages' digests."""
-    sample = rows.select("page_id", "url", F.substring("payload", 1, SAMPLE_BYTES).alias("payload"), "digest").orderBy(F.xxhash64("digest", "page_id")).limit(SAMPLE_RECORDS)
+    """A dictionary from a bounded sample, the records with the least hashes of digest and id.
+
+    Hashes alone are ranked; payloads are then read below the last one's, so that a task
+    never meets more of them than the sample holds.
+    """
+    rank = F.xxhash64("digest", "page_id")
+    last = rows.select(rank.alias("rank")).orderBy("rank").limit(SAMPLE_RECORDS).agg(F.max("rank")).first()[0]
+    if last is None:
+        return b""
+    sample = rows.filter(rank <= last).select("page_id", "url", F.substring("payload", 1, SAMPLE_BYTES).alias("payload"), "digest").limit(SAMPLE_RECORDS)
     made = sample.coalesce(1).mapInPandas(_dictionary, "dictionary binary").first()
     return bytes(made[0]) if made else b""
 
