@@ -2,6 +2,8 @@
 
 import datetime
 import os
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -50,3 +52,9 @@ def test_query_matches_sql(spark, duck, name):
 
 def test_entry_runs(spark):
     assert entry.entry(spark).count() == 1
+
+
+def test_entry_is_imported_without_a_session():
+    root = os.path.dirname(os.path.abspath(entry.__file__))
+    done = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; assert e.queries() and e.oracle_sql()"], cwd=root)
+    assert done.returncode == 0

@@ -10,7 +10,7 @@ from datetime import datetime
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leafmill.functions import text as tx
@@ -256,10 +256,15 @@ def disposition(spark, sf_dir):
     return routed.select("page_id", "disposition")
 
 
-@F.arrow_udf("binary")
-def squeezed(bodies: pa.Array, kinds: pa.Array) -> pa.Array:
-    pack = {1: gzip.compress, 2: zlib.compress, 3: lambda b: zlib.compress(b)[2:-4], 4: gzip.compress}
-    return pa.array([pack.get(k, bytes)(b) for b, k in zip(bodies.to_pylist(), kinds.to_pylist())], pa.binary())
+def squeezed(body: Column, kind: Column) -> Column:
+    """Bytes as they are, or compressed one of three ways."""
+
+    @F.arrow_udf("binary")
+    def squeeze(bodies: pa.Array, kinds: pa.Array) -> pa.Array:
+        pack = {1: gzip.compress, 2: zlib.compress, 3: lambda b: zlib.compress(b)[2:-4], 4: gzip.compress}
+        return pa.array([pack.get(k, bytes)(b) for b, k in zip(bodies.to_pylist(), kinds.to_pylist())], pa.binary())
+
+    return squeeze(body, kind)
 
 
 @query
