@@ -12,10 +12,13 @@ one path: equal windows have equal anchors, so whatever repeats meets at its anc
 3. Where an anchor has several contents the path branches. Only there are paths taken
    apart into edges, one per distinct content, and joined by edge; an edge's first place
    stays again.
-4. The places found are source coordinates. Per document they are united into spans, the
-   words under them are removed, and the spans are held against the text itself.
+4. The places found are source coordinates, and the words at them decide: every candidate
+   place, first ones too, gets the digest of its words, read from its text, and places of
+   one digest are the repeats of the first of them. Per document the repeats are united
+   into spans, and the words under them are removed.
 
-An edge is known by its anchor's 64 bits and 32 bits of its own hash.
+A path's marks, 32 bits an edge beside the anchor's 64, only find candidates: equal words
+always have equal marks, and places whose marks agree by chance have other digests.
 """
 
 from __future__ import annotations
@@ -91,25 +94,62 @@ def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def repeats(docs: DataFrame) -> DataFrame:
-    """doc_id, start, size: runs of `size` windows, from word `start` on, that also start earlier."""
-    texts = docs.select("doc_id", "text")
-    seen = texts.select("doc_id", "text").mapInArrow(_paths(False), "anchor long").groupBy("anchor").agg(F.count(F.lit(1)).alias("n"))
+def _candidates(texts: DataFrame) -> DataFrame:
+    """doc_id, start, size: runs of `size` windows, from word `start` on, whose marks occur more than once; stored."""
+    seen = texts.mapInArrow(_paths(False), "anchor long").groupBy("anchor").agg(F.count(F.lit(1)).alias("n"))
     often = stored(seen.filter("n > 1").select("anchor"), "debruijn-anchors")
     paths = texts.mapInArrow(_paths(True), "anchor long, doc_id long, start int, marks binary")
     paths = stored(paths.join(often, "anchor", "left_semi"), "debruijn-paths")
     place = F.struct("doc_id", "start")
     contents = stored(paths.groupBy("anchor", "marks").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("places")), "debruijn-contents")
-    again = contents.filter("places > 1").select("anchor", "marks", "first")
-    whole = paths.join(again, ["anchor", "marks"]).filter(place != F.col("first"))
-    whole = whole.select("doc_id", "start", (F.octet_length("marks") / 4).cast("int").alias("size"))
+    again = contents.filter("places > 1").select("anchor", "marks")
+    whole = paths.join(again, ["anchor", "marks"]).select("doc_id", "start", (F.octet_length("marks") / 4).cast("int").alias("size"))
 
     branching = contents.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor")
     split = contents.join(branching, "anchor", "left_semi").select("anchor", "marks", "first.doc_id", "first.start")
     edges = stored(split.mapInArrow(_edges, "anchor long, mark int, doc_id long, start int"), "debruijn-edges")
-    shared = edges.groupBy("anchor", "mark").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("places")).filter("places > 1").drop("places")
-    single = edges.join(shared, ["anchor", "mark"]).filter(place != F.col("first")).select("doc_id", "start", F.lit(1).alias("size"))
-    return stored(whole.union(single), "debruijn-repeats")
+    shared = edges.groupBy("anchor", "mark").agg(F.count(F.lit(1)).alias("places")).filter("places > 1").drop("places")
+    single = edges.join(shared, ["anchor", "mark"]).select("doc_id", "start", F.lit(1).alias("size"))
+    return stored(whole.union(single), "debruijn-candidates")
+
+
+def _spans(places: DataFrame) -> DataFrame:
+    return places.groupBy(F.col("doc_id").alias("of")).agg(F.collect_list(F.struct("start", "size")).alias("spans"))
+
+
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The digest of the words of each span, joined by spaces."""
+    for batch, texts in text_batches(batches):
+        rows, starts, sizes, digests = [], [], [], []
+        for row, (text, spans) in enumerate(zip(texts, batch.column("spans").to_pylist(), strict=True)):
+            own = text.split()
+            joined = memoryview(b" ".join(own))
+            at = np.concatenate([[0], np.cumsum([len(w) + 1 for w in own])]).astype(np.int64).tolist()
+            for span in spans:
+                lo, size = span["start"], span["size"]
+                hi = lo + size + WINDOW - 1
+                # Of several texts under one id, spans beyond this one's end are another's.
+                if hi <= len(own):
+                    rows.append(row)
+                    starts.append(lo)
+                    sizes.append(size)
+                    digests.append(hashlib.blake2b(joined[at[lo] : at[hi] - 1], digest_size=16).digest())
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id").take(pa.array(rows, pa.int64())), pa.array(starts, pa.int32()), pa.array(sizes, pa.int32()), pa.array(digests, pa.binary())],
+            ["doc_id", "start", "size", "words"],
+        )
+
+
+def repeats(docs: DataFrame) -> DataFrame:
+    """doc_id, start, size: runs of `size` windows, from word `start` on, whose words also start earlier."""
+    texts = docs.select("doc_id", "text")
+    spans = _spans(_candidates(texts))
+    met = texts.join(spans, F.col("doc_id").eqNullSafe(F.col("of"))).select("doc_id", "text", "spans")
+    found = stored(met.mapInArrow(_digests, "doc_id long, start int, size int, words binary"), "debruijn-digests")
+    place = F.struct("doc_id", "start")
+    first = found.groupBy("words").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first != last").drop("last")
+    again = found.join(first, "words").filter(place != F.col("first")).select("doc_id", "start", "size")
+    return stored(again, "debruijn-repeats")
 
 
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,6 +185,5 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     all others; other columns are left aside; no rows give no rows.
     """
     python_ready(docs.sparkSession)
-    spans = repeats(docs).groupBy(F.col("doc_id").alias("of")).agg(F.collect_list(F.struct("start", "size")).alias("spans"))
-    rows = docs.select("doc_id", "text").join(spans, F.col("doc_id").eqNullSafe(F.col("of")), "left")
+    rows = docs.select("doc_id", "text").join(_spans(repeats(docs)), F.col("doc_id").eqNullSafe(F.col("of")), "left")
     return rows.select("doc_id", "text", "spans").mapInArrow(_kept, "doc_id long, n_words long, n_removed long, kept_sha256 string")

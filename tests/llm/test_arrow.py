@@ -151,6 +151,15 @@ def test_substring_dedup_of_short_few_and_repeated_rows(spark):
     assert sorted((r["doc_id"], r["n_removed"]) for r in got) == [(1, 0), (1, 0), (2, 29)]
 
 
+def test_windows_of_equal_marks_and_other_words_stay(spark):
+    """The first two share their anchor and all 32 bits of their mark, but not their last word; the third repeats the second."""
+    base = " ".join(f"w{i}" for i in range(19))
+    data = [(1, f"{base} v19411", "x"), (2, f"{base} v167926", "x"), (3, f"{base} v167926", "x"), (4, f"{base} v167926 more", "x")]
+    _, _, _, anchors, edges = debruijn._anchors(*word_hashes([t.encode() for _, t, _ in data[:2]]), debruijn.WINDOW, debruijn.ANCHOR)
+    assert anchors[0] == anchors[1] and edges[0] >> np.uint64(32) == edges[1] >> np.uint64(32)
+    assert found(debruijn.without_repeats(frame(spark, data))) == plain_spans(data)
+
+
 # Archives.
 
 PAGES = "page_id long, url string, html string"
