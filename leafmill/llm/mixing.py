@@ -18,6 +18,8 @@ from leafmill.llm.common import stored, words
 
 # Sections per round and rounds: each round narrows the exponent by four bits.
 SECTIONS, STEPS = 16, 6
+# What a quota may be short of a whole token by, as a share of itself: some last digits of a double.
+TOLERANCE = 1e-14
 # Documents per bucket of an order, about.
 BUCKET_ROWS = 4096
 
@@ -84,9 +86,11 @@ def quotas(counts: DataFrame, mix: Mix) -> DataFrame:
     t = exponent(shares, mix)
     raised = shares.withColumn("power", F.exp(t * F.col("log")))
     z = raised.agg(F.sum("power")).first()[0] or 1.0
-    weight = F.round(F.col("power") / z, 12)
-    quota = F.floor(weight * (mix.budget * total) + 1e-6).cast("long")
-    return stored(raised.select(F.col("source").alias("of"), "source_tokens", weight.alias("weight"), quota.alias("quota")), "mixing-quotas")
+    weight = F.col("power") / z
+    # Shares are whole numbers of tokens, which no power and no sum need to be taken of.
+    meant = F.col("source_tokens") * mix.budget if t == 1 else weight * (mix.budget * total)
+    quota = F.floor(meant * (1 + TOLERANCE) + 1e-6).cast("long")
+    return stored(raised.select(F.col("source").alias("of"), "source_tokens", F.round(weight, 12).alias("weight"), quota.alias("quota")), "mixing-quotas")
 
 
 def _order(key: Column, epoch: Column, seed: int) -> Column:

@@ -199,6 +199,14 @@ def test_one_source_is_used_whole(spark):
     assert sorted(r["doc_id"] for r in got) == list(range(10)) and {r["weight"] for r in got} == {1.0}
 
 
+def test_at_exponent_one_every_source_gets_its_own_tokens(spark):
+    have = {f"s{i}": 10**12 + 7919 * i * i for i in range(20)}
+    counts = spark.createDataFrame([(i, s, n, i) for i, (s, n) in enumerate(have.items())], "doc_id long, source string, tokens long, key long")
+    plan = mixing.quotas(counts, mixing.Mix())
+    assert {r["of"]: r["quota"] for r in plan.collect()} == have
+    assert sorted((r["source"], r["epoch"]) for r in mixing.schedule(counts, plan, mixing.Mix()).collect()) == sorted((s, 0) for s in have)
+
+
 def test_orders_do_not_depend_on_partitions(spark):
     a = mixing.mixture(frame(spark, skewed()).repartition(1))
     b = mixing.mixture(frame(spark, skewed()).repartition(7))
