@@ -16,6 +16,18 @@ from leafmill.functions.markup import let
 
 ROUNDS = 8
 
+# The characters of an IBAN after its check digits, by country.
+_ACCOUNTS = {
+    11: "NO", 12: "BE", 14: "DK FI FK FO GL NL SD", 15: "MK SI", 16: "AT BA EE KZ LT LU MN XK", 17: "CH HR LI LV", 18: "BG BH CR DE GB GE IE ME RS VA",
+    19: "AE GI IL IQ OM SO TL", 20: "AD CZ ES MD PK RO SA SE SK TN VG", 21: "AO CV GW LY MZ PT ST", 22: "DZ IR IS TR",
+    23: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD", 24: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG", 25: "BR EG PS QA UA",
+    26: "JO KW MU YE", 27: "MT SC", 28: "LC", 29: "RU",
+}
+_IBANS = "|".join(
+    f"(?:{'|'.join(codes.split())})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{n // 4}}}" + (f" ?[A-Z0-9]{{{n % 4}}}" if n % 4 else "") + "(?![A-Za-z0-9])" for n, codes in _ACCOUNTS.items()
+)
+# A whole written-out card number, which is no part of a phone number before it.
+_CARD_NEXT = r" (?:[0-9]{4}(?: [0-9]{4}){3}|[0-9]{4} [0-9]{6} [0-9]{5})(?! ?[0-9])"
 # The formats, each a pattern that cannot run on past a long word.
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}+@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
@@ -23,9 +35,10 @@ PATTERNS = {
     r"|(?<![0-9/])[0-9]{1,2}/[0-9]{1,2}/(?:1[7-9]|20)[0-9]{2}(?![0-9])|(?<![0-9.])[0-9]{1,2}[.][0-9]{1,2}[.](?:1[7-9]|20)[0-9]{2}(?![0-9])",
     "ip": r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+    "iban": rf"(?<![A-Za-z0-9])(?:{_IBANS}|[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?)(?![A-Za-z0-9])",
     "phone": r"(?<![0-9+])\+[0-9]{1,3} \([0-9]{3}\) [0-9]{3}-[0-9]{4}(?![0-9])"
-    r"|(?<![0-9+])\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}(?![0-9])",
+    r"|(?<![0-9+])\+1[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])"
+    rf"|(?<![0-9+])\+[0-9]{{1,3}}[ .-]?(?:\([0-9]{{1,4}}\)[ .-]?)?[0-9]{{2,4}}(?:(?!{_CARD_NEXT})[ .-]?[0-9]{{2,4}}){{1,4}}(?![0-9])",
     "card": r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?: [0-9]{4}){2} [0-9]{1,7}|[0-9]{4}(?:-[0-9]{4}){2}-[0-9]{1,7}"
     r"|[0-9]{4} [0-9]{6} [0-9]{5}|[0-9]{4}-[0-9]{6}-[0-9]{5})(?![0-9])",
 }
@@ -164,15 +177,22 @@ def _ssn(value: Column, key: str, back: bool) -> Column:
 
 
 def _iban(value: Column, key: str, back: bool) -> Column:
-    """The country stays, the last digits of the account (up to ten) are permuted, check digits are made anew."""
+    """The country and the account's letters stay, all digits of the account are permuted, check digits are made anew."""
+
+    def renumbered(d: Column) -> Column:
+        n = F.char_length(d)
+        # More than 18 digits are permuted in two halves.
+        cut = F.ceil(n / 2).cast("int")
+        first, last = F.substring(d, F.lit(1), cut), F.substring(d, cut + 1, n)
+        return F.when(n > 18, F.concat(_permuted_digits(first, key, "iban-bank", back), _permuted_digits(last, key, "iban", back))).otherwise(
+            _permuted_digits(d, key, "iban", back)
+        )
 
     def of(v: Column) -> Column:
         country, account = F.substring(v, 1, 2), F.substring(v, F.lit(5), F.char_length(v))
-        tail = F.regexp_extract(account, "([0-9]{2,10})$", 1)
-        head = F.substring(account, F.lit(1), F.char_length(account) - F.char_length(tail))
-        fresh = let(F.concat(head, _permuted_digits(tail, key, "iban", back)), lambda a: F.concat(country, iban_check(country, a), a))
+        fresh = let(let(_digits(account), renumbered), lambda d: let(_refilled(account, d), lambda a: F.concat(country, iban_check(country, a), a)))
         spaced = lambda f: F.when(value.contains(" "), F.rtrim(F.regexp_replace(f, "(.{4})", "$1 "))).otherwise(f)
-        return F.when((F.substring(v, 3, 2) == iban_check(country, account)) & (F.char_length(tail) > 1), let(fresh, spaced))
+        return F.when((F.substring(v, 3, 2) == iban_check(country, account)) & (F.char_length(_digits(account)) > 1), let(fresh, spaced))
 
     return let(F.regexp_replace(value, " ", ""), of)
 

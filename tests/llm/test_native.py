@@ -262,6 +262,26 @@ def test_a_number_beside_a_phone_is_not_part_of_it(spark):
     assert got[1] == got[0] + " 19" and got[2].startswith(got[0] + " ") and luhn(got[2].split()[-1])
 
 
+RUN_ON = [
+    ("ES91 2100 0418 4502 0005 1332 BIC", {"iban": 1}),
+    ("BE68 5390 0754 7034 2024", {"iban": 1}),
+    ("AT611904300234573201 EUR", {"iban": 1}),
+    ("MU17BOMM0101101030300200000MUR", {"iban": 1}),
+    ("+1 415 555 2671 4111 1111 1111 1111", {"phone": 1, "card": 1}),
+    ("+44 20 7946 0958 4111 1111 1111 1111", {"phone": 1, "card": 1}),
+]
+
+
+def test_values_do_not_run_on_into_what_follows(spark):
+    data = [(i, f"to {text}, ok", "s") for i, (text, _) in enumerate(RUN_ON)]
+    made = pseudonyms.pseudonyms(frame(spark, data), "key")
+    back = {r["doc_id"]: r["text"] for r in pseudonyms.pseudonyms(made.select("doc_id", "text"), "key", back=True).collect()}
+    for r in made.collect():
+        text, kinds = RUN_ON[r["doc_id"]]
+        assert {k: r[f"n_{k}"] for k in VALUES if r[f"n_{k}"]} == kinds, text
+        assert shape(r["text"]) == shape(data[r["doc_id"]][1]) and r["text"] != data[r["doc_id"]][1] and back[r["doc_id"]] == data[r["doc_id"]][1]
+
+
 def test_lookalikes_nulls_and_plain_texts_stay(spark):
     data = [(i, f"x {v} y", "s") for i, v in enumerate(LOOKALIKES)] + [(50, None, "s"), (51, "", "s"), (52, "9" * 50_000 + "@", "s")]
     for r in pseudonyms.pseudonyms(frame(spark, data), "key").collect():
