@@ -58,7 +58,10 @@ def _rewritten(docs: DataFrame, **limits: float) -> DataFrame:
 
 
 def line_report(docs: DataFrame, **limits: float) -> DataFrame:
-    """Per document: lines, lines removed, and the SHA-256 of what is left (null text: of the empty text)."""
+    """Per document: lines, lines removed, and the SHA-256 of what is left (null text: of the empty text).
+
+    As in the query's SQL, hosts with fewer than MIN_PAGES pages and lines on fewer than MIN_HITS of them are left alone.
+    """
     return _rewritten(docs.select("doc_id", "text", "source"), **limits).select(
         "row.doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("row.text", F.lit("")), 256).alias("kept_sha256")
     )
