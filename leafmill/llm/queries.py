@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leafmill.llm import debruijn, jaccard, lines, mixing, packing, pseudonyms, quality, toxicity, warc, winnowing
+from leafmill.llm import alignment, debruijn, jaccard, lines, mixing, packing, pseudonyms, quality, sharding, toxicity, warc, whitening, winnowing
 
 # A real run passes a secret of its own.
 PSEUDONYM_KEY = "corpus"
@@ -72,3 +72,18 @@ def op9_toxicity(spark, sf_dir):
 @query
 def op10_best_fit_packing(spark, sf_dir):
     return packing.packed(documents(spark, sf_dir))
+
+
+@query
+def op11_cross_tokenizer_alignment(spark, sf_dir):
+    return alignment.link_report(documents(spark, sf_dir))
+
+
+@query
+def op12_sharding(spark, sf_dir):
+    return sharding.placements(documents(spark, sf_dir))
+
+
+@query
+def op13_embedding_whitening(spark, sf_dir):
+    return whitening.whitened(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))

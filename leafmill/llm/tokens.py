@@ -12,8 +12,8 @@ from leafmill.session import ship_code
 
 # Bytes of text hashed at once; a batch of longer texts is done piece by piece.
 PIECE = 1 << 21
-# Texts per Arrow batch.
-BATCH_ROWS = 1000
+# Texts per Arrow batch, and their bytes.
+BATCH_ROWS, BATCH_BYTES = 1000, 1 << 24
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX_A, _MIX_B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _SPACE = np.zeros(256, bool)
@@ -25,6 +25,10 @@ def python_ready(spark: SparkSession) -> None:
     ship_code()
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    as_bytes = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    limit = as_bytes(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch"))
+    if not 0 < limit <= BATCH_BYTES:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
