@@ -4,14 +4,19 @@
    minhash values, whose agreement estimates the similarity. Equal sets are one node.
 2. Chosen paths: in each run a node chooses some of its (coordinate, value) tokens by a
    hash that all nodes share, so that similar nodes choose alike, and is sent to a bucket
-   per chosen token. A bucket with more than LIMIT nodes is split again by further chosen
-   tokens; the path of tokens so far is part of the hash. Runs are repeated until a pair
-   at the threshold shares a bucket with the target recall.
-3. Inside a bucket a breadth-first search over the vectors finds what is connected; only
-   the search's tree is kept, so a bucket of n nodes gives fewer than n links, and a tight
-   group costs about as many comparisons as nodes. What cannot be split down to LIMIT is
-   searched in pairs of blocks.
-4. The components of those links hold all candidates. Each is worked out exactly from the
+   per chosen token. A bucket with more than LIMIT nodes elects a leader, and nodes near
+   it are linked to it at once. If that leaves some out, the bucket is split again by
+   further chosen tokens; the path of tokens so far is part of the hash. Runs are repeated
+   until a pair at the threshold shares a bucket with the target recall.
+3. Inside a bucket of at most LIMIT nodes a breadth-first search over the vectors finds
+   what is connected; only the search's tree is kept, so a bucket of n nodes gives fewer
+   than n links. Of what cannot be split down to LIMIT, the nodes not near a leader are
+   compared with all, in blocks.
+4. Nodes carry a label for what is known to be connected: the first runs' components, and
+   in a split bucket the leader's. A bucket of one label has nothing to find and is left
+   out, and only links between labels are kept, so that a group of n near copies costs
+   about n links, not n for every bucket that it is in.
+5. The components of those links hold all candidates. Each is worked out exactly from the
    shingles themselves (in pairs of blocks where large): links of every node are counted,
    not listed, and the exact links' components are the classes.
 """
@@ -20,10 +25,11 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leafmill.llm.common import stored
@@ -38,8 +44,10 @@ LOOSE = 0.6
 RECALL = 0.9999
 LIMIT = 1024
 LEVELS = 3
-# Nodes per block of a component that is too large for one task.
-BLOCK = 2048
+# Runs whose links are found before the others', which then leave out what these connect.
+FIRST_RUNS = 2
+# Nodes, and bytes of shingles, per block of a component that is too large for one task.
+BLOCK, BLOCK_BYTES = 2048, 1 << 25
 FEATURES = 4096
 _A = mixed(np.arange(1, COORDINATES + 1, dtype=np.uint64)) | np.uint64(1)
 _B = mixed(np.arange(1, COORDINATES + 1, dtype=np.uint64) + np.uint64(1 << 20))
@@ -94,10 +102,12 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("doc_id"),
+                batch.column("mark"),
                 pa.array([set_hash(x) for x in found], pa.int64()),
                 pa.array([minhashes(x).tobytes() for x in found], pa.binary()),
+                pa.array([x.nbytes for x in found], pa.int64()),
             ],
-            ["doc_id", "node", "vector"],
+            ["doc_id", "mark", "node", "vector", "bytes"],
         )
 
 
@@ -113,19 +123,22 @@ def _vectors(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(len(column), COORDINATES)
 
 
-def _first_paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        vectors, nodes = _vectors(batch.column("vector")), batch.column("node").to_numpy()
-        for run in range(RUNS):
-            rows, paths = _tokens(vectors, np.full(len(nodes), run, np.uint64), SHARED_FIRST)
-            yield pa.RecordBatch.from_arrays([pa.array(paths.view(np.int64)), pa.array(nodes[rows])], ["path", "node"])
+def _first_paths(runs: range):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            vectors, nodes, labels = _vectors(batch.column("vector")), batch.column("node").to_numpy(), batch.column("label").to_numpy()
+            for number in runs:
+                rows, paths = _tokens(vectors, np.full(len(nodes), number, np.uint64), SHARED_FIRST)
+                yield pa.RecordBatch.from_arrays([pa.array(paths.view(np.int64)), pa.array(nodes[rows]), pa.array(labels[rows])], ["path", "node", "label"])
+
+    return run
 
 
 def _next_paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows, paths = _tokens(_vectors(batch.column("vector")), batch.column("path").to_numpy().view(np.uint64), SHARED_BELOW)
-        nodes = batch.column("node").to_numpy()
-        yield pa.RecordBatch.from_arrays([pa.array(paths.view(np.int64)), pa.array(nodes[rows])], ["path", "node"])
+        nodes, labels = batch.column("node").to_numpy(), batch.column("label").to_numpy()
+        yield pa.RecordBatch.from_arrays([pa.array(paths.view(np.int64)), pa.array(nodes[rows]), pa.array(labels[rows])], ["path", "node", "label"])
 
 
 def grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
@@ -153,62 +166,129 @@ def grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.T
         yield pa.Table.from_batches(held)
 
 
-def _tree(alike, n: int) -> Iterator[tuple[int, int]]:
-    """(node, reached from) of a breadth-first forest; `alike(i, others)` says which others node i is linked to."""
-    left = np.arange(n)
+def _tree(alike, labels: np.ndarray) -> Iterator[tuple[int, int]]:
+    """(node, reached from) of a breadth-first forest; `alike(i, others)` says which others node i is linked to.
+
+    Nodes of one label are connected from the start; of a label one node is reached.
+    """
+
+    def along(reached: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        same = np.isin(labels[left], labels[reached])
+        return left[same], left[~same]
+
+    left = np.arange(len(labels))
     while len(left):
-        queue, left = [left[0]], left[1:]
+        queue, left = along(left[:1], left)
+        queue = queue.tolist()
         while queue and len(left):
             i = queue.pop()
-            hit = alike(i, left)
-            for j in left[hit]:
-                yield j, i
-            queue.extend(left[hit])
-            left = left[~hit]
+            hit = left[alike(i, left)]
+            if len(hit):
+                for j in hit[np.unique(labels[hit], return_index=True)[1]]:
+                    yield j, i
+                more, left = along(hit, left)
+                queue.extend(more.tolist())
+
+
+def _near(vectors: np.ndarray, other: np.ndarray) -> np.ndarray:
+    return (vectors == other).sum(axis=1) >= math.ceil(LOOSE * COORDINATES)
+
+
+def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    a, b = zip(*found, strict=True) if found else ((), ())
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
 def _bucket_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    least = math.ceil(LOOSE * COORDINATES)
-    a, b = [], []
+    """Links that connect a bucket's labels. Where rows are `held` or not, only pairs with a held one are compared."""
+    found = []
     for group in grouped(batches, ["path", "x", "y"]):
         nodes = group.column("node").to_numpy()
         order = np.argsort(nodes, kind="stable")
         vectors = _vectors(group.column("vector").combine_chunks())[order]
-        nodes = nodes[order]
-        for i, j in _tree(lambda i, others, v=vectors: (v[others] == v[i]).sum(axis=1) >= least, len(nodes)):
-            a.append(nodes[i])
-            b.append(nodes[j])
-        if len(a) > 50_000:
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-            a, b = [], []
-    yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-
-
-def _blocks(rows: DataFrame, group: str, size: str, node: str, block: int) -> DataFrame:
-    """Rows with their block `own` and `x`, `y`: of a group with n blocks each row goes to the n pairs that its block is in; small groups are one pair."""
-    count = F.ceil(F.col(size) / block).cast("int")
-    own = F.pmod(F.xxhash64(F.lit("block"), node), count).cast("int")
-    pair = F.transform(F.sequence(F.lit(0), count - 1), lambda o: F.struct(F.least(own, o).alias("x"), F.greatest(own, o).alias("y")))
+        held = group.column("held").to_numpy()[order]
+        nodes, labels = nodes[order], group.column("label").to_numpy()[order]
+
+        def alike(i: int, others: np.ndarray, v=vectors, h=held) -> np.ndarray:
+            return _near(v[others], v[i]) & (h[others] | h[i])
+
+        found += [(nodes[i], nodes[j]) for i, j in _tree(alike, labels)]
+        if len(found) > 50_000:
+            yield _pairs(found)
+            found = []
+    yield _pairs(found)
+
+
+def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each row with whether it belongs to its bucket's leader, by its label or by its vector."""
+    for batch in batches:
+        near = _near(_vectors(batch.column("vector")), _vectors(batch.column("leader_vector"))) if batch.num_rows else np.zeros(0, bool)
+        near |= batch.column("label").to_numpy() == batch.column("leader_label").to_numpy()
+        columns = [batch.column(c) for c in ("path", "size", "node", "vector", "label", "leader", "leader_label")]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(near)], [f.split()[0] for f in _STARRED.split(", ")])
+
+
+_STARRED = "path long, size long, node long, vector binary, label long, leader long, leader_label long, near boolean"
+
+
+def _blocks(rows: DataFrame, group: str, blocks: Column, node: str) -> DataFrame:
+    """Rows with their block `own` and `x`, `y`: of a group with n blocks each row goes to the n pairs that its block is in."""
+    own = F.pmod(F.xxhash64(F.lit("block"), node), blocks).cast("int")
+    pair = F.transform(F.sequence(F.lit(0), blocks - 1), lambda o: F.struct(F.least(own, o).alias("x"), F.greatest(own, o).alias("y")))
     return rows.select("*", own.alias("own"), F.inline(pair)).repartition(group, "x", "y").sortWithinPartitions(group, "x", "y")
 
 
-def candidates(nodes: DataFrame) -> DataFrame:
-    """Links `a`, `b` that connect all candidates; `nodes` has `node` and `vector`."""
-    paths = nodes.mapInArrow(_first_paths, "path long, node long")
-    links = None
+def _left_out(starred: DataFrame, sizes: DataFrame) -> DataFrame:
+    """The rows of buckets that cannot be split further: those not near the leader, in blocks `x`, with all others, in slices `y`."""
+    rows = starred.join(sizes, "path")
+    blocks, slices = (F.ceil(F.col(c) / n).cast("int") for c, n in (("far", LIMIT), ("size", 16 * LIMIT)))
+    own = F.when(~F.col("near"), F.pmod(F.xxhash64(F.lit("block"), "node"), blocks).cast("int"))
+    mine = F.pmod(F.xxhash64(F.lit("slice"), "node"), slices).cast("int")
+    spread = rows.withColumns({"own": own, "mine": mine}).withColumn("x", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    spread = spread.filter(F.col("own").isNull() | (F.col("own") >= F.col("x"))).withColumn("held", F.coalesce(F.col("own") == F.col("x"), F.lit(False)))
+    y = F.when(F.col("held"), F.sequence(F.lit(0), slices - 1)).otherwise(F.array("mine"))
+    label = F.when(F.col("near"), F.col("leader_label")).otherwise(F.col("label"))
+    found = spread.withColumn("y", F.explode(y)).select("path", "x", "y", "node", "vector", label.alias("label"), "held")
+    return found.repartition("path", "x", "y").sortWithinPartitions("path", "x", "y")
+
+
+def _found(nodes: DataFrame, runs: range) -> DataFrame:
+    """Links `a`, `b` between labels, from some runs; `nodes` has `node`, `vector` and `label`."""
+    paths = nodes.mapInArrow(_first_paths(runs), "path long, node long, label long")
+    vectors = nodes.select("node", "vector")
+    links = []
     for level in range(LEVELS):
         here = stored(paths, "jaccard-paths")
-        sizes = here.groupBy("path").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-        shared = stored(here.join(sizes, "path").join(nodes, "node"), "jaccard-buckets")
-        last = level == LEVELS - 1
-        small = shared if last else shared.filter(F.col("size") <= LIMIT)
-        found = _blocks(small, "path", "size", "node", LIMIT).select("path", "x", "y", "node", "vector").mapInArrow(_bucket_links, "a long, b long")
-        links = found if links is None else links.union(found)
+        sizes = here.groupBy("path").agg(F.count(F.lit(1)).alias("size"), F.min("label").alias("low"), F.max("label").alias("high"))
+        # Stored, so that a bucket with many of the rows gets an exchange that can be split.
+        mixed_ones = stored(sizes.filter("low < high").select("path", "size"), "jaccard-sizes")
+        shared = stored(here.join(mixed_ones, "path").join(vectors, "node"), "jaccard-buckets")
+        small = shared.filter(F.col("size") <= LIMIT).select("path", F.lit(0).alias("x"), F.lit(0).alias("y"), "node", "vector", "label", F.lit(True).alias("held"))
+        links.append(small.repartition("path").sortWithinPartitions("path").mapInArrow(_bucket_links, "a long, b long"))
         large = shared.filter(F.col("size") > LIMIT)
-        if last or large.isEmpty():
-            return links.distinct()
-        paths = large.select("path", "node", "vector").mapInArrow(_next_paths, "path long, node long")
-    return links
+        if large.isEmpty():
+            break
+        first = F.min_by(F.struct(F.col("node").alias("leader"), F.col("vector").alias("leader_vector"), F.col("label").alias("leader_label")), F.struct(F.xxhash64("path", "node"), "node"))
+        leaders = stored(large.groupBy("path").agg(first.alias("l")).select("path", "l.*"), "jaccard-leaders")
+        starred = stored(large.join(leaders, "path").mapInArrow(_stars, _STARRED), "jaccard-stars")
+        links.append(starred.filter("near AND label <> leader_label").select(F.col("node").alias("a"), F.col("leader").alias("b")))
+        far = stored(starred.groupBy("path").agg(F.count_if(~F.col("near")).alias("far")).filter("far > 0"), "jaccard-far")
+        if far.isEmpty():
+            break
+        if level == LEVELS - 1:
+            links.append(_left_out(starred, far).mapInArrow(_bucket_links, "a long, b long"))
+            break
+        label = F.when(F.col("near"), F.col("leader_label")).otherwise(F.col("label"))
+        paths = starred.join(far.select("path"), "path").select("path", "node", "vector", label.alias("label")).mapInArrow(_next_paths, "path long, node long, label long")
+    return stored(reduce(DataFrame.union, links).distinct(), "jaccard-found")
+
+
+def candidates(nodes: DataFrame) -> DataFrame:
+    """Links `a`, `b` that connect all candidates; `nodes` has `node` and `vector`."""
+    first = _found(nodes.withColumn("label", F.col("node")), range(FIRST_RUNS))
+    known = components(first, "jaccard-known").withColumnsRenamed({"a": "node", "b": "known"})
+    labelled = nodes.join(known, "node", "left").select("node", "vector", F.coalesce("known", "node").alias("label"))
+    return first.union(_found(stored(labelled, "jaccard-labelled"), range(FIRST_RUNS, RUNS)))
 
 
 def _exact_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,8 +296,8 @@ def _exact_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = shingles(texts)
         own = np.array([set_hash(x) for x in found], np.int64) == batch.column("node").to_numpy()
         whole = pa.RecordBatch.from_arrays(
-            [*(batch.column(c) for c in ("component", "size", "node", "copies")), pa.array([x.tobytes() for x in found], pa.binary())],
-            ["component", "size", "node", "copies", "shingles"],
+            [*(batch.column(c) for c in ("component", "blocks", "node", "copies")), pa.array([x.tobytes() for x in found], pa.binary())],
+            ["component", "blocks", "node", "copies", "shingles"],
         )
         yield whole.filter(pa.array(own))
 
@@ -262,7 +342,7 @@ def _component_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         if x[0] == y[0]:
             near[np.arange(len(rows)), np.arange(len(rows))] = False
             links = near @ copies
-            for i, j in _tree(lambda i, others: near[i][others], len(nodes)):
+            for i, j in _tree(lambda i, others: near[i][others], np.arange(len(nodes))):
                 origin[i] = nodes[j]
         else:
             links[rows] = near @ copies[cols]
@@ -276,55 +356,83 @@ def _component_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
                 hit[across] = near[i][others[across] - border] if i < border else near[others[across], i - border]
                 return hit
 
-            for i, j in _tree(alike, len(nodes)):
+            for i, j in _tree(alike, np.arange(len(nodes))):
                 origin[i] = nodes[j]
         yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(links.astype(np.int64)), pa.array(origin)], ["node", "links", "origin"])
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, class_id and n_links.
+def _mark() -> Column:
+    return F.xxhash64("text")
 
-    Documents are linked from a Jaccard similarity of 0.8 of their shingle sets on.
-    `class_id` is the least doc_id of all that are connected by links; `n_links` counts
-    the other documents linked to this one, copies included. Shorter texts than a shingle
-    are one shingle; texts without words (null, empty) are copies of each other; repeated
-    rows are documents of their own under one id, and copies if their texts are; a null id
-    is the least of a class only if all ids of it are null; other columns are left aside;
-    no rows give no rows.
-    """
+
+def _first_of_repeated(rows: DataFrame, repeated: Column, *key: str) -> DataFrame:
+    """One row of each key where `repeated` says that there are more: cut down in every task, so that a row repeated ever so often meets no one as a whole."""
+    first = rows.filter(repeated).groupBy(*key).agg(F.first(F.struct(*(F.col(f"`{c}`") for c in rows.columns))).alias("first"))
+    return rows.filter(~repeated).unionAll(first.select("first.*"))
+
+
+def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Every document's `node`; and every node's `n_links`, first document (`rep`) and its class's (`least`, of `least_node`)."""
     python_ready(docs.sparkSession)
-    sets = stored(docs.select("doc_id", "text").mapInArrow(_sets, "doc_id long, node long, vector binary"), "jaccard-sets")
-    nodes = stored(
-        sets.groupBy("node").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.min("vector").alias("vector")), "jaccard-nodes"
-    )
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    marked = docs.select("doc_id", "text", _mark().alias("mark"))
+    sets = stored(marked.mapInArrow(_sets, f"doc_id {kind}, mark long, node long, vector binary, bytes long"), "jaccard-sets")
+    alike = sets.groupBy("node", "doc_id", "mark").agg(F.count(F.lit(1)).alias("rows"), F.min("vector").alias("vector"), F.max("bytes").alias("bytes"))
+    first = F.min(F.struct(F.isnull("doc_id").alias("nameless"), "doc_id", "mark", "rows")).alias("rep")
+    nodes = stored(alike.groupBy("node").agg(first, F.sum("rows").alias("copies"), F.min("vector").alias("vector"), F.max("bytes").alias("bytes")), "jaccard-nodes")
     member = components(candidates(nodes.select("node", "vector")), "jaccard-candidates")
     # Stored, since the sizes and the texts both follow.
-    member = stored(member.select(F.col("a").alias("node"), F.col("b").alias("component")).union(member.select("b", "b").distinct()), "jaccard-members")
-    sizes = member.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
-    wanted = stored(member.join(sizes, "component").join(nodes.select("node", "rep", "copies"), "node"), "jaccard-wanted")
+    member = stored(
+        member.select(F.col("a").alias("node"), F.col("b").alias("component")).union(member.select("b", "b").distinct()).join(nodes.drop("vector"), "node"), "jaccard-members"
+    )
+    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("bytes") / BLOCK_BYTES)).cast("int")
+    wanted = stored(member.join(stored(member.groupBy("component").agg(blocks.alias("blocks")), "jaccard-blocks"), "component"), "jaccard-wanted")
     # Merged at every size: a broadcast that ends somewhere would only make small runs look unlike large ones.
-    texts = docs.select("doc_id", "text").join(wanted.hint("merge"), F.col("doc_id").eqNullSafe(F.col("rep")))
-    exact = texts.select("component", "size", "node", "copies", "text").mapInArrow(
-        _exact_sets, "component long, size long, node long, copies long, shingles binary"
+    here = F.col("doc_id").eqNullSafe(F.col("rep.doc_id")) & F.col("here").eqNullSafe(F.col("rep.mark"))
+    texts = docs.select("doc_id", "text", _mark().alias("here")).join(wanted.hint("merge"), here).select("component", "blocks", "node", "copies", "text", F.col("rep.rows").alias("rows"))
+    texts = _first_of_repeated(texts, F.col("rows") > 1, "node")
+    exact = texts.select("component", "blocks", "node", "copies", "text").mapInArrow(
+        _exact_sets, "component long, blocks int, node long, copies long, shingles binary"
     )
-    checked = _blocks(exact, "component", "size", "node", BLOCK)
+    checked = _blocks(exact, "component", F.col("blocks"), "node")
     found = stored(
         checked.select("component", "x", "y", "own", "node", "copies", "shingles").mapInArrow(_component_links, "node long, links long, origin long"),
         "jaccard-links",
     )
     classes = components(found.select(F.col("node").alias("a"), F.col("origin").alias("b")), "jaccard-classes")
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
-    labelled = nodes.join(links, "node", "left").join(classes.withColumnsRenamed({"a": "node", "b": "root"}), "node", "left")
+    labelled = nodes.drop("vector").join(links, "node", "left").join(classes.withColumnsRenamed({"a": "node", "b": "root"}), "node", "left")
     labelled = labelled.select("node", "rep", "copies", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("root", "node").alias("root"))
-    least = labelled.groupBy("root").agg(F.min("rep").alias("class_id"))
-    named = labelled.join(least, "root").select("node", "class_id", (F.col("links") + F.col("copies") - 1).alias("n_links"))
-    return sets.select("doc_id", "node").join(named, "node").select("doc_id", "class_id", "n_links")
+    # Two nodes may have one row's id and mark in common only if hashes collide; the node then decides.
+    least = labelled.groupBy("root").agg(F.min(F.struct("rep", "node")).alias("first")).select("root", F.col("first.rep").alias("least"), F.col("first.node").alias("least_node"))
+    named = labelled.join(least, "root").select("node", "rep", "least", "least_node", (F.col("links") + F.col("copies") - 1).alias("n_links"))
+    return sets, named
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """One row per document: doc_id, class_id and n_links.
+
+    Documents are linked from a Jaccard similarity of 0.8 of their shingle sets on.
+    `class_id` is the least doc_id of all that are connected by links; `n_links` counts
+    the other documents linked to this one, copies included. Shorter texts than a shingle
+    are one shingle; texts without words (null, empty) are copies of each other; repeated
+    rows are documents of their own under one id, and copies if their texts are; a null id
+    is the least of a class only if all ids of it are null; other columns are left aside;
+    no rows give no rows.
+    """
+    sets, named = _classes(docs)
+    return sets.select("doc_id", "node").join(named, "node").select("doc_id", F.col("least.doc_id").alias("class_id"), "n_links")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """One document of each class, the one with the least doc_id, with all its columns; of rows equal in id and text one."""
-    kept = near_duplicates(docs).filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
-    found = rows.join(kept, F.col("row.doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
-    same = Window.partitionBy("row.doc_id", "row.text").orderBy(F.lit(0))
-    return found.withColumn("again", F.row_number().over(same)).filter("again = 1").select("row.*")
+    """One document of each class, with all its columns: the one with the least doc_id, of equal ids one text, of rows equal in id and text any one.
+
+    Texts without words (null, empty) are one class. An id that comes with several texts
+    stays with each of them that is first in its class. Null ids come last; further
+    columns pass through whatever their names; no rows give no rows.
+    """
+    _, named = _classes(docs)
+    kept = stored(named.filter("node = least_node").select(F.col("rep.doc_id").alias("id"), F.col("rep.mark").alias("mark"), F.col("rep.rows").alias("rows")), "jaccard-kept")
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col("doc_id").alias("own"), _mark().alias("here"))
+    met = rows.join(kept.hint("merge"), F.col("own").eqNullSafe(F.col("id")) & F.col("here").eqNullSafe(F.col("mark")))
+    return _first_of_repeated(met, F.col("rows") > 1, "own", "here").select("row.*")
