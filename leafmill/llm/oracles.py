@@ -50,11 +50,12 @@ WITH lines AS (
   SELECT rowid_ AS r, doc_id, source, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
          unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS p
   FROM (SELECT *, row_number() OVER () AS rowid_ FROM documents)),
-pages AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
+pages AS (SELECT source, count(DISTINCT coalesce(text, '')) AS n FROM documents GROUP BY source),
+firsts AS (SELECT min(rowid_) AS r FROM (SELECT *, row_number() OVER () AS rowid_ FROM documents) GROUP BY source, coalesce(text, '')),
 common AS (
-  SELECT l.source, line FROM (SELECT DISTINCT r, source, line FROM lines WHERE regexp_matches(line, '{_WORD}')) l
+  SELECT l.source, line FROM (SELECT DISTINCT r, source, line FROM lines SEMI JOIN firsts USING (r) WHERE regexp_matches(line, '{_WORD}')) l
   JOIN pages g ON l.source IS NOT DISTINCT FROM g.source
-  GROUP BY l.source, line, n HAVING n >= 20 AND count(*) >= 5 AND count(*) > 0.1 * n)
+  GROUP BY l.source, line, n HAVING count(*) > 0.1 * (n + 20))
 SELECT any_value(l.doc_id) AS doc_id, count(*)::BIGINT AS n_lines, count(c.line)::BIGINT AS n_removed,
        sha256(coalesce(string_agg(l.line, chr(10) ORDER BY p) FILTER (c.line IS NULL), '')) AS kept_sha256
 FROM lines l LEFT JOIN common c ON l.source IS NOT DISTINCT FROM c.source AND l.line = c.line
