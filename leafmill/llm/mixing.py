@@ -2,8 +2,8 @@
 
 Everything is DataFrame functions. Sources' weights are their token shares to the power
 of an exponent, normalised. A weight times the budget is a source's quota, which is
-filled by whole passes over the source and a part of one more, each pass in an order of
-its own. Running totals are taken in two steps, over small buckets of the order and
+filled by whole passes over the source and a part of one more, up to the document that
+reaches the quota, each pass in an order of its own. Running totals are taken in two steps, over small buckets of the order and
 inside them, so that a source with most of the rows is no single task's work.
 """
 
@@ -112,15 +112,17 @@ def schedule(counts: DataFrame, plan: DataFrame, mix: Mix) -> DataFrame:
     placed = uses.join(offsets, F.col("source").eqNullSafe(F.col("s")) & (F.col("epoch") == F.col("e")) & (F.col("bucket") == F.col("b"))).drop("s", "e", "b")
     inside = Window.partitionBy("source", "epoch", "bucket").orderBy("order", "doc_id", "tokens").rowsBetween(Window.unboundedPreceding, -1)
     start = F.col("epoch") * F.col("source_tokens") + F.col("offset") + F.coalesce(F.sum("tokens").over(inside), F.lit(0))
-    return placed.withColumn("start", start).filter(F.col("start") + F.col("tokens") <= F.col("quota")).drop("bucket", "offset")
+    return placed.withColumn("start", start).filter(F.col("start") < F.col("quota")).drop("bucket", "offset")
 
 
 def mixture(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     """One row per use of a document: doc_id, source, n_tokens, weight, epoch, block, slot.
 
     Every source's stream is cut evenly over the blocks, so each block holds the sources
-    at their weights; `slot` is the place in the block's own permutation. Uses end where
-    the next document would exceed the source's quota.
+    at their weights; `slot` is the place in the block's own permutation. Uses end with
+    the document that reaches the source's quota, which is used whole: a source with any
+    quota has a document in the mix, however long its documents are, and exceeds the quota
+    by less than one document.
 
     `docs` needs doc_id, text and source; other columns are left aside. A null source is a
     source; texts without words count as one token, so that they too are placed; repeated
@@ -143,7 +145,9 @@ def mixed_documents(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
 
     A pass over a source is used up to some place of its order, so the last hash used in
     each source's last pass says which documents are in; texts meet only that small,
-    stored table.
+    stored table. Documents without words count as one token and stay; a null source is a
+    source; equal rows are used alike, also those at the end of the last pass; further
+    columns pass through whatever their names; no rows give no rows.
     """
     counts = token_counts(docs)
     plan = quotas(counts, mix)
