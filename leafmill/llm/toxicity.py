@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from leafmill.llm.common import stored
@@ -24,8 +24,8 @@ GAPS = (1, 2, 3)
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 3.0, 1.0
 # What a toxic document weighs beside a clean one.
 TOXIC_WEIGHT = 1.5
-# The most labelled documents that are trained on, taken in the order of a hash of their ids.
-SAMPLE = 20_000
+# The most labelled documents, and bytes of their texts, that are trained on, taken in the order of a hash of their ids.
+SAMPLE, SAMPLE_BYTES = 20_000, 1 << 28
 SHARDS, ROUNDS = 4, 4
 BIAS = 1 << BITS
 # Lower-case letters, digits and everything beyond ASCII stay, the rest parts words.
@@ -99,14 +99,21 @@ def held_out(doc_id: Column) -> Column:
 
 
 def sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> DataFrame:
-    """doc_id, text, toxic and shard of at most `rows` labelled documents that are not held out.
+    """doc_id, text, toxic and shard of at most `rows` labelled documents that are not held out, and of at most SAMPLE_BYTES of text.
 
-    The sample of ids is bounded, so it may be broadcast, and texts are not shuffled for the join.
+    The sample of ids is bounded, so it may be broadcast, and texts are not shuffled for
+    the join. Of an id's texts the least is taken. Documents are counted
+    in the order of a hash of their ids until their texts exceed the bytes.
     """
     known = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     one = known.groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
     chosen = one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    one_text = stored(found.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")), "toxicity-texts")
+    # One task's window over at most `rows` ids and lengths.
+    size = F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).over(Window.orderBy(F.xxhash64("doc_id"), "doc_id"))
+    within = one_text.select("doc_id", size.alias("held")).filter(F.col("held") <= SAMPLE_BYTES).select("doc_id")
+    found = one_text.join(F.broadcast(within), "doc_id")
     return found.withColumn("shard", F.pmod(F.xxhash64(F.lit("shard"), "doc_id"), F.lit(SHARDS)))
 
 
@@ -171,6 +178,11 @@ def scored(docs: DataFrame, labels: DataFrame, **sizes: int) -> DataFrame:
 
 
 def clean(docs: DataFrame, labels: DataFrame, **sizes: int) -> DataFrame:
-    """The documents that are not predicted toxic, with all their columns."""
+    """The documents that are not predicted toxic, with all their columns.
+
+    Nulls, repeats and missing labels are as in `scored`: null and empty texts have the
+    bias's score, and without labels every document stays. Further columns pass through
+    whatever their names; no rows give no rows.
+    """
     score = scorer(docs.sparkSession, train(docs, labels, **sizes))
     return docs.filter(score(F.col("text")) < 0.5)
