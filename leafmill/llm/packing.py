@@ -4,7 +4,8 @@ A bin holds at most one document of a duplicate cluster and at most two of a sou
 carries those as bitmaps, in which two clusters or sources may share a bit (which only
 keeps them apart as well). Pieces are packed in shards of bounded size, the longest
 first: the search begins at the tightest bin that has room and goes on to the next
-larger residual until a bin without conflict is found.
+larger residual until a bin without conflict is found. Every residual knows what all of
+its bins have in common, so that a piece in conflict with all of them passes them by at once.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ def pack(lengths: np.ndarray, clusters: np.ndarray, sources: np.ndarray, capacit
     """Bin and offset of each piece; pieces come longest first, none longer than the capacity."""
     bins: list[list[int]] = []  # cluster bitmap, bitmap of sources held once, of sources held twice
     open_at: list[list[int]] = [[] for _ in range(capacity + 1)]
+    # Clusters, and sources held twice, that all bins of a residual have; fewer where a bin has left since.
+    shared: list[list[int]] = [[-1, -1] for _ in range(capacity + 1)]
     present = 0
     where, offset = np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64)
     for i, length in enumerate(lengths.tolist()):
@@ -39,16 +42,22 @@ def pack(lengths: np.ndarray, clusters: np.ndarray, sources: np.ndarray, capacit
         while rest:
             step = (rest & -rest).bit_length() - 1
             room += step
-            for place, b in enumerate(open_at[room]):
-                held = bins[b]
-                if not (held[0] & cluster or held[2] & source):
-                    fit = b
+            if not (shared[room][0] & cluster or shared[room][1] & source):
+                clusters_of_all = sources_of_all = -1
+                for place, b in enumerate(open_at[room]):
+                    held = bins[b]
+                    if not (held[0] & cluster or held[2] & source):
+                        fit = b
+                        break
+                    clusters_of_all &= held[0]
+                    sources_of_all &= held[2]
+                if fit >= 0:
+                    open_at[room].pop(place)
+                    if not open_at[room]:
+                        present &= ~(1 << room)
+                        shared[room] = [-1, -1]
                     break
-            if fit >= 0:
-                open_at[room].pop(place)
-                if not open_at[room]:
-                    present &= ~(1 << room)
-                break
+                shared[room] = [clusters_of_all, sources_of_all]
             rest >>= step + 1
             room += 1
         if fit < 0:
@@ -61,6 +70,8 @@ def pack(lengths: np.ndarray, clusters: np.ndarray, sources: np.ndarray, capacit
         where[i], offset[i] = fit, capacity - room
         if room > length:
             open_at[room - length].append(fit)
+            shared[room - length][0] &= held[0]
+            shared[room - length][1] &= held[2]
             present |= 1 << (room - length)
     return where, offset
 
@@ -90,13 +101,16 @@ def packed(docs: DataFrame, capacity: int = CAPACITY, cluster: Column | None = N
     `docs` needs doc_id, text and source; other columns are left aside. Documents without
     words (null, empty) are one piece of length 0 in no bin; a null source is a source;
     repeated rows are copies and go to different bins; pieces of one length go by id; no
-    rows give no rows.
+    rows give no rows. The result depends on the rows alone, not on their partitions.
     """
     python_ready(docs.sparkSession)
     n = F.size(words(F.col("text")))
     known = (cluster if cluster is not None else text_cluster(F.col("text"))).alias("cluster")
-    rows = docs.select("doc_id", "source", n.cast("long").alias("n"), known, F.xxhash64("doc_id", "text", F.pmod(F.monotonically_increasing_id(), F.lit(64))).alias("key"))
-    # The key is stored with the pieces, so that a row stays in its shard whatever is run again.
+    rows = docs.select("doc_id", "source", n.cast("long").alias("n"), known)
+    # Rows that are alike in all of this are counted and numbered, which deals them to shards by what they hold alone.
+    alike = rows.groupBy("doc_id", "source", "n", "cluster").agg(F.count(F.lit(1)).alias("copies"))
+    rows = alike.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1))).drop("copies")
+    rows = rows.withColumn("key", F.xxhash64("doc_id", "source", "n", "cluster", "copy"))
     piece = F.explode(F.sequence(F.lit(0), F.greatest(F.ceil(F.col("n") / capacity) - 1, F.lit(0)).cast("int")))
     start = F.col("piece") * F.lit(capacity).cast("long")
     cut = rows.withColumn("piece", piece).withColumn("start", start).withColumn("length", F.least(F.col("n") - start, F.lit(capacity).cast("long")))
@@ -112,7 +126,7 @@ def packed(docs: DataFrame, capacity: int = CAPACITY, cluster: Column | None = N
         F.pmod(F.xxhash64(F.coalesce(F.col("source"), F.lit("")), F.col("source").isNull()), F.lit(SOURCE_BITS)).alias("bit"),
         F.pmod(F.xxhash64(F.lit("shard"), "key", "piece"), F.lit(shards)).alias("shard"),
     )
-    ordered = dealt.repartition("shard").sortWithinPartitions("shard", F.desc("length"), "doc_id", "piece", "cluster")
+    ordered = dealt.repartition("shard").sortWithinPartitions("shard", F.desc("length"), "doc_id", "piece", "cluster", "source")
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, source string, piece int, start long, length long, bin long, position long"
     empty = pieces.filter("length = 0").select("doc_id", "source", "piece", "start", "length", F.lit(None).cast("long").alias("bin"), F.lit(None).cast("long").alias("position"))
     return ordered.mapInArrow(_packer(capacity), schema).union(empty)
