@@ -64,7 +64,7 @@ def _anchors(hashes: np.ndarray, bounds: np.ndarray, window: int, anchor: int) -
 def _paths(with_marks: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_batches(batches):
-            ids = batch.column("doc_id")
+            ids, marked = batch.column("doc_id"), batch.column("text_mark")
             for lo, hi in text_pieces(texts):
                 text, start, size, anchor, edges = _anchors(*word_hashes(texts[lo:hi]), WINDOW, ANCHOR)
                 anchors = pa.array(anchor.view(np.int64))
@@ -74,8 +74,9 @@ def _paths(with_marks: bool):
                 ends = np.concatenate([[0], np.cumsum(4 * size)]).astype(np.int32)
                 marks = np.ascontiguousarray((edges >> np.uint64(32)).astype(np.uint32))
                 blobs = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(ends), pa.py_buffer(marks)])
+                row = pa.array(text + lo)
                 yield pa.RecordBatch.from_arrays(
-                    [anchors, ids.take(pa.array(text + lo)), pa.array(start.astype(np.int32)), blobs], ["anchor", "doc_id", "start", "marks"]
+                    [anchors, ids.take(row), marked.take(row), pa.array(start.astype(np.int32)), blobs], ["anchor", "doc_id", "text_mark", "start", "marks"]
                 )
 
     return run
@@ -90,31 +91,40 @@ def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marks = np.frombuffer(b"".join(blobs), np.int32)
         at = ranges(batch.column("start").to_numpy().astype(np.int64), size).astype(np.int32)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("anchor").take(row), pa.array(marks), batch.column("doc_id").take(row), pa.array(at)], ["anchor", "mark", "doc_id", "start"]
+            [batch.column("anchor").take(row), pa.array(marks), batch.column("doc_id").take(row), batch.column("text_mark").take(row), pa.array(at)],
+            ["anchor", "mark", "doc_id", "text_mark", "start"],
         )
 
 
+def _texts(docs: DataFrame) -> DataFrame:
+    """doc_id, text and `text_mark`, a hash of the text: rows are known by id and text, so that texts of one id are kept apart."""
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_mark"))
+
+
 def _candidates(texts: DataFrame) -> DataFrame:
-    """doc_id, start, size: runs of `size` windows, from word `start` on, whose marks occur more than once; stored."""
+    """doc_id, text_mark, start, size: runs of `size` windows, from word `start` on, whose marks occur more than once; stored."""
     seen = texts.mapInArrow(_paths(False), "anchor long").groupBy("anchor").agg(F.count(F.lit(1)).alias("n"))
     often = stored(seen.filter("n > 1").select("anchor"), "debruijn-anchors")
-    paths = texts.mapInArrow(_paths(True), "anchor long, doc_id long, start int, marks binary")
+    paths = texts.mapInArrow(_paths(True), "anchor long, doc_id long, text_mark long, start int, marks binary")
     paths = stored(paths.join(often, "anchor", "left_semi"), "debruijn-paths")
-    place = F.struct("doc_id", "start")
+    place = F.struct("doc_id", "text_mark", "start")
     contents = stored(paths.groupBy("anchor", "marks").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("places")), "debruijn-contents")
     again = contents.filter("places > 1").select("anchor", "marks")
-    whole = paths.join(again, ["anchor", "marks"]).select("doc_id", "start", (F.octet_length("marks") / 4).cast("int").alias("size"))
+    whole = paths.join(again, ["anchor", "marks"]).select("doc_id", "text_mark", "start", (F.octet_length("marks") / 4).cast("int").alias("size"))
 
     branching = contents.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor")
-    split = contents.join(branching, "anchor", "left_semi").select("anchor", "marks", "first.doc_id", "first.start")
-    edges = stored(split.mapInArrow(_edges, "anchor long, mark int, doc_id long, start int"), "debruijn-edges")
+    split = contents.join(branching, "anchor", "left_semi").select("anchor", "marks", "first.*")
+    edges = stored(split.mapInArrow(_edges, "anchor long, mark int, doc_id long, text_mark long, start int"), "debruijn-edges")
     shared = edges.groupBy("anchor", "mark").agg(F.count(F.lit(1)).alias("places")).filter("places > 1").drop("places")
-    single = edges.join(shared, ["anchor", "mark"]).select("doc_id", "start", F.lit(1).alias("size"))
-    return stored(whole.union(single), "debruijn-candidates")
+    single = edges.join(shared, ["anchor", "mark"]).select("doc_id", "text_mark", "start", F.lit(1).alias("size"))
+    # Repeated rows bring their places once each; one will do.
+    return stored(whole.union(single).distinct(), "debruijn-candidates")
 
 
-def _spans(places: DataFrame) -> DataFrame:
-    return places.groupBy(F.col("doc_id").alias("of")).agg(F.collect_list(F.struct("start", "size")).alias("spans"))
+def _with_spans(texts: DataFrame, places: DataFrame, how: str) -> DataFrame:
+    """The texts with the places found in them. A text has fewer places than words, whatever the corpus."""
+    spans = places.groupBy(F.col("doc_id").alias("of"), F.col("text_mark").alias("mark")).agg(F.collect_list(F.struct("start", "size")).alias("spans"))
+    return texts.join(spans, F.col("doc_id").eqNullSafe(F.col("of")) & F.col("text_mark").eqNullSafe(F.col("mark")), how).select("doc_id", "text", "text_mark", "spans")
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,28 +138,35 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for span in spans:
                 lo, size = span["start"], span["size"]
                 hi = lo + size + WINDOW - 1
-                # Of several texts under one id, spans beyond this one's end are another's.
-                if hi <= len(own):
-                    rows.append(row)
-                    starts.append(lo)
-                    sizes.append(size)
-                    digests.append(hashlib.blake2b(joined[at[lo] : at[hi] - 1], digest_size=16).digest())
+                rows.append(row)
+                starts.append(lo)
+                sizes.append(size)
+                digests.append(hashlib.blake2b(joined[at[lo] : at[hi] - 1], digest_size=16).digest())
+        row = pa.array(rows, pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id").take(pa.array(rows, pa.int64())), pa.array(starts, pa.int32()), pa.array(sizes, pa.int32()), pa.array(digests, pa.binary())],
-            ["doc_id", "start", "size", "words"],
+            [*(batch.column(c).take(row) for c in ("doc_id", "text_mark")), pa.array(starts, pa.int32()), pa.array(sizes, pa.int32()), pa.array(digests, pa.binary())],
+            ["doc_id", "text_mark", "start", "size", "words"],
         )
 
 
 def repeats(docs: DataFrame) -> DataFrame:
-    """doc_id, start, size: runs of `size` windows, from word `start` on, whose words also start earlier."""
-    texts = docs.select("doc_id", "text")
-    spans = _spans(_candidates(texts))
-    met = texts.join(spans, F.col("doc_id").eqNullSafe(F.col("of"))).select("doc_id", "text", "spans")
-    found = stored(met.mapInArrow(_digests, "doc_id long, start int, size int, words binary"), "debruijn-digests")
-    place = F.struct("doc_id", "start")
-    first = found.groupBy("words").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first != last").drop("last")
-    again = found.join(first, "words").filter(place != F.col("first")).select("doc_id", "start", "size")
-    return stored(again, "debruijn-repeats")
+    """doc_id, text_mark, start, size: runs of `size` windows, from word `start` on, whose words also start earlier."""
+    texts = _texts(docs)
+    met = _with_spans(texts, _candidates(texts), "inner")
+    found = met.mapInArrow(_digests, "doc_id long, text_mark long, start int, size int, words binary")
+    found = stored(found, "debruijn-digests")
+    place = F.struct("doc_id", "text_mark", "start")
+    # Stored, so that both sides of the join get exchanges of their own, and one that many places share can be split.
+    first = stored(found.groupBy("words").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first != last").drop("last"), "debruijn-firsts")
+    again = stored(found.join(first, "words").filter(place != F.col("first")), "debruijn-again")
+    # A place in another text of the first one's id is no repeat of it, only of an earlier one in its own text.
+    beside = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_mark") != F.col("first.text_mark"))
+    columns = ("doc_id", "text_mark", "start", "size")
+    others = again.filter(beside)
+    own = others.groupBy("words", F.col("doc_id").alias("of"), F.col("text_mark").alias("mark")).agg(F.min("start").alias("least")).withColumnRenamed("words", "same")
+    same = (F.col("words") == F.col("same")) & F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("text_mark") == F.col("mark"))
+    later = others.join(own, same).filter("start > least")
+    return stored(again.filter(~beside).select(*columns).union(later.select(*columns)), "debruijn-repeats")
 
 
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,10 +177,8 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             gone = np.zeros(len(own) + 1, np.int64)
             for span in spans or ():
                 lo, hi = span["start"], span["start"] + span["size"] + WINDOW - 1
-                # Of several texts under one id, spans beyond this one's end are another's.
-                if hi <= len(own):
-                    gone[lo] += 1
-                    gone[hi] -= 1
+                gone[lo] += 1
+                gone[hi] -= 1
             out = np.cumsum(gone)[:-1] > 0
             kept = own if not out.any() else [w for w, x in zip(own, out.tolist(), strict=True) if not x]
             words.append(len(own))
@@ -180,10 +195,11 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 
     A word is removed if a window of 20 words over it also starts earlier: in a document
     with a smaller doc_id, or before it in its own. Windows are judged on the input. Null
-    and empty texts have no words; shorter texts than a window lose none; rows that share
-    an id are the same document, of which neither is earlier; a null id is smaller than
-    all others; other columns are left aside; no rows give no rows.
+    and empty texts have no words; shorter texts than a window lose none; of rows that share
+    an id none is earlier than another, whether their texts are equal or not, and each
+    text is judged by itself; a null id is smaller than all others; other columns are left
+    aside; no rows give no rows.
     """
     python_ready(docs.sparkSession)
-    rows = docs.select("doc_id", "text").join(_spans(repeats(docs)), F.col("doc_id").eqNullSafe(F.col("of")), "left")
-    return rows.select("doc_id", "text", "spans").mapInArrow(_kept, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    rows = _with_spans(_texts(docs), repeats(docs), "left")
+    return rows.mapInArrow(_kept, "doc_id long, n_words long, n_removed long, kept_sha256 string")
