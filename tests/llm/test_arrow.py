@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 from itertools import combinations
@@ -9,11 +10,12 @@ from itertools import combinations
 import numpy as np
 import pytest
 import zstandard
+from pyspark.sql import functions as F
 
 from leafmill.llm import debruijn, jaccard, packing, toxicity, warc
 from leafmill.llm.components import components
 from leafmill.llm.tokens import word_hashes
-from tests.llm.data import frame, found, prose, rows, words_of
+from tests.llm.data import SCHEMA, frame, found, prose, rows, words_of
 
 
 def test_word_hashes_part_texts_like_split(monkeypatch):
@@ -102,6 +104,37 @@ def test_recall_of_the_candidates(spark):
     assert sum(r["class_id"] == r["doc_id"] // 2 * 2 and r["n_links"] == 1 for r in got) == 600
 
 
+def near_copies(n, seed=3):
+    rng = random.Random(seed)
+    base = [f"w{i}" for i in range(200)]
+    out = []
+    for i in range(n):
+        own = list(base)
+        for _ in range(2):
+            own[rng.randrange(200)] = f"x{rng.randrange(10**6)}"
+        out.append((i, " ".join(own), "x"))
+    return out
+
+
+def test_links_grow_with_a_group_of_near_copies(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "LIMIT", 64)
+    made = []
+    for n in (100, 400):
+        nodes = frame(spark, near_copies(n)).withColumn("mark", F.xxhash64("text")).select("doc_id", "text", "mark")
+        sets = nodes.mapInArrow(jaccard._sets, "doc_id long, mark long, node long, vector binary, bytes long")
+        links = jaccard.candidates(sets.select("node", "vector").distinct())
+        made.append(links.count())
+        assert components(links, "test").count() == n - 1
+    assert made[0] <= 5 * 100 and made[1] <= min(5 * 400, 5 * made[0]), made
+
+
+def test_ids_with_several_texts_keep_what_is_first_in_its_class(spark):
+    p, q, z = (" ".join(f"{c}{i}" for i in range(30)) for c in "pqz")
+    data = [(3, p, "x"), (7, p, "x"), (7, z, "x"), (9, q, "x"), (9, q, "x"), (None, z, "x"), (None, None, "x"), (11, "", "x")]
+    got = sorted((r["doc_id"], r["text"]) for r in jaccard.one_of_each(frame(spark, data, True)).collect())
+    assert got == [(3, p), (7, z), (9, q), (11, "")]
+
+
 def test_components(spark):
     rng = random.Random(2)
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, 100 + i) for i in range(1, 30)] + [(rng.randrange(200, 260), rng.randrange(200, 260)) for _ in range(40)]
@@ -122,17 +155,19 @@ def test_components(spark):
 
 
 def plain_spans(data):
-    seen, out = {}, {}
+    earlier, out = {}, []
     for i, text, _ in sorted(data, key=lambda r: (r[0] is not None, r[0] or 0)):
         w = words_of(text)
-        gone = set()
+        gone, own = set(), {}
         for p in range(len(w) - 19):
             gram = tuple(w[p : p + 20])
-            if seen.setdefault(gram, (i, p)) != (i, p):
+            own.setdefault(gram, p)
+            if (gram in earlier and earlier[gram] != i) or own[gram] < p:
                 gone.update(range(p, p + 20))
+            earlier.setdefault(gram, i)
         kept = [x for k, x in enumerate(w) if k not in gone]
-        out.setdefault(i, []).append((i, len(w), len(gone), hashlib.sha256(b" ".join(kept)).hexdigest()))
-    return sorted((r for rs in out.values() for r in rs), key=repr)
+        out.append((i, len(w), len(gone), hashlib.sha256(b" ".join(kept)).hexdigest()))
+    return sorted(out, key=repr)
 
 
 @pytest.mark.parametrize("extra", [False, True])
@@ -151,6 +186,13 @@ def test_substring_dedup_of_short_few_and_repeated_rows(spark):
     assert sorted((r["doc_id"], r["n_removed"]) for r in got) == [(1, 0), (1, 0), (2, 29)]
 
 
+def test_texts_of_one_id_are_judged_by_themselves(spark):
+    p, u, v = (" ".join(f"{c}{i}" for i in range(40)) for c in "puv")
+    data = [(1, p, "x"), (2, p, "x"), (2, u, "x"), (3, f"{v} {v}", "x"), (3, v, "x"), (3, f"{u} end", "x"), (None, p[:-4], "x"), (None, v, "x"), (None, v, "x")]
+    assert found(debruijn.without_repeats(frame(spark, data))) == plain_spans(data)
+    assert {r["n_removed"] for r in debruijn.without_repeats(frame(spark, data[:3])).filter("doc_id = 2").collect()} == {0, 40}
+
+
 def test_windows_of_equal_marks_and_other_words_stay(spark):
     """The first two share their anchor and all 32 bits of their mark, but not their last word; the third repeats the second."""
     base = " ".join(f"w{i}" for i in range(19))
@@ -249,6 +291,15 @@ def test_without_labels_nothing_is_toxic(spark):
     assert toxicity.scored(frame(spark, []), none).collect() == []
 
 
+def test_the_sample_is_bounded_in_rows_and_bytes(spark, monkeypatch):
+    docs = [(1, f"text {i}", "x") for i in range(50)] + [(i, "some words", "x") for i in range(2, 30)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 30)], "doc_id long, toxic int")
+    assert toxicity.sample(frame(spark, docs), labels, 500).count() == len({i for i in range(1, 30) if zlib.crc32(str(i).encode()) % 5})
+    assert toxicity.sample(frame(spark, docs), labels, 3).count() == 3
+    monkeypatch.setattr(toxicity, "SAMPLE_BYTES", 25)
+    assert toxicity.sample(frame(spark, docs), labels, 500).count() in (2, 3)
+
+
 # Packing.
 
 
@@ -300,6 +351,39 @@ def plain_pack(lengths, clusters, sources, capacity):
     return where
 
 
+def test_bins_do_not_depend_on_partitions(spark, monkeypatch):
+    monkeypatch.setattr(packing, "SHARD_ROWS", 40)
+    data = rows() + rows() + copies(5)
+    a, b = (spark.createDataFrame(data, SCHEMA).repartition(n) for n in (1, 7))
+    assert found(packing.packed(a, capacity=300)) == found(packing.packed(b, capacity=300))
+
+
+def test_conflicts_are_kept_as_the_plain_search_keeps_them():
+    rng = np.random.default_rng(2)
+    for _ in range(60):
+        n = int(rng.integers(1, 120))
+        lengths = np.sort(rng.integers(1, 30, n))[::-1]
+        clusters, sources = rng.integers(0, 6, n), rng.integers(0, 4, n)
+        where, offset = packing.pack(lengths, clusters, sources, 64)
+        bins = defaultdict(list)
+        for i in range(n):
+            # The bins with room and no conflict, by what the packer itself has put into them so far.
+            fits = [64 - sum(lengths[k] for k in held) for held in bins.values() if sum(lengths[k] for k in held) + lengths[i] <= 64 and clusters[i] not in clusters[held] and (sources[held] == sources[i]).sum() < 2]
+            assert 64 - offset[i] == (min(fits) if fits else 64)
+            assert (where[i] in bins) == bool(fits)
+            assert clusters[i] not in clusters[bins[where[i]]] and offset[i] == sum(lengths[k] for k in bins[where[i]])
+            bins[where[i]].append(i)
+
+
+def test_one_cluster_is_packed_in_linear_time():
+    took = []
+    for n in (4_000, 16_000):
+        began = time.process_time()
+        packing.pack(np.full(n, 100), np.zeros(n, int), np.arange(n) % 64, 2048)
+        took.append(time.process_time() - began)
+    assert took[1] < 10 * max(took[0], 0.05)
+
+
 def test_the_tightest_compatible_bin_is_taken():
     rng = np.random.default_rng(1)
     for _ in range(30):
