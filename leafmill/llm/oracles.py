@@ -86,3 +86,21 @@ SELECT page_id, n::BIGINT AS payload_bytes, h AS payload_digest,
        CASE WHEN n >= 1000 AND page_id <> top THEN top END AS refers_to
 FROM t
 """
+
+# Bids of equal weight fall as hashes rise, so the largest hash wins. The checksum goes through the bytes by a table of 256.
+_BIDS = "list_transform(range({n}), lambda s: ('0x' || substr(md5(concat(coalesce(doc_id::VARCHAR, ''), '@', s)), 1, 13))::BIGINT)"
+ORACLES["op12_sharding"] = f"""
+WITH steps AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k:
+           CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, i)) AS t),
+bytes AS (SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 1 AS size,
+                 list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: ('0x' || x)::BIGINT) AS b FROM documents),
+summed AS (SELECT doc_id, size::BIGINT AS size,
+                  xor(list_reduce(b, lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]), 4294967295), 4294967295) AS text_crc32 FROM bytes, steps),
+placed AS (SELECT *, {_BIDS.format(n=8)} AS old, {_BIDS.format(n=9)} AS grown,
+                  ('0x' || substr(md5(concat(coalesce(doc_id::VARCHAR, ''), '/', size, '/', text_crc32)), 1, 13))::BIGINT AS o FROM summed),
+sharded AS (SELECT *, list_position(old, list_max(old)) - 1 AS shard, list_position(grown, list_max(grown)) - 1 AS grown_shard FROM placed)
+SELECT doc_id, size, text_crc32::BIGINT AS text_crc32, 'key' AS law, shard::INTEGER AS shard,
+       row_number() OVER (PARTITION BY shard ORDER BY o, doc_id NULLS FIRST, size, text_crc32) - 1 AS slot, grown_shard::INTEGER AS grown_shard
+FROM sharded
+"""
