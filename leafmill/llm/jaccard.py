@@ -12,10 +12,10 @@
    what is connected; only the search's tree is kept, so a bucket of n nodes gives fewer
    than n links. Of what cannot be split down to LIMIT, the nodes not near a leader are
    compared with all, in blocks.
-4. Nodes carry a label for what is known to be connected: the first runs' components, and
-   in a split bucket the leader's. A bucket of one label has nothing to find and is left
-   out, and only links between labels are kept, so that a group of n near copies costs
-   about n links, not n for every bucket that it is in.
+4. Nodes carry a label for what is known to be connected: a leader that they met in large
+   buckets of the first runs, and in a split bucket its leader. A bucket of one label has
+   nothing to find and is left out, and only links between labels are kept, so that a
+   group of n near copies costs about n links, not n for every bucket that it is in.
 5. The components of those links hold all candidates. Each is worked out exactly from the
    shingles themselves (in pairs of blocks where large): links of every node are counted,
    not listed, and the exact links' components are the classes.
@@ -44,8 +44,8 @@ LOOSE = 0.6
 RECALL = 0.9999
 LIMIT = 1024
 LEVELS = 3
-# Runs whose links are found before the others', which then leave out what these connect.
-FIRST_RUNS = 2
+# Runs whose large buckets label their leaders' neighbours before all runs begin.
+LABEL_RUNS = 2
 # Nodes, and bytes of shingles, per block of a component that is too large for one task.
 BLOCK, BLOCK_BYTES = 2048, 1 << 25
 FEATURES = 4096
@@ -167,7 +167,7 @@ def grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.T
 
 
 def _tree(alike, labels: np.ndarray) -> Iterator[tuple[int, int]]:
-    """(node, reached from) of a breadth-first forest; `alike(i, others)` says which others node i is linked to.
+    """(node, first of its tree) of a breadth-first forest; `alike(i, others)` says which others node i is linked to.
 
     Nodes of one label are connected from the start; of a label one node is reached.
     """
@@ -178,14 +178,14 @@ def _tree(alike, labels: np.ndarray) -> Iterator[tuple[int, int]]:
 
     left = np.arange(len(labels))
     while len(left):
+        first = left[0]
         queue, left = along(left[:1], left)
         queue = queue.tolist()
         while queue and len(left):
-            i = queue.pop()
-            hit = left[alike(i, left)]
+            hit = left[alike(queue.pop(), left)]
             if len(hit):
                 for j in hit[np.unique(labels[hit], return_index=True)[1]]:
-                    yield j, i
+                    yield j, first
                 more, left = along(hit, left)
                 queue.extend(more.tolist())
 
@@ -212,7 +212,7 @@ def _bucket_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         def alike(i: int, others: np.ndarray, v=vectors, h=held) -> np.ndarray:
             return _near(v[others], v[i]) & (h[others] | h[i])
 
-        found += [(nodes[i], nodes[j]) for i, j in _tree(alike, labels)]
+        found += [(nodes[i], nodes[first]) for i, first in _tree(alike, labels)]
         if len(found) > 50_000:
             yield _pairs(found)
             found = []
@@ -252,43 +252,61 @@ def _left_out(starred: DataFrame, sizes: DataFrame) -> DataFrame:
     return found.repartition("path", "x", "y").sortWithinPartitions("path", "x", "y")
 
 
-def _found(nodes: DataFrame, runs: range) -> DataFrame:
-    """Links `a`, `b` between labels, from some runs; `nodes` has `node`, `vector` and `label`."""
-    paths = nodes.mapInArrow(_first_paths(runs), "path long, node long, label long")
-    vectors = nodes.select("node", "vector")
-    links = []
+def _shared(paths: DataFrame, vectors: DataFrame, least: int) -> DataFrame:
+    """The rows of buckets of `least` nodes or more and of several labels, with their size, leader and vector; stored."""
+    here = stored(paths, "jaccard-paths")
+    leader = F.min_by("node", F.struct(F.xxhash64("path", "node"), "node")).alias("leader")
+    sizes = here.groupBy("path").agg(F.count(F.lit(1)).alias("size"), F.min("label").alias("low"), F.max("label").alias("high"), leader)
+    # Stored, so that a bucket with many of the rows gets an exchange that can be split.
+    wanted = stored(sizes.filter((F.col("low") < F.col("high")) & (F.col("size") >= least)).select("path", "size", "leader"), "jaccard-sizes")
+    return stored(here.join(wanted, "path").join(vectors, "node"), "jaccard-buckets")
+
+
+def _starred(large: DataFrame) -> DataFrame:
+    """The rows with whether they are near their bucket's leader; stored."""
+    # A row for every large bucket.
+    leaders = large.filter("node = leader").select("path", "leader", F.col("vector").alias("leader_vector"), F.col("label").alias("leader_label"))
+    leaders = stored(leaders.dropDuplicates(["path"]), "jaccard-leaders")
+    return stored(large.join(leaders, ["path", "leader"]).mapInArrow(_stars, _STARRED), "jaccard-stars")
+
+
+def _labelled(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The nodes with a label, stored: nodes of one label are connected by the links beside them."""
+    own = nodes.withColumn("label", F.col("node"))
+    large = _shared(own.mapInArrow(_first_paths(range(LABEL_RUNS)), "path long, node long, label long"), nodes, LIMIT + 1)
+    links = _starred(large).filter("near AND node <> leader").groupBy(F.col("node").alias("a")).agg(F.min("leader").alias("b"), F.max("leader").alias("c"))
+    # Where a node met several leaders, all but the least are linked by the other edge.
+    links = stored(links, "jaccard-labels")
+    up = links.select(F.col("a").alias("at"), F.least("b", "a").alias("up"))
+    label = links.select(F.col("a").alias("node"), F.col("b").alias("label"))
+    for step in range(2):
+        label = label.join(up, F.col("label") == F.col("at"), "left").select("node", F.coalesce("up", "label").alias("label"))
+    found = stored(nodes.join(label.withColumnRenamed("node", "known"), F.col("node") == F.col("known"), "left").select("node", "vector", F.coalesce("label", "node").alias("label")), "jaccard-labelled")
+    return found, links.select("a", "b").union(links.select("a", "c"))
+
+
+def candidates(nodes: DataFrame) -> DataFrame:
+    """Links `a`, `b` that connect all candidates; `nodes` has `node` and `vector`."""
+    nodes, known = _labelled(nodes)
+    paths = nodes.mapInArrow(_first_paths(range(RUNS)), "path long, node long, label long")
+    links = [known]
     for level in range(LEVELS):
-        here = stored(paths, "jaccard-paths")
-        sizes = here.groupBy("path").agg(F.count(F.lit(1)).alias("size"), F.min("label").alias("low"), F.max("label").alias("high"))
-        # Stored, so that a bucket with many of the rows gets an exchange that can be split.
-        mixed_ones = stored(sizes.filter("low < high").select("path", "size"), "jaccard-sizes")
-        shared = stored(here.join(mixed_ones, "path").join(vectors, "node"), "jaccard-buckets")
+        shared = _shared(paths, nodes.select("node", "vector"), 2)
         small = shared.filter(F.col("size") <= LIMIT).select("path", F.lit(0).alias("x"), F.lit(0).alias("y"), "node", "vector", "label", F.lit(True).alias("held"))
         links.append(small.repartition("path").sortWithinPartitions("path").mapInArrow(_bucket_links, "a long, b long"))
         large = shared.filter(F.col("size") > LIMIT)
         if large.isEmpty():
             break
-        first = F.min_by(F.struct(F.col("node").alias("leader"), F.col("vector").alias("leader_vector"), F.col("label").alias("leader_label")), F.struct(F.xxhash64("path", "node"), "node"))
-        leaders = stored(large.groupBy("path").agg(first.alias("l")).select("path", "l.*"), "jaccard-leaders")
-        starred = stored(large.join(leaders, "path").mapInArrow(_stars, _STARRED), "jaccard-stars")
+        starred = _starred(large)
         links.append(starred.filter("near AND label <> leader_label").select(F.col("node").alias("a"), F.col("leader").alias("b")))
         far = stored(starred.groupBy("path").agg(F.count_if(~F.col("near")).alias("far")).filter("far > 0"), "jaccard-far")
-        if far.isEmpty():
-            break
         if level == LEVELS - 1:
             links.append(_left_out(starred, far).mapInArrow(_bucket_links, "a long, b long"))
             break
         label = F.when(F.col("near"), F.col("leader_label")).otherwise(F.col("label"))
-        paths = starred.join(far.select("path"), "path").select("path", "node", "vector", label.alias("label")).mapInArrow(_next_paths, "path long, node long, label long")
-    return stored(reduce(DataFrame.union, links).distinct(), "jaccard-found")
-
-
-def candidates(nodes: DataFrame) -> DataFrame:
-    """Links `a`, `b` that connect all candidates; `nodes` has `node` and `vector`."""
-    first = _found(nodes.withColumn("label", F.col("node")), range(FIRST_RUNS))
-    known = components(first, "jaccard-known").withColumnsRenamed({"a": "node", "b": "known"})
-    labelled = nodes.join(known, "node", "left").select("node", "vector", F.coalesce("known", "node").alias("label"))
-    return first.union(_found(stored(labelled, "jaccard-labelled"), range(FIRST_RUNS, RUNS)))
+        split = starred.join(far, "path", "left_semi").select("path", "node", "vector", label.alias("label"))
+        paths = split.mapInArrow(_next_paths, "path long, node long, label long")
+    return reduce(DataFrame.union, links)
 
 
 def _exact_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -326,7 +344,7 @@ def _linked(sets: list[np.ndarray], rows: np.ndarray, cols: np.ndarray) -> np.nd
 
 
 def _component_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For every node of a pair of blocks: copies of the sets linked to it there, and the node that the search came from."""
+    """For every node of a pair of blocks: copies of the sets linked to it there, and the first node of its tree."""
     for group in grouped(batches, ["component", "x", "y"]):
         nodes, copies, x, y, own = (group.column(c).to_numpy() for c in ("node", "copies", "x", "y", "own"))
         # Repeated rows bring a node twice.
@@ -342,8 +360,8 @@ def _component_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         if x[0] == y[0]:
             near[np.arange(len(rows)), np.arange(len(rows))] = False
             links = near @ copies
-            for i, j in _tree(lambda i, others: near[i][others], np.arange(len(nodes))):
-                origin[i] = nodes[j]
+            for i, first in _tree(lambda i, others: near[i][others], np.arange(len(nodes))):
+                origin[i] = nodes[first]
         else:
             links[rows] = near @ copies[cols]
             links[cols] = near.T @ copies[rows]
@@ -356,8 +374,8 @@ def _component_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
                 hit[across] = near[i][others[across] - border] if i < border else near[others[across], i - border]
                 return hit
 
-            for i, j in _tree(alike, np.arange(len(nodes))):
-                origin[i] = nodes[j]
+            for i, first in _tree(alike, np.arange(len(nodes))):
+                origin[i] = nodes[first]
         yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(links.astype(np.int64)), pa.array(origin)], ["node", "links", "origin"])
 
 
