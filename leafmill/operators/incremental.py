@@ -5,14 +5,14 @@ from __future__ import annotations
 import uuid
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from leafmill.functions.text import utc_literal
 from leafmill.operators.extract import parse_pages
 from leafmill.operators.landing import month_of
 from leafmill.sites.base import SitePack
-from leafmill.sources.tables import append_batch, append_parsed, append_progress, read_parsed, read_progress, read_raw
+from leafmill.sources.tables import append_batch, append_parsed, append_progress, read_progress, read_raw
 
 EPOCH = "1970-01-01 00:00:00"
 
@@ -87,23 +87,28 @@ def replay(raw: DataFrame, spider: str, since: datetime | None = None) -> DataFr
     return raw_after(raw, spider, utc_literal(since) if since else _as_time(EPOCH))
 
 
-def extract_batch(pages: DataFrame, parsed_path: str, pack: SitePack) -> tuple[int, int, str | None]:
+def extract_batch(pages: DataFrame, parsed_path: str, pack: SitePack, label: str | None = None) -> tuple[int, int, str | None]:
     """Append the records of the pages; returns pages read, records written and the newest fetch time.
 
-    Counted on narrow columns of what was read and written, the latter in the pages'
-    months only, so that a task that is run again counts once.
+    All three are observed while the records are written, so nothing is read for them.
+    Work that is done again after an executor was lost may count again. `label` is that
+    of `append_parsed`.
     """
-    spark, stamp = pages.sparkSession, utc_literal(datetime.now(timezone.utc))
-    ends = pages.agg(
-        F.count(F.lit(1)), *(F.date_format(month_of(f("fetched_at")), "yyyy-MM-dd") for f in (F.min, F.max)), F.max("fetched_at").cast("string")
-    )
-    read, first, last, newest = ends.first()
-    if not read:
-        return 0, 0, None
-    append_parsed(parse_pages(pages, pack, stamp), parsed_path)
-    mine = (F.col("spider") == pack.name) & (F.col("parsed_at") == stamp)
-    written = read_parsed(spark, parsed_path).filter(mine & F.col("source_month").between(F.lit(first).cast("date"), F.lit(last).cast("date")))
-    return read, written.count(), newest
+    stamp = utc_literal(datetime.now(timezone.utc))
+    read, written = Observation(), Observation()
+    seen = pages.observe(read, F.count(F.lit(1)).alias("pages"), F.max("fetched_at").cast("string").alias("newest"))
+    records = parse_pages(seen, pack, stamp).observe(written, F.count(F.lit(1)).alias("records"))
+    append_parsed(records, parsed_path, label)
+    if _noted(written):
+        return read.get["pages"], written.get["records"], read.get["newest"]
+    # Without any record adaptive execution drops the plan and what it observed; the pages are few or bear nothing.
+    pages_read, newest = pages.agg(F.count(F.lit(1)), F.max("fetched_at").cast("string")).first()
+    return pages_read, 0, newest
+
+
+def _noted(observation: Observation) -> bool:
+    """Whether the plan that was observed was still there when the job ended."""
+    return observation._jo.getRow().length() > 0
 
 
 def drain(

@@ -11,6 +11,7 @@ from leafmill.functions.records import read_records
 from leafmill.functions.urls import canonical_url, distinct_ids, entry_group
 from leafmill.operators.landing import has_marker
 from leafmill.operators.links import in_scope, page_links, unique_requests
+from leafmill.session import scratch_table
 from leafmill.sites.base import SitePack
 
 # Fixed value: archive pages walked at most.
@@ -121,3 +122,28 @@ def frontier_step(pages: DataFrame, pack: SitePack, known: DataFrame) -> DataFra
     wanted = unique_requests(page_links(pages, pack.rules, pack.domains), "dst_url")
     seen = known.select(canonical_url(F.col("url")).alias("canonical_url")).distinct()
     return wanted.join(seen, "canonical_url", "left_anti").select("url")
+
+
+def crawl(pages: DataFrame, pack: SitePack, seeds: DataFrame) -> DataFrame:
+    """What a crawl from `seeds` reaches over a snapshot of pages: canonical_url, url (a spelling of it) and depth, the fewest links from a seed.
+
+    Pages are split into links once. Each round joins the links with what the round before
+    reached and takes off what is known; rounds end when nothing is new, so there are as
+    many as the longest shortest path. Targets without a page in the snapshot are reached
+    and lead nowhere. What a round reaches is distinct in every task before it is shuffled,
+    so a target that all pages link to is no burden.
+    """
+    source, target = (canonical_url(F.col(c)) for c in ("src_url", "dst_url"))
+    found = page_links(pages, pack.rules, pack.domains).select(source.alias("source"), target.alias("canonical_url"), F.col("dst_url").alias("url"))
+    edges = scratch_table(found.groupBy("source", "canonical_url").agg(F.min("url").alias("url")), "crawl-edges")
+    spelled = seeds.select(canonical_url(F.col("url")).alias("canonical_url"), "url")
+    now = scratch_table(spelled.groupBy("canonical_url").agg(F.min("url").alias("url")).withColumn("depth", F.lit(0)), "crawl-reached")
+    reached = now
+    depth = 0
+    while not now.isEmpty():
+        depth += 1
+        targets = edges.join(now.select(F.col("canonical_url").alias("source")), "source").groupBy("canonical_url").agg(F.min("url").alias("url"))
+        new = targets.join(reached.select("canonical_url"), "canonical_url", "left_anti")
+        now = scratch_table(new.withColumn("depth", F.lit(depth)), "crawl-reached")
+        reached = reached.unionAll(now)
+    return reached

@@ -8,7 +8,7 @@ import zipfile
 from functools import lru_cache
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Page bodies are tens of KB, so Arrow batches are kept short.
 ARROW_ROWS = 500
@@ -61,3 +61,10 @@ def scratch_path(spark: SparkSession, label: str) -> str:
         base = tempfile.mkdtemp(prefix="leafmill-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def scratch_table(rows: DataFrame, label: str) -> DataFrame:
+    """The rows, written to the shared folder and read back: steps that repeat go on from files, not from a growing plan."""
+    path = scratch_path(rows.sparkSession, label)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,15 +17,23 @@ from leafmill.schemas import BATCH_TABLE, PARSED_TABLE, PROGRESS_TABLE, RAW_TABL
 from leafmill.sites.base import SitePack
 
 
+def _raw_rows(pages: DataFrame, pack: SitePack | None) -> DataFrame:
+    rows = landed(pages, pack=pack) if "fetch_month" not in pages.columns else pages.select(*RAW_TABLE.names)
+    return rows.sortWithinPartitions("fetch_month", "spider", "fetched_at")
+
+
+def land_batch(pages: DataFrame, path: str, label: str, pack: SitePack | None = None) -> None:
+    """`append_raw` for a batch that may be run again: its rows are in the table once."""
+    publish_batch(_raw_rows(pages, pack), path, "fetch_month", label)
+
+
 def append_raw(pages: DataFrame, path: str, pack: SitePack | None = None) -> None:
     """Append raw rows by fetch month, sorted so that a site's time range skips row groups.
 
     No shuffle: bodies stay in the partition they were read in. `pack` is a site of one's
     own, whose marker is noted as those of the registered sites are.
     """
-    rows = landed(pages, pack=pack) if "fetch_month" not in pages.columns else pages.select(*RAW_TABLE.names)
-    ordered = rows.sortWithinPartitions("fetch_month", "spider", "fetched_at")
-    ordered.write.mode("append").partitionBy("fetch_month").parquet(path)
+    _raw_rows(pages, pack).write.mode("append").partitionBy("fetch_month").parquet(path)
 
 
 def append_routed(pages: DataFrame, pack: SitePack, path: str) -> None:
@@ -47,20 +56,24 @@ def read_routed(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(T.StructType(RAW_TABLE.fields + extra)).parquet(path)
 
 
-def append_parsed(rows: DataFrame, path: str) -> None:
+def append_parsed(rows: DataFrame, path: str, label: str | None = None) -> None:
     """Append parsed rows, or plain envelopes (spider, url, source_fetched_at, parsed_at, fields).
 
     Records are small and a batch may touch many months, so they are rebalanced by month:
     files come out well sized, and a month that holds most rows is split, not piled up.
+    `label` names a batch that may be run again, and whose rows are then replaced.
     """
     full = rows if "dedup_key" in rows.columns else with_content_key(rows)
     even = full.select(*PARSED_TABLE.names).hint("rebalance", "source_month")
-    even.write.mode("append").partitionBy("source_month").parquet(path)
+    if label is not None:
+        publish_batch(even, path, "source_month", label)
+    else:
+        even.write.mode("append").partitionBy("source_month").parquet(path)
 
 
 def read_raw(spark: SparkSession, path: str, since: datetime | Column | None = None) -> DataFrame:
-    """The raw table; `since` is a strict lower bound that prunes months as well as rows. Without an offset it is UTC."""
-    raw = spark.read.schema(RAW_TABLE).parquet(path)
+    """The raw table without rows past the last expiry; `since` is a strict lower bound that prunes months as well as rows. Without an offset it is UTC."""
+    raw = living(spark.read.schema(RAW_TABLE).parquet(path), path)
     if since is None:
         return raw
     bound = utc_literal(since) if isinstance(since, datetime) else since
@@ -73,12 +86,10 @@ def read_parsed(spark: SparkSession, path: str) -> DataFrame:
 
 def read_progress(spark: SparkSession, path: str) -> DataFrame:
     """The progress table; one that was never written is empty."""
-    try:
-        return spark.read.schema(PROGRESS_TABLE).parquet(path)
-    except Exception as error:
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
+    store, place = _folder(spark, path)
+    if not store.exists(place):
         return spark.createDataFrame([], PROGRESS_TABLE)
+    return spark.read.schema(PROGRESS_TABLE).parquet(path)
 
 
 def append_progress(spark: SparkSession, path: str, spider: str, watermark: str) -> None:
@@ -108,12 +119,53 @@ def append_batch(
 
 
 def read_batches(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(BATCH_TABLE).parquet(path)
+    """One row per spider, run and batch: what was noted last, where a batch was run again."""
+    rows = spark.read.schema(BATCH_TABLE).parquet(path)
+    rest = [n for n in BATCH_TABLE.names if n not in ("spider", "run", "batch")]
+    last = rows.groupBy("spider", "run", "batch").agg(F.max(F.struct("finished_at", *(n for n in rest if n != "finished_at"))).alias("last"))
+    return last.select("*", "last.*").select(*BATCH_TABLE.names)
+
+
+def compact_progress(spark: SparkSession, path: str) -> None:
+    """Fold the progress table to each spider's newest row. A run that dies leaves the folded rows beside the old ones, which say the same."""
+    files = _files(spark, path)
+    if len(files) > 1:
+        newest = F.max(F.struct("updated_at", "watermark")).alias("n")
+        rows = spark.read.schema(PROGRESS_TABLE).parquet(*files).groupBy("spider").agg(newest)
+        rows.select("spider", "n.watermark", "n.updated_at").coalesce(1).write.mode("append").parquet(path)
+        _delete(spark, files)
+
+
+# Batches that may be run again. Their files are written aside and then moved into the table under names that the
+# batch alone gives; files of those names that an earlier run left are removed first. So a batch is in the table
+# once, however often it ran, and a stream that reads the table knows the files by their names.
+
+
+def publish_batch(rows: DataFrame, path: str, month: str, label: str) -> None:
+    """Write rows partitioned by month into the table, as the files `label-…`, in place of what is there under that label."""
+    spark = rows.sparkSession
+    aside = f"{path}/_batches/{label}"
+    rows.write.mode("overwrite").partitionBy(month).parquet(aside)
+    for folder in _folders(spark, path, month).values():
+        _delete(spark, [f for f in _files(spark, folder) if f.rsplit("/", 1)[1].startswith(f"{label}-")])
+    for value, folder in _folders(spark, aside, month).items():
+        for n, name in enumerate(_files(spark, folder)):
+            store, target = _folder(spark, f"{path}/{month}={value}/{label}-{n:05d}.parquet")
+            store.mkdirs(target.getParent())
+            if not store.rename(_folder(spark, name)[1], target):
+                raise OSError(f"{name} could not be moved to {target}")
+    _delete_folder(spark, aside)
+
 
+def batch_label(checkpoint: str, batch: int) -> str:
+    """The name of a stream's batch in the files it writes."""
+    return f"batch-{hashlib.sha256(checkpoint.encode()).hexdigest()[:16]}-{batch:09d}"
 
-# Maintenance of tables by their path. A month is rewritten by appending its new files and then deleting
-# exactly the files that were read: rows landed meanwhile stay, a run that dies leaves repeats and no gaps,
-# and `latest_versions` folds the repeats.
+
+# Maintenance of tables by their path. Parsed months are rewritten by appending their new files and then deleting
+# exactly the files that were read: rows landed meanwhile stay, a run that dies leaves repeats and no gaps, and
+# `latest_versions` folds the repeats. Nothing folds raw rows, and streams take every new file for new pages, so
+# raw files are never rewritten: they are deleted whole, and expired rows among living ones are left out on reading.
 
 
 def create_table(spark: SparkSession, name: str, schema: T.StructType, month: str, location: str | None = None) -> None:
@@ -130,13 +182,18 @@ def _folder(spark: SparkSession, path: str):
     return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
 
 
-def _months(spark: SparkSession, path: str, column: str) -> dict[str, str]:
-    """The months a table holds and their folders, from one listing; rows without a month are left out."""
+def _folders(spark: SparkSession, path: str, column: str) -> dict[str, str]:
+    """A table's partitions and their folders, from one listing."""
     store, place = _folder(spark, path)
     if not store.exists(place):
         return {}
     named = [f.getPath() for f in store.listStatus(place) if f.getPath().getName().startswith(f"{column}=")]
-    months = {p.getName().split("=", 1)[1]: p.toString() for p in named}
+    return {p.getName().split("=", 1)[1]: p.toString() for p in named}
+
+
+def _months(spark: SparkSession, path: str, column: str) -> dict[str, str]:
+    """The months a table holds and their folders; rows without a month are left out."""
+    months = _folders(spark, path, column)
     return {m: months[m] for m in sorted(months) if m != "__HIVE_DEFAULT_PARTITION__"}
 
 
@@ -152,17 +209,44 @@ def _delete(spark: SparkSession, files: list[str]) -> None:
         store.delete(place, False)
 
 
+def _expiries(spark: SparkSession, path: str) -> list[str]:
+    store, place = _folder(spark, f"{path}/_expired")
+    return sorted(f.getPath().getName() for f in store.listStatus(place)) if store.exists(place) else []
+
+
+def living(raw: DataFrame, path: str) -> DataFrame:
+    """Rows of the raw table at a path that were not past their time when retention last ran there."""
+    marks = _expiries(raw.sparkSession, path)
+    # Marks are microseconds of the epoch, all of one length.
+    return unexpired(raw, F.timestamp_micros(F.lit(int(marks[-1])))) if marks else raw
+
+
+def _delete_folder(spark: SparkSession, name: str) -> None:
+    store, place = _folder(spark, name)
+    store.delete(place, True)
+
+
 def expire_raw(spark: SparkSession, path: str, now: datetime) -> None:
-    """Delete raw rows past the retention time: older months go file by file, the boundary month is rewritten."""
+    """Let raw rows past the retention time go: a mark hides them from readers, and files that hold nothing else are deleted.
+
+    What is left on disk beyond its time is less than a month. The mark comes first, so a
+    run that dies, or is run again, changes nothing that readers see.
+    """
     moment = utc_literal(now)
-    edge = str(spark.range(1).select(month_of(moment - F.expr(RETENTION))).first()[0])
-    for month, folder in _months(spark, path, "fetch_month").items():
-        files = _files(spark, folder) if month <= edge else []
-        if files and month == edge:
+    edge, mark = spark.range(1).select(month_of(moment - F.expr(RETENTION)).cast("string"), F.unix_micros(moment)).first()
+    months = _months(spark, path, "fetch_month")
+    if not months:
+        return
+    store, place = _folder(spark, f"{path}/_expired/{mark:020d}")
+    store.create(place, True).close()
+    for month, folder in months.items():
+        if month < edge:
+            _delete(spark, _files(spark, folder))
+        elif month == edge and (files := _files(spark, folder)):
             rows = spark.read.schema(RAW_TABLE).option("basePath", path).parquet(*files)
-            kept = unexpired(rows, moment).sortWithinPartitions("fetch_month", "spider", "fetched_at")
-            kept.write.mode("append").partitionBy("fetch_month").parquet(path)
-        _delete(spark, files)
+            last = rows.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.max("fetched_at").alias("last"))
+            # One name per file of one month.
+            _delete(spark, [r["file"] for r in last.filter(F.col("last") + F.expr(RETENTION) <= moment).collect()])
 
 
 def compact_parsed(spark: SparkSession, path: str, months: list[str] | None = None) -> None:

@@ -1,8 +1,9 @@
 """The same work as streams: files are tracked by the checkpoint, so nothing is read twice or missed.
 
-Batches are written by the batch writers, so streams and batch jobs share their tables
-and their file layout. A batch that was cut off between writing and committing is written
-again; `latest_versions` folds what repeats.
+Streams and batch jobs share their tables and their file layout. A batch that was cut off
+between writing and committing is written again, under names that checkpoint and batch
+number give, in place of what its first run left. Only the columns that are needed are
+read, once, and what a batch read and wrote is observed while it is written.
 """
 
 from __future__ import annotations
@@ -15,15 +16,15 @@ from leafmill.operators.incremental import extract_batch
 from leafmill.schemas import RAW_TABLE
 from leafmill.sites.base import SitePack
 from leafmill.sources.jsonl import stream_jsonl
-from leafmill.sources.tables import append_batch, append_raw
+from leafmill.sources.tables import append_batch, batch_label, land_batch, living
 
 # Input of one batch; a batch is one distributed job, so it should keep a whole cluster busy.
 BYTES_PER_BATCH = 64 << 30
 
 
 def stream_raw(spark: SparkSession, raw_path: str, bytes_per_batch: int = BYTES_PER_BATCH) -> DataFrame:
-    """The raw table as a stream of landed files."""
-    return spark.readStream.schema(RAW_TABLE).option("maxBytesPerTrigger", bytes_per_batch).parquet(raw_path)
+    """The raw table as a stream of landed files, without rows past the last expiry."""
+    return living(spark.readStream.schema(RAW_TABLE).option("maxBytesPerTrigger", bytes_per_batch).parquet(raw_path), raw_path)
 
 
 def start_parse(
@@ -42,12 +43,12 @@ def start_parse(
     """
 
     def write(pages: DataFrame, batch: int) -> None:
-        mine = pages.filter(F.col("spider") == pack.name).select("spider", "url", "body", "fetched_at")
-        read, records, newest = extract_batch(mine, parsed_path, pack)
-        if batches_path is not None:
+        read, records, newest = extract_batch(pages, parsed_path, pack, batch_label(checkpoint, batch))
+        if batches_path is not None and read:
             append_batch(pages.sparkSession, batches_path, pack.name, checkpoint, batch, read, records, newest)
 
-    stream = stream_raw(spark, raw_path, bytes_per_batch)
+    mine = stream_raw(spark, raw_path, bytes_per_batch).filter(F.col("spider") == pack.name)
+    stream = mine.select("spider", "url", "body", "fetched_at")
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
@@ -62,5 +63,5 @@ def start_landing(
 ) -> StreamingQuery:
     """Land every export file that arrived since the last run and stop; `pack` as in `append_raw`."""
     pages = stream_jsonl(spark, jsonl_path, default_spider, bytes_per_batch)
-    write = pages.writeStream.foreachBatch(lambda rows, _: append_raw(rows, raw_path, pack))
+    write = pages.writeStream.foreachBatch(lambda rows, batch: land_batch(rows, raw_path, batch_label(checkpoint, batch), pack))
     return write.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

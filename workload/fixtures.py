@@ -357,3 +357,18 @@ def jsonl_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(i % 9 != 0, F.struct(i.alias("id"))).alias("payload"),
     )
     return table(spark, sf_dir, "pages").select(F.to_json(line).alias("value"))
+
+
+# A graph of pages from `part`: each links to two others further on, back to the one it hangs from, and out of the site.
+
+GRAPH = "https://graph.example.com/n/"
+
+
+def graph_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("p_partkey")
+
+    def link(target: Column, rest: str = "") -> list:
+        return ['<a href="', GRAPH, text(target.cast("bigint")), f'{rest}">x</a>']
+
+    body = cat(*link(key * 2), *link(key * 2 + 1, "#part"), *link(F.floor(key / 2)), *link(key * 2, "?"), '<a href="https://else.example.com/">y</a>')
+    return dealt(table(spark, sf_dir, "part").select(cat(GRAPH, text("p_partkey")).alias("url"), body.alias("body")))

@@ -14,6 +14,7 @@ from workload.queries import (
 )
 
 # The auction site's name, address and URL patterns, written out apart from the engine's.
+GRAPH = "https://graph.example.com/n/"
 NAME, HOME = "litfund", "https://www.litfund.ru"
 ID = "[0-9]+([.s][0-9]+)?"
 GROUP, LOT = f"/auction/({ID})/", f"/auction/{ID}/[0-9]+[a-z]?/"
@@ -368,4 +369,18 @@ ORACLES: dict[str, str] = {
       UNION ALL SELECT '{HOME}/auction/' || o_orderkey || '/?page=1', (i - 1)::INT,
         '{HOME}/auction/' || o_orderkey || '/' || i || '/'
         FROM (SELECT o_orderkey, unnest(range(1, least(o_orderkey % 6, 4) + 1)) AS i FROM orders WHERE o_orderkey % 7 <> 0)""",
+    "expired_stream": f"""WITH {RAW} SELECT url, fetched_at AS at, 'page' AS kind FROM raw WHERE fetched_at + INTERVAL 6 MONTH > TIMESTAMP '{RETENTION_NOW}'
+      UNION ALL SELECT url, fetched_at, 'record' FROM raw WHERE {GOOD_LOT}""",
+    "landed_twice": f"""WITH {RAW}, {TYPED} SELECT fetched_at::DATE AS fetch_date, count(*) AS pages_fetched, {COUNTS},
+      count(DISTINCT auction_id) AS distinct_auctions_touched FROM typed GROUP BY 1""",
+    "item_facts_kept": f"WITH {AUCTIONS}, {ITEMS}, {FACTS} SELECT * FROM facts",
+    "health_rollup": f"""WITH {RAW}, {TYPED} SELECT CASE WHEN grouping(d) = 1 THEN 'total' ELSE 'day' END AS level, d AS fetch_date, count(*) AS pages_fetched,
+      {COUNTS}, count(DISTINCT auction_id) AS distinct_auctions_touched, min(fetched_at) AS first_fetched_at, max(fetched_at) AS last_fetched_at
+      FROM (SELECT *, fetched_at::DATE AS d FROM typed) GROUP BY GROUPING SETS ((d), ())""",
+    "health_stream": f"""WITH {RAW}, {TYPED} SELECT fetched_at::DATE AS fetch_date, count(*) AS pages_fetched, {COUNTS} FROM typed GROUP BY 1""",
+    "crawl": f"""WITH RECURSIVE walk(k, depth) AS (
+      SELECT 1::BIGINT, 0::BIGINT UNION SELECT d.k, depth + 1 FROM walk JOIN part ON p_partkey = walk.k, LATERAL (VALUES (2 * walk.k), (2 * walk.k + 1)) d(k)),
+      up AS (SELECT k, depth FROM walk UNION ALL SELECT 0, 1)
+      SELECT '{GRAPH}' || k AS canonical_url, min(depth) AS depth FROM up GROUP BY k""",
 }
+ORACLES["request_dedup_stream"] = f"SELECT canonical_url FROM ({ORACLES['request_dedup']})"

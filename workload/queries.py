@@ -21,8 +21,10 @@ from leafmill.plans import coverage, health, items, views
 from leafmill.session import scratch_path
 from leafmill.sites.base import LinkRules
 from leafmill.sites.registry import get_site
-from leafmill.sources import jsonl, tables
+from leafmill.sources import jsonl, states, tables
 from leafmill.streaming import drain as streams
+from leafmill.streaming import health as health_streams
+from leafmill.streaming import requests
 from workload import fixtures as fx
 from workload.fixtures import PACK
 
@@ -523,6 +525,58 @@ def expired(spark, sf_dir):
     return tables.read_raw(spark, path).select("url", "fetched_at")
 
 
+@query
+def expired_stream(spark, sf_dir):
+    """Land, stream, expire, stream again: no record is extracted twice, and what is left of the pages is what has not expired."""
+    raw, parsed, checkpoint = (scratch_path(spark, n) for n in ("raw", "parsed", "checkpoint"))
+    tables.append_raw(fx.raw_pages(spark, sf_dir).drop("page_id"), raw)
+    for _ in range(2):
+        streams.start_parse(spark, raw, parsed, checkpoint, PACK).awaitTermination()
+        tables.expire_raw(spark, raw, datetime.fromisoformat(RETENTION_NOW))
+    left = tables.read_raw(spark, raw).select("url", F.col("fetched_at").alias("at"), F.lit("page").alias("kind"))
+    records = tables.read_parsed(spark, parsed).select("url", F.col("source_fetched_at").alias("at"), F.lit("record").alias("kind"))
+    return left.unionAll(records)
+
+
+@query
+def landed_twice(spark, sf_dir):
+    """Batches of a landing that are run again change nothing: daily health of what is there."""
+    path = scratch_path(spark, "raw")
+    pages = fx.raw_pages(spark, sf_dir)
+    for batch in (0, 1, 0, 1, 1):
+        mine = pages.filter(F.col("page_id") % 2 == batch).drop("page_id")
+        tables.land_batch(mine, path, tables.batch_label("landing", batch))
+    return health.health_daily(tables.read_raw(spark, path), PACK)
+
+
+@query
+def item_facts_kept(spark, sf_dir):
+    """Item facts of a state that took the records in five steps, one of them twice, the newest first."""
+    path = scratch_path(spark, "items")
+    records = fx.parsed_records(spark, sf_dir)
+    part = F.pmod(F.xxhash64("fields"), F.lit(4))
+    for step in (3, 1, 0, 1, 2):
+        states.advance_items(records.filter(part == step), path, PACK)
+    numbers = {n: F.col(n).cast("bigint") for n in ("start_price", "leading_bid", "final_price", "views")}
+    return joined_images(states.item_facts_kept(spark, path)).withColumns(numbers)
+
+
+@query
+def health_rollup(spark, sf_dir):
+    return health.health(fx.raw_pages(spark, sf_dir), PACK)
+
+
+@query
+def health_stream(spark, sf_dir):
+    """Daily health of a stream that gets the newer half of the pages first, is stopped, and goes on a file at a time."""
+    raw, path, checkpoint = (scratch_path(spark, n) for n in ("raw", "health", "checkpoint"))
+    pages = fx.raw_pages(spark, sf_dir)
+    for half in (1, 0):
+        tables.append_raw(pages.filter((F.col("page_id") % 100 >= 50).cast("int") == half).drop("page_id").coalesce(2), raw)
+        health_streams.start_health(spark, raw, path, checkpoint, PACK, "3650 days", 4).awaitTermination()
+    return health_streams.read_health(spark, path).drop("about_auctions_touched")
+
+
 # Links and work tables.
 
 
@@ -673,3 +727,26 @@ def request_dedup(spark, sf_dir):
     pages = fx.table(spark, sf_dir, "pages")
     asked = pages.select("url").unionAll(pages.select(fx.cat(turned, "#again").alias("url")))
     return links.unique_requests(asked).select("canonical_url", "requests")
+
+
+@query
+def request_dedup_stream(spark, sf_dir):
+    """Requests asked for twice, in other spellings, over three batches: each passes once."""
+    asked, path, checkpoint = (scratch_path(spark, n) for n in ("asked", "requests", "checkpoint"))
+    pages = fx.table(spark, sf_dir, "pages").select("url", fx.after_start((F.col("page_id") % 1000).cast("int")).alias("requested_at"))
+    for spelled in (F.col("url"), fx.cat(F.col("url"), "#again"), F.col("url")):
+        pages.select(spelled.alias("url"), "requested_at").coalesce(1).write.mode("append").parquet(asked)
+    stream = spark.readStream.schema("url string, requested_at timestamp").option("maxFilesPerTrigger", 1).parquet(asked)
+    requests.start_requests(stream, path, checkpoint, within="30 days").awaitTermination()
+    return spark.read.parquet(path).select("canonical_url")
+
+
+GRAPH_RULES = LinkRules(allow=("/n/[0-9]+",))
+
+
+@query
+def crawl(spark, sf_dir):
+    """All that is reached from the graph's first page, with the fewest links to it."""
+    pack = replace(PACK, rules=GRAPH_RULES, domains=("graph.example.com",))
+    seeds = spark.createDataFrame([(f"{fx.GRAPH}1",), (f"{fx.GRAPH}1#top",)], "url string")
+    return worklists.crawl(fx.graph_pages(spark, sf_dir), pack, seeds).select("canonical_url", F.col("depth").cast("bigint").alias("depth"))
