@@ -27,6 +27,8 @@ TOXIC_WEIGHT = 1.5
 # The most labelled documents, and bytes of their texts, that are trained on, taken in the order of a hash of their ids.
 SAMPLE, SAMPLE_BYTES = 20_000, 1 << 28
 SHARDS, ROUNDS = 4, 4
+# Parts that a state is averaged in.
+PARTS = 32
 BIAS = 1 << BITS
 # Lower-case letters, digits and everything beyond ASCII stay, the rest parts words.
 _KEEP = bytes(c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -88,11 +90,19 @@ def _shard_pass(state, turn: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
         order = mixed(rows["doc_id"].to_numpy(np.int64).astype(np.uint64) + np.uint64(turn))
         rows = rows.assign(order=order).sort_values(["order", "doc_id", "text"], na_position="first")
         _pass(z, n, rows["text"].tolist(), rows["toxic"].to_numpy())
-        return pd.DataFrame({"shard": [rows["shard"].iloc[0]], "z": [z.astype(np.float32).tobytes()], "n": [n.astype(np.float32).tobytes()]})
+        parts = [[x.tobytes() for x in np.array_split(v.astype(np.float32), PARTS)] for v in (z, n)]
+        return pd.DataFrame({"part": range(PARTS), "shard": rows["shard"].iloc[0], "z": parts[0], "n": parts[1]})
 
     return run
 
 
+def _averaged(rows: pd.DataFrame) -> pd.DataFrame:
+    """The mean of the shards' states in one part of the coordinates."""
+    rows = rows.sort_values("shard")
+    mean = {k: [np.mean([np.frombuffer(x, np.float32) for x in rows[k]], axis=0).tobytes()] for k in ("z", "n")}
+    return pd.DataFrame({"part": [rows["part"].iloc[0]], **mean})
+
+
 def held_out(doc_id: Column) -> Column:
     """Whether a document is kept from training; one without an id is not."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
@@ -126,13 +136,14 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE, rounds: int =
     for turn in range(rounds):
         state = spark.sparkContext.broadcast((z, n))
 
-        # A row per shard, its size fixed by BITS.
-        made = data.groupBy("shard").applyInPandas(_shard_pass(state, turn), "shard long, z binary, n binary").collect()
-        state.unpersist()
+        passed = data.groupBy("shard").applyInPandas(_shard_pass(state, turn), "part int, shard long, z binary, n binary")
+        # One state comes back, its size fixed by BITS.
+        made = passed.groupBy("part").applyInPandas(_averaged, "part int, z binary, n binary").collect()
+        state.destroy()
         if not made:
             return np.array([BIAS]), np.array([-np.inf])
-        made.sort(key=lambda r: r["shard"])
-        z, n = (np.mean([np.frombuffer(r[k], np.float32) for r in made], axis=0) for k in ("z", "n"))
+        made.sort(key=lambda r: r["part"])
+        z, n = (np.concatenate([np.frombuffer(r[k], np.float32) for r in made]) for k in ("z", "n"))
         del made
     found = weights(z.astype(np.float64), n.astype(np.float64))
     return np.flatnonzero(found), found[found != 0]
