@@ -33,7 +33,7 @@ def test_stages_of_no_documents(spark):
 
 
 def test_each_operator_has_one_query():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
     assert {"pipeline", *QUERIES} <= set(entry.queries())
 
 
