@@ -131,7 +131,7 @@ def test_kept_facts_are_those_of_all_records(spark, tmp_path):
 
 
 def auction_pages(spark, rows):
-    return raw_rows(spark, [(t, PACK.name, f"https://www.litfund.ru/auction/{a}/", s, "") for t, a, s in rows])
+    return raw_rows(spark, [(t, PACK.name, f"{PACK.urls.home}/auction/{a}/", s, "") for t, a, s in rows])
 
 
 def test_streamed_health_takes_late_pages_until_the_watermark(spark, tmp_path):
