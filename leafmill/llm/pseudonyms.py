@@ -3,12 +3,16 @@
 A value that is valid in its format is read as a number (or, for mail addresses, as
 characters), permuted by a keyed Feistel network over exactly the format's domain, and
 written back in the same format. Equal values get equal pseudonyms in every document,
-different values different ones, and the holder of the key can turn them back. What
-merely looks like such a value stays. Everything is DataFrame functions on the row.
+different values different ones, and the holder of the key can turn them back. Dates are
+permuted among those that can be written in the same shape (which part comes first, one
+digit or two for day and month), so every shape is a permutation of its own. What merely
+looks like such a value stays. Everything is DataFrame functions on the row.
 """
 
 from __future__ import annotations
 
+from math import isqrt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,33 +32,45 @@ _IBANS = "|".join(
 )
 # A whole written-out card number, which is no part of a phone number before it.
 _CARD_NEXT = r" (?:[0-9]{4}(?: [0-9]{4}){3}|[0-9]{4} [0-9]{6} [0-9]{5})(?! ?[0-9])"
+# Letters of names in addresses. Scripts written without spaces are left out: their words would run into an address.
+_LETTER = r"\p{IsLatin}\p{IsGreek}\p{IsCyrillic}\p{Mn}0-9"
 # The formats, each a pattern that cannot run on past a long word.
 PATTERNS = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}+@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
-    "date": r"(?<![0-9-])(?:1[7-9]|20)[0-9]{2}-[0-9]{2}-[0-9]{2}(?![0-9-])"
+    "email": rf"(?<![{_LETTER}._%+-])[{_LETTER}._%+-]{{1,64}}+@[{_LETTER}-]++(?:\.[{_LETTER}-]++)++",
+    "date": r"(?<![0-9-])(?:1[7-9]|20)[0-9]{2}-[0-9]{1,2}-[0-9]{1,2}(?![0-9-])"
     r"|(?<![0-9/])[0-9]{1,2}/[0-9]{1,2}/(?:1[7-9]|20)[0-9]{2}(?![0-9])|(?<![0-9.])[0-9]{1,2}[.][0-9]{1,2}[.](?:1[7-9]|20)[0-9]{2}(?![0-9])",
     "ip": r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "iban": rf"(?<![A-Za-z0-9])(?:{_IBANS}|[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?)(?![A-Za-z0-9])",
     "phone": r"(?<![0-9+])\+[0-9]{1,3} \([0-9]{3}\) [0-9]{3}-[0-9]{4}(?![0-9])"
     r"|(?<![0-9+])\+1[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])"
-    rf"|(?<![0-9+])\+[0-9]{{1,3}}[ .-]?(?:\([0-9]{{1,4}}\)[ .-]?)?[0-9]{{2,4}}(?:(?!{_CARD_NEXT})[ .-]?[0-9]{{2,4}}){{1,4}}(?![0-9])",
+    rf"|(?<![0-9+])\+[0-9]{{1,3}}[ .-]?(?:\([0-9]{{1,4}}\)[ .-]?)?[0-9]{{2,4}}(?:(?!{_CARD_NEXT})[ .-]?[0-9]{{2,4}}){{1,4}}(?![0-9])"
+    r"|(?<![0-9+]|[0-9+][ .-])(?:1[ .-])?(?:\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}-[0-9]{3}-[0-9]{4}|[0-9]{3}[.][0-9]{3}[.][0-9]{4})(?![0-9]|[.-][0-9])",
     "card": r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?: [0-9]{4}){2} [0-9]{1,7}|[0-9]{4}(?:-[0-9]{4}){2}-[0-9]{1,7}"
     r"|[0-9]{4} [0-9]{6} [0-9]{5}|[0-9]{4}-[0-9]{6}-[0-9]{5})(?![0-9])",
 }
 ANY = "|".join(PATTERNS.values())
-# A whole Gregorian cycle from 1700-01-01 on has 189 * 773 days; 898 * 989901 social security numbers are valid.
-DAY_ZERO, DAYS = "1700-01-01", (189, 773)
+# Days of the months of a common year; dates are of 400 years, a whole Gregorian cycle, from this one on.
+MONTHS = (31, 28, 31, 30, 31, 30, 31, 31, 30, 31, 30, 31)
+YEAR_ZERO, YEARS = 1700, 400
+LEAP_YEARS = [y for y in range(YEAR_ZERO, YEAR_ZERO + YEARS) if y % 4 == 0 and (y % 100 or y % 400 == 0)]
+# Where blocks of letters beyond ASCII begin, and how many letters they hold.
+LETTERS = (
+    (0xC0, 23), (0xD8, 7), (0xDF, 24), (0xF8, 8), (0x100, 128), (0x180, 208), (0x391, 17), (0x3A3, 7), (0x3AC, 5), (0x3B1, 25), (0x3CA, 5),
+    (0x400, 16), (0x410, 32), (0x430, 32), (0x450, 16), (0x1E00, 256),
+)
+# 898 * 989901 social security numbers are valid; area and exchange of a national phone number are 200 to 999.
 SSN_AREAS, SSN_REST = 898, 99 * 9999
+EXCHANGES, LINES = 800, 10_000
 
 
-def _draw(key: str, tweak: str, turn: int, half: Column, below: Column | int) -> Column:
+def _draw(key: str, tweak: str | Column, turn: int, half: Column, below: Column | int) -> Column:
     """A keyed number under `below` (at most 10^10) from the other half."""
-    digest = F.sha2(F.concat_ws(":", F.lit(key), F.lit(tweak), F.lit(str(turn)), half.cast("string")), 256)
+    digest = F.sha2(F.concat_ws(":", F.lit(key), F.lit(tweak) if isinstance(tweak, str) else tweak, F.lit(str(turn)), half.cast("string")), 256)
     return F.pmod(F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint"), below)
 
 
-def permuted(number: Column, a: Column, b: Column, key: str, tweak: str, back: bool = False) -> Column:
+def permuted(number: Column, a: Column, b: Column, key: str, tweak: str | Column, back: bool = False) -> Column:
     """A keyed permutation of 0 .. a*b - 1 (each of a, b at most 10^10): one part at a time is shifted by a draw from the other."""
     pair = F.struct(F.floor(number / b).cast("bigint").alias("x"), F.pmod(number, b).alias("y"))
     sign = -1 if back else 1
@@ -139,7 +155,21 @@ def _card(value: Column, key: str, back: bool) -> Column:
 
 
 def _phone(value: Column, key: str, back: bool) -> Column:
-    """The country code stays; 7 to 15 digits in all are a phone number."""
+    """With a country code, that stays, and 7 to 15 digits in all are a phone number; without one, ten digits of the national plan are."""
+
+    def national(d: Column) -> Column:
+        area, exchange, line = (F.substring(d, at, n).cast("bigint") for at, n in ((-10, 3), (-7, 3), (-4, 4)))
+        number = ((area - 200) * EXCHANGES + exchange - 200) * LINES + line
+        side = _whole(EXCHANGES * 100)  # areas are as many as exchanges, so both sides are equal
+
+        def written(n: Column) -> Column:
+            front = F.floor(n / LINES).cast("bigint")
+            pad = lambda x, width: F.lpad(x.cast("bigint").cast("string"), width, "0")
+            parts = (F.floor(front / EXCHANGES) + 200, F.pmod(front, _whole(EXCHANGES)) + 200, F.pmod(n, _whole(LINES)))
+            return F.concat(F.substring(d, F.lit(1), F.char_length(d) - 10), *map(pad, parts, (3, 3, 4)))
+
+        fresh = let(permuted(number, side, side, key, "national", back), written)
+        return F.when((area >= 200) & (exchange >= 200), let(fresh, lambda f: _refilled(value, f)))
 
     def of(d: Column) -> Column:
         code = F.char_length(F.regexp_extract(value, r"^\+([0-9]{1,3})(?=[ .(-])", 1))
@@ -148,7 +178,7 @@ def _phone(value: Column, key: str, back: bool) -> Column:
         fresh = F.concat(F.substring(d, F.lit(1), code), _permuted_digits(local, key, "phone", back))
         return F.when(F.char_length(d).between(7, 15), let(fresh, lambda f: _refilled(value, f)))
 
-    return let(_digits(value), of)
+    return let(_digits(value), lambda d: F.when(value.startswith("+"), of(d)).otherwise(national(d)))
 
 
 def _ip(value: Column, key: str, back: bool) -> Column:
@@ -197,31 +227,91 @@ def _iban(value: Column, key: str, back: bool) -> Column:
     return let(F.regexp_replace(value, " ", ""), of)
 
 
+def _factors(n: int) -> tuple[int, int]:
+    """The most even a * b = n, or n - 1 where n is prime."""
+    a = next(a for a in range(isqrt(n), 0, -1) if n % a == 0)
+    return (a, n // a) if a > 1 else _factors(n - 1)
+
+
+def _date_shapes() -> list[tuple[str, int, int, int, int]]:
+    """For each shape: the days of a common year it can write, their number, the number of dates, and its two factors.
+
+    Shapes in order: month and day of two digits each, a one-digit day, a one-digit
+    month, both one-digit; then, month first, two-digit and one-digit months, where only
+    days above 12 tell that the month is first.
+    """
+    shapes = []
+    for months, days in ((12, 31), (12, 9), (9, 31), (9, 9), (12, -31), (9, -31)):
+        low = 13 if days < 0 else 1
+        year = [f"{m:02}-{d:02}" for m in range(1, months + 1) for d in range(low, min(abs(days), MONTHS[m - 1]) + 1)]
+        dates = len(year) * YEARS + (len(LEAP_YEARS) if abs(days) == 31 else 0)
+        shapes.append((" ".join(year), len(year), dates, *_factors(dates)))
+    return shapes
+
+
 def _date(value: Column, key: str, back: bool) -> Column:
-    """Years 1700 to 2099. Day before month, or month before day where only that is a date; written with two digits each."""
-    zero, (a, b) = F.lit(DAY_ZERO).cast("date"), DAYS
+    """Years 1700 to 2099: year first, or day before month, or month before day where only that is a date.
 
-    def shifted(day: Column, shape: str | Column) -> Column:
-        number = permuted(F.datediff(day, zero).cast("bigint"), _whole(a), _whole(b), key, "date", back)
-        return F.date_format(F.date_add(zero, number.cast("int")), shape)
+    A shape's dates are numbered by year and day of a common year, its 29ths of February
+    after all others. Where their number is prime, the last one changes places with a
+    date that the key draws.
+    """
+    whole = lambda numbers: F.array(*map(_whole, numbers))
+    years, sizes, dates, lefts, rights = zip(*_date_shapes())
+    leap_years = F.split(F.lit(" ".join(map(str, LEAP_YEARS))), " ")
 
-    def date(year: Column, month: Column, day: Column) -> Column:
-        return F.try_to_timestamp(F.concat_ws("-", year, F.lpad(month, 2, "0"), F.lpad(day, 2, "0")), F.lit("yyyy-MM-dd")).cast("date")
+    def two(part: Column) -> Column:
+        return F.lpad(part, 2, "0")
 
     def of(p: Column) -> Column:
-        iso, day_first, month_first = date(p[0], p[1], p[2]), date(p[2], p[1], p[0]), date(p[2], p[0], p[1])
-        written = lambda d, shape: let(shifted(d, shape), lambda x: F.when(value.contains("/"), F.replace(x, F.lit("-"), F.lit("/"))).otherwise(F.replace(x, F.lit("-"), F.lit("."))))
-        return (
-            F.when(F.char_length(p[0]) == 4, shifted(iso, "yyyy-MM-dd"))
-            .when(day_first.isNotNull(), written(day_first, "dd-MM-yyyy"))
-            .when(month_first.isNotNull(), written(month_first, "MM-dd-yyyy"))
-        )
+        iso = F.char_length(p[0]) == 4
+        month_first = ~iso & (p[1].cast("int") > 12)
+        year = F.when(iso, p[0]).otherwise(p[2])
+        month = F.when(month_first, p[0]).otherwise(p[1])
+        day = F.when(iso, p[2]).when(month_first, p[1]).otherwise(p[0])
+        at = (F.char_length(month) == 1).cast("int") * F.when(month_first, 1).otherwise(2) + F.when(month_first, 4).otherwise((F.char_length(day) == 1).cast("int"))
+        read = F.struct(year.alias("year"), month.alias("month"), day.alias("day"), at.alias("at"), iso.alias("iso"), month_first.alias("month_first"))
+        return let(read, shaped)
+
+    def shaped(d: Column) -> Column:
+        named = {"days": F.split(F.get(F.array(*map(F.lit, years)), d["at"]), " ")}
+        named |= {name: F.get(whole(numbers), d["at"]) for name, numbers in (("size", sizes), ("dates", dates), ("a", lefts), ("b", rights))}
+        return let(F.struct(*(c.alias(name) for name, c in named.items())), lambda s: moved(d, s))
+
+    def moved(d: Column, s: Column) -> Column:
+        place = F.array_position(s["days"], F.concat(two(d["month"]), F.lit("-"), two(d["day"])))
+        leap = F.when((two(d["month"]) == "02") & (d["day"] == "29"), F.array_position(leap_years, d["year"]))
+        number = F.when(place > 0, (d["year"].cast("bigint") - YEAR_ZERO) * s["size"] + place - 1).when(leap > 0, s["size"] * YEARS + leap - 1)
+        tweak = F.concat(F.lit("date"), d["at"].cast("string"))
+        last = s["a"] * s["b"]
+
+        def swapped(n: Column) -> Column:
+            spot = _draw(key, tweak, ROUNDS, F.lit("last"), last)
+            return F.when(last == s["dates"], n).otherwise(let(spot, lambda x: F.when(n == last, x).when(n == x, last).otherwise(n)))
+
+        def inside(n: Column) -> Column:
+            return F.when(n < last, permuted(n, s["a"], s["b"], key, tweak, back)).otherwise(n)
+
+        fresh = let(number, lambda n: let(swapped(n), inside) if back else let(inside(n), swapped))
+        return F.when(number.isNotNull(), let(fresh, lambda n: written(n, d, s)))
+
+    def written(n: Column, d: Column, s: Column) -> Column:
+        usual = n < s["size"] * YEARS
+        year = F.when(usual, (F.floor(n / s["size"]) + YEAR_ZERO).cast("string")).otherwise(F.get(leap_years, (n - s["size"] * YEARS).cast("int")))
+        both = F.when(usual, F.get(s["days"], F.pmod(n, s["size"]).cast("int"))).otherwise(F.lit("02-29"))
+        month, day = F.right(F.substring(both, 1, 2), F.char_length(d["month"])), F.right(F.substring(both, 4, 2), F.char_length(d["day"]))
+        mark = F.regexp_extract(value, "[-/.]", 0)
+        return F.when(d["iso"], F.concat(year, mark, month, mark, day)).when(d["month_first"], F.concat(month, mark, day, mark, year)).otherwise(F.concat(day, mark, month, mark, year))
 
     return let(F.split(value, "[-/.]"), of)
 
 
 def _email(value: Column, key: str, back: bool) -> Column:
-    """The domain stays. Letters and digits of the name's halves are shifted in turn, each inside its own alphabet."""
+    """The domain stays. Letters and digits of the name's halves are shifted in turn, each inside its own alphabet.
+
+    Marks stay, those that stand above a letter as a character of their own included.
+    """
+    blocks = F.array(*(F.struct(F.lit(zero).alias("zero"), F.lit(n).alias("n")) for zero, n in LETTERS))
     name, domain = F.substring_index(value, "@", 1), F.substring_index(value, "@", -1)
 
     def shifted(half: Column, other: Column, turn: int) -> Column:
@@ -230,11 +320,17 @@ def _email(value: Column, key: str, back: bool) -> Column:
         def one(char: Column, i: Column, stream: Column) -> Column:
             by = F.conv(F.substring(stream, F.pmod(i, F.lit(32)) * 2 + 1, F.lit(2)), 16, 10).cast("int") * (-1 if back else 1)
             turn_in = lambda zero, n: F.char(F.pmod(F.ascii(char) - zero + by, F.lit(n)) + zero)
+
+            def beyond(block: Column) -> Column:
+                point = F.pmod(F.ascii(char) - block["zero"] + by, block["n"]) + block["zero"]
+                return F.coalesce(F.decode(F.unhex(F.lpad(F.hex(point), 4, "0")), "UTF-16BE"), char)
+
             return (
                 F.when(char.between("0", "9"), turn_in(48, 10))
                 .when(char.between("a", "z"), turn_in(97, 26))
                 .when(char.between("A", "Z"), turn_in(65, 26))
-                .otherwise(char)
+                .when(char < "\x80", char)
+                .otherwise(let(F.get(F.filter(blocks, lambda r: (F.ascii(char) >= r["zero"]) & (F.ascii(char) < r["zero"] + r["n"])), F.lit(0)), beyond))
             )
 
         moved = let(digest, lambda s: F.transform(F.split(half, ""), lambda c, i: one(c, i, s)))
@@ -283,7 +379,8 @@ def pseudonyms(docs: DataFrame, key: str, back: bool = False) -> DataFrame:
     """doc_id, `text` with pseudonyms, how many values were replaced, and of which kinds.
 
     `docs` needs doc_id and text; other columns are left aside. Null texts stay null and
-    have none; empty texts stay; repeated rows are each done; no rows give no rows. With
+    have none; empty texts stay; repeated rows are each done; no rows give no rows. Letters
+    of a mail name that are neither Latin, Greek nor Cyrillic end the name. With
     `back` and the same key the original texts come back.
     """
     made = docs.select("doc_id", pseudonymised(F.col("text"), key, back).alias("made"))

@@ -1,5 +1,6 @@
 """Quality rules, mixing, winnowing, line dedup and pseudonyms against plain versions."""
 
+import datetime
 import hashlib
 import math
 from collections import Counter, defaultdict
@@ -339,6 +340,46 @@ def test_values_do_not_run_on_into_what_follows(spark):
         assert shape(r["text"]) == shape(data[r["doc_id"]][1]) and r["text"] != data[r["doc_id"]][1] and back[r["doc_id"]] == data[r["doc_id"]][1]
 
 
+SHAPES = ["{d:02}/{m:02}/{y}", "{d}/{m:02}/{y}", "{d:02}.{m}.{y}", "{y}-{m}-{d}", "{m:02}/{d:02}/{y}", "{m}/{d:02}/{y}"]
+
+
+@pytest.mark.parametrize("written", SHAPES)
+def test_every_date_of_a_shape_has_a_pseudonym_of_its_own_and_comes_back(spark, written):
+    days = [datetime.date(1700, 1, 1) + datetime.timedelta(i) for i in range(146_097)]
+    month_first = written.startswith("{m")
+    days = [x for x in days if ("{d}" not in written or x.day < 10) and ("{m}" not in written or x.month < 10) and (not month_first or x.day > 12)]
+    texts = [written.format(y=x.year, m=x.month, d=x.day) for x in days]
+    frame_ = spark.createDataFrame([(t,) for t in texts], "v string").repartition(8)
+    made = frame_.select("v", pseudonyms.pseudonym(F.col("v"), "key").alias("p"))
+    got = made.select("v", "p.kind", F.col("p.value").alias("w"), pseudonyms.pseudonym(F.col("p.value"), "key", True)["value"].alias("back")).toPandas()
+    assert set(got["kind"]) == {"date"} and (got["v"] == got["back"]).all()
+    # Every shape keeps to itself, and all of its dates are used.
+    assert set(got["w"]) == set(texts) and (got["v"] != got["w"]).mean() > 0.999
+
+
+FOUND = {"743-555-3824": "phone", "(743) 555-3824": "phone", "1-743-555-3824": "phone", "743.555.3824": "phone"}
+FOUND |= {"_bob@example.com": "email", ".bob@example.com": "email", "bob@exämple.com": "email", "jürgen@example.com": "email", "άννα.иван@example.com": "email"}
+FOUND |= {"2021-3-7": "date", "3/7/2021": "date", "13/7/2021": "date", "7/13/2021": "date", "29.2.2020": "date"}
+NOT_FOUND = ["123-456-7890", "743-155-3824", "743-555-38245", "12-743-555-3824-1", "2021-13-7", "2021-2-29", "0/7/2021"]
+
+
+def test_national_numbers_marked_names_and_short_dates_are_found_whole(spark):
+    data = [(i, f"at {v}, 联系{v}谢谢" if kind == "email" else f"at {v}, ({v})", "s") for i, (v, kind) in enumerate(FOUND.items())]
+    data += [(100 + i, f"no {v} ok", "s") for i, v in enumerate(NOT_FOUND)]
+    made = pseudonyms.pseudonyms(frame(spark, data), "key")
+    back = {r["doc_id"]: r["text"] for r in pseudonyms.pseudonyms(made.select("doc_id", "text"), "key", back=True).collect()}
+    texts = {i: t for i, t, _ in data}
+    for r in made.collect():
+        assert back[r["doc_id"]] == texts[r["doc_id"]]
+        if r["doc_id"] >= 100:
+            assert r["n_replaced"] == 0 and r["text"] == texts[r["doc_id"]], r
+            continue
+        value, kind = list(FOUND.items())[r["doc_id"]]
+        assert r[f"n_{kind}"] == r["n_replaced"] == 2, r
+        name = value.split("@")[0]
+        assert value not in r["text"] and not any(c in r["text"].split("@")[0] for c in name if ord(c) > 127), r
+
+
 def test_lookalikes_nulls_and_plain_texts_stay(spark):
     data = [(i, f"x {v} y", "s") for i, v in enumerate(LOOKALIKES)] + [(50, None, "s"), (51, "", "s"), (52, "9" * 50_000 + "@", "s")]
     for r in pseudonyms.pseudonyms(frame(spark, data), "key").collect():
