@@ -33,7 +33,7 @@ _IBANS = "|".join(
 # A whole written-out card number, which is no part of a phone number before it.
 _CARD_NEXT = r" (?:[0-9]{4}(?: [0-9]{4}){3}|[0-9]{4} [0-9]{6} [0-9]{5})(?! ?[0-9])"
 # Letters of names in addresses. Scripts written without spaces are left out: their words would run into an address.
-_LETTER = r"\p{IsLatin}\p{IsGreek}\p{IsCyrillic}\p{Mn}0-9"
+_LETTER = r"A-Za-z0-9À-ÖØ-öø-ɏ̀-ͯΆΈ-ϿЀ-џḀ-ỿ"
 # The formats, each a pattern that cannot run on past a long word.
 PATTERNS = {
     "email": rf"(?<![{_LETTER}._%+-])[{_LETTER}._%+-]{{1,64}}+@[{_LETTER}-]++(?:\.[{_LETTER}-]++)++",
@@ -50,6 +50,8 @@ PATTERNS = {
     r"|[0-9]{4} [0-9]{6} [0-9]{5}|[0-9]{4}-[0-9]{6}-[0-9]{5})(?![0-9])",
 }
 ANY = "|".join(PATTERNS.values())
+# What every match of ANY holds: four digits with little between them, the head of an account number, or an at sign.
+HINT = r"@|[0-9](?:[ ./()-]{0,2}[0-9]){3}|[A-Z]{2}[0-9]{2}"
 # Days of the months of a common year; dates are of 400 years, a whole Gregorian cycle, from this one on.
 MONTHS = (31, 28, 31, 30, 31, 30, 31, 31, 30, 31, 30, 31)
 YEAR_ZERO, YEARS = 1700, 400
@@ -372,7 +374,7 @@ def pseudonymised(text: Column, key: str, back: bool = False) -> Column:
 
     matches = F.transform(F.regexp_extract_all(text, F.lit(ANY), F.lit(0)), lambda m: pseudonym(m, key, back))
     bare = F.struct(text.alias("text"), F.array().cast("array<string>").alias("kinds"))
-    return F.when(text.rlike(ANY), let(matches, of)).otherwise(bare)
+    return F.when(text.rlike(HINT) & text.rlike(ANY), let(matches, of)).otherwise(bare)
 
 
 def pseudonyms(docs: DataFrame, key: str, back: bool = False) -> DataFrame:
