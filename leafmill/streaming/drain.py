@@ -16,6 +16,7 @@ from leafmill.operators.incremental import extract_batch
 from leafmill.schemas import RAW_TABLE
 from leafmill.sites.base import SitePack
 from leafmill.sources.jsonl import stream_jsonl
+from leafmill.sources.saved_pages import stream_saved_pages
 from leafmill.sources.tables import append_batch, batch_label, land_batch, living
 
 # Input of one batch; a batch is one distributed job, so it should keep a whole cluster busy.
@@ -65,3 +66,26 @@ def start_landing(
     pages = stream_jsonl(spark, jsonl_path, default_spider, bytes_per_batch)
     write = pages.writeStream.foreachBatch(lambda rows, batch: land_batch(rows, raw_path, batch_label(checkpoint, batch), pack))
     return write.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def start_saved_landing(
+    spark: SparkSession,
+    files_path: str,
+    raw_path: str,
+    checkpoint: str,
+    pack: SitePack,
+    url_prefix: str,
+    bytes_per_batch: int = BYTES_PER_BATCH,
+) -> StreamingQuery:
+    """Land every saved page that arrived since the last run and stop; a page that was saved had been answered with 200."""
+    pages = stream_saved_pages(spark, files_path, pack.name, url_prefix, bytes_per_batch).select(
+        "fetched_at",
+        "spider",
+        "url",
+        F.lit(200).alias("http_status"),
+        F.create_map().cast("map<string,string>").alias("headers"),
+        "body",
+        F.lit("{}").alias("payload"),
+    )
+    write = pages.writeStream.foreachBatch(lambda rows, batch: land_batch(rows, raw_path, batch_label(checkpoint, batch), pack))
+    return write.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

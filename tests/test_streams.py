@@ -8,7 +8,7 @@ from leafmill.operators import incremental, worklists
 from leafmill.plans import health, items
 from leafmill.sites.auctions import PACK
 from leafmill.sites.quotes import PACK as QUOTES
-from leafmill.sources import states, tables
+from leafmill.sources import saved_pages, states, tables
 from leafmill.streaming import drain as streams
 from leafmill.streaming import health as health_streams
 from leafmill.streaming import requests
@@ -195,3 +195,21 @@ def test_a_crawl_ends_where_nothing_is_new(spark):
     got = {r.canonical_url[len("https://g.com/p/") :]: r.depth for r in worklists.crawl(pages, pack, seeds).collect()}
     assert got == {"a": 0, "none": 0, "b": 1, "c": 1, "d": 2, "e": 3}
     assert worklists.crawl(pages, pack, seeds.filter("false")).count() == 0
+
+
+def test_saved_pages_are_landed_as_they_arrive_and_extracted_as_any_other(spark, tmp_path):
+    saved, raw, parsed = (str(tmp_path / n) for n in ("saved", "raw", "parsed"))
+    (tmp_path / "saved").mkdir()
+    arrivals = ({"a": QUOTE.format("a"), "b": QUOTE.format("ё")}, {"c": QUOTE.format("c"), "bare": "<p>", "empty": ""}, {})
+    for arrived, pages, records in zip(arrivals, (2, 4, 4), (2, 3, 3)):
+        for name, body in arrived.items():
+            (tmp_path / "saved" / f"{name}.html").write_bytes(body.encode())
+        (tmp_path / "saved" / "notes.md").write_text("x")
+        streams.start_saved_landing(spark, saved, raw, str(tmp_path / "ck1"), QUOTES, "https://quotes.toscrape.com/").awaitTermination()
+        streams.start_parse(spark, raw, parsed, str(tmp_path / "ck2"), QUOTES).awaitTermination()
+        assert tables.read_raw(spark, raw).count() == pages
+        assert tables.read_parsed(spark, parsed).count() == records
+    landed = {r.url.rsplit("/", 1)[-1]: r for r in tables.read_raw(spark, raw).collect()}
+    # A file without content is no page, in a batch as in a stream.
+    assert sorted(landed) == ["a", "b", "bare", "c"] == sorted(r.url.rsplit("/", 1)[-1] for r in saved_pages.read_saved_pages(spark, saved, "quotes", "https://q/").collect())
+    assert landed["b"].body == QUOTE.format("ё") and {r.http_status for r in landed.values()} == {200}
