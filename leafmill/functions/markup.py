@@ -25,6 +25,8 @@ NODES = (
     "text:string,attrs:map<string,string>,link:string>>"
 )
 TEXT = "#text"
+# What is kept of the reason why a page could not be split.
+ERROR_CHARS = 500
 
 # HTML elements without an end tag.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -182,6 +184,19 @@ class _Nodes:
         close(0)
         self.pages.append(len(nodes))
 
+    def page_or_error(self, body: str, base: str) -> str | None:
+        """Split one page; one that cannot be split has no nodes, and the reason is returned."""
+        parts = (self.nodes, self.sizes, self.keys, self.values)
+        before = [len(part) for part in parts]
+        try:
+            self.page(body, base)
+        except Exception as error:  # whatever a page does to the splitter, the others go on
+            for part, length in zip(parts, before):
+                del part[length:]
+            self.pages.append(before[0])
+            return f"{type(error).__name__}: {error}"[:ERROR_CHARS]
+        return None
+
     def array(self) -> pa.Array:
         idx, parent, tag, text, cls, link, attr_ends = zip(*self.nodes) if self.nodes else [()] * 7
         ints, strings = pa.int32(), pa.string()
@@ -217,6 +232,20 @@ def page_nodes(body: Column, url: Column, attributes: Sequence[str] = (), links:
     return split(body, url)
 
 
+def page_nodes_or_error(body: Column, url: Column, attributes: Sequence[str] = ()) -> Column:
+    """`page_nodes` as a struct (nodes, error): a page that cannot be split has no nodes and says why, others have no error."""
+    keep = frozenset(attributes)
+    ship_code()
+
+    @F.arrow_udf(f"struct<nodes:{NODES},error:string>")
+    def split(bodies: pa.Array, urls: pa.Array) -> pa.Array:
+        nodes = _Nodes(keep, False)
+        errors = [nodes.page_or_error(page or "", base or "") for page, base in zip(bodies.to_pylist(), urls.to_pylist())]
+        return pa.StructArray.from_arrays([nodes.array(), pa.array(errors, pa.string())], ["nodes", "error"])
+
+    return split(body, url)
+
+
 # Column expressions over nodes. `nodes` is an array of nodes, `n` one of them.
 
 

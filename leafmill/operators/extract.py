@@ -8,7 +8,7 @@ from functools import lru_cache, reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leafmill.functions.markup import page_nodes
+from leafmill.functions.markup import page_nodes, page_nodes_or_error
 from leafmill.functions.text import body_text
 from leafmill.schemas import PARSED_TABLE
 from leafmill.sites.base import SitePack
@@ -55,11 +55,7 @@ def explode_records(pages: DataFrame, site: str | SitePack) -> DataFrame:
     return _with_nodes(pages, pack).select(*kept, F.explode(found).alias("record"))
 
 
-def parse_pages(raw: DataFrame, site: str | SitePack, parsed_at: Column | None = None) -> DataFrame:
-    """Rows for the parsed table from a site's raw pages."""
-    pack = _pack(site)
-    pages = raw.filter(F.col("spider") == pack.name).select("url", "body", "fetched_at")
-    found = explode_records(pages, pack)
+def _envelopes(found: DataFrame, pack: SitePack, parsed_at: Column | None, *extra: str) -> DataFrame:
     names = sorted(found.schema["record"].dataType.names)
     # Fields in key order make the text canonical as it is written.
     fields = F.to_json(F.struct(*(F.col("record")[n].alias(n) for n in names)))
@@ -71,8 +67,37 @@ def parse_pages(raw: DataFrame, site: str | SitePack, parsed_at: Column | None =
         fields.alias("fields"),
         (F.col("record")["type"] if "type" in names else F.lit("")).alias("record_type"),
         F.to_date(F.date_trunc("month", "fetched_at")).alias("source_month"),
+        *extra,
     )
-    return rows.withColumn("dedup_key", F.xxhash64("fields")).select(*PARSED_TABLE.names)
+    return rows.withColumn("dedup_key", F.xxhash64("fields")).select(*PARSED_TABLE.names, *extra)
+
+
+def _site_pages(raw: DataFrame, pack: SitePack) -> DataFrame:
+    return raw.filter(F.col("spider") == pack.name).select("url", "body", "fetched_at")
+
+
+def parse_pages(raw: DataFrame, site: str | SitePack, parsed_at: Column | None = None) -> DataFrame:
+    """Rows for the parsed table from a site's raw pages. A page that cannot be split fails the job."""
+    pack = _pack(site)
+    return _envelopes(explode_records(_site_pages(raw, pack), pack), pack, parsed_at)
+
+
+def parse_or_error(raw: DataFrame, site: str | SitePack, parsed_at: Column | None = None) -> DataFrame:
+    """`parse_pages`' rows with `error` null, and for each page that cannot be split one row without fields and with the reason.
+
+    Only the splitting of a page is guarded; a pack whose own expression raises an error
+    on some value (a strict cast, say) still fails the job.
+    """
+    pack = _pack(site)
+    split = page_nodes_or_error(body_text(F.col("body")), F.col("url"), pack.attributes)
+    pages = _site_pages(raw, pack).withColumn("_split", split)
+    pages = pages.select("url", "fetched_at", F.col("_split")["nodes"].alias("_nodes"), F.col("_split")["error"].alias("error"))
+    found = _extraction(pack, raw.sparkSession.sparkContext.applicationId)
+    # The outer form keeps pages without records; the filter needs what was exploded, so it cannot be pushed below.
+    rows = pages.select("url", "fetched_at", "error", F.explode_outer(F.when(F.col("error").isNull(), found)).alias("record"))
+    told = rows.filter(F.col("record").isNotNull() | F.col("error").isNotNull())
+    rows = _envelopes(told, pack, parsed_at, "error")
+    return rows.withColumn("fields", F.when(F.col("error").isNull(), F.col("fields")))
 
 
 def parse_sites(raw: DataFrame, sites: Sequence[str], parsed_at: Column | None = None) -> DataFrame:
@@ -84,6 +109,5 @@ def parse_sites(raw: DataFrame, sites: Sequence[str], parsed_at: Column | None =
 def page_yield(raw: DataFrame, site: str | SitePack) -> DataFrame:
     """Records per fetched page; pages that gave none are kept with 0."""
     pack = _pack(site)
-    pages = raw.filter(F.col("spider") == pack.name).select("url", "body", "fetched_at")
-    counted = page_records(pages, pack)
+    counted = page_records(_site_pages(raw, pack), pack)
     return counted.select("url", "fetched_at", F.coalesce(F.size("records"), F.lit(0)).alias("records"))

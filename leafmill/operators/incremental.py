@@ -9,10 +9,11 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from leafmill.functions.text import utc_literal
-from leafmill.operators.extract import parse_pages
+from leafmill.operators.extract import parse_or_error, parse_pages
 from leafmill.operators.landing import month_of
+from leafmill.session import scratch_path
 from leafmill.sites.base import SitePack
-from leafmill.sources.tables import append_batch, append_parsed, append_progress, read_progress, read_raw
+from leafmill.sources.tables import append_batch, append_errors, append_parsed, append_progress, delete_folder, read_progress, read_raw
 
 EPOCH = "1970-01-01 00:00:00"
 
@@ -87,23 +88,38 @@ def replay(raw: DataFrame, spider: str, since: datetime | None = None) -> DataFr
     return raw_after(raw, spider, utc_literal(since) if since else _as_time(EPOCH))
 
 
-def extract_batch(pages: DataFrame, parsed_path: str, pack: SitePack, label: str | None = None) -> tuple[int, int, str | None]:
+def extract_batch(
+    pages: DataFrame, parsed_path: str, pack: SitePack, label: str | None = None, errors_path: str | None = None
+) -> tuple[int, int, str | None]:
     """Append the records of the pages; returns pages read, records written and the newest fetch time.
 
     All three are observed while the records are written, so nothing is read for them.
     Work that is done again after an executor was lost may count again. `label` is that
-    of `append_parsed`.
+    of `append_parsed`. A page that cannot be split fails the batch, or with `errors_path`
+    costs a row in the table there: records and reasons are then written aside in one pass
+    over the bodies, and dealt to their tables from it.
     """
+    spark, aside = pages.sparkSession, None
     stamp = utc_literal(datetime.now(timezone.utc))
     read, written = Observation(), Observation()
     seen = pages.observe(read, F.count(F.lit(1)).alias("pages"), F.max("fetched_at").cast("string").alias("newest"))
-    records = parse_pages(seen, pack, stamp).observe(written, F.count(F.lit(1)).alias("records"))
-    append_parsed(records, parsed_path, label)
-    if _noted(written):
-        return read.get["pages"], written.get["records"], read.get["newest"]
-    # Without any record adaptive execution drops the plan and what it observed; the pages are few or bear nothing.
+    if errors_path is None:
+        rows = parse_pages(seen, pack, stamp)
+    else:
+        aside, told = scratch_path(spark, "extracted"), parse_or_error(seen, pack, stamp)
+        told.write.parquet(aside)
+        told = spark.read.schema(told.schema).parquet(aside)
+        append_errors(told.filter(F.col("error").isNotNull()), errors_path, label)
+        rows = told.filter(F.col("error").isNull()).drop("error")
+    append_parsed(rows.observe(written, F.count(F.lit(1)).alias("records")), parsed_path, label)
+    if aside is not None:
+        delete_folder(spark, aside)
+    records = written.get["records"] if _noted(written) else 0
+    if _noted(read):
+        return read.get["pages"], records, read.get["newest"]
+    # Without any row adaptive execution drops the plan and what it observed; the pages are few or bear nothing.
     pages_read, newest = pages.agg(F.count(F.lit(1)), F.max("fetched_at").cast("string")).first()
-    return pages_read, 0, newest
+    return pages_read, records, newest
 
 
 def _noted(observation: Observation) -> bool:
@@ -122,13 +138,15 @@ def drain(
     reset: bool = False,
     since: datetime | None = None,
     batches_path: str | None = None,
+    errors_path: str | None = None,
 ) -> dict[str, int]:
     """Extract everything new, then move the watermark; returns pages and records handled.
 
     One distributed job by default; `batch_rows` works through it in steps instead, each
     reading its own months only. The records are written before the watermark, so a run
     that dies is repeated, and `latest_versions` folds the repeats. `since` wins over
-    `reset`. `batches_path` names a table that gets a row per batch.
+    `reset`. `batches_path` names a table that gets a row per batch, `errors_path` one for
+    pages that cannot be split, which fail the run otherwise.
     """
     if since is not None or reset:
         after = utc_literal(since) if since is not None else _as_time(EPOCH)
@@ -143,7 +161,7 @@ def drain(
         if last is None:
             return totals
         until = _as_time(last)
-        pages, records, _ = extract_batch(raw_after(raw, pack.name, after, until), parsed_path, pack)
+        pages, records, _ = extract_batch(raw_after(raw, pack.name, after, until), parsed_path, pack, errors_path=errors_path)
         append_progress(spark, progress_path, pack.name, last)
         if batches_path is not None:
             append_batch(spark, batches_path, pack.name, run, batch, pages, records, last)

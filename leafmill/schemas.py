@@ -55,6 +55,9 @@ PARSED_TABLE = _struct(
     source_month=T.DateType(),
 )
 
+# Pages that could not be split: one row per attempt.
+ERROR_TABLE = _struct(spider=STR, url=STR, source_fetched_at=TS, parsed_at=TS, error=STR, source_month=T.DateType())
+
 PROGRESS_TABLE = _struct(spider=STR, watermark=TS, updated_at=TS)
 
 # One row per batch of an extraction: what it read and wrote, and how far it came.

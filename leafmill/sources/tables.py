@@ -13,7 +13,7 @@ from leafmill.functions.text import utc_literal
 from leafmill.operators.landing import decoded, landed, month_of
 from leafmill.operators.quality import with_disposition, with_verdict
 from leafmill.operators.versions import RETENTION, latest_versions, unexpired, with_content_key
-from leafmill.schemas import BATCH_TABLE, PARSED_TABLE, PROGRESS_TABLE, RAW_TABLE
+from leafmill.schemas import BATCH_TABLE, ERROR_TABLE, PARSED_TABLE, PROGRESS_TABLE, RAW_TABLE
 from leafmill.sites.base import SitePack
 
 
@@ -71,6 +71,24 @@ def append_parsed(rows: DataFrame, path: str, label: str | None = None) -> None:
         even.write.mode("append").partitionBy("source_month").parquet(path)
 
 
+def append_errors(rows: DataFrame, path: str, label: str | None = None) -> None:
+    """Append pages that could not be split; `label` as in `append_parsed`."""
+    # One reason is at most some hundred characters, and such pages are few.
+    few = rows.select(*ERROR_TABLE.names).hint("rebalance", "source_month")
+    if label is not None:
+        publish_batch(few, path, "source_month", label)
+    else:
+        few.write.mode("append").partitionBy("source_month").parquet(path)
+
+
+def read_errors(spark: SparkSession, path: str) -> DataFrame:
+    """Pages that could not be split; a table that was never written is empty."""
+    store, place = _folder(spark, path)
+    if not store.exists(place):
+        return spark.createDataFrame([], ERROR_TABLE)
+    return spark.read.schema(ERROR_TABLE).parquet(path)
+
+
 def read_raw(spark: SparkSession, path: str, since: datetime | Column | None = None) -> DataFrame:
     """The raw table without rows past the last expiry; `since` is a strict lower bound that prunes months as well as rows. Without an offset it is UTC."""
     raw = living(spark.read.schema(RAW_TABLE).parquet(path), path)
@@ -154,7 +172,7 @@ def publish_batch(rows: DataFrame, path: str, month: str, label: str) -> None:
             store.mkdirs(target.getParent())
             if not store.rename(_folder(spark, name)[1], target):
                 raise OSError(f"{name} could not be moved to {target}")
-    _delete_folder(spark, aside)
+    delete_folder(spark, aside)
 
 
 def batch_label(checkpoint: str, batch: int) -> str:
@@ -221,7 +239,7 @@ def living(raw: DataFrame, path: str) -> DataFrame:
     return unexpired(raw, F.timestamp_micros(F.lit(int(marks[-1])))) if marks else raw
 
 
-def _delete_folder(spark: SparkSession, name: str) -> None:
+def delete_folder(spark: SparkSession, name: str) -> None:
     store, place = _folder(spark, name)
     store.delete(place, True)
 

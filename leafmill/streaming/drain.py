@@ -36,15 +36,17 @@ def start_parse(
     pack: SitePack,
     bytes_per_batch: int = BYTES_PER_BATCH,
     batches_path: str | None = None,
+    errors_path: str | None = None,
 ) -> StreamingQuery:
     """Extract every raw file landed since the last run and stop. A fresh checkpoint replays all.
 
     `batches_path` names a table that gets a row per batch: pages, records and the newest
-    fetch time among them.
+    fetch time among them. `errors_path` names one for pages that cannot be split, which
+    fail the stream otherwise.
     """
 
     def write(pages: DataFrame, batch: int) -> None:
-        read, records, newest = extract_batch(pages, parsed_path, pack, batch_label(checkpoint, batch))
+        read, records, newest = extract_batch(pages, parsed_path, pack, batch_label(checkpoint, batch), errors_path)
         if batches_path is not None and read:
             append_batch(pages.sparkSession, batches_path, pack.name, checkpoint, batch, read, records, newest)
 

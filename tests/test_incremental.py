@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import raw_rows, times, ts
-from leafmill.operators import incremental, versions
+from leafmill.operators import extract, incremental, versions
 from leafmill.plans import items
 from leafmill.sites.auctions import PACK as AUCTIONS
 from leafmill.sites.registry import get_site
@@ -139,6 +139,45 @@ def test_failed_extraction_leaves_the_watermark(spark, paths):
     assert incremental.drain(spark, *paths, QUOTES)["pages"] == 4
 
 
+POISON = "&#" + "9" * 5000 + ";"
+
+
+def test_a_page_that_cannot_be_split_costs_a_row(spark, paths, tmp_path):
+    raw, parsed, progress = paths
+    land(spark, raw, [("2024-01-01 00:00:00", listing("a")), ("2024-01-02 00:00:00", listing("half") + POISON), ("2024-01-03 00:00:00", listing("b", "c"))])
+    with pytest.raises(Exception, match="ValueError"):
+        incremental.drain(spark, raw, parsed, progress, QUOTES)
+    errors = str(tmp_path / "errors")
+    assert tables.read_errors(spark, errors).count() == 0
+    assert incremental.drain(spark, raw, parsed, progress, QUOTES, errors_path=errors) == {"pages": 3, "records": 3}
+    assert held(spark, parsed) == ["a", "b", "c"]
+    failed = tables.read_errors(spark, errors).collect()
+    assert [(r.spider, r.url, r.error.split(":")[0]) for r in failed] == [("quotes", "u-2024-01-02 00:00:00-1", "ValueError")]
+    assert len(failed[0].error) <= 500
+
+    streamed = str(tmp_path / "streamed"), str(tmp_path / "stream-errors")
+    streams.start_parse(spark, raw, streamed[0], str(tmp_path / "ck"), QUOTES, errors_path=streamed[1]).awaitTermination()
+    assert held(spark, streamed[0]) == ["a", "b", "c"]
+    assert tables.read_errors(spark, streamed[1]).count() == 1
+
+
+def test_pages_that_all_fail_move_the_watermark(spark, paths, tmp_path):
+    raw, parsed, progress = paths
+    land(spark, raw, [("2024-01-01 00:00:00", POISON)])
+    errors = str(tmp_path / "errors")
+    assert incremental.drain(spark, raw, parsed, progress, QUOTES, errors_path=errors) == {"pages": 1, "records": 0}
+    assert incremental.drain(spark, raw, parsed, progress, QUOTES, errors_path=errors) == {"pages": 0, "records": 0}
+    assert tables.read_errors(spark, errors).count() == 1
+
+
+def test_records_and_errors_come_of_one_pass(spark, paths):
+    raw, _, _ = paths
+    land(spark, raw, [("2024-01-01 00:00:00", listing("a")), ("2024-01-02 00:00:00", ""), ("2024-01-02 00:00:00", POISON)])
+    rows = extract.parse_or_error(tables.read_raw(spark, raw), QUOTES)
+    assert rows._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    assert sorted((r.fields is None, r.error is None) for r in rows.collect()) == [(False, True), (True, False)]
+
+
 def test_stream_gives_what_the_batch_gives(spark, paths, tmp_path):
     checkpoint, streamed = str(tmp_path / "ck"), str(tmp_path / "streamed")
     for rows in (TIED[:2], TIED[2:]):

@@ -3,7 +3,7 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 from helpers import pages_of, raw_rows
-from leafmill.operators import landing, links, worklists
+from leafmill.operators import landing, links, url_index, worklists
 from leafmill.sources import tables
 from leafmill.sites.base import LinkRules
 from leafmill.sites.auctions import PACK
@@ -111,6 +111,31 @@ def test_landed_marker_saves_reading_bodies(spark, tmp_path):
     assert paths(worklists.heal_set(raw, PACK)) == ["/auction/716/2/", "/auction/717/5/"]
 
 
+def test_work_lists_from_the_url_index(spark, tmp_path):
+    """Landed in two parts and one of them twice: same lists, and neither grouping nor anti join shuffles."""
+    raw = stored(spark)
+    for part in (F.col("url") < f"{HOME}/auction/717", F.col("url") >= f"{HOME}/auction/717", F.col("url") >= f"{HOME}/auction/717"):
+        url_index.index_urls(raw.filter(part), PACK, "held_urls", 4, str(tmp_path / "held"))
+    wanted = spark.createDataFrame([(f"{HOME}/auction/716/{n}/",) for n in (1, 1, 2, 3)], "dst_url string")
+    for _ in range(2):
+        url_index.index_targets(wanted, "wanted_urls", 4, str(tmp_path / "wanted"))
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        heal, good = url_index.urls_to_heal(spark, PACK, "held_urls"), url_index.good_urls(spark, PACK, "held_urls")
+        fetch = url_index.targets_to_fetch(spark, PACK, "wanted_urls", "held_urls")
+        for rows in (heal, good, fetch):
+            rows.collect()
+            assert "Exchange" not in rows._jdf.queryExecution().executedPlan().toString()
+        assert paths(heal) == paths(worklists.heal_set(raw, PACK)) == ["/auction/716/2/", "/auction/717/5/"]
+        assert paths(good) == paths(worklists.good_entries(raw, PACK))
+        assert paths(fetch) == paths(worklists.skip_held(wanted, raw, PACK)) == ["/auction/716/2/", "/auction/716/3/"]
+        assert paths(url_index.urls_to_heal(spark, PACK, "held_urls", ["weird"])) == ["/auction/weird/9/"]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE held_urls")
+        spark.sql("DROP TABLE wanted_urls")
+
+
 def test_work_lists_of_a_site_of_ones_own(spark, tmp_path):
     """Markers noted at landing, or looked up in the bodies where they were not."""
     own = replace(PACK, name="own")

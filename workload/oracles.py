@@ -310,6 +310,9 @@ ORACLES: dict[str, str] = {
       WHERE spider = 'click' AND fetched_at > TIMESTAMP '{REPLAY_SINCE}'""",
     "batch_drain": f"WITH {RAW} {PARSED_LOTS}",
     "stream_drain": f"WITH {RAW} {PARSED_LOTS}",
+    "poisoned_drain": f"""WITH {RAW} SELECT url, fetched_at AS source_fetched_at, {LOT_FIELDS} AS fields, NULL AS error
+      FROM raw WHERE {GOOD_LOT} AND page_id % 23 <> 5
+      UNION ALL SELECT url, fetched_at, NULL, 'ValueError' FROM raw WHERE page_id % 23 = 5""",
     "page_links": f"""WITH {_EDGE_GROUP} SELECT src_url, (row_number() OVER (PARTITION BY page_id ORDER BY i) - 1)::INT AS pos, dst_url
       FROM edges""",
     "rule_links": f"""WITH {_EDGE_GROUP} SELECT src_url, (row_number() OVER (PARTITION BY page_id ORDER BY i) - 1)::INT AS pos, dst_url
@@ -325,6 +328,9 @@ ORACLES: dict[str, str] = {
       AND dst_url NOT IN (SELECT url FROM good)""",
     "good_entries": f"WITH {RAW}, {STORED} SELECT url FROM good",
     "heal_set": f"WITH {RAW}, {STORED} SELECT url FROM heal",
+    "heal_set_indexed": f"WITH {RAW}, {STORED} SELECT url FROM heal",
+    "skip_existing_indexed": f"""WITH {RAW}, {STORED}, {LINKS} SELECT DISTINCT dst_url AS url FROM crawl WHERE pos <> 3
+      AND dst_url NOT IN (SELECT url FROM good)""",
     "heal_set_scoped": f"""WITH {RAW}, {STORED} SELECT url FROM heal
       WHERE regexp_extract(url, '/auction/([0-9]+)/', 1) IN (SELECT o_orderkey::VARCHAR FROM orders WHERE o_orderkey % 2 = 1)""",
     "heal_outcome": f"""WITH {RAW}, {STORED},

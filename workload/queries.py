@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from leafmill.functions import text as tx
 from leafmill.functions import urls as ux
 from leafmill.functions.records import canonical_json
-from leafmill.operators import extract, incremental, landing, links, quality, versions, worklists
+from leafmill.operators import extract, incremental, landing, links, quality, url_index, versions, worklists
 from leafmill.plans import coverage, health, items, views
 from leafmill.session import scratch_path
 from leafmill.sites.base import LinkRules
@@ -459,6 +459,25 @@ def stream_drain(spark, sf_dir):
     return _parsed(tables.read_parsed(spark, parsed))
 
 
+# A numeric character reference of so many digits cannot be read; a page that holds it cannot be split.
+POISON = "&#" + "9" * 5000 + ";"
+
+
+@query
+def poisoned_drain(spark, sf_dir):
+    """Some pages cannot be split, half of all come in a batch and half in a stream: records of the others, and a row for each of these."""
+    raw, parsed, progress, errors, checkpoint = (scratch_path(spark, n) for n in ("raw", "parsed", "progress", "errors", "checkpoint"))
+    pages = fx.raw_pages(spark, sf_dir)
+    poisoned = F.when(F.col("page_id") % 23 == 5, fx.cat(POISON, F.col("body"))).otherwise(F.col("body"))
+    bad = pages.withColumn("body", poisoned)
+    for half, path in enumerate((raw, f"{raw}-streamed")):
+        tables.append_raw(bad.filter(F.col("page_id") % 2 == half).drop("page_id"), path)
+    incremental.drain(spark, raw, parsed, progress, PACK, errors_path=errors)
+    streams.start_parse(spark, f"{raw}-streamed", parsed, checkpoint, PACK, errors_path=errors).awaitTermination()
+    failed = tables.read_errors(spark, errors).select("url", "source_fetched_at", F.regexp_extract("error", "^[A-Za-z]+", 0).alias("error"))
+    return tables.read_parsed(spark, parsed).select("url", "source_fetched_at", "fields").unionByName(failed, allowMissingColumns=True)
+
+
 STEP = 60
 
 
@@ -644,6 +663,33 @@ def heal_set(spark, sf_dir):
     return worklists.heal_set(fx.raw_pages(spark, sf_dir), PACK)
 
 
+def _url_table(spark: SparkSession, label: str) -> dict[str, str]:
+    path = scratch_path(spark, label)
+    return {"name": path.rsplit("/", 1)[1].replace("-", "_"), "path": path}
+
+
+def _url_index(spark, sf_dir) -> str:
+    """The pages' URLs in two landings, of which the second comes twice."""
+    raw, place = fx.raw_pages(spark, sf_dir), _url_table(spark, "urls")
+    for half in (0, 1, 1):
+        url_index.index_urls(raw.filter(F.floor(F.col("page_id") / 10) % 2 == half), PACK, buckets=8, **place)
+    return place["name"]
+
+
+@query
+def heal_set_indexed(spark, sf_dir):
+    return url_index.urls_to_heal(spark, PACK, _url_index(spark, sf_dir))
+
+
+@query
+def skip_existing_indexed(spark, sf_dir):
+    crawl, place = fx.crawl_links(spark, sf_dir), _url_table(spark, "targets")
+    for early in (True, False):
+        some = crawl.filter(ux.in_domains(F.col("dst_url"), PACK.domains) & ((F.col("pos") < 2) == early))
+        url_index.index_targets(some, buckets=8, **place)
+    return url_index.targets_to_fetch(spark, PACK, place["name"], _url_index(spark, sf_dir))
+
+
 @query
 def heal_set_scoped(spark, sf_dir):
     orders = fx.table(spark, sf_dir, "orders").filter(F.col("o_orderkey") % 2 == 1)
