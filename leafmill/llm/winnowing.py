@@ -11,18 +11,21 @@ inside its row.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leafmill.functions.markup import let
-from leafmill.llm.common import words
+from leafmill.llm.common import stored, words
 
 K = 5
 # A power of two: window minima are found by doubling.
 W = 4
-# Documents that are put in order together. More of them make buckets fewer, not wrong.
+# Documents that are put in order together: about so many, until there are PARTS * PARTS buckets.
 BUCKET_ROWS = 1024
-MAX_BUCKETS = 1 << 14
+# Ranges of ids that all documents are cut into, and again each of these, at most.
+PARTS = 1024
 
 
 def grams(tokens: Column, k: int = K) -> Column:
@@ -67,27 +70,37 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(F.size(a) + F.size(b) == 0, F.lit(1.0)).otherwise(both / (F.size(a) + F.size(b) - both))
 
 
-def _bounds(docs: DataFrame) -> tuple[list[int], bool]:
-    """Ids that cut the documents into buckets of about BUCKET_ROWS, the least id first; whether an id is null.
+def _bounds(ids: DataFrame) -> tuple[list[int], list[int], DataFrame, bool]:
+    """The least id of every part, the buckets of each, the least ids of a part's buckets as (part, bounds); whether an id is null.
 
-    Only the id column is read, and at most MAX_BUCKETS ids come to the driver.
+    Ids cut the documents into parts of about equal rows, and ids of a part cut it into
+    buckets of about BUCKET_ROWS. Only the id column is read; PARTS ids come to the
+    driver, and the table has at most PARTS rows of PARTS ids.
     """
-    size = docs.agg(F.count("doc_id"), F.min("doc_id"), F.count(F.when(F.col("doc_id").isNull(), 1))).first()
-    cuts = min(MAX_BUCKETS, size[0] // BUCKET_ROWS)
-    if not cuts:
-        return [size[1] or 0], size[2] > 0
-    shares = [i / (cuts + 1) for i in range(1, cuts + 1)]
-    found = docs.agg(F.percentile_approx("doc_id", shares, max(10_000, 4 * cuts))).first()[0]
-    return sorted({size[1], *found}), size[2] > 0
+    rows, least, nulls = ids.agg(F.count("doc_id"), F.min("doc_id"), F.count(F.when(F.col("doc_id").isNull(), 1))).first()
+    wanted = max(1, rows // BUCKET_ROWS)
+    parts = min(PARTS, math.ceil(math.sqrt(wanted)))
+    each = min(PARTS, math.ceil(wanted / parts))
+
+    def cuts(n: int) -> Column:
+        shares = [i / n for i in range(1, n)]
+        found = F.percentile_approx("doc_id", shares, max(10_000, 4 * n)) if shares else F.array().cast("array<bigint>")
+        return F.array_sort(F.array_distinct(F.concat(F.array(F.min("doc_id").cast("bigint")), found.cast("array<bigint>"))))
+
+    named = ids.filter(F.col("doc_id").isNotNull())
+    first = named.agg(cuts(parts)).first()[0] if rows else [0]
+    inner = named.groupBy(_last_bound(F.col("doc_id"), F.lit(first)).alias("part")).agg(cuts(each).alias("bounds"))
+    inner = stored(inner, "winnowing-bounds")
+    sizes = dict(inner.select("part", F.size("bounds")).collect())
+    return first, [sizes.get(part, 1) for part in range(len(first))], inner, nulls > 0
 
 
-def _bucket(doc_id: Column, bounds: list[int]) -> Column:
-    """The last bound not above the id, by binary search; null is in the first bucket."""
-    cuts = F.lit(bounds)
-    steps = [1 << i for i in reversed(range(len(bounds).bit_length()))]
+def _last_bound(doc_id: Column, bounds: Column) -> Column:
+    """The place of the last bound not above the id, by binary search; 0 for a null id or no bounds."""
+    steps = [1 << i for i in reversed(range(PARTS.bit_length()))]
 
     def step(at: Column, jump: Column) -> Column:
-        return F.when((at + jump < len(bounds)) & (F.get(cuts, at + jump) <= doc_id), at + jump).otherwise(at)
+        return F.when((at + jump < F.size(bounds)) & (F.get(bounds, at + jump) <= doc_id), at + jump).otherwise(at)
 
     return F.aggregate(F.lit(steps), F.lit(0), step)
 
@@ -99,19 +112,26 @@ def with_next(docs: DataFrame) -> DataFrame:
     before it as a guest (the first of all to the last bucket), so that each bucket knows
     every successor, and texts are shuffled once.
     """
-    bounds, nulls = _bounds(docs.select("doc_id"))
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), _bucket(F.col("doc_id"), bounds).alias("home"))
-    first = F.col("doc_id").isNull() if nulls else F.col("doc_id") == bounds[0]
-    leads = F.get(F.lit(bounds), F.col("home")) == F.col("doc_id")
+    least, sizes, inner, nulls = _bounds(docs.select("doc_id"))
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), _last_bound(F.col("doc_id"), F.lit(least)).alias("part"))
+    # At most PARTS * PARTS ids, 8 MB.
+    near = rows.join(F.broadcast(inner), "part", "left")
+    at = _last_bound(F.col("doc_id"), F.col("bounds"))
+    leads = F.get("bounds", F.col("at")) == F.col("doc_id")
+    homed = near.withColumn("at", at).select("doc_id", "text", "part", "at", F.coalesce(leads, F.lit(False)).alias("leads"))
+    # Buckets are numbered through, so that the one before is known.
+    before = [sum(sizes[:part]) for part in range(len(sizes))]
+    home = (F.get(F.lit(before), F.col("part")) + F.col("at")).cast("int")
+    first = F.col("doc_id").isNull() if nulls else F.col("doc_id") == least[0]
     place = lambda bucket, guest: F.struct(bucket.cast("int").alias("bucket"), F.lit(guest).alias("guest"))
     places = F.array_compact(
         F.array(
             place(F.col("home"), False),
-            F.when(leads & (F.col("home") > 0), place(F.col("home") - 1, True)),
-            F.when(first, place(F.lit(len(bounds) - 1), True)),
+            F.when(F.col("leads") & (F.col("home") > 0), place(F.col("home") - 1, True)),
+            F.when(first, place(F.lit(sum(sizes) - 1), True)),
         )
     )
-    placed = rows.select("doc_id", "text", F.inline(places))
+    placed = homed.withColumn("home", home).select("doc_id", "text", F.inline(places))
     return placed.withColumn("next_text", F.lead("text").over(_order()))
 
 

@@ -94,9 +94,10 @@ def plain_likeness(a, b):
     return len(a & b) / len(a | b) if a | b else 1.0
 
 
-@pytest.mark.parametrize("extra", [False, True])
-def test_fingerprints(spark, extra, monkeypatch):
-    monkeypatch.setattr(winnowing, "BUCKET_ROWS", 7)
+@pytest.mark.parametrize(("extra", "bucket_rows", "parts"), [(False, 7, 1024), (True, 7, 3), (True, 1, 2)])
+def test_fingerprints(spark, extra, bucket_rows, parts, monkeypatch):
+    monkeypatch.setattr(winnowing, "BUCKET_ROWS", bucket_rows)
+    monkeypatch.setattr(winnowing, "PARTS", parts)
     data = rows()
     got = {r["doc_id"]: r for r in winnowing.fingerprints(frame(spark, data, extra)).collect()}
     ordered = sorted(data)
@@ -122,6 +123,17 @@ def test_fingerprints_of_one_document_and_of_repeated_and_null_ids(spark):
     assert got == Counter([(None, sha("qqqqqqaa")), (1, sha("aaaaaabb")), (1, sha("b" * 8)), (1, sha("bbbbbbcc")), (2, sha("ccccccqq"))])
 
 
+def test_buckets_are_even_however_ids_are_spread(spark, monkeypatch):
+    """Half of the ids close together, half far apart: no bucket holds many times the rows asked for."""
+    monkeypatch.setattr(winnowing, "BUCKET_ROWS", 10)
+    ids = list(range(1000)) + [10**6 + 10**9 * i for i in range(1000)]
+    placed = winnowing.with_next(frame(spark, [(i, f"t{i}", "x") for i in ids])).collect()
+    sizes = Counter(r["bucket"] for r in placed if not r["guest"])
+    assert len(placed) - sum(sizes.values()) == len(sizes) and len(sizes) > 150 and max(sizes.values()) <= 30
+    after = dict(zip(ids, ids[1:] + ids[:1], strict=True))
+    assert {r["doc_id"]: r["next_text"] for r in placed if not r["guest"]} == {i: f"t{after[i]}" for i in ids}
+
+
 def test_a_long_shared_run_is_always_found(spark):
     shared = " ".join(f"s{i}" for i in range(8))
     data = [(i, " ".join(f"d{i}x{j}" for j in range(30)) + " " + shared + " " + " ".join(f"d{i}y{j}" for j in range(30)), "x") for i in range(20)]
