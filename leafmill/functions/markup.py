@@ -70,7 +70,7 @@ def absolute_link(base: str, href: str) -> str | None:
     return link if link.startswith(("http://", "https://", "file://", "ftp://")) else None
 
 
-class _Nodes:
+class PageNodes:
     """The nodes of a batch of pages, gathered in order."""
 
     def __init__(self, keep: frozenset[str], links: bool) -> None:
@@ -197,6 +197,14 @@ class _Nodes:
             return f"{type(error).__name__}: {error}"[:ERROR_CHARS]
         return None
 
+    def elements(self, tag: str | None, cls: str | None, first: int) -> list[tuple[int, int]]:
+        """Place and size, itself included, of the elements of a tag and class (None for any) from a place on."""
+        return [
+            (at, self.sizes[at] + 1)
+            for at, node in enumerate(self.nodes[first:], first)
+            if (node[2] == tag if tag else node[2] != TEXT) and (cls is None or f" {cls} " in (node[4] or ""))
+        ]
+
     def array(self) -> pa.Array:
         idx, parent, tag, text, cls, link, attr_ends = zip(*self.nodes) if self.nodes else [()] * 7
         ints, strings = pa.int32(), pa.string()
@@ -224,7 +232,7 @@ def page_nodes(body: Column, url: Column, attributes: Sequence[str] = (), links:
 
     @F.arrow_udf(NODES)
     def split(bodies: pa.Array, urls: pa.Array) -> pa.Array:
-        nodes = _Nodes(keep, links)
+        nodes = PageNodes(keep, links)
         for page, base in zip(bodies.to_pylist(), urls.to_pylist()):
             nodes.page(page or "", base or "")
         return nodes.array()
@@ -239,7 +247,7 @@ def page_nodes_or_error(body: Column, url: Column, attributes: Sequence[str] = (
 
     @F.arrow_udf(f"struct<nodes:{NODES},error:string>")
     def split(bodies: pa.Array, urls: pa.Array) -> pa.Array:
-        nodes = _Nodes(keep, False)
+        nodes = PageNodes(keep, False)
         errors = [nodes.page_or_error(page or "", base or "") for page, base in zip(bodies.to_pylist(), urls.to_pylist())]
         return pa.StructArray.from_arrays([nodes.array(), pa.array(errors, pa.string())], ["nodes", "error"])
 

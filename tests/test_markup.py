@@ -6,10 +6,11 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from leafmill.functions import markup as m
+from leafmill.functions.sql import register_page_blocks
 
 
 def split(body, keep=("id", "href"), base="http://h/a/b", links=False):
-    nodes = m._Nodes(frozenset(keep), links)
+    nodes = m.PageNodes(frozenset(keep), links)
     nodes.page(body, base)
     return nodes.array().to_pylist()[0]
 
@@ -198,3 +199,16 @@ def test_column_helpers(spark):
         "sizes": [5, 3],
         "twice": 20,
     }
+
+
+def test_blocks_of_a_page_in_sql(spark):
+    register_page_blocks(spark, "test_blocks", ["id"], links=True)
+    pages = [(1, "<div class='a b' id=x>one<div class=a>two</div></div><a class=a href=/y>l</a>"), (2, "<p>none"), (3, None)]
+    spark.createDataFrame(pages, "n int, body string").createOrReplaceTempView("test_block_pages")
+    sql = "SELECT n, pos, nodes[0].attrs['id'] AS id, nodes[0].link AS link, size(nodes) AS size FROM test_block_pages, LATERAL posexplode(test_blocks(body, 'http://h/', {tag}, 'a')) AS b(pos, nodes)"
+    rows = lambda tag: sorted((tuple(r) for r in spark.sql(sql.format(tag=tag)).collect()), key=lambda r: r[:2])
+    assert rows("'div'") == [(1, 0, "x", None, 4), (1, 1, None, None, 2)]
+    assert rows("NULL") == [(1, 0, "x", None, 4), (1, 1, None, None, 2), (1, 2, None, "http://h/y", 2)]
+    assert rows("'table'") == []
+    plan = spark.sql(sql.format(tag="'div'"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "Join" not in plan

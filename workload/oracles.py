@@ -181,6 +181,10 @@ fetched AS (
 # RE2 spells Unicode whitespace out; the four separators are whitespace to the engine as well.
 SPACE = r"[\s\p{Z}\x0b\x1c-\x1f\x{85}]"
 
+QUOTE_RECORDS = """SELECT 'https://quotes.toscrape.com/page/' || conv_id || '/?turn=' || turn AS url, trim(line) AS text,
+      role AS author, role || ',turn&' || turn AS tags FROM (SELECT *, unnest(string_split(text, chr(10))) AS line FROM conversations)
+      UNION ALL SELECT 'https://quotes.toscrape.com/page/' || conv_id || '/?turn=' || turn, '', '', '' FROM conversations"""
+
 ORACLES: dict[str, str] = {
     "item_facts": f"WITH {AUCTIONS}, {ITEMS}, {FACTS} SELECT * FROM facts",
     "overview": f"""WITH {AUCTIONS}, {ITEMS}, {LOTS},
@@ -261,9 +265,8 @@ ORACLES: dict[str, str] = {
         sum(len(string_split(text, chr(10))) + 1)::BIGINT AS records, count(DISTINCT (conv_id, turn)) AS pages FROM conversations
       UNION ALL SELECT 'books', DATE '2024-01-01', sum(p_size % 3 + 1)::BIGINT, count(*) FROM part""",
     "zero_yield": f"WITH {RAW} SELECT url, fetched_at, CASE WHEN {GOOD_LOT} THEN 1 ELSE 0 END::INT AS records FROM raw",
-    "quote_records": """SELECT 'https://quotes.toscrape.com/page/' || conv_id || '/?turn=' || turn AS url, trim(line) AS text,
-      role AS author, role || ',turn&' || turn AS tags FROM (SELECT *, unnest(string_split(text, chr(10))) AS line FROM conversations)
-      UNION ALL SELECT 'https://quotes.toscrape.com/page/' || conv_id || '/?turn=' || turn, '', '', '' FROM conversations""",
+    "quote_records": QUOTE_RECORDS,
+    "quote_records_sql": QUOTE_RECORDS,
     "book_records": """SELECT 'https://books.toscrape.com/catalogue/page-' || p_partkey || '.html' AS url, p_name || ' & ' || i AS title,
       '£' || p_retailprice::DECIMAL(18,2) AS price, CASE WHEN i % 2 = 0 THEN 'In' END AS availability,
       ['One', 'Two', 'Three', 'Four', 'Five'][(p_size + i) % 5 + 1] AS rating

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from leafmill.functions import text as tx
 from leafmill.functions import urls as ux
 from leafmill.functions.records import canonical_json
+from leafmill.functions.sql import register_page_blocks
 from leafmill.operators import extract, incremental, landing, links, quality, url_index, versions, worklists
 from leafmill.plans import coverage, health, items, views
 from leafmill.session import scratch_path
@@ -356,6 +357,27 @@ def quote_records(spark, sf_dir):
     return rows.withColumn("tags", F.array_join("tags", ",")).drop("source_url")
 
 
+QUOTE_SQL = """
+SELECT url, coalesce({strip_text}, '') AS text, coalesce({strip_author}, '') AS author,
+  array_join(transform(filter(nodes, t -> t.tag = '#text' AND exists(nodes, n -> n.idx = t.parent AND n.tag = 'a' AND contains(n.class, ' tag ')
+    AND exists(nodes, d -> d.tag = 'div' AND contains(d.class, ' tags ') AND n.idx > d.idx AND n.idx <= d.idx + d.size))), t -> t.text), ',') AS tags
+FROM quote_pages, LATERAL explode(quote_blocks(body, url, 'div', 'quote')) AS b(nodes)"""
+
+
+def _own_text(tag: str, cls: str) -> str:
+    """SQL for the stripped first text run directly in an element of a block."""
+    inside = f"exists(nodes, n -> n.idx = t.parent AND n.tag = '{tag}' AND contains(n.class, ' {cls} '))"
+    return rf"regexp_replace(get(filter(nodes, t -> t.tag = '#text' AND {inside}), 0).text, r'(?U)\A\s+|\s+\z', '')"
+
+
+@query
+def quote_records_sql(spark, sf_dir):
+    """`quote_records` written in SQL, over the blocks of its pages."""
+    register_page_blocks(spark, "quote_blocks")
+    fx.quote_pages(spark, sf_dir).createOrReplaceTempView("quote_pages")
+    return spark.sql(QUOTE_SQL.format(strip_text=_own_text("span", "text"), strip_author=_own_text("small", "author")))
+
+
 @query
 def book_records(spark, sf_dir):
     return _records(fx.book_pages(spark, sf_dir), "books").drop("source_url")
