@@ -30,7 +30,7 @@ DICTIONARY_FRAME = 0x184D2A5D
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 MIN_REVISIT_BYTES = 1000
-# The dictionary is trained on at most so many records, each cut after so many bytes.
+# The dictionary is trained on at most so many records, and of each on a piece of at most so many bytes.
 SAMPLE_RECORDS, SAMPLE_BYTES = 2000, 1 << 16
 DICTIONARY_BYTES = 110 << 10
 # Uncompressed bytes after which a task begins its next archive.
@@ -85,7 +85,7 @@ def _qualified(spark: SparkSession, path: str) -> str:
 
 def _dictionary(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     samples = [
-        record(None if pd.isna(p) else int(p), u, b[:SAMPLE_BYTES], d, len(b), None)
+        record(None if pd.isna(p) else int(p), u, b, d, len(b), None)
         for rows in batches
         for p, u, b, d in zip(rows["page_id"], rows["url"], rows["payload"], rows["digest"], strict=True)
     ]
@@ -97,6 +97,13 @@ def _dictionary(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield pd.DataFrame({"dictionary": [made]})
 
 
+def _piece() -> Column:
+    """A piece of a payload, from a place anywhere in it that the digest decides; short payloads are whole."""
+    places = F.greatest(F.octet_length("payload") - SAMPLE_BYTES + 1, F.lit(1))
+    start = (F.pmod(F.xxhash64(F.lit("piece"), "digest"), places) + 1).cast("int")
+    return F.substring("payload", start, F.lit(SAMPLE_BYTES))
+
+
 def train_dictionary(rows: DataFrame) -> bytes:
     """A dictionary from a bounded sample, the records with the least hashes of digest and id.
 
@@ -107,7 +114,7 @@ def train_dictionary(rows: DataFrame) -> bytes:
     last = rows.select(rank.alias("rank")).orderBy("rank").limit(SAMPLE_RECORDS).agg(F.max("rank")).first()[0]
     if last is None:
         return b""
-    sample = rows.filter(rank <= last).select("page_id", "url", F.substring("payload", 1, SAMPLE_BYTES).alias("payload"), "digest").limit(SAMPLE_RECORDS)
+    sample = rows.filter(rank <= last).select("page_id", "url", _piece().alias("payload"), "digest").limit(SAMPLE_RECORDS)
     made = sample.coalesce(1).mapInPandas(_dictionary, "dictionary binary").first()
     return bytes(made[0]) if made else b""
 

@@ -398,3 +398,14 @@ def test_the_tightest_compatible_bin_is_taken():
     # A bin that is tighter but in conflict is passed over for the next.
     where, _ = packing.pack(np.array([60, 50, 4, 4]), np.array([1, 2, 1, 1]), np.array([1, 2, 3, 4]), 64)
     assert where.tolist() == [0, 1, 1, 2]
+
+
+def test_dictionary_pieces_come_from_anywhere_in_a_payload(spark, monkeypatch):
+    monkeypatch.setattr(warc, "SAMPLE_BYTES", 10)
+    payload = bytes(range(100))
+    data = [(f"d{i}", payload) for i in range(5000)] + [("short", b"abc"), ("empty", b""), ("exact", payload[:10])]
+    rows = spark.createDataFrame(data, "digest string, payload binary").select("digest", warc._piece().alias("piece")).collect()
+    got = {r["digest"]: bytes(r["piece"]) for r in rows}
+    assert (got.pop("short"), got.pop("empty"), got.pop("exact")) == (b"abc", b"", payload[:10])
+    assert all(len(piece) == 10 and piece in payload for piece in got.values())
+    assert {piece[0] for piece in got.values()} == set(range(91))
