@@ -110,14 +110,14 @@ def read_progress(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(PROGRESS_TABLE).parquet(path)
 
 
-def append_progress(spark: SparkSession, path: str, spider: str, watermark: str) -> None:
-    """Note how far a spider's pages are extracted; the time is text in the session's zone (UTC)."""
-    row = spark.range(1).select(
+def append_progress(spark: SparkSession, path: str, spider: str, *watermarks: str) -> None:
+    """Note how far a spider's pages are extracted, step by step; times are text in the session's zone (UTC)."""
+    rows = spark.createDataFrame([(w,) for w in watermarks], "watermark string").select(
         F.lit(spider).alias("spider"),
-        F.lit(watermark).cast("timestamp").alias("watermark"),
+        F.col("watermark").cast("timestamp").alias("watermark"),
         F.current_timestamp().alias("updated_at"),
     )
-    row.coalesce(1).write.mode("append").parquet(path)
+    rows.coalesce(1).write.mode("append").parquet(path)
 
 
 def append_batch(
@@ -136,6 +136,20 @@ def append_batch(
     row.coalesce(1).write.mode("append").parquet(path)
 
 
+def append_batches(rows: DataFrame, path: str, spider: str, run: str) -> None:
+    """Note what batches of an extraction read and wrote: batch, pages, records, and the watermark as text."""
+    noted = rows.select(
+        F.lit(spider).alias("spider"),
+        F.lit(run).alias("run"),
+        "batch",
+        "pages",
+        "records",
+        F.col("watermark").cast("timestamp").alias("watermark"),
+        F.current_timestamp().alias("finished_at"),
+    )
+    noted.coalesce(1).write.mode("append").parquet(path)
+
+
 def read_batches(spark: SparkSession, path: str) -> DataFrame:
     """One row per spider, run and batch: what was noted last, where a batch was run again."""
     rows = spark.read.schema(BATCH_TABLE).parquet(path)

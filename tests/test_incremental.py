@@ -220,3 +220,18 @@ def test_landing_stream_takes_new_files_once(spark, tmp_path):
         streams.start_landing(spark, f"{source}/site=quotes", raw, checkpoint, "none").awaitTermination()
     got = times(tables.read_raw(spark, raw), "fetched_at").collect()
     assert sorted((r.fetched_at, r.body) for r in got) == [(t, b) for t, b in TIED]
+
+
+@pytest.mark.parametrize("job_rows", [1, 2, 5, 1 << 20])
+def test_steps_of_a_drain_share_a_job(spark, paths, tmp_path, monkeypatch, job_rows):
+    """Steps are cut as one after the other would cut them, however many of them a job takes."""
+    batches = str(tmp_path / "batches")
+    days = [1, 2, 2, 2, 3, 5, 8, 8, 9]
+    land(spark, paths[0], [(f"2024-01-{d:02d} 00:00:00", listing(f"{n}") if n % 2 else "<p>nothing") for n, d in enumerate(days)])
+    monkeypatch.setattr(incremental, "JOB_ROWS", job_rows)
+    assert incremental.drain(spark, *paths, QUOTES, batch_rows=2, batches_path=batches) == {"pages": 9, "records": 4}
+    noted = times(tables.read_batches(spark, batches), "watermark").orderBy("batch").collect()
+    assert [(r.batch, r.pages, r.records, r.watermark[8:10]) for r in noted] == [(0, 4, 2, "02"), (1, 2, 1, "05"), (2, 2, 1, "08"), (3, 1, 0, "09")]
+    assert held(spark, paths[1]) == ["1", "3", "5", "7"]
+    assert len(tables._files(spark, paths[2])) == (1 if job_rows > 5 else 3 if job_rows == 5 else 4)
+    assert times(incremental.watermark(tables.read_progress(spark, paths[2]), "quotes"), "watermark").first()[0] == "2024-01-09 00:00:00"
