@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from leafmill.functions.markup import NODES, PageNodes
+from leafmill.functions.markup import NODES, PageNodes, slices
 from leafmill.session import ship_code
 
 
@@ -29,17 +29,18 @@ def register_page_blocks(
     ship_code()
 
     @F.arrow_udf(f"array<{NODES}>")
-    def blocks(bodies: pa.Array, urls: pa.Array, tags: pa.Array, classes: pa.Array) -> pa.Array:
-        nodes, taken, first = PageNodes(keep, links), [], 0
-        for body, url, tag, cls in zip(*(a.to_pylist() for a in (bodies, urls, tags, classes)), strict=True):
-            nodes.page(body or "", url or "")
-            taken.append(nodes.elements(tag, cls, first))
-            first = nodes.pages[-1]
-        whole = nodes.array().values
-        parts = [whole.slice(at, size) for found in taken for at, size in found]
-        below = pa.concat_arrays(parts) if parts else whole.slice(0, 0)
-        inner = pa.ListArray.from_arrays(pa.array(_ends(map(len, parts)), pa.int32()), below)
-        return pa.ListArray.from_arrays(pa.array(_ends(map(len, taken)), pa.int32()), inner)
+    def blocks(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for bodies, urls, tags, classes in slices(batches):
+            nodes, taken, first = PageNodes(keep, links), [], 0
+            for body, url, tag, cls in zip(*(a.to_pylist() for a in (bodies, urls, tags, classes)), strict=True):
+                nodes.page(body or "", url or "")
+                taken.append(nodes.elements(tag, cls, first))
+                first = nodes.pages[-1]
+            whole = nodes.array().values
+            parts = [whole.slice(at, size) for found in taken for at, size in found]
+            below = pa.concat_arrays(parts) if parts else whole.slice(0, 0)
+            inner = pa.ListArray.from_arrays(pa.array(_ends(map(len, parts)), pa.int32()), below)
+            yield pa.ListArray.from_arrays(pa.array(_ends(map(len, taken)), pa.int32()), inner)
 
     spark.udf.register(name, blocks)
 

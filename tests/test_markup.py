@@ -1,5 +1,6 @@
 import time
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -212,3 +213,18 @@ def test_blocks_of_a_page_in_sql(spark):
     assert rows("'table'") == []
     plan = spark.sql(sql.format(tag="'div'"))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1 and "Join" not in plan
+
+
+def test_pages_are_split_in_slices(spark, monkeypatch):
+    """However large the Arrow batches are, a slice holds few pages and bytes; nodes stay beside their pages."""
+    bodies = ["<p>a</p>", None, "<p>" + "b" * 30 + "</p>", "", "<i>c</i>", "<i>d</i>"]
+    batch = (pa.array(bodies, pa.string()), pa.array([f"u{i}" for i in range(6)]))
+    monkeypatch.setattr(m, "SLICE_BYTES", 20)
+    monkeypatch.setattr(m, "SLICE_PAGES", 2)
+    cut = [tuple(column.to_pylist() for column in part) for part in m.slices([batch, tuple(c.slice(0, 0) for c in batch)])]
+    assert [len(urls) for _, urls in cut] == [2, 1, 2, 1, 0]
+    assert [b for part, _ in cut for b in part] == bodies and [u for _, urls in cut for u in urls] == batch[1].to_pylist()
+    monkeypatch.undo()
+    pages = spark.range(0, 2500, 1, 1).select(F.concat(F.lit("u"), "id").alias("url"), F.concat(F.lit("<p>"), "id", F.lit("</p>")).alias("body"))
+    seen = pages.select("url", m.page_nodes(F.col("body"), F.col("url")).alias("n")).select("url", F.get(m.texts(F.col("n")), F.lit(0)).alias("t"))
+    assert seen.count() == 2500 and seen.filter(F.col("url") != F.concat(F.lit("u"), "t")).count() == 0
