@@ -4,14 +4,15 @@
    minhash values, whose agreement estimates the similarity. Equal sets are one node.
 2. Chosen paths: in each run a node chooses some of its (coordinate, value) tokens by a
    hash that all nodes share, so that similar nodes choose alike, and is sent to a bucket
-   per chosen token. A bucket with more than LIMIT nodes elects a leader, and nodes near
-   it are linked to it at once. If that leaves some out, the bucket is split again by
-   further chosen tokens; the path of tokens so far is part of the hash. Runs are repeated
-   until a pair at the threshold shares a bucket with the target recall.
+   per chosen token. A bucket with more than LIMIT nodes elects a leader, of the label that
+   most of them have, and nodes near it are linked to it at once. If that leaves out up to
+   LIMIT, these are compared with the whole bucket, and if more, the bucket is split again
+   by further chosen tokens; the path of tokens so far is part of the hash. Runs are
+   repeated until a pair at the threshold shares a bucket with the target recall.
 3. Inside a bucket of at most LIMIT nodes a breadth-first search over the vectors finds
    what is connected; only the search's tree is kept, so a bucket of n nodes gives fewer
-   than n links. Of what cannot be split down to LIMIT, the nodes not near a leader are
-   compared with all, in blocks.
+   than n links. Of what cannot be split down to LIMIT, too, the nodes not near a leader
+   are compared with all, in blocks.
 4. Nodes carry a label for what is known to be connected: a leader that they met in large
    buckets of the first runs, and in a split bucket its leader. A bucket of one label has
    nothing to find and is left out, and only links between labels are kept, so that a
@@ -220,10 +221,9 @@ def _bucket_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each row with whether it belongs to its bucket's leader, by its label or by its vector."""
+    """Each row with whether its vector is near its bucket's leader's."""
     for batch in batches:
         near = _near(_vectors(batch.column("vector")), _vectors(batch.column("leader_vector"))) if batch.num_rows else np.zeros(0, bool)
-        near |= batch.column("label").to_numpy() == batch.column("leader_label").to_numpy()
         columns = [batch.column(c) for c in ("path", "size", "node", "vector", "label", "leader", "leader_label")]
         yield pa.RecordBatch.from_arrays([*columns, pa.array(near)], [f.split()[0] for f in _STARRED.split(", ")])
 
@@ -239,7 +239,7 @@ def _blocks(rows: DataFrame, group: str, blocks: Column, node: str) -> DataFrame
 
 
 def _left_out(starred: DataFrame, sizes: DataFrame) -> DataFrame:
-    """The rows of buckets that cannot be split further: those not near the leader, in blocks `x`, with all others, in slices `y`."""
+    """The rows of buckets that are not split further: those not near the leader, in blocks `x`, with all others, in slices `y`."""
     rows = starred.join(sizes, "path")
     blocks, slices = (F.ceil(F.col(c) / n).cast("int") for c, n in (("far", LIMIT), ("size", 16 * LIMIT)))
     own = F.when(~F.col("near"), F.pmod(F.xxhash64(F.lit("block"), "node"), blocks).cast("int"))
@@ -253,21 +253,31 @@ def _left_out(starred: DataFrame, sizes: DataFrame) -> DataFrame:
 
 
 def _shared(paths: DataFrame, vectors: DataFrame, least: int) -> DataFrame:
-    """The rows of buckets of `least` nodes or more and of several labels, with their size, leader and vector; stored."""
+    """The rows of buckets of `least` nodes or more and of several labels, with their size and vector; stored."""
     here = stored(paths, "jaccard-paths")
-    leader = F.min_by("node", F.struct(F.xxhash64("path", "node"), "node")).alias("leader")
-    sizes = here.groupBy("path").agg(F.count(F.lit(1)).alias("size"), F.min("label").alias("low"), F.max("label").alias("high"), leader)
+    sizes = here.groupBy("path").agg(F.count(F.lit(1)).alias("size"), F.min("label").alias("low"), F.max("label").alias("high"))
     # Stored, so that a bucket with many of the rows gets an exchange that can be split.
-    wanted = stored(sizes.filter((F.col("low") < F.col("high")) & (F.col("size") >= least)).select("path", "size", "leader"), "jaccard-sizes")
+    wanted = stored(sizes.filter((F.col("low") < F.col("high")) & (F.col("size") >= least)).select("path", "size"), "jaccard-sizes")
     return stored(here.join(wanted, "path").join(vectors, "node"), "jaccard-buckets")
 
 
-def _starred(large: DataFrame) -> DataFrame:
-    """The rows with whether they are near their bucket's leader; stored."""
+def _led(large: DataFrame) -> DataFrame:
+    """The rows with their bucket's leader, its label and vector; stored. The leader has the label that most of the bucket's rows have, and gave it if it is there."""
+    first = F.min_by("node", F.struct(F.col("node") != F.col("label"), F.xxhash64("path", "node"), "node")).alias("leader")
+    labels = large.groupBy("path", "label").agg(F.count(F.lit(1)).alias("rows"), first)
+    chosen = labels.groupBy("path").agg(F.max_by(F.struct("leader", F.col("label").alias("leader_label")), F.struct("rows", F.xxhash64("path", "label"))).alias("most"))
+    chosen = stored(chosen.select("path", "most.*"), "jaccard-chosen")
     # A row for every large bucket.
-    leaders = large.filter("node = leader").select("path", "leader", F.col("vector").alias("leader_vector"), F.col("label").alias("leader_label"))
-    leaders = stored(leaders.dropDuplicates(["path"]), "jaccard-leaders")
-    return stored(large.join(leaders, ["path", "leader"]).mapInArrow(_stars, _STARRED), "jaccard-stars")
+    vectors = large.join(chosen, "path").filter("node = leader").select("path", "leader", "leader_label", F.col("vector").alias("leader_vector"))
+    return stored(large.join(stored(vectors.dropDuplicates(["path"]), "jaccard-leaders"), "path"), "jaccard-led")
+
+
+def _starred(large: DataFrame) -> DataFrame:
+    """The rows with whether they are near their bucket's leader; stored. Rows of its label are, and are not compared."""
+    led = _led(large)
+    other = F.col("label") != F.col("leader_label")
+    known = led.filter(~other).drop("leader_vector").withColumn("near", F.lit(True))
+    return stored(known.unionByName(led.filter(other).mapInArrow(_stars, _STARRED)), "jaccard-stars")
 
 
 def _labelled(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -300,11 +310,14 @@ def candidates(nodes: DataFrame) -> DataFrame:
         starred = _starred(large)
         links.append(starred.filter("near AND label <> leader_label").select(F.col("node").alias("a"), F.col("leader").alias("b")))
         far = stored(starred.groupBy("path").agg(F.count_if(~F.col("near")).alias("far")).filter("far > 0"), "jaccard-far")
-        if level == LEVELS - 1:
-            links.append(_left_out(starred, far).mapInArrow(_bucket_links, "a long, b long"))
+        # Where one block holds what is not near the leader, each of it meets all rows; splitting would send the many near ones on again and again.
+        whole = F.col("far") <= LIMIT if level < LEVELS - 1 else F.lit(True)
+        links.append(_left_out(starred, far.filter(whole)).mapInArrow(_bucket_links, "a long, b long"))
+        split = far.filter(~whole)
+        if split.isEmpty():
             break
         label = F.when(F.col("near"), F.col("leader_label")).otherwise(F.col("label"))
-        split = starred.join(far, "path", "left_semi").select("path", "node", "vector", label.alias("label"))
+        split = starred.join(split, "path", "left_semi").select("path", "node", "vector", label.alias("label"))
         paths = split.mapInArrow(_next_paths, "path long, node long, label long")
     return reduce(DataFrame.union, links)
 

@@ -128,6 +128,27 @@ def test_links_grow_with_a_group_of_near_copies(spark, monkeypatch):
     assert made[0] <= 5 * 100 and made[1] <= min(5 * 400, 5 * made[0]), made
 
 
+def test_a_group_of_near_copies_is_not_split_for_a_few_others(spark, monkeypatch):
+    """Nodes that are not near a bucket's leader are compared with all of it, where one block holds them; nothing is sent to the next level."""
+    monkeypatch.setattr(jaccard, "LIMIT", 64)
+    rng, written, write = random.Random(4), {}, jaccard.stored
+
+    def noted(rows, label):
+        out = write(rows, label)
+        written.setdefault(label, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "stored", noted)
+    others = [(1000 + i, " ".join([f"w{j}" for j in range(110)] + [f"o{rng.randrange(10**9)}" for _ in range(90)]), "x") for i in range(30)]
+    nodes = frame(spark, near_copies(400) + others).withColumn("mark", F.xxhash64("text")).select("doc_id", "text", "mark")
+    sets = nodes.mapInArrow(jaccard._sets, "doc_id long, mark long, node long, vector binary, bytes long")
+    sets = sets.select("node", "vector").distinct()
+    links = jaccard.candidates(sets)
+    assert components(links, "test").groupBy("b").count().agg(F.max("count")).first()[0] >= 399
+    # The label runs, then all runs; any more are buckets that were split.
+    assert sum(written["jaccard-paths"][2:]) == 0, written
+
+
 def test_ids_with_several_texts_keep_what_is_first_in_its_class(spark):
     p, q, z = (" ".join(f"{c}{i}" for i in range(30)) for c in "pqz")
     data = [(3, p, "x"), (7, p, "x"), (7, z, "x"), (9, q, "x"), (9, q, "x"), (None, z, "x"), (None, None, "x"), (11, "", "x")]
