@@ -8,6 +8,7 @@ from leafmill.plans import coverage, health, items, views
 from leafmill.schemas import PARSED_TABLE
 from leafmill.sites.auctions import PACK
 from leafmill.sources import tables
+from workload import fixtures as fx
 
 HOME = PACK.urls.home
 
@@ -251,3 +252,12 @@ def test_links_of_a_hot_group_are_split_at_run_time(spark):
 def test_envelope_columns_cover_the_parsed_table(spark, tmp_path):
     _, out = written(spark, tmp_path)
     assert out.schema.names == PARSED_TABLE.names
+
+
+def test_tables_are_dealt_into_more_partitions_as_they_grow(spark, monkeypatch):
+    """A task that makes records of a table sorts them by lot, so its rows must not grow with the table."""
+    monkeypatch.setattr(fx, "DEALT_ROWS", 100, raising=False)
+    rows = spark.range(2450)
+    parts = fx.dealt(rows).rdd.glom().map(len).collect()
+    assert len(parts) == 25 and max(parts) <= 130 and sum(parts) == 2450
+    assert len(fx.dealt(spark.range(50)).rdd.glom().collect()) == spark.sparkContext.defaultParallelism
