@@ -228,3 +228,46 @@ def test_pages_are_split_in_slices(spark, monkeypatch):
     pages = spark.range(0, 2500, 1, 1).select(F.concat(F.lit("u"), "id").alias("url"), F.concat(F.lit("<p>"), "id", F.lit("</p>")).alias("body"))
     seen = pages.select("url", m.page_nodes(F.col("body"), F.col("url")).alias("n")).select("url", F.get(m.texts(F.col("n")), F.lit(0)).alias("t"))
     assert seen.count() == 2500 and seen.filter(F.col("url") != F.concat(F.lit("u"), "t")).count() == 0
+
+
+PIECES = """< </ <div> </div> <p> </p> <b> </b> text < > = " ' / <script> </script> <SCRIPT <style> </style x> <!-- --> <!doctype <?x> <br/> <li>
+<li/x> </li> <ul> </ul> <td> <table> </table> <a\thref="/u/v"> <a\thref=x/> <a\thref='/w'id=3> <p\tid="a>b"> <p\tid="1"class=x> <p\tid=> <p\tid\t=\t2> <p="2">
+<base\thref="/r/"> <area\thref=/k> <x"y> <a:b\tc> </p\tid="> <p\tclass='u\tv'\t/> &amp; é""".split(" ") + [" ", "\n", "\x1c", "\xa0"]
+
+
+@given(st.lists(st.sampled_from(PIECES), max_size=30).map("".join))
+@settings(max_examples=300, deadline=None)
+def test_tags_read_from_their_spelling_split_like_any_other(body):
+    whole = split(body, ("id", "href", "class"), links=True)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(m.PageNodes, "plain", lambda self, written: None)
+        assert split(body, ("id", "href", "class"), links=True) == whole
+
+
+def test_a_tag_is_read_once():
+    nodes = m.PageNodes(frozenset(["id"]), False)
+    for _ in range(3):
+        nodes.page('<p id=1>a</p><p id=1>b</p><p id="2">c</p>', "")
+    assert nodes.tags == [m.TEXT, "p", "p"]
+    assert [[dict(n["attrs"]) for n in page if n["tag"] == "p"] for page in nodes.array().to_pylist()] == [[{"id": "1"}] * 2 + [{"id": "2"}]] * 3
+
+
+def test_only_some_elements_and_the_links_are_left():
+    nodes = m.PageNodes(frozenset(), True)
+    for _ in range(2):
+        nodes.page('<i>t</i><div class="x y"><b><a href="/u">1</a></b><div class=xy><a href="/v">2</a><a>3</a></div></div><a href="/w">', "http://h/")
+    nodes.page("", "http://h/")
+    page = [("div", 0, -1, 2, None), ("a", 1, -1, 0, "http://h/u"), ("a", 2, -1, 0, "http://h/v"), ("a", 3, -1, 0, "http://h/w")]
+    left = nodes.array([("div", "x")]).to_pylist()
+    assert [[(n["tag"], n["idx"], n["parent"], n["size"], n["link"]) for n in p] for p in left] == [page, page, []]
+    inside = nodes.array([("div", "")]).to_pylist()[0]
+    assert [(n["tag"], n["parent"], n["size"]) for n in inside] == [("div", -1, 3), ("a", -1, 0), ("div", 0, 1), ("a", 2, 0), ("a", -1, 0)]
+    assert [len(p) for p in nodes.array([]).to_pylist()] == [3, 3, 0]
+
+
+@pytest.mark.parametrize("base", ["http://h/a/b", "https://h.org?x", "", "file:///a", "http://[::1/x", "HTTP://h/x"])
+def test_links_taken_as_they_stand_are_what_joining_gives(base, monkeypatch):
+    hrefs = ["/a/b/", "/a/../b", "/a//b", "//o/p", "/.x/y", "/a/x.y", "http://o.org", "https://o.org/a/../b", "http://o.org/#", "/a?b", "/", "x", "HTTP://o/x"]
+    found = [m.absolute_link(base, h) for h in hrefs]
+    monkeypatch.setattr(m, "_ORIGIN", m.re.compile(r"(?!)"))
+    assert [m.absolute_link(base, h) for h in hrefs] == found
