@@ -39,9 +39,9 @@ def followed(url: Column, rules: LinkRules, domains: Sequence[str] = ()) -> Colu
 def page_links(pages: DataFrame, rules: LinkRules, domains: Sequence[str] = ()) -> DataFrame:
     """Edges (src_url, pos, dst_url) of pages (url, body); `pos` counts a page's kept links from 0."""
     narrow = pages.select("url", "body")
-    nodes = narrow.select(
-        F.col("url").alias("src_url"), m.page_nodes(body_text(F.col("body")), F.col("url"), links=True).alias("nodes")
-    )
+    # Nothing but the regions and the links is looked at.
+    split = m.page_nodes(body_text(F.col("body")), F.col("url"), links=True, only=rules.regions)
+    nodes = narrow.select(F.col("url").alias("src_url"), split.alias("nodes"))
     kept = F.filter(_page_links(F.col("nodes"), rules), lambda u: followed(u, rules, domains))
     # Exploded as an expression, not as a column: no filter is inferred that would split pages twice.
     return nodes.select("src_url", F.posexplode(kept).alias("pos", "dst_url"))
