@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -173,13 +174,18 @@ def compact_progress(spark: SparkSession, path: str) -> None:
 # once, however often it ran, and a stream that reads the table knows the files by their names.
 
 
+# What has a meaning of its own in a path that names several files.
+_GLOB = re.compile(r"[\\*?\[\]{}]")
+
+
 def publish_batch(rows: DataFrame, path: str, month: str, label: str) -> None:
     """Write rows partitioned by month into the table, as the files `label-…`, in place of what is there under that label."""
     spark = rows.sparkSession
     aside = f"{path}/_batches/{label}"
     rows.write.mode("overwrite").partitionBy(month).parquet(aside)
-    for folder in _folders(spark, path, month).values():
-        _delete(spark, [f for f in _files(spark, folder) if f.rsplit("/", 1)[1].startswith(f"{label}-")])
+    store, left = _folder(spark, f"{_GLOB.sub(r'\\\g<0>', path)}/{month}=*/{label}-*")
+    # One call for all months: a table gets more of them with every batch.
+    _delete(spark, [f.getPath().toString() for f in store.globStatus(left)])
     for value, folder in _folders(spark, aside, month).items():
         for n, name in enumerate(_files(spark, folder)):
             store, target = _folder(spark, f"{path}/{month}={value}/{label}-{n:05d}.parquet")

@@ -14,6 +14,10 @@ from leafmill.sources.tables import batch_label, living, publish_batch
 
 # How much older than the newest fetch a page may be and still be counted.
 DELAY = "7 days"
+# Parts that the state is kept in. It holds a row per open day, however many pages: a part for each of the session's
+# shuffle partitions would cost every batch a task and a file for each, most of them without a row.
+STATE_PARTS = 8
+_PARTITIONS = "spark.sql.shuffle.partitions"
 
 
 def start_health(
@@ -31,9 +35,17 @@ def start_health(
 
     def write(rows: DataFrame, batch: int) -> None:
         dated = rows.withColumns({"batch": F.lit(batch).cast("long"), "fetch_month": month_of(F.col("fetch_date").cast("timestamp"))})
-        publish_batch(dated, path, "fetch_month", batch_label(checkpoint, batch))
-
-    return named.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        # The days of a month come from all parts of the state and go to one file.
+        publish_batch(dated.repartition("fetch_month"), path, "fetch_month", batch_label(checkpoint, batch))
+
+    stream = named.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    before = spark.conf.get(_PARTITIONS)
+    # A stream takes the session's settings as it starts; one that goes on keeps the parts that its checkpoint names.
+    spark.conf.set(_PARTITIONS, STATE_PARTS)
+    try:
+        return stream.start()
+    finally:
+        spark.conf.set(_PARTITIONS, before)
 
 
 def read_health(spark: SparkSession, path: str) -> DataFrame:

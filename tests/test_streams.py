@@ -150,6 +150,35 @@ def test_streamed_health_takes_late_pages_until_the_watermark(spark, tmp_path):
     }
 
 
+def test_streamed_health_costs_a_batch_its_days_and_not_the_settings(spark, tmp_path):
+    raw, path, checkpoint = (str(tmp_path / n) for n in ("raw", "he[a]lth", "ck"))
+    settings = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(settings)
+    for n, month in enumerate(("01", "02")):
+        days = [(f"2024-{month}-{d:02d} 00:00:00", d, 200) for d in range(1, 29)]
+        tables.append_raw(auction_pages(spark, days).coalesce(1), raw)
+        spark.conf.set(settings, "40")
+        try:
+            # The second run goes on with the parts of the first.
+            health_streams.start_health(spark, raw, path, checkpoint, PACK, "60 days").awaitTermination()
+            assert spark.conf.get(settings) == "40"
+        finally:
+            spark.conf.set(settings, before)
+        assert len([p for p in (tmp_path / "ck" / "state" / "0").iterdir() if p.name.isdigit()]) == health_streams.STATE_PARTS
+        assert len(list((tmp_path / "he[a]lth" / f"fetch_month=2024-{month}-01").glob("*.parquet"))) == 1
+    assert sum(len(list(f.glob("*.parquet"))) for f in (tmp_path / "he[a]lth").glob("fetch_month=*")) == 2
+
+
+def test_a_batch_that_runs_again_leaves_no_month_of_its_first_run(spark, tmp_path):
+    path, label = str(tmp_path / "{t}*"), tables.batch_label("ck", 0)
+    first = pages_of(spark, [("2024-01-05 00:00:00", "a"), ("2024-02-05 00:00:00", "b")])
+    tables.land_batch(pages_of(spark, [("2024-01-07 00:00:00", "d")]), path, tables.batch_label("ck", 1))
+    tables.land_batch(first, path, label)
+    tables.land_batch(first.filter("url like '%b'"), path, label)
+    held = {f.parent.name[12:19]: f.name[:-14] for f in (tmp_path / "{t}*").glob("fetch_month=*/batch-*.parquet")}
+    assert held == {"2024-01": tables.batch_label("ck", 1), "2024-02": label}
+
+
 def test_one_scan_gives_both_views(spark):
     rows = [("2024-01-10 00:00:00", 1, 200), ("2024-01-10 01:00:00", 1, 404), ("2024-01-11 00:00:00", 1, 200), ("2024-01-11 00:00:00", 2, 500)]
     raw = auction_pages(spark, rows)
