@@ -271,3 +271,30 @@ def test_links_taken_as_they_stand_are_what_joining_gives(base, monkeypatch):
     found = [m.absolute_link(base, h) for h in hrefs]
     monkeypatch.setattr(m, "_ORIGIN", m.re.compile(r"(?!)"))
     assert [m.absolute_link(base, h) for h in hrefs] == found
+
+
+def test_marks_say_what_elements_meet():
+    marks = (
+        m.Mark("div", ("a",)), m.Mark(classes=("a", "b")), m.Mark("meta", attr="property", value="x&y"), m.Mark(attr="data-n"), m.Mark("p"),
+        m.Mark("a", ("k",), "href", "/q"),
+    )
+    body = (
+        '<div class=" b\ta "><DIV class=ab>t</DIV><p Class="a b">u</p></div><meta property="x&amp;y" property=z><link property="x&amp;y">'
+        "<i data-m=2></i><i data-n='1'>v</i><a class='j k' href=/q></a><a class=k href=/r></a><a href=/q></a>"
+    )
+    marked, plain = m.PageNodes(frozenset(["href"]), False, marks), m.PageNodes(frozenset(["href", "property", "data-n"]), False)
+    for nodes in (marked, plain):
+        nodes.page(body, "http://h/")
+    found, all_said = marked.array().to_pylist()[0], plain.array().to_pylist()[0]
+
+    def meets(mark, n):
+        said = dict(n["attrs"])
+        fits = n["tag"] != m.TEXT and mark.tag in (None, n["tag"]) and all(f" {c} " in (n["class"] or "") for c in mark.classes)
+        return fits and (mark.attr is None or mark.attr in said and mark.value in (None, said[mark.attr]))
+
+    assert [n["marks"] for n in found] == [sum(meets(mark, n) << i for i, mark in enumerate(marks)) for n in all_said]
+    assert [n["marks"] for n in found if n["text"] is None] == [3, 0, 18, 4, 0, 0, 8, 32, 0, 0]
+    same = ("idx", "parent", "size", "text")
+    assert [[n[k] for k in same] for n in found] == [[n[k] for k in same] for n in all_said]
+    # Neither tags and classes nor attributes that only marks ask for leave the worker.
+    assert set(found[0]) == {*same, "marks", "attrs"} and {k for n in found for k, _ in n["attrs"]} == {"href"}
