@@ -130,6 +130,37 @@ def test_kept_facts_are_those_of_all_records(spark, tmp_path):
     assert states.item_facts_kept(spark, path).count() == 2
 
 
+def test_states_merge_by_a_join_that_keeps_the_newer_of_each_field(spark):
+    kind = "k string, l string, a struct<t:int,v:string>, n int"
+    state = spark.createDataFrame([("1", "1", (1, "x"), 5), ("1", "2", None, None), ("2", "1", (4, "y"), 1), ("3", "1", (2, "b"), None)], kind)
+    other = spark.createDataFrame([("1", "1", (2, "a"), 4), ("1", "2", (1, "z"), None), ("3", "1", (2, "c"), 7), ("4", "1", None, 2)], kind)
+    both = items.merged(state, other, "k", "l")
+    assert both.columns == state.columns
+    assert sorted(map(tuple, both.collect())) == [
+        ("1", "1", (2, "a"), 5), ("1", "2", (1, "z"), None), ("2", "1", (4, "y"), 1), ("3", "1", (2, "c"), 7), ("4", "1", None, 2)
+    ]
+    plan = both._jdf.queryExecution().optimizedPlan().toString()
+    assert "FullOuter" in plan and "Aggregate" not in plan and "Union" not in plan
+
+
+def test_each_step_of_the_kept_facts_reads_its_own_records(spark, monkeypatch):
+    from workload import queries
+
+    rows = record(spark, [("2024-01-02", f'{{"type":"item","auction_id":"1","lot_number":"{n}","title":"t{n}"}}') for n in range(40)])
+    plans, advance = [], states.advance_items
+
+    def noted(parsed, path, pack):
+        plans.append(parsed._jdf.queryExecution().executedPlan().toString())
+        advance(parsed, path, pack)
+
+    monkeypatch.setattr(queries.fx, "parsed_records", lambda *_: rows)
+    monkeypatch.setattr(states, "advance_items", noted)
+    kept = queries.QUERIES["item_facts_kept"](spark, "")
+    assert sorted((r.lot_number, r.title) for r in kept.collect()) == sorted((str(n), f"t{n}") for n in range(40))
+    for step, plan in zip((3, 1, 0, 1, 2), plans, strict=True):
+        assert "(part#" in plan.split("PartitionFilters: ")[1] and f" = {step})" in plan.split("PartitionFilters: ")[1]
+
+
 def auction_pages(spark, rows):
     return raw_rows(spark, [(t, PACK.name, f"{PACK.urls.home}/auction/{a}/", s, "") for t, a, s in rows])
 
